@@ -58,8 +58,9 @@ CARD_DECIMALS = 2
 # Parameters of our lexicon scorer (not derivable from the pipeline).
 # --------------------------------------------------------------------------
 
-# Token pattern applied to lower-cased text; keeps in-word apostrophes.
-TOKEN_PATTERN = "[a-z]+(?:'[a-z]+)*"
+# Token pattern applied to lower-cased text; keeps in-word apostrophes,
+# straight or curly.  Scorer tables hold both spellings of such words.
+TOKEN_PATTERN = "[a-z]+(?:['’][a-z]+)*"
 
 # Added to (or, for dampeners, taken from) the magnitude of a valence that
 # directly follows a booster word.
@@ -89,7 +90,7 @@ DEFAULT_LEXICON = {
     "outperforms": "1.8", "upgrade": "1.6", "upgraded": "1.6", "benefit": "2.0", "benefits": "1.9",
     "opportunity": "1.8", "opportunities": "1.8", "innovative": "1.9", "confident": "2.2",
     "confidence": "2.3", "robust": "1.5", "solid": "1.3", "thrive": "2.4", "thrives": "2.4",
-    "booming": "2.1", "boom": "1.9", "welcome": "2.0", "praise": "2.5", "win-win": "2.6",
+    "booming": "2.1", "boom": "1.9", "welcome": "2.0", "praise": "2.5",
     "agree": "1.5", "award": "2.5", "wonderful": "3.0", "nice": "1.8", "fair": "1.3",
     # negative
     "bad": "-2.5", "worst": "-3.1", "worse": "-2.1", "poor": "-2.1", "weak": "-1.9",

@@ -52,6 +52,15 @@ def preview(col: Column | str, length: int = 50) -> Column:
 
 
 def tokens(col: Column | str) -> Column:
-    """Lower-cased word tokens of the whole text; curly apostrophes unified."""
-    lowered = F.translate(F.lower(_c(col)), "’", "'")
-    return F.regexp_extract_all(lowered, F.lit(TOKEN_PATTERN), F.lit(0))
+    """Lower-cased word tokens of the whole text."""
+    return F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), F.lit(0))
+
+
+def apostrophe_variants(words):
+    """Each word, plus its curly-apostrophe spelling when it has an apostrophe."""
+    out = {}
+    for w in words:
+        out[w] = None
+        if "'" in w:
+            out[w.replace("'", "’")] = None
+    return list(out)

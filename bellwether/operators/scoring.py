@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from bellwether import constants as K
 from bellwether import schemas
 from bellwether.functions.sentiment import guarded_compound, label_for_score
-from bellwether.functions.text import tokens
+from bellwether.functions.text import apostrophe_variants, tokens
 
 # Largest scorer table we broadcast.  Sentiment lexicons are dimensions of
 # a few thousand entries; beyond this the planner's shuffle join is used.
@@ -41,19 +41,22 @@ VALUE_TYPE = T.DecimalType(18, 6)
 
 def lexicon_frame(spark: SparkSession, lexicon: Mapping[str, str] | None = None) -> DataFrame:
     entries = K.DEFAULT_LEXICON if lexicon is None else lexicon
-    rows = [(k, Decimal(str(v))) for k, v in entries.items()]
-    return spark.createDataFrame(rows, schemas.LEXICON)
+    return spark.createDataFrame(_with_variants(entries), schemas.LEXICON)
 
 
 def booster_frame(spark: SparkSession, boosters: Mapping[str, str] | None = None) -> DataFrame:
     entries = K.DEFAULT_BOOSTERS if boosters is None else boosters
-    rows = [(k, Decimal(str(v))) for k, v in entries.items()]
-    return spark.createDataFrame(rows, schemas.BOOSTER)
+    return spark.createDataFrame(_with_variants(entries), schemas.BOOSTER)
 
 
 def negation_frame(spark: SparkSession, negations: Sequence[str] | None = None) -> DataFrame:
     entries = K.DEFAULT_NEGATIONS if negations is None else negations
-    return spark.createDataFrame([(w,) for w in dict.fromkeys(entries)], schemas.NEGATION)
+    return spark.createDataFrame([(w,) for w in apostrophe_variants(entries)], schemas.NEGATION)
+
+
+def _with_variants(entries: Mapping[str, str]) -> list[tuple[str, Decimal]]:
+    return [(w, Decimal(str(entries[w.replace("’", "'")])))
+            for w in apostrophe_variants(entries)]
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:

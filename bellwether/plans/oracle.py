@@ -7,6 +7,7 @@ Spark plans use array lookups and joins) over the pre-registered views.
 from __future__ import annotations
 
 from bellwether import constants as K
+from bellwether.functions.text import apostrophe_variants
 from bellwether.plans.queries import (FILTER_LABEL as _FILTER_LABEL, FILTER_SOURCES,
                                       INGEST_TIME as _INGEST_TIME,
                                       LATE_BATCH_ROWS as _LATE_BATCH,
@@ -20,18 +21,22 @@ def _quote(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _valued(entries) -> list[tuple[str, str]]:
+    return [(w, entries[w.replace("’", "'")]) for w in apostrophe_variants(entries)]
+
+
 def lexicon_values() -> str:
-    rows = ", ".join(f"({_quote(k)}, CAST({v} AS DECIMAL(8,3)))" for k, v in K.DEFAULT_LEXICON.items())
+    rows = ", ".join(f"({_quote(k)}, CAST({v} AS DECIMAL(8,3)))" for k, v in _valued(K.DEFAULT_LEXICON))
     return f"SELECT * FROM (VALUES {rows}) AS t(token, valence)"
 
 
 def booster_values() -> str:
-    rows = ", ".join(f"({_quote(k)}, CAST({v} AS DECIMAL(8,3)))" for k, v in K.DEFAULT_BOOSTERS.items())
+    rows = ", ".join(f"({_quote(k)}, CAST({v} AS DECIMAL(8,3)))" for k, v in _valued(K.DEFAULT_BOOSTERS))
     return f"SELECT * FROM (VALUES {rows}) AS t(token, inc)"
 
 
 def negation_values() -> str:
-    rows = ", ".join(f"({_quote(k)})" for k in dict.fromkeys(K.DEFAULT_NEGATIONS))
+    rows = ", ".join(f"({_quote(k)})" for k in apostrophe_variants(K.DEFAULT_NEGATIONS))
     return f"SELECT * FROM (VALUES {rows}) AS t(token)"
 
 
@@ -58,7 +63,7 @@ lex AS ({lexicon_values()}),
 boost AS ({booster_values()}),
 neg AS ({negation_values()}),
 arr AS (
-  SELECT {key} AS k, regexp_extract_all(replace(lower(title), '’', ''''), {pattern}) AS toks
+  SELECT {key} AS k, regexp_extract_all(lower(title), {pattern}) AS toks
   FROM h
 ),
 tok AS (SELECT k, unnest(range(len(toks))) AS pos, unnest(toks) AS t FROM arr),
@@ -318,4 +323,14 @@ def oracle_sql() -> dict[str, str]:
         "event_trend": _trend(
             f"SELECT ts, event_type, CAST(value AS DECIMAL(12,2)) AS value FROM ({EVENTS})",
             "event_type"),
+        "stream_history": SERVED,
+        "stream_dedupe": f"""
+            SELECT DISTINCT title, source, publishedAt, {_cap('sentiment')} AS sentiment,
+                   {_round('confidence', K.STORED_DECIMALS)} AS confidence, link
+            FROM ({RECORDS}) WHERE {REQUIRED}""",
+        "stream_trend": f"""
+            SELECT * FROM ({_trend(
+                f"SELECT ts, event_type, CAST(value AS DECIMAL(12,2)) AS value FROM ({EVENTS})",
+                "event_type")})
+            WHERE window_end <= {_fmt(f"(SELECT max(ts) FROM ({EVENTS})) - INTERVAL {K.WATERMARK_DELAY}")}""",
     }

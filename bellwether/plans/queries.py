@@ -18,7 +18,11 @@ from bellwether.functions import parsing as P
 from bellwether.functions.text import capitalize, round_stored
 from bellwether.operators import ingest, serving, timeline
 from bellwether.operators.scoring import score_text
+from bellwether.session import scratch_path
+from bellwether.sources import files as FS
 from bellwether.sources import tables as TB
+from bellwether.streaming.scoring import folder_sink, scoring_stream
+from bellwether.streaming.serving import history_stream, trend_stream
 
 # Fixed query parameters (the dashboard's filter choices, ingestion time,
 # replay batch sizes).
@@ -29,6 +33,7 @@ LATE_BATCH_ROWS = 10                # rows per replayed micro-batch (W4)
 LATE_SHIFT_MINUTES_PER_UNIT = 5     # error events arrive value*5 minutes late
 TREND_WIDTH = "1 hour"
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+STREAM_FILES = 4                    # topic stand-ins are replayed one file per batch
 
 
 def _fmt(col: str | F.Column) -> F.Column:
@@ -289,6 +294,60 @@ def q_event_trend(spark, sf_dir):
     return _trend_out(timeline.trend(ev, "ts", "event_type", "value", TREND_WIDTH), "event_type")
 
 
+# ---- streams replayed from the driver tables ---------------------------------
+def _run_available(writer) -> None:
+    """Run a stream over everything available, then stop (fails loudly)."""
+    q = writer.trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def _topic_from(df: DataFrame, folder: str, files: int) -> None:
+    FS.write_topic(df, folder, files=files)
+
+
+def q_stream_history(spark, sf_dir):
+    """S1 -> P1-P3, W1 -> score per batch -> P15 -> K1 (folder) -> S5 -> F1, D2 -> K3.
+
+    The documents are landed as a raw-topic stand-in (JSON lines), replayed
+    one file per micro-batch, scored, re-read as the scored topic and
+    appended to the day-partitioned history, which is returned.
+    """
+    root = scratch_path(spark, "stream-history")
+    news = TB.headlines(spark, sf_dir)
+    _topic_from(news.select("doc_id", F.to_json(F.struct(*[f.name for f in schemas.NEWS.fields]))
+                            .alias("value")).withColumnRenamed("doc_id", "offset"),
+                f"{root}/raw", STREAM_FILES)
+    raw = FS.read_topic_stream(spark, f"{root}/raw")
+    _run_available(scoring_stream(raw, folder_sink(f"{root}/scored"), f"{root}/ck-score"))
+    scored_raw = FS.read_topic_stream(spark, f"{root}/scored", max_files_per_trigger=STREAM_FILES)
+    _run_available(history_stream(scored_raw, f"{root}/history", f"{root}/ck-history"))
+    return FS.read_history(spark, f"{root}/history")
+
+
+def q_stream_dedupe(spark, sf_dir):
+    """D2 in stream form: both fetches of every record replayed in order."""
+    root = scratch_path(spark, "stream-dedupe")
+    _topic_from(TB.scored_records(spark, sf_dir), f"{root}/scored", STREAM_FILES)
+    raw = FS.read_topic_stream(spark, f"{root}/scored")
+    _run_available(history_stream(raw, f"{root}/history", f"{root}/ck"))
+    return FS.read_history(spark, f"{root}/history")
+
+
+def q_stream_trend(spark, sf_dir):
+    """X1 in stream form over events: windows emitted once the watermark passes."""
+    root = scratch_path(spark, "stream-trend")
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    ev = (spark.readStream.schema(schema).parquet(FS.stream_path(path))
+          .select(F.col("ts").cast("timestamp").alias("ts"), "event_type",
+                  F.col("value").cast("decimal(12,2)").alias("value")))
+    _run_available(trend_stream(ev, f"{root}/trend", f"{root}/ck", ts_col="ts",
+                                label_col="event_type", value_col="value", width=TREND_WIDTH))
+    return _trend_out(spark.read.parquet(f"{root}/trend"), "event_type")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "score_headlines": q_score_headlines,
@@ -321,4 +380,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "late_rows": q_late_rows,
         "sentiment_trend": q_sentiment_trend,
         "event_trend": q_event_trend,
+        "stream_history": q_stream_history,
+        "stream_dedupe": q_stream_dedupe,
+        "stream_trend": q_stream_trend,
     }
