@@ -35,33 +35,50 @@ def today_partition(df: DataFrame, ts_col: str, day: str | None = None) -> DataF
 def label_late_rows(df: DataFrame, ts_col: str, order_col: str, batch_size: int,
                     delay: str = "10 minutes") -> DataFrame:
     """W4 batch form: replay ``df`` as micro-batches of ``batch_size`` rows by
-    ``order_col`` and mark rows a watermarked stateful query would drop.
+    ``order_col`` and mark the rows a watermarked stateful query would drop.
 
-    The watermark of batch ``b`` is the max event time of batches ``< b``
-    minus ``delay`` (the watermark moves at the end of a batch).  Rows with a
-    null time are never late.  Per-batch maxima are a partial aggregate; the
-    running max runs over one row per batch, two-level (chunks of 1024
-    batches), so no task sees more than one chunk of batches.
+    Spark keeps two watermarks per batch: ``watermark`` (state eviction) is
+    the max event time of all earlier batches minus ``delay``; late rows are
+    dropped against ``late_watermark``, the previous batch's eviction
+    watermark.  So a row is dropped only from the batch after the one that
+    moved the watermark past it.  Rows with a null time are never late.
+
+    Per-batch maxima are a partial aggregate; running values over the
+    batches are computed two-level (chunks of 1024 batches, then chunks),
+    so no task holds more than one chunk of batches or the chunk list.
     """
     chunk = 1024
     batched = df.withColumn("__b", F.floor(F.col(order_col) / F.lit(batch_size)).cast("long"))
     per_batch = (batched.groupBy("__b").agg(F.max(ts_col).alias("__mx"))
                  .withColumn("__c", F.floor(F.col("__b") / F.lit(chunk)).cast("long")))
-    per_chunk = per_batch.groupBy("__c").agg(F.max("__mx").alias("__cmx"))
-    before_chunk = per_chunk.select(
-        "__c", F.max("__cmx").over(Window.orderBy("__c").rowsBetween(
-            Window.unboundedPreceding, -1)).alias("__prev_chunks"))
-    in_chunk = per_batch.select(
-        "__b", "__c", F.max("__mx").over(Window.partitionBy("__c").orderBy("__b").rowsBetween(
-            Window.unboundedPreceding, -1)).alias("__prev_in_chunk"))
-    marks = (in_chunk.join(before_chunk, "__c")
-             .select("__b", F.greatest("__prev_in_chunk", "__prev_chunks").alias("__seen_max")))
-    out = batched.join(marks, "__b", "left")
-    watermark = F.col("__seen_max") - F.expr(f"INTERVAL {delay}")
+    in_chunk = Window.partitionBy("__c").orderBy("__b")
+    # exclusive running max inside the chunk, and over all earlier chunks
+    marks = per_batch.select(
+        "__b", "__c",
+        F.max("__mx").over(in_chunk.rowsBetween(Window.unboundedPreceding, -1)).alias("__in"))
+    chunks = per_batch.groupBy("__c").agg(F.max("__mx").alias("__cmx"))
+    over_chunks = Window.orderBy("__c")
+    chunks = chunks.select(
+        "__c", F.max("__cmx").over(over_chunks.rowsBetween(Window.unboundedPreceding, -1))
+        .alias("__before"))
+    seen = (marks.join(chunks, "__c")
+            .select("__b", "__c", F.greatest("__in", "__before").alias("__seen")))
+    # the previous batch's value: inside the chunk by lag, across chunks from
+    # the last batch of the preceding chunk
+    last_of_chunk = seen.groupBy("__c").agg(F.max_by("__seen", "__b").alias("__last"))
+    last_of_chunk = last_of_chunk.select(
+        "__c", F.lag("__last").over(over_chunks).alias("__prev_chunk_last"))
+    seen = (seen.join(last_of_chunk, "__c")
+            .select("__b", "__seen",
+                    F.when(F.row_number().over(in_chunk) == 1, F.col("__prev_chunk_last"))
+                    .otherwise(F.lag("__seen").over(in_chunk)).alias("__seen_before")))
+    d = F.expr(f"INTERVAL {delay}")
+    out = batched.join(seen, "__b", "left")
     return (out.withColumn("micro_batch", F.col("__b"))
-            .withColumn("watermark", watermark)
-            .withColumn("is_late", F.coalesce(F.col(ts_col) < watermark, F.lit(False)))
-            .drop("__b", "__seen_max"))
+            .withColumn("watermark", F.col("__seen") - d)
+            .withColumn("late_watermark", F.col("__seen_before") - d)
+            .withColumn("is_late", F.coalesce(F.col(ts_col) < F.col("late_watermark"), F.lit(False)))
+            .drop("__b", "__seen", "__seen_before"))
 
 
 def trend(df: DataFrame, ts_col: str, label_col: str, value_col: str,

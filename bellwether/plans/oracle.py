@@ -311,12 +311,14 @@ def oracle_sql() -> dict[str, str]:
         "late_rows": f"""
             WITH e AS (SELECT *, CAST(floor(event_id / {_LATE_BATCH}) AS BIGINT) AS b FROM ({SHIFTED})),
             pb AS (SELECT b, max(ts) AS mx FROM e GROUP BY b),
-            wm AS (SELECT b, max(mx) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-                             - INTERVAL {K.WATERMARK_DELAY} AS watermark FROM pb)
+            s1 AS (SELECT b, max(mx) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                             AS seen FROM pb),
+            s2 AS (SELECT b, seen, lag(seen) OVER (ORDER BY b) AS seen_before FROM s1)
             SELECT e.event_id, e.b AS micro_batch, {_fmt('e.ts')} AS ts,
-                   {_fmt('wm.watermark')} AS watermark,
-                   coalesce(e.ts < wm.watermark, false) AS is_late
-            FROM e JOIN wm ON wm.b = e.b""",
+                   {_fmt(f"s2.seen - INTERVAL {K.WATERMARK_DELAY}")} AS watermark,
+                   {_fmt(f"s2.seen_before - INTERVAL {K.WATERMARK_DELAY}")} AS late_watermark,
+                   coalesce(e.ts < s2.seen_before - INTERVAL {K.WATERMARK_DELAY}, false) AS is_late
+            FROM e JOIN s2 ON s2.b = e.b""",
         "sentiment_trend": _trend(
             f"""SELECT TRY_CAST(publishedAt AS TIMESTAMP) AS ts, sentiment,
                        CAST(confidence AS DECIMAL(12,3)) AS value FROM ({SERVED})""", "sentiment"),

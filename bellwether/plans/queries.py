@@ -270,7 +270,8 @@ def q_late_rows(spark, sf_dir):
     marked = timeline.label_late_rows(shifted_events(spark, sf_dir), "ts", "event_id",
                                       LATE_BATCH_ROWS, K.WATERMARK_DELAY)
     return marked.select("event_id", "micro_batch", _fmt("ts").alias("ts"),
-                         _fmt("watermark").alias("watermark"), "is_late")
+                         _fmt("watermark").alias("watermark"),
+                         _fmt("late_watermark").alias("late_watermark"), "is_late")
 
 
 def _trend_out(df: DataFrame, label: str) -> DataFrame:

@@ -75,10 +75,15 @@ def scoring_stream(raw: DataFrame, sink: BatchSink, checkpoint: str,
 
 
 def folder_sink(folder: str) -> BatchSink:
-    """Stand-in for K1: each batch's values go to ``folder/batch=<id>``.
+    """Stand-in for K1: each batch goes to ``folder/batch=<id>`` (text for a
+    single ``value`` column, parquet otherwise).
 
     A retried batch overwrites its own folder, so output is written once.
     """
-    def write(values: DataFrame, batch_id: int) -> None:
-        values.write.mode("overwrite").text(f"{folder.rstrip('/')}/batch={batch_id}")
+    def write(df: DataFrame, batch_id: int) -> None:
+        target = f"{folder.rstrip('/')}/batch={batch_id}"
+        if df.columns == ["value"]:
+            df.write.mode("overwrite").text(target)
+        else:
+            df.write.mode("overwrite").parquet(target)
     return write
