@@ -13,9 +13,14 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def bytes_to_string(col: Column | str) -> Column:
-    """Record key/value bytes as UTF-8 text."""
-    return _c(col).cast("string")
+def bytes_to_string(col: Column | str, repair: bool = False) -> Column:
+    """Record key/value bytes as UTF-8 text.
+
+    P6: with ``repair`` invalid byte sequences are replaced instead of being
+    passed through (decode-and-ignore for byte payloads).
+    """
+    text = _c(col).cast("string")
+    return F.make_valid_utf8(text) if repair else text
 
 
 def parse_json(col: Column | str, schema: T.StructType) -> Column:

@@ -39,19 +39,39 @@ BROADCAST_ROW_LIMIT = 1_000_000
 VALUE_TYPE = T.DecimalType(18, 6)
 
 
+def _sql_literal(value) -> str:
+    if isinstance(value, Decimal):
+        return f"{value}BD"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    raise TypeError(f"unsupported constant {value!r}")
+
+
+def constant_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A small table of constants as a local relation (planned on the
+    driver, no job and no Python workers to produce it).
+
+    Its row count is fixed by ``rows``: a proven bound for broadcasting.
+    """
+    body = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    names = ", ".join(f.name for f in schema.fields)
+    df = spark.sql(f"SELECT * FROM VALUES {body} AS t({names})")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def lexicon_frame(spark: SparkSession, lexicon: Mapping[str, str] | None = None) -> DataFrame:
     entries = K.DEFAULT_LEXICON if lexicon is None else lexicon
-    return spark.createDataFrame(_with_variants(entries), schemas.LEXICON)
+    return constant_table(spark, _with_variants(entries), schemas.LEXICON)
 
 
 def booster_frame(spark: SparkSession, boosters: Mapping[str, str] | None = None) -> DataFrame:
     entries = K.DEFAULT_BOOSTERS if boosters is None else boosters
-    return spark.createDataFrame(_with_variants(entries), schemas.BOOSTER)
+    return constant_table(spark, _with_variants(entries), schemas.BOOSTER)
 
 
 def negation_frame(spark: SparkSession, negations: Sequence[str] | None = None) -> DataFrame:
     entries = K.DEFAULT_NEGATIONS if negations is None else negations
-    return spark.createDataFrame([(w,) for w in apostrophe_variants(entries)], schemas.NEGATION)
+    return constant_table(spark, [(w,) for w in apostrophe_variants(entries)], schemas.NEGATION)
 
 
 def _with_variants(entries: Mapping[str, str]) -> list[tuple[str, Decimal]]:
@@ -69,6 +89,12 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFr
     return F.broadcast(df) if n <= limit else df
 
 
+def _scorer_table(table: DataFrame | None, default) -> DataFrame:
+    """The caller's table behind a size check, or our constant table, whose
+    size is known without running a job."""
+    return F.broadcast(default()) if table is None else bounded_broadcast(table)
+
+
 def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
                lexicon: DataFrame | None = None, boosters: DataFrame | None = None,
                negations: DataFrame | None = None) -> DataFrame:
@@ -78,9 +104,9 @@ def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
     it a generated row id is used.  Every input row yields one output row.
     """
     spark = df.sparkSession
-    lex = bounded_broadcast(lexicon if lexicon is not None else lexicon_frame(spark))
-    boost = bounded_broadcast(boosters if boosters is not None else booster_frame(spark))
-    neg = bounded_broadcast(negations if negations is not None else negation_frame(spark))
+    lex = _scorer_table(lexicon, lambda: lexicon_frame(spark))
+    boost = _scorer_table(boosters, lambda: booster_frame(spark))
+    neg = _scorer_table(negations, lambda: negation_frame(spark))
 
     carried = list(df.columns)
     rid = key if key is not None else "__rid"

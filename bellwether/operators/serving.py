@@ -86,9 +86,12 @@ def filtered_count(df: DataFrame) -> DataFrame:
 
 # A1 ---------------------------------------------------------------------
 def labels_frame(spark: SparkSession) -> DataFrame:
+    """The three labels with their display rank (a local relation)."""
+    from bellwether.operators.scoring import constant_table
+
     schema = T.StructType([T.StructField("sentiment", T.StringType(), False),
                            T.StructField("label_rank", T.IntegerType(), False)])
-    return spark.createDataFrame([(l, i + 1) for i, l in enumerate(K.LABELS)], schema)
+    return constant_table(spark, [(l, str(i + 1)) for i, l in enumerate(K.LABELS)], schema)
 
 
 def sentiment_counts(df: DataFrame, label_col: str = "sentiment") -> DataFrame:

@@ -322,7 +322,7 @@ def q_stream_history(spark, sf_dir):
                 f"{root}/raw", STREAM_FILES)
     raw = FS.read_topic_stream(spark, f"{root}/raw")
     _run_available(scoring_stream(raw, folder_sink(f"{root}/scored"), f"{root}/ck-score"))
-    scored_raw = FS.read_topic_stream(spark, f"{root}/scored", max_files_per_trigger=STREAM_FILES)
+    scored_raw = FS.read_topic_stream(spark, f"{root}/scored", max_files_per_trigger=10_000)
     _run_available(history_stream(scored_raw, f"{root}/history", f"{root}/ck-history"))
     return FS.read_history(spark, f"{root}/history")
 

@@ -40,3 +40,19 @@ def await_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
         return True
     return bool(spark.streams.awaitAnyTermination(timeout_s))
 
+
+
+def progress_metrics(spark: SparkSession, query: StreamingQuery, name: str) -> DataFrame:
+    """A4: the observed metrics of every recorded batch as a small frame
+    (one row per batch; progress events are already on the driver)."""
+    rows, keys = [], []
+    for p in query.recentProgress:
+        observed = p["observedMetrics"].get(name)
+        if observed is None:
+            continue
+        values = observed.asDict()
+        keys = list(values)
+        rows.append((p["batchId"], p["numInputRows"], *values.values()))
+    if not rows:
+        return spark.createDataFrame([], "batch_id long, num_input_rows long")
+    return spark.createDataFrame(rows, ["batch_id", "num_input_rows", *keys])

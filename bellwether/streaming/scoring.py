@@ -59,7 +59,7 @@ def scoring_stream(raw: DataFrame, sink: BatchSink, checkpoint: str,
     on the event time so downstream stateful consumers see it; the scoring
     itself drops nothing.
     """
-    parsed = parse_news(raw).withWatermark("fetched_at_ts", K.WATERMARK_DELAY)
+    parsed = observe_counts(parse_news(raw).withWatermark("fetched_at_ts", K.WATERMARK_DELAY))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -74,6 +74,17 @@ def scoring_stream(raw: DataFrame, sink: BatchSink, checkpoint: str,
             .option("checkpointLocation", checkpoint))
 
 
+METRICS_NAME = "scoring_metrics"
+
+
+def observe_counts(parsed: DataFrame) -> DataFrame:
+    """A4 (stream): per-batch totals of records and usable messages, reported
+    in each progress event under ``observedMetrics[METRICS_NAME]``."""
+    return parsed.observe(METRICS_NAME,
+                          F.count(F.lit(1)).alias("n_records"),
+                          F.count_if(~F.col("is_junk")).alias("n_messages"))
+
+
 def folder_sink(folder: str) -> BatchSink:
     """Stand-in for K1: each batch goes to ``folder/batch=<id>`` (text for a
     single ``value`` column, parquet otherwise).

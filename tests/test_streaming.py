@@ -117,3 +117,15 @@ def test_trend_stream_drops_late_rows(spark, tmp_dir):
     run(trend_stream(stream, out, os.path.join(tmp_dir, "ck"), ts_col="ts", value_col="v"))
     got = sorted((r["window_start"].hour, r["n"]) for r in spark.read.parquet(out).collect())
     assert got == [(10, 3), (12, 2)]
+
+
+def test_scoring_metrics_observed(spark, tmp_dir):
+    from bellwether.streaming.runner import progress_metrics
+    from bellwether.streaming.scoring import METRICS_NAME
+    raw_dir = os.path.join(tmp_dir, "raw")
+    write_lines(raw_dir, "a.json", [msg("good"), "not json", msg("bad")])
+    write_lines(raw_dir, "b.json", [msg("plain")])
+    q = run(scoring_stream(FS.read_topic_stream(spark, raw_dir), folder_sink(os.path.join(tmp_dir, "o")),
+                           os.path.join(tmp_dir, "ck"), lexicon=lexicon_frame(spark, LEX)))
+    m = progress_metrics(spark, q, METRICS_NAME).collect()
+    assert sum(r["n_records"] for r in m) == 4 and sum(r["n_messages"] for r in m) == 3
