@@ -80,19 +80,16 @@ def quarantined(normalised: DataFrame) -> DataFrame:
     return normalised.filter(F.col("reject_reason").isNotNull())
 
 
-def fetch_metrics(articles: DataFrame, deduped: DataFrame, normalised: DataFrame) -> DataFrame:
-    """A4 (ingest): fetched, unique and sendable counts as one row.
+def fetch_metrics(articles: DataFrame, normalised: DataFrame) -> DataFrame:
+    """A4 (ingest): fetched, unique, sendable and rejected counts as one row.
 
-    Three global aggregates; each is a partial count per task plus one
-    tiny final merge.
+    ``normalised`` is the de-duplicated, normalised fetch.  Two passes: one
+    count over the fetched articles (a scalar subquery), one aggregate over
+    the normalised ones; both are partial per task plus a one-row merge.
     """
-    a = articles.agg(F.count(F.lit(1)).alias("n_fetched"))
-    u = deduped.agg(F.count(F.lit(1)).alias("n_unique"))
-    v = normalised.agg(F.count_if(F.col("reject_reason").isNull()).alias("n_sent"),
-                       F.count_if(F.col("reject_reason").isNotNull()).alias("n_rejected"))
-    return a.select(
-        "n_fetched",
-        u.select("n_unique").scalar().alias("n_unique"),
-        v.select("n_sent").scalar().alias("n_sent"),
-        v.select("n_rejected").scalar().alias("n_rejected"),
-    )
+    fetched = articles.agg(F.count(F.lit(1))).scalar()
+    return normalised.agg(
+        fetched.alias("n_fetched"),
+        F.count(F.lit(1)).alias("n_unique"),
+        F.count_if(F.col("reject_reason").isNull()).alias("n_sent"),
+        F.count_if(F.col("reject_reason").isNotNull()).alias("n_rejected"))

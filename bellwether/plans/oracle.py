@@ -143,7 +143,7 @@ FROM ({SCORED})
 RECORDS = f"""
 WITH s AS ({scored_sql(HEADLINES_LANG)}),
 f AS (SELECT s.*, 0 AS fetch_no FROM s UNION ALL SELECT s.*, 1 AS fetch_no FROM s)
-SELECT 0 AS partition, doc_id * {TB.FETCHES} + fetch_no AS "offset", title,
+SELECT fetch_no AS partition, doc_id AS "offset", title,
        CASE WHEN lang <> '{TB.NO_SOURCE_LANG}' THEN source END AS source,
        publishedAt, link, fetched_at + fetch_no * {TB.REFETCH_SECONDS} AS fetched_at,
        sentiment, confidence,
@@ -251,10 +251,10 @@ def oracle_sql() -> dict[str, str]:
         "bad_sentiment": f"""SELECT partition, "offset", title, sentiment FROM ({RECORDS})
             WHERE sentiment IS NULL OR sentiment = ''""",
         "dedupe_title_published": f"""
-            SELECT "offset", title, source, publishedAt, {_cap('sentiment')} AS sentiment,
+            SELECT partition, "offset", title, source, publishedAt, {_cap('sentiment')} AS sentiment,
                    {_round('confidence', K.STORED_DECIMALS)} AS confidence, link
             FROM ({RECORDS}) WHERE {REQUIRED}
-            QUALIFY row_number() OVER (PARTITION BY title, publishedAt ORDER BY "offset") = 1""",
+            QUALIFY row_number() OVER (PARTITION BY title, publishedAt ORDER BY "offset", partition) = 1""",
         "distinct_sources": f"""SELECT source, min("offset") AS first_seen FROM ({RECORDS})
             GROUP BY source ORDER BY first_seen, source""",
         "capped_take": f"""

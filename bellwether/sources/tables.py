@@ -117,9 +117,11 @@ NO_SOURCE_LANG = "es"             # messages from these documents omit `source`
 def scored_records_from_documents(documents: DataFrame) -> DataFrame:
     """Records of the scored topic: ``partition, offset, value`` (JSON).
 
-    Two fetches per document (offsets 2*doc_id and 2*doc_id+1, same title
-    and publishedAt, later fetched_at), so keyed dedupe has work to do.
-    Documents in ``NO_SOURCE_LANG`` yield messages without ``source``.
+    Two fetches per document, an hour apart (same title and publishedAt,
+    later fetched_at), so keyed dedupe has work to do.  Fetch round ``f``
+    lands in topic partition ``f`` at offset ``doc_id``, so offsets are
+    contiguous within each partition.  Documents in ``NO_SOURCE_LANG``
+    yield messages without ``source``.
     """
     from bellwether.functions.parsing import epoch_to_timestamp
     from bellwether.operators.scoring import score_text
@@ -136,8 +138,8 @@ def scored_records_from_documents(documents: DataFrame) -> DataFrame:
         F.col("sentiment"), F.col("confidence"),
         epoch_to_timestamp(fetched_at).alias("fetched_at_ts"))
     return both.select(
-        F.lit(0).alias("partition"),
-        (F.col("doc_id") * F.lit(FETCHES) + F.col("fetch")).alias("offset"),
+        F.col("fetch").alias("partition"),
+        F.col("doc_id").alias("offset"),
         F.to_json(msg).alias("value"))
 
 
