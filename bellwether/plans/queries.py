@@ -33,7 +33,7 @@ LATE_BATCH_ROWS = 10                # rows per replayed micro-batch (W4)
 LATE_SHIFT_MINUTES_PER_UNIT = 5     # error events arrive value*5 minutes late
 TREND_WIDTH = "1 hour"
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-STREAM_FILES = 4                    # topic stand-ins are replayed one file per batch
+STREAM_FILES = 2                    # topic stand-ins are replayed one file per batch
 
 
 def _fmt(col: str | F.Column) -> F.Column:

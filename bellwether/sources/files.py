@@ -33,10 +33,15 @@ def read_topic_stream(spark: SparkSession, folder: str, max_files_per_trigger: i
 
 
 def write_topic(records: DataFrame, folder: str, files: int | None = None) -> None:
-    """Write ``value`` lines as a topic stand-in (optionally as ``files`` files)."""
+    """Write ``value`` lines as a topic stand-in (optionally as ``files`` files).
+
+    Records are spread over the files by offset (hash partitioning: one
+    pass, no sampling job over a possibly expensive input) and kept in
+    offset order inside each file; records sharing an offset share a file.
+    """
     out = records
     if files:
-        out = (out.repartitionByRange(files, "offset").sortWithinPartitions("offset")
+        out = (out.repartition(files, "offset").sortWithinPartitions("offset")
                if "offset" in records.columns else out.repartition(files))
     out.select("value").write.mode("overwrite").text(folder)
 

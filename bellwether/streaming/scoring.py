@@ -3,8 +3,8 @@
 S1 -> P1, P2 -> P3 -> W1 -> (per micro-batch) quarantine, P9-P11 -> P12-P15
 -> K1.  Scoring explodes and regroups rows, which a streaming plan would
 treat as a stateful aggregation; inside ``foreachBatch`` each micro-batch
-is an ordinary batch frame, scored by the same job as in batch, and the
-parsed batch is persisted once for its several outputs.
+is an ordinary batch frame, scored by the same job as in batch; when a
+batch feeds two outputs (scores and quarantine) it is persisted once.
 """
 
 from __future__ import annotations
@@ -62,11 +62,13 @@ def scoring_stream(raw: DataFrame, sink: BatchSink, checkpoint: str,
     parsed = observe_counts(parse_news(raw).withWatermark("fetched_at_ts", K.WATERMARK_DELAY))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if quarantine is None:
+            sink(scored_values(score_batch(batch, lexicon, boosters, negations)), batch_id)
+            return
+        batch.persist()       # read twice: scored output and quarantine
         try:
             sink(scored_values(score_batch(batch, lexicon, boosters, negations)), batch_id)
-            if quarantine is not None:
-                quarantine(batch.filter(F.col("is_junk")), batch_id)
+            quarantine(batch.filter(F.col("is_junk")), batch_id)
         finally:
             batch.unpersist()
 
