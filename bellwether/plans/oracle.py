@@ -209,11 +209,12 @@ FROM ({EVENTS})
 """
 
 
-def _trend(source_sql: str, label: str) -> str:
+def _trend(source_sql: str, label: str, scale: int) -> str:
+    # Spark's sum of DECIMAL(12, s) is DECIMAL(22, s); DuckDB widens to 38.
     return f"""
 SELECT {_fmt('date_trunc(\'hour\', ts)')} AS window_start,
        {_fmt('date_trunc(\'hour\', ts) + INTERVAL 1 HOUR')} AS window_end,
-       {label}, count(*) AS n, sum(value) AS sum_value,
+       {label}, count(*) AS n, CAST(sum(value) AS DECIMAL(22, {scale})) AS sum_value,
        CAST(sum(value) AS DOUBLE) / count(*) AS avg_value
 FROM ({source_sql}) GROUP BY ALL
 """
@@ -321,10 +322,10 @@ def oracle_sql() -> dict[str, str]:
             FROM e JOIN s2 ON s2.b = e.b""",
         "sentiment_trend": _trend(
             f"""SELECT TRY_CAST(publishedAt AS TIMESTAMP) AS ts, sentiment,
-                       CAST(confidence AS DECIMAL(12,3)) AS value FROM ({SERVED})""", "sentiment"),
+                       CAST(confidence AS DECIMAL(12,3)) AS value FROM ({SERVED})""", "sentiment", 3),
         "event_trend": _trend(
             f"SELECT ts, event_type, CAST(value AS DECIMAL(12,2)) AS value FROM ({EVENTS})",
-            "event_type"),
+            "event_type", 2),
         "stream_history": SERVED,
         "stream_dedupe": f"""
             SELECT DISTINCT title, source, publishedAt, {_cap('sentiment')} AS sentiment,
@@ -333,6 +334,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_trend": f"""
             SELECT * FROM ({_trend(
                 f"SELECT ts, event_type, CAST(value AS DECIMAL(12,2)) AS value FROM ({EVENTS})",
-                "event_type")})
+                "event_type", 2)})
             WHERE window_end <= {_fmt(f"(SELECT max(ts) FROM ({EVENTS})) - INTERVAL {K.WATERMARK_DELAY}")}""",
     }

@@ -100,8 +100,8 @@ def parsed_records(spark, sf_dir):
     return serving.parse_records(TB.scored_records(spark, sf_dir))
 
 
-def _record_out(df: DataFrame) -> DataFrame:
-    return df.select("partition", "offset", "title", "source", "publishedAt", "link",
+def _record_out(df: DataFrame, *lead: str) -> DataFrame:
+    return df.select(*lead, "partition", "offset", "title", "source", "publishedAt", "link",
                      "fetched_at", "sentiment", "confidence",
                      _fmt("fetched_at_ts").alias("fetched_at_ts"))
 
@@ -153,7 +153,7 @@ def q_capped_take(spark, sf_dir):
     checkpoint_root(spark)
     recs = parsed_records(spark, sf_dir).checkpoint(eager=True)
     taken = serving.capped_take(recs, serving.has_required_keys())
-    return taken.select("idx", *_record_out(taken).columns)
+    return _record_out(taken, "idx")
 
 
 # ---- ingest over conversations and pages ------------------------------------

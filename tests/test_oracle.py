@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from tools.oracle_check import TABLES, rows_key
+from tools.oracle_check import TABLES, rows_key, type_mismatches
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,6 +37,7 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(sql)
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
+    assert type_mismatches(df.schema, con, sql) == []
     assert rows_key(rows, df.columns) == rows_key(res.fetchall(), cols)
 
 
