@@ -36,9 +36,10 @@ def test_query_matches_oracle(spark, con, name):
         return
     res = con.execute(sql)
     cols = [d[0] for d in res.description]
+    duck_rows = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
     assert type_mismatches(df.schema, con, sql) == []
-    assert rows_key(rows, df.columns) == rows_key(res.fetchall(), cols)
+    assert rows_key(rows, df.columns) == rows_key(duck_rows, cols)
 
 
 def test_entry_smoke(spark):
