@@ -23,7 +23,9 @@ def read_news_stream(spark: SparkSession, bootstrap: str, topic: str = NEWS_TOPI
     """The raw news topic as a stream of ``key, value, ..., timestamp``.
 
     ``failOnDataLoss=false`` is a source option: offsets lost to topic
-    retention are skipped instead of failing the query.
+    retention are skipped instead of failing the query.  D3: batch sizes are
+    set by the trigger interval and ``max_offsets_per_trigger`` (not by
+    10-row buffers).
     """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap)

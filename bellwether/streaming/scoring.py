@@ -55,7 +55,8 @@ def scoring_stream(raw: DataFrame, sink: BatchSink, checkpoint: str,
     """Build the scoring query (call ``.trigger(...).start()`` on the result).
 
     ``sink(values_df, batch_id)`` receives the JSON values of each batch;
-    ``quarantine`` (optional) the junk records.  The watermark (W1) is kept
+    ``quarantine`` (optional) the junk records.  W2: progress lives in
+    ``checkpoint`` and is kept across restarts (never wiped at start).  The watermark (W1) is kept
     on the event time so downstream stateful consumers see it; the scoring
     itself drops nothing.
     """
