@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from bellwether import constants as K
 from bellwether import schemas
-from bellwether.functions.sentiment import guarded_compound, label_for_score
+from bellwether.functions.sentiment import compound_from_sum, is_blank_text, label_for_score
 from bellwether.functions.text import apostrophe_variants, tokens
 
 # Largest scorer table we broadcast.  Sentiment lexicons are dimensions of
@@ -97,23 +97,29 @@ def _scorer_table(table: DataFrame | None, default) -> DataFrame:
 
 def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
                lexicon: DataFrame | None = None, boosters: DataFrame | None = None,
-               negations: DataFrame | None = None) -> DataFrame:
+               negations: DataFrame | None = None, keep_text: bool = True) -> DataFrame:
     """Add ``sentiment``, ``confidence`` (float), ``compound`` and ``n_hits``.
 
     ``key`` names a column that is unique per row (e.g. ``doc_id``); without
     it a generated row id is used.  Every input row yields one output row.
+    The regroup carries the input columns through its one shuffle; with
+    ``keep_text=False`` the text column is dropped from the output, so a
+    caller that needs only scores (project the input to key and text first)
+    shuffles a few fixed-width bytes per row instead of the text.
     """
     spark = df.sparkSession
     lex = _scorer_table(lexicon, lambda: lexicon_frame(spark))
     boost = _scorer_table(boosters, lambda: booster_frame(spark))
     neg = _scorer_table(negations, lambda: negation_frame(spark))
 
-    carried = list(df.columns)
+    carried = [c for c in df.columns if keep_text or c != text_col]
     rid = key if key is not None else "__rid"
     base = df if key is not None else df.withColumn(rid, F.monotonically_increasing_id())
-    group_cols = carried if rid in carried else carried + [rid]
+    group_cols = (carried if rid in carried else carried + [rid]) + ["__blank"]
 
-    toks = base.select(*group_cols, tokens(F.col(text_col)).alias("__toks"))
+    toks = base.select(*[c for c in group_cols if c != "__blank"],
+                       is_blank_text(F.col(text_col)).alias("__blank"),
+                       tokens(F.col(text_col)).alias("__toks"))
     exploded = toks.select(*group_cols, "__toks",
                            F.posexplode_outer("__toks").alias("__pos", "__tok"))
     ctx = exploded.select(
@@ -146,7 +152,9 @@ def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
 
     agg = hits.groupBy(*group_cols).agg(F.sum(contrib).alias("__sum"),
                                         F.count(F.col("__v")).alias("n_hits"))
-    compound = guarded_compound(F.col(text_col), F.col("__sum"))
+    # Blank text, or no lexicon hit, scores 0.0
+    compound = (F.when(F.col("__blank"), F.lit(0.0))
+                .otherwise(F.coalesce(compound_from_sum(F.col("__sum")), F.lit(0.0))))
     out = agg.select(*carried,
                      label_for_score(compound).alias("sentiment"),
                      compound.cast("float").alias("confidence"),

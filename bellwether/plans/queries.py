@@ -53,9 +53,15 @@ def q_score_headlines(spark, sf_dir):
         "sentiment", "confidence", "compound", "n_hits")
 
 
+def scores_only(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """Scores per document without carrying the text through the shuffle."""
+    h = TB.headlines(spark, sf_dir).select("doc_id", "title", *keep)
+    return score_text(h, "title", key="doc_id", keep_text=False)
+
+
 def q_sentiment_counts(spark, sf_dir):
     """A1: headlines per sentiment, zero-filled, fixed label order."""
-    return serving.sentiment_counts(scored_headlines(spark, sf_dir))
+    return serving.sentiment_counts(scores_only(spark, sf_dir))
 
 
 def served(spark, sf_dir):
@@ -289,9 +295,9 @@ def _trend_out(df: DataFrame, label: str) -> DataFrame:
 
 def q_sentiment_trend(spark, sf_dir):
     """X1 (addition): headlines per hour of publication and label."""
-    s = served(spark, sf_dir).select(
-        F.to_timestamp("publishedAt").alias("ts"), "sentiment",
-        F.col("confidence").cast("decimal(12,3)").alias("value"))
+    s = scores_only(spark, sf_dir, "publishedAt").select(
+        F.to_timestamp("publishedAt").alias("ts"), capitalize("sentiment").alias("sentiment"),
+        round_stored("confidence").cast("decimal(12,3)").alias("value"))
     return _trend_out(timeline.trend(s, "ts", "sentiment", "value", TREND_WIDTH), "sentiment")
 
 
