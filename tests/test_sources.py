@@ -53,6 +53,7 @@ def test_debug_sinks_and_supervision(spark, tmp_dir):
             q.processAllAvailable()
         names = {n for n, _ in runner.active_status(spark)}
         assert {"debug_raw", "debug_bad_sentiment", "debug_titles"} <= names
+        spark.streams.resetTerminated()        # forget queries of earlier tests
         assert runner.await_any(spark, 0.1) is False
     finally:
         for q in qs:
