@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bellwether import constants as K
-from bellwether.functions.parsing import lenient_timestamp
+from bellwether import schemas
+from bellwether.functions.parsing import bytes_to_string, lenient_timestamp, parse_json
 from bellwether.functions.text import capitalize, card_markdown, round_stored
+from bellwether.operators.scoring import constant_table
 
 
 def _cols(names: Iterable[str]) -> list[Column]:
@@ -87,8 +89,6 @@ def filtered_count(df: DataFrame) -> DataFrame:
 # A1 ---------------------------------------------------------------------
 def labels_frame(spark: SparkSession) -> DataFrame:
     """The three labels with their display rank (a local relation)."""
-    from bellwether.operators.scoring import constant_table
-
     schema = T.StructType([T.StructField("sentiment", T.StringType(), False),
                            T.StructField("label_rank", T.IntegerType(), False)])
     return constant_table(spark, [(l, str(i + 1)) for i, l in enumerate(K.LABELS)], schema)
@@ -180,9 +180,6 @@ def parse_records(records: DataFrame, schema: T.StructType | None = None) -> Dat
 
     ``value`` may be binary or text; the record position is kept.
     """
-    from bellwether import schemas
-    from bellwether.functions.parsing import bytes_to_string, parse_json
-
     schema = schema or schemas.SCORED
     return records.select(
         "partition", "offset",
