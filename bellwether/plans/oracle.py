@@ -240,6 +240,8 @@ def oracle_sql() -> dict[str, str]:
                    printf('%.{K.CARD_DECIMALS}f', {_round('confidence', K.CARD_DECIMALS)}) || ')  ' || chr(10) ||
                    '[Link to article](' || {_esc('link')} || ')' AS card
             FROM s ORDER BY pts DESC NULLS LAST, title, link""",
+        "sentiment_json": f"""SELECT doc_id, false AS is_null, sentiment, confidence
+            FROM ({SCORED})""",
         "oldest_first": f"SELECT * FROM ({SERVED}) ORDER BY publishedAt NULLS FIRST, title, link",
         "filter_sentiment_source": f"""SELECT * FROM ({SERVED})
             WHERE sentiment = '{_FILTER_LABEL}' AND source IN ({_FILTER_SOURCES})""",

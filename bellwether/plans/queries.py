@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from bellwether import constants as K
 from bellwether import schemas
 from bellwether.functions import parsing as P
+from bellwether.functions.sentiment import sentiment_struct
 from bellwether.functions.text import capitalize, round_stored
 from bellwether.operators import ingest, serving, timeline
 from bellwether.operators.scoring import score_text
@@ -74,6 +75,19 @@ def q_latest_cards(spark, sf_dir):
     return cards.withColumn("published_ts", _fmt("published_ts"))
 
 
+def q_sentiment_json(spark, sf_dir):
+    """The sentiment result as JSON text, then conditionally
+    re-parsed (null or empty text -> null struct) and flattened."""
+    scored = scores_only(spark, sf_dir)
+    as_json = scored.select("doc_id", F.to_json(sentiment_struct("sentiment", "confidence"))
+                            .alias("sentiment_json"))
+    parsed = as_json.select("doc_id", P.conditional_parse("sentiment_json", schemas.SENTIMENT_RESULT)
+                            .alias("s"))
+    return parsed.select("doc_id", F.col("s").isNull().alias("is_null"),
+                         F.col("s.sentiment").alias("sentiment"),
+                         F.col("s.confidence").alias("confidence"))
+
+
 def q_oldest_first(spark, sf_dir):
     """O1: served headlines in ascending publishedAt order."""
     return serving.oldest_first(served(spark, sf_dir))
@@ -367,6 +381,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_headlines": q_score_headlines,
         "sentiment_counts": q_sentiment_counts,
         "latest_cards": q_latest_cards,
+        "sentiment_json": q_sentiment_json,
         "oldest_first": q_oldest_first,
         "filter_sentiment_source": q_filter_sentiment_source,
         "filtered_count": q_filtered_count,
