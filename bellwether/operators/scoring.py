@@ -9,12 +9,15 @@ Plan per input row (no Python in the hot path):
    marker row per input row, so rows without hits survive;
 4. broadcast joins to the booster and negation tables on the preceding
    tokens (only hit rows reach them);
-5. one hash aggregation keyed by the row: map-side partial aggregation
-   collapses each row to one record before the single shuffle.
-
-Steps 1-4 and the partial aggregation run in one whole-stage-codegen stage,
-so the exploded tokens are never materialised.  The grouping key is a
-per-row id, so no key can be hot however often a headline repeats.
+5. one hash aggregation keyed by the row.
+
+There is exactly one shuffle.  When the text is kept in the output, rows
+are hash-partitioned by their key first, so the regroup needs no exchange
+and the tokenizing runs on every shuffle partition; when only scores are
+wanted, the shuffle comes after map-side partial aggregation and carries a
+few fixed-width bytes per row.  Steps 1-5 run in one whole-stage-codegen
+stage, so the exploded tokens are never materialised.  The grouping key is
+a per-row id, so no key can be hot however often a headline repeats.
 All valence arithmetic is DECIMAL, so sums are exact in any order.
 """
 
@@ -89,6 +92,11 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFr
     return F.broadcast(df) if n <= limit else df
 
 
+def _shuffle_partitions(spark: SparkSession) -> int:
+    value = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    return int(value) if str(value).isdigit() else spark.sparkContext.defaultParallelism
+
+
 def _scorer_table(table: DataFrame | None, default) -> DataFrame:
     """The caller's table behind a size check, or our constant table, whose
     size is known without running a job."""
@@ -116,6 +124,12 @@ def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
     rid = key if key is not None else "__rid"
     base = df if key is not None else df.withColumn(rid, F.monotonically_increasing_id())
     group_cols = (carried if rid in carried else carried + [rid]) + ["__blank"]
+    if keep_text:
+        # The regroup must move each row (text included) once anyway; doing
+        # it first, by the row key, leaves the regroup already clustered (no
+        # second exchange) and spreads tokenizing over all shuffle partitions
+        # instead of the scan's splits.
+        base = base.repartition(_shuffle_partitions(spark), rid)
 
     toks = base.select(*[c for c in group_cols if c != "__blank"],
                        is_blank_text(F.col(text_col)).alias("__blank"),

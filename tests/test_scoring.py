@@ -86,6 +86,16 @@ def test_bounded_broadcast_checks_size(spark):
 
 def test_plan_has_one_shuffle_and_broadcasts(spark):
     df = spark.createDataFrame([(1, "good")], "id long, title string")
-    plan = score_text(df, "title", key="id")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") == 5
-    assert "SortMergeJoin" not in plan
+    for keep in (True, False):
+        plan = score_text(df, "title", key="id", keep_text=keep)._jdf.queryExecution() \
+            .executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 5
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert "SortMergeJoin" not in plan
+
+
+def test_scores_only_drops_text(spark):
+    df = spark.createDataFrame([(1, "good", "s"), (2, "", "s")], "id long, title string, src string")
+    out = score_text(df, "title", key="id", keep_text=False, lexicon=lexicon_frame(spark, LEX))
+    assert "title" not in out.columns and "src" in out.columns
+    assert {r["id"]: r["sentiment"] for r in out.collect()} == {1: "Positive", 2: "Neutral"}
