@@ -33,12 +33,6 @@ def compound_from_sum(total: Column | str) -> Column:
     return s / F.sqrt(s * s + F.lit(NORMALIZATION_ALPHA))
 
 
-def guarded_compound(text: Column | str, total: Column | str) -> Column:
-    """Blank text, or a missing sum, scores 0.0."""
-    return (F.when(is_blank_text(text), F.lit(0.0))
-            .otherwise(F.coalesce(compound_from_sum(total), F.lit(0.0))))
-
-
 def sentiment_struct(label: Column | str, confidence: Column | str) -> Column:
     """The result as a native struct (JSON only at the edges)."""
     return F.struct(_c(label).alias("sentiment"),

@@ -9,21 +9,35 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bellwether import constants as K
 from bellwether import schemas
 from bellwether.functions.parsing import iso_to_display
+from bellwether.operators.scoring import constant_table
 from bellwether.operators.serving import first_per_key
 
 
+def country_frame(spark: SparkSession) -> DataFrame:
+    """The fetch order of the countries (a local relation of 11 rows)."""
+    schema = T.StructType([T.StructField("country", T.StringType(), False),
+                           T.StructField("country_rank", T.IntegerType(), False)])
+    return constant_table(spark, [(c, str(i)) for i, c in enumerate(K.COUNTRIES)], schema)
+
+
 def flatten_envelopes(envelopes: DataFrame) -> DataFrame:
     """Keep ``status == 'ok'`` responses and explode their articles.
 
     A missing ``articles`` list counts as empty.  ``pos`` keeps each
     article's position in its response for the first-wins order of D1.
+    Responses without a ``country_rank`` get it from the fixed fetch order
+    (a broadcast of the 11-row country table).
     """
+    if "country_rank" not in envelopes.columns:
+        envelopes = envelopes.join(F.broadcast(country_frame(envelopes.sparkSession)),
+                                   "country", "left")
     ok = envelopes.filter(F.col("status") == F.lit(K.STATUS_OK))
     empty = F.array().cast(schemas.ENVELOPE["articles"].dataType)
     order = [c for c in ("country_rank", "page") if c in envelopes.columns]

@@ -260,6 +260,8 @@ def oracle_sql() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY title, publishedAt ORDER BY "offset", partition) = 1""",
         "distinct_sources": f"""SELECT source, min("offset") AS first_seen FROM ({RECORDS})
             GROUP BY source ORDER BY first_seen, source""",
+        "scored_retention": f"""SELECT {RECORD_COLS} FROM ({RECORDS})
+            WHERE fetched_at_ts >= (SELECT max(fetched_at_ts) FROM ({RECORDS})) - INTERVAL {K.SCORED_RETENTION}""",
         "capped_take": f"""
             WITH r AS (SELECT *, "offset" - min("offset") OVER (PARTITION BY partition) AS idx,
                               ({REQUIRED}) AS valid FROM ({RECORDS})),

@@ -163,6 +163,12 @@ def q_distinct_sources(spark, sf_dir):
     return serving.distinct_sources(parsed_records(spark, sf_dir), "offset")
 
 
+def q_scored_retention(spark, sf_dir):
+    """K6 on the scored topic: records within 30 minutes of the latest fetch."""
+    recs = parsed_records(spark, sf_dir)
+    return _record_out(timeline.retention_window(recs, "fetched_at_ts", K.SCORED_RETENTION))
+
+
 def q_capped_take(spark, sf_dir):
     """O3: the latest view's capped read over the topic.
 
@@ -392,6 +398,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bad_sentiment": q_bad_sentiment,
         "dedupe_title_published": q_dedupe_title_published,
         "distinct_sources": q_distinct_sources,
+        "scored_retention": q_scored_retention,
         "capped_take": q_capped_take,
         "flatten_envelope": q_flatten_envelope,
         "dedupe_first_title": q_dedupe_first_title,

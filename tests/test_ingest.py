@@ -77,3 +77,12 @@ def test_fetch_metrics(envelopes):
     dd = ingest.dedupe_first_title(flat)
     m = ingest.fetch_metrics(flat, ingest.normalise_articles(dd, 0.0)).collect()[0]
     assert (m["n_fetched"], m["n_unique"], m["n_sent"], m["n_rejected"]) == (10, 8, 5, 3)
+
+
+def test_country_rank_from_fetch_order(spark):
+    schema = "country string, status string, articles array<struct<title:string,url:string," \
+             "publishedAt:string,source:struct<name:string>>>"
+    rows = [("gb", "ok", [art("same")]), ("us", "ok", [art("same", url="from-us")])]
+    flat = ingest.flatten_envelopes(spark.createDataFrame(rows, schema))
+    first = ingest.dedupe_first_title(flat).collect()
+    assert [(r["country"], r["url"]) for r in first] == [("us", "from-us")]
