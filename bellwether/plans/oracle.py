@@ -157,6 +157,15 @@ RECORD_COLS = ("partition, \"offset\", title, source, publishedAt, link, fetched
 
 REQUIRED = " AND ".join(f"{k} IS NOT NULL" for k in K.REQUIRED_KEYS)
 
+LATEST = f"""
+WITH r AS (SELECT *, "offset" - min("offset") OVER (PARTITION BY partition) AS idx,
+                  ({REQUIRED}) AS valid FROM ({RECORDS})),
+a AS (SELECT partition, min(idx) AS first_after FROM r
+      WHERE valid AND idx >= {K.LATEST_CAP} GROUP BY partition)
+SELECT r.* FROM r LEFT JOIN a USING (partition)
+WHERE valid AND (idx < {K.LATEST_CAP} OR idx = a.first_after)
+"""
+
 EVENTS = "SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value, props FROM events"
 
 ARTICLES = f"""
@@ -262,13 +271,13 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY source ORDER BY first_seen, source""",
         "scored_retention": f"""SELECT {RECORD_COLS} FROM ({RECORDS})
             WHERE fetched_at_ts >= (SELECT max(fetched_at_ts) FROM ({RECORDS})) - INTERVAL {K.SCORED_RETENTION}""",
-        "capped_take": f"""
-            WITH r AS (SELECT *, "offset" - min("offset") OVER (PARTITION BY partition) AS idx,
-                              ({REQUIRED}) AS valid FROM ({RECORDS})),
-            a AS (SELECT partition, min(idx) AS first_after FROM r
-                  WHERE valid AND idx >= {K.LATEST_CAP} GROUP BY partition)
-            SELECT idx, {RECORD_COLS} FROM r LEFT JOIN a USING (partition)
-            WHERE valid AND (idx < {K.LATEST_CAP} OR idx = a.first_after)""",
+        "capped_take": f"SELECT idx, {RECORD_COLS} FROM ({LATEST})",
+        "latest_counts": f"""
+            WITH lab(sentiment, label_rank) AS (VALUES ('Positive', 1), ('Negative', 2), ('Neutral', 3)),
+            c AS (SELECT {_cap('sentiment')} AS sentiment, count(*) AS n FROM ({LATEST}) GROUP BY 1)
+            SELECT lab.sentiment, CAST(lab.label_rank AS INTEGER) AS label_rank,
+                   coalesce(c.n, 0) AS n
+            FROM lab LEFT JOIN c ON c.sentiment = lab.sentiment ORDER BY label_rank""",
         "flatten_envelope": f"SELECT {FLAT_COLS} FROM ({ARTICLES})",
         "dedupe_first_title": f"SELECT {FLAT_COLS} FROM ({DEDUPED_ARTICLES})",
         "dedupe_page_titles": f"""

@@ -169,8 +169,8 @@ def q_scored_retention(spark, sf_dir):
     return _record_out(timeline.retention_window(recs, "fetched_at_ts", K.SCORED_RETENTION))
 
 
-def q_capped_take(spark, sf_dir):
-    """O3: the latest view's capped read over the topic.
+def _latest(spark, sf_dir) -> DataFrame:
+    """The latest view's capped read over the topic (F1 + O3).
 
     The take reads its input three times (start offsets, first valid record
     past the cap, the rows); the stand-in topic is derived by scoring, so it
@@ -178,8 +178,17 @@ def q_capped_take(spark, sf_dir):
     """
     checkpoint_root(spark)
     recs = parsed_records(spark, sf_dir).checkpoint(eager=True)
-    taken = serving.capped_take(recs, serving.has_required_keys())
-    return _record_out(taken, "idx")
+    return serving.capped_take(recs, serving.has_required_keys())
+
+
+def q_capped_take(spark, sf_dir):
+    """O3: the latest view's capped read over the topic."""
+    return _record_out(_latest(spark, sf_dir), "idx")
+
+
+def q_latest_counts(spark, sf_dir):
+    """A1 over the latest view (the latest-batch chart)."""
+    return serving.sentiment_counts(_latest(spark, sf_dir))
 
 
 # ---- ingest over conversations and pages ------------------------------------
@@ -400,6 +409,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distinct_sources": q_distinct_sources,
         "scored_retention": q_scored_retention,
         "capped_take": q_capped_take,
+        "latest_counts": q_latest_counts,
         "flatten_envelope": q_flatten_envelope,
         "dedupe_first_title": q_dedupe_first_title,
         "dedupe_page_titles": q_dedupe_page_titles,
