@@ -74,7 +74,7 @@ def read_history(spark: SparkSession, path: str, day: str | None = None) -> Data
     filter; nothing is deleted to start a new day).
     """
     cols = [f.name for f in schemas.HISTORY.fields]
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schemas.HISTORY)
     df = spark.read.parquet(path)
     if day is not None:
@@ -90,13 +90,14 @@ def export_csv(served: DataFrame, path: str) -> None:
 
 def read_history_csv(spark: SparkSession, path: str) -> DataFrame:
     """S4 (CSV form): read with the fixed schema; missing -> empty frame."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schemas.HISTORY)
     return (spark.read.schema(schemas.HISTORY).option("header", True)
             .option("enforceSchema", False).csv(path))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (possibly remote) file system."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -1,9 +1,19 @@
 """Consumer-side streams: S5 -> F1 -> D2 -> P16 -> K3, and the X1 trend.
 
-D2 in stream form is ``dropDuplicatesWithinWatermark`` on (title,
-publishedAt) with its own long delay: headlines come back with every hourly
-fetch, so the key must be remembered far longer than the 10-minute event
-watermark.  State is bounded by time (the delay), not by a key count.
+D2 in stream form comes in two ways:
+
+* ``history_stream`` (default): each micro-batch is de-duplicated with the
+  batch operator (partial aggregation before the shuffle, so a headline
+  repeated in a third of all messages costs one record per task), then
+  left-anti joined with the history itself on (day, title, publishedAt).
+  ``day`` is derived from ``publishedAt``, so an earlier copy of a key can
+  only sit in the same day partition: the join reads just the batch's days.
+  The dedupe is exact for all time, needs no state store, and a retried
+  batch finds its own committed rows and writes nothing twice.
+* ``deduped_scored``: ``dropDuplicatesWithinWatermark`` with its own long
+  delay (headlines return with every hourly fetch, so keys must be kept far
+  longer than the 10-minute event watermark); state bounded by time.  For
+  sinks other than the history table.
 """
 
 from __future__ import annotations
@@ -15,9 +25,9 @@ from pyspark.sql.streaming import DataStreamWriter
 from bellwether import constants as K
 from bellwether.functions.parsing import bytes_to_string, parse_json
 from bellwether import schemas
-from bellwether.operators.serving import has_required_keys, to_served
+from bellwether.operators.serving import first_per_key, has_required_keys, to_served
 from bellwether.operators.timeline import trend
-from bellwether.sources.files import history_sink
+from bellwether.sources.files import path_exists, history_sink, with_day
 
 
 def parse_scored(raw: DataFrame) -> DataFrame:
@@ -41,9 +51,29 @@ def undated_scored(raw: DataFrame) -> DataFrame:
     return parse_scored(raw).filter(has_required_keys() & F.col("fetched_at_ts").isNull())
 
 
-def history_stream(raw: DataFrame, path: str, checkpoint: str,
-                   delay: str = K.DEDUPE_DELAY) -> DataStreamWriter:
-    """K3: valid, de-duplicated, rounded rows appended to the history table."""
+def history_stream(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """K3: valid rows, new to the history, rounded, appended per micro-batch."""
+    valid = parse_scored(raw).filter(has_required_keys())
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        first = first_per_key(batch, ["title", "publishedAt"], ["fetched_at_ts"])
+        rows = with_day(to_served(first))
+        if path_exists(spark, path):
+            seen = spark.read.parquet(path).select(
+                F.col("day").alias("__day"), F.col("title").alias("__title"),
+                F.col("publishedAt").alias("__pub"))
+            same = (rows["day"].eqNullSafe(seen["__day"]) & (rows["title"] == seen["__title"])
+                    & (rows["publishedAt"] == seen["__pub"]))   # unparsable time -> null day
+            rows = rows.join(seen, same, "left_anti")
+        rows.write.mode("append").partitionBy("day").parquet(path)
+
+    return valid.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+
+
+def history_stream_stateful(raw: DataFrame, path: str, checkpoint: str,
+                            delay: str = K.DEDUPE_DELAY) -> DataStreamWriter:
+    """K3 with the state-store dedupe (``deduped_scored``) and Spark's file sink."""
     return history_sink(to_served(deduped_scored(raw, delay)), path, checkpoint)
 
 
