@@ -119,8 +119,9 @@ def distinct_sources(df: DataFrame, order_col: str) -> DataFrame:
 
 # O1, O2 -----------------------------------------------------------------
 def oldest_first(df: DataFrame) -> DataFrame:
-    """O1: ascending by the publishedAt string (same as time for this format)."""
-    return df.orderBy(F.col("publishedAt").asc_nulls_first(), "title", "link")
+    """O1: ascending by the publishedAt string (same as time for this format),
+    missing times last."""
+    return df.orderBy(F.col("publishedAt").asc_nulls_last(), "title", "link")
 
 
 def newest_first(df: DataFrame) -> DataFrame:

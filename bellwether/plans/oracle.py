@@ -251,7 +251,7 @@ def oracle_sql() -> dict[str, str]:
             FROM s ORDER BY pts DESC NULLS LAST, title, link""",
         "sentiment_json": f"""SELECT doc_id, false AS is_null, sentiment, confidence
             FROM ({SCORED})""",
-        "oldest_first": f"SELECT * FROM ({SERVED}) ORDER BY publishedAt NULLS FIRST, title, link",
+        "oldest_first": f"SELECT * FROM ({SERVED}) ORDER BY publishedAt NULLS LAST, title, link",
         "filter_sentiment_source": f"""SELECT * FROM ({SERVED})
             WHERE sentiment = '{_FILTER_LABEL}' AND source IN ({_FILTER_SOURCES})""",
         "filtered_count": f"""SELECT count(*) AS n_rows FROM ({SERVED})

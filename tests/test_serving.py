@@ -91,6 +91,8 @@ def test_newest_first_nat_last_and_cards(spark):
     assert "_Published at_: NaT" in cards[3]["card"]
     oldest = [r["title"] for r in serving.oldest_first(df).collect()]
     assert oldest == ["t1", "t0", "t3", "<b>t2</b>"]
+    missing = df.limit(1).withColumn("publishedAt", F.lit(None).cast("string")).withColumn("title", F.lit("tn"))
+    assert [r["title"] for r in serving.oldest_first(df.unionByName(missing)).collect()][-1] == "tn"
 
 
 @pytest.mark.parametrize("n,invalid,expected", [
