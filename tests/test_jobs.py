@@ -24,3 +24,15 @@ def test_jobs_once_on_files(spark, tmp_dir):
     assert hist == {"great news": "Positive", "terrible loss": "Negative", "plain": "Neutral"}
     assert spark.read.parquet(layout.path("quarantine")).count() == 1
     assert os.path.isdir(layout.path("trend"))
+
+
+def test_cli_once(spark, tmp_dir):
+    from bellwether.jobs import main
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    with open(os.path.join(raw, "a.json"), "w") as f:
+        f.write(json.dumps({"title": "good", "source": "s", "publishedAt": "2024-06-28 10:00:00",
+                            "link": "l", "fetched_at": 1719568800.0}) + "\n")
+    root = os.path.join(tmp_dir, "root")
+    main(["--source", "files", "--raw", raw, "--root", root, "--once"])
+    assert FS.read_history(spark, os.path.join(root, "history")).count() == 1
