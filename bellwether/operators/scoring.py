@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from bellwether import constants as K
 from bellwether import schemas
-from bellwether.functions.sentiment import compound_from_sum, is_blank_text, label_for_score
+from bellwether.functions.sentiment import compound_from_sum, label_for_score
 from bellwether.functions.text import apostrophe_variants, tokens
 
 # Largest scorer table we broadcast.  Sentiment lexicons are dimensions of
@@ -103,6 +103,10 @@ def _scorer_table(table: DataFrame | None, default) -> DataFrame:
     return F.broadcast(default()) if table is None else bounded_broadcast(table)
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
                lexicon: DataFrame | None = None, boosters: DataFrame | None = None,
                negations: DataFrame | None = None, keep_text: bool = True) -> DataFrame:
@@ -116,14 +120,14 @@ def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
     shuffles a few fixed-width bytes per row instead of the text.
     """
     spark = df.sparkSession
-    lex = _scorer_table(lexicon, lambda: lexicon_frame(spark))
-    boost = _scorer_table(boosters, lambda: booster_frame(spark))
-    neg = _scorer_table(negations, lambda: negation_frame(spark))
+    lex = _scorer_table(lexicon, lambda: _cached(spark, "lexicon", lexicon_frame))
+    boost = _scorer_table(boosters, lambda: _cached(spark, "boosters", booster_frame))
+    neg = _scorer_table(negations, lambda: _cached(spark, "negations", negation_frame))
 
     carried = [c for c in df.columns if keep_text or c != text_col]
     rid = key if key is not None else "__rid"
     base = df if key is not None else df.withColumn(rid, F.monotonically_increasing_id())
-    group_cols = (carried if rid in carried else carried + [rid]) + ["__blank"]
+    keys = carried if rid in carried else carried + [rid]
     if keep_text:
         # The regroup must move each row (text included) once anyway; doing
         # it first, by the row key, leaves the regroup already clustered (no
@@ -131,48 +135,46 @@ def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
         # instead of the scan's splits.
         base = base.repartition(_shuffle_partitions(spark), rid)
 
-    toks = base.select(*[c for c in group_cols if c != "__blank"],
-                       is_blank_text(F.col(text_col)).alias("__blank"),
+    text = _q(text_col)
+    toks = base.select(*keys, F.expr(f"{text} IS NULL OR {text} = ''").alias("__blank"),
                        tokens(F.col(text_col)).alias("__toks"))
-    exploded = toks.select(*group_cols, "__toks",
-                           F.posexplode_outer("__toks").alias("__pos", "__tok"))
-    ctx = exploded.select(
-        *group_cols, "__pos", "__tok",
-        *[F.get(F.col("__toks"), F.col("__pos") - F.lit(k)).alias(f"__p{k}")
-          for k in range(1, K.NEGATION_WINDOW + 1)])
-
-    lex_side = lex.select(F.col("token").alias("__tok"), F.col("valence").alias("__v"))
-    hits = (ctx.join(lex_side, on="__tok", how="left")
-            .filter(F.col("__v").isNotNull() | F.col("__pos").isNull() | (F.col("__pos") == 0)))
-
-    hits = hits.join(boost.select(F.col("token").alias("__p1"), F.col("inc").alias("__inc")),
-                     on="__p1", how="left")
-    neg_flags = []
+    group = [_q(c) for c in keys] + ["__blank"]
+    exploded = toks.selectExpr(*group, "__toks", "posexplode_outer(__toks) AS (__pos, __tok)")
+    ctx = exploded.selectExpr(*group, "__pos", "__tok",
+                              *[f"get(__toks, __pos - {k}) AS __p{k}"
+                                for k in range(1, K.NEGATION_WINDOW + 1)])
+
+    hits = (ctx.join(lex.selectExpr("token AS __tok", "valence AS __v"), "__tok", "left")
+            .filter("__v IS NOT NULL OR __pos IS NULL OR __pos = 0")
+            .join(boost.selectExpr("token AS __p1", "inc AS __inc"), "__p1", "left"))
     for k in range(1, K.NEGATION_WINDOW + 1):
-        hits = hits.join(neg.select(F.col("token").alias(f"__p{k}"),
-                                    F.lit(True).alias(f"__n{k}")),
-                         on=f"__p{k}", how="left")
-        neg_flags.append(F.coalesce(F.col(f"__n{k}"), F.lit(False)))
-    negated = neg_flags[0]
-    for flag in neg_flags[1:]:
-        negated = negated | flag
-
-    v = F.col("__v").cast(VALUE_TYPE)
-    inc = F.coalesce(F.col("__inc").cast(VALUE_TYPE), F.lit(Decimal(0)).cast(VALUE_TYPE))
-    boosted = (v + F.when(v > 0, inc).when(v < 0, -inc)
-               .otherwise(F.lit(Decimal(0)).cast(VALUE_TYPE))).cast(VALUE_TYPE)
-    flipped = (boosted * F.lit(Decimal(K.NEGATION_SCALAR))).cast(VALUE_TYPE)
-    contrib = F.when(v.isNotNull(), F.when(negated, flipped).otherwise(boosted))
-
-    agg = hits.groupBy(*group_cols).agg(F.sum(contrib).alias("__sum"),
-                                        F.count(F.col("__v")).alias("n_hits"))
+        hits = hits.join(neg.selectExpr(f"token AS __p{k}", f"true AS __n{k}"), f"__p{k}", "left")
+
+    dec = f"DECIMAL({VALUE_TYPE.precision},{VALUE_TYPE.scale})"
+    negated = " OR ".join(f"coalesce(__n{k}, false)" for k in range(1, K.NEGATION_WINDOW + 1))
+    boosted = (f"CAST(CAST(__v AS {dec}) + CASE WHEN __v > 0 THEN coalesce(CAST(__inc AS {dec}), 0) "
+               f"WHEN __v < 0 THEN -coalesce(CAST(__inc AS {dec}), 0) ELSE 0 END AS {dec})")
+    contrib = (f"CASE WHEN __v IS NULL THEN NULL WHEN {negated} "
+               f"THEN CAST({boosted} * {K.NEGATION_SCALAR}BD AS {dec}) ELSE {boosted} END")
+    agg = hits.groupBy(*group).agg(F.expr(f"sum({contrib})").alias("__sum"),
+                                   F.expr("count(__v)").alias("n_hits"))
     # Blank text, or no lexicon hit, scores 0.0
     compound = (F.when(F.col("__blank"), F.lit(0.0))
                 .otherwise(F.coalesce(compound_from_sum(F.col("__sum")), F.lit(0.0))))
-    out = agg.select(*carried,
-                     label_for_score(compound).alias("sentiment"),
-                     compound.cast("float").alias("confidence"),
-                     compound.alias("compound"),
-                     "n_hits")
-    return out
+    return agg.select(*carried,
+                      label_for_score(compound).alias("sentiment"),
+                      compound.cast("float").alias("confidence"),
+                      compound.alias("compound"),
+                      "n_hits")
+
+
+_TABLES: dict[str, DataFrame] = {}
+
 
+def _cached(spark: SparkSession, name: str, build) -> DataFrame:
+    """The default scorer tables, built once per session (DataFrames are
+    immutable, so every query can share them)."""
+    table = _TABLES.get(name)
+    if table is None or table.sparkSession is not spark:
+        table = _TABLES[name] = build(spark)
+    return table
