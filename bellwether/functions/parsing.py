@@ -65,11 +65,6 @@ def lenient_timestamp(col: Column | str) -> Column:
     return F.try_to_timestamp(_c(col))
 
 
-def display_timestamp(col: Column | str) -> Column:
-    """Timestamp to the display string format."""
-    return F.date_format(_c(col), DISPLAY_FORMAT)
-
-
 def wall_clock_epoch() -> Column:
     """Ingestion time as epoch seconds with microseconds."""
     return F.unix_micros(F.current_timestamp()) / F.lit(1_000_000.0)

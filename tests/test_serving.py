@@ -123,6 +123,6 @@ def test_parse_records_probe_and_junk(spark):
             (0, 1, '{"message":"Kafka connection test"}'),
             (0, 2, "not json"),
             (0, 3, None)]
-    df = spark.createDataFrame(rows, "partition int, offset long, value string")
+    df = spark.createDataFrame(rows, schemas.TOPIC_RECORD)
     got = serving.require_keys(serving.parse_records(df)).collect()
     assert [r["offset"] for r in got] == [0]

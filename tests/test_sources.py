@@ -67,3 +67,15 @@ def test_kafka_builders_need_the_connector(spark):
         kafka.read_news_stream(spark, "broker:9092")
     with pytest.raises(AnalysisException):
         kafka.read_scored_bounded(spark, "broker:9092")
+
+
+def test_kafka_writers_need_the_connector(spark, tmp_dir):
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+    msgs = spark.createDataFrame(ROWS, schemas.HISTORY)
+    with pytest.raises((AnalysisException, PySparkException, Py4JJavaError)):
+        kafka.publish_news(msgs, "broker:9092")
+    os.makedirs(os.path.join(tmp_dir, "in"))
+    values = FS.read_topic_stream(spark, os.path.join(tmp_dir, "in"))
+    with pytest.raises((AnalysisException, PySparkException, Py4JJavaError)):
+        kafka.write_scored_stream(values, "broker:9092", os.path.join(tmp_dir, "ck")).start()
