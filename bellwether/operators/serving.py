@@ -59,7 +59,11 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*_cols(order), *_cols(rest)).alias("__first")
-    agg = df.groupBy(*_cols(keys)).agg(F.min(packed).alias("__first"))
+    # A 64-bit hash leads the grouping: the sort-based aggregate then orders
+    # on a fixed-width prefix and compares the (possibly long, near-equal)
+    # key texts only on hash ties.  The keys themselves keep grouping exact.
+    agg = df.groupBy(F.xxhash64(*_cols(keys)).alias("__h"), *_cols(keys)) \
+        .agg(F.min(packed).alias("__first"))
     return agg.select(*_cols(keys),
                       *[F.col("__first").getField(c).alias(c) for c in list(order) + rest]
                       ).select(*df.columns)
