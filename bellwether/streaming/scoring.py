@@ -56,9 +56,12 @@ def scoring_stream(raw: DataFrame, sink: BatchSink, checkpoint: str,
 
     ``sink(values_df, batch_id)`` receives the JSON values of each batch;
     ``quarantine`` (optional) the junk records.  W2: progress lives in
-    ``checkpoint`` and is kept across restarts (never wiped at start).  The watermark (W1) is kept
-    on the event time so downstream stateful consumers see it; the scoring
-    itself drops nothing.
+    ``checkpoint`` and is kept across restarts (never wiped at start).
+
+    W1: the 10-minute watermark on ``fetched_at_ts`` is declared here as in
+    the original, where no stateful operator follows it and nothing is
+    dropped; scoring is stateless.  It takes effect in the windowed trend
+    (``trend_stream``), which applies the same delay to the same event time.
     """
     parsed = observe_counts(parse_news(raw).withWatermark("fetched_at_ts", K.WATERMARK_DELAY))
 
