@@ -56,3 +56,10 @@ def progress_metrics(spark: SparkSession, query: StreamingQuery, name: str) -> D
     if not rows:
         return spark.createDataFrame([], "batch_id long, num_input_rows long")
     return spark.createDataFrame(rows, ["batch_id", "num_input_rows", *keys])
+
+
+def rows_dropped_by_watermark(query: StreamingQuery) -> int:
+    """W4 (stream): late rows the query's stateful operators dropped, summed
+    over the recorded progress (the batch form is ``label_late_rows``)."""
+    return sum(op["numRowsDroppedByWatermark"]
+               for p in query.recentProgress for op in p["stateOperators"])

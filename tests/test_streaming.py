@@ -117,9 +117,11 @@ def test_trend_stream_drops_late_rows(spark, tmp_dir):
     schema = "ts timestamp, sentiment string, v double"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(src)
     out = os.path.join(tmp_dir, "trend")
-    run(trend_stream(stream, out, os.path.join(tmp_dir, "ck"), ts_col="ts", value_col="v"))
+    q = run(trend_stream(stream, out, os.path.join(tmp_dir, "ck"), ts_col="ts", value_col="v"))
     got = sorted((r["window_start"].hour, r["n"]) for r in spark.read.parquet(out).collect())
     assert got == [(10, 3), (12, 2)]
+    from bellwether.streaming.runner import rows_dropped_by_watermark
+    assert rows_dropped_by_watermark(q) == 1
 
 
 def test_scoring_metrics_observed(spark, tmp_dir):
