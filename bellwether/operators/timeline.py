@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bellwether.session import checkpoint_root
+
 
 def _horizon(df: DataFrame, ts_col: str, horizon: str | None) -> Column:
     """Explicit horizon, or the latest event time as a scalar subquery."""
@@ -32,6 +34,38 @@ def today_partition(df: DataFrame, ts_col: str, day: str | None = None) -> DataF
     return df.filter(F.to_date(F.col(ts_col)) == target)
 
 
+def exclusive_prefix_max(df: DataFrame, key: str, value: str, width: int = 1024,
+                         levels: int = 3) -> DataFrame:
+    """``(key, prefix)`` with ``prefix`` = max of ``value`` over all rows with a
+    smaller ``key`` (null for the first).  ``key`` is a non-negative long.
+
+    Computed as a tree: level ``l`` groups keys by ``key // width**(l+1)``;
+    each level takes an exclusive running max inside its groups (window
+    partitions of at most ``width`` rows) and hands group maxima up.  Only the
+    top list (``#keys / width**levels`` rows) is ordered in one window.  A
+    key's prefix is the max of its own group's running value at every level.
+    """
+    items = df.select(F.col(key).alias("__g0"), F.col(value).alias("__m"))
+    parts = []
+    for lvl in range(levels):
+        g, parent = f"__g{lvl}", f"__g{lvl + 1}"
+        items = items.withColumn(parent, F.floor(F.col(g) / F.lit(width)).cast("long"))
+        w = Window.partitionBy(parent).orderBy(g).rowsBetween(Window.unboundedPreceding, -1)
+        parts.append((g, items.select(g, F.max("__m").over(w).alias(f"__e{lvl}"))))
+        items = items.groupBy(parent).agg(F.max("__m").alias("__m"))
+    top = f"__g{levels}"
+    w = Window.orderBy(top).rowsBetween(Window.unboundedPreceding, -1)
+    parts.append((top, items.select(top, F.max("__m").over(w).alias(f"__e{levels}"))))
+
+    out = df.select(F.col(key).alias("__g0"))
+    for lvl in range(1, levels + 1):
+        out = out.withColumn(f"__g{lvl}", F.floor(F.col(f"__g{lvl - 1}") / F.lit(width)).cast("long"))
+    for g, part in parts:
+        out = out.join(part, g, "left")
+    prefix = F.greatest(*[F.col(f"__e{lvl}") for lvl in range(levels + 1)])
+    return out.select(F.col("__g0").alias(key), prefix.alias("prefix"))
+
+
 def label_late_rows(df: DataFrame, ts_col: str, order_col: str, batch_size: int,
                     delay: str = "10 minutes") -> DataFrame:
     """W4 batch form: replay ``df`` as micro-batches of ``batch_size`` rows by
@@ -43,37 +77,24 @@ def label_late_rows(df: DataFrame, ts_col: str, order_col: str, batch_size: int,
     watermark.  So a row is dropped only from the batch after the one that
     moved the watermark past it.  Rows with a null time are never late.
 
-    Per-batch maxima are a partial aggregate; running values over the
-    batches are computed two-level (chunks of 1024 batches, then chunks),
-    so no task holds more than one chunk of batches or the chunk list.
+    Per-batch maxima are a partial aggregate, checkpointed (a job runs when
+    this is called); the running values over the batches are tree-shaped
+    prefix maxima (``exclusive_prefix_max``), and the previous batch of each
+    batch is the prefix maximum of the batch ids, so no task orders more than
+    a bounded slice of the batches.
     """
-    chunk = 1024
     batched = df.withColumn("__b", F.floor(F.col(order_col) / F.lit(batch_size)).cast("long"))
-    per_batch = (batched.groupBy("__b").agg(F.max(ts_col).alias("__mx"))
-                 .withColumn("__c", F.floor(F.col("__b") / F.lit(chunk)).cast("long")))
-    in_chunk = Window.partitionBy("__c").orderBy("__b")
-    # exclusive running max inside the chunk, and over all earlier chunks
-    marks = per_batch.select(
-        "__b", "__c",
-        F.max("__mx").over(in_chunk.rowsBetween(Window.unboundedPreceding, -1)).alias("__in"))
-    chunks = per_batch.groupBy("__c").agg(F.max("__mx").alias("__cmx"))
-    over_chunks = Window.orderBy("__c")
-    chunks = chunks.select(
-        "__c", F.max("__cmx").over(over_chunks.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("__before"))
-    seen = (marks.join(chunks, "__c")
-            .select("__b", "__c", F.greatest("__in", "__before").alias("__seen")))
-    # the previous batch's value: inside the chunk by lag, across chunks from
-    # the last batch of the preceding chunk
-    last_of_chunk = seen.groupBy("__c").agg(F.max_by("__seen", "__b").alias("__last"))
-    last_of_chunk = last_of_chunk.select(
-        "__c", F.lag("__last").over(over_chunks).alias("__prev_chunk_last"))
-    seen = (seen.join(last_of_chunk, "__c")
-            .select("__b", "__seen",
-                    F.when(F.row_number().over(in_chunk) == 1, F.col("__prev_chunk_last"))
-                    .otherwise(F.lag("__seen").over(in_chunk)).alias("__seen_before")))
+    # One row per batch, used by every level below: materialised once in the
+    # shared checkpoint folder so the input is read twice in all (maxima,
+    # then labels), not once per use.
+    checkpoint_root(df.sparkSession)
+    per_batch = batched.groupBy("__b").agg(F.max(ts_col).alias("__mx")).checkpoint(eager=True)
+    seen = exclusive_prefix_max(per_batch, "__b", "__mx").withColumnRenamed("prefix", "__seen")
+    prev = exclusive_prefix_max(per_batch, "__b", "__b").withColumnRenamed("prefix", "__prev")
+    before = seen.select(F.col("__b").alias("__prev"), F.col("__seen").alias("__seen_before"))
+    marks = seen.join(prev, "__b").join(before, "__prev", "left").drop("__prev")
     d = F.expr(f"INTERVAL {delay}")
-    out = batched.join(seen, "__b", "left")
+    out = batched.join(marks, "__b", "left")
     return (out.withColumn("micro_batch", F.col("__b"))
             .withColumn("watermark", F.col("__seen") - d)
             .withColumn("late_watermark", F.col("__seen_before") - d)

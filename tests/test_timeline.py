@@ -57,3 +57,16 @@ def test_trend_counts_and_mean(spark):
            for r in timeline.trend(df, "ts", "sentiment", "v").collect()}
     assert got == {(T0, "Positive"): (2, 0.75), (T0, "Negative"): (1, -1.0),
                    (T0 + dt.timedelta(hours=1), "Positive"): (1, 0.25)}
+
+
+def test_exclusive_prefix_max_matches_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    keys = sorted(rnd.sample(range(0, 5000), 700))          # gaps between keys
+    rows = [(k, rnd.randint(0, 10**6)) for k in keys]
+    df = spark.createDataFrame(rows, "k long, v long")
+    got = {r["k"]: r["prefix"] for r in timeline.exclusive_prefix_max(df, "k", "v", width=4).collect()}
+    best = None
+    for k, v in rows:
+        assert got[k] == best
+        best = v if best is None else max(best, v)

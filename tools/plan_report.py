@@ -23,6 +23,7 @@ COUNTERS = {
     "sort_agg": ("SortAggregate",),
     "window": ("Window [",),
     "python": ("ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "MapInPandas"),
+    "scans": ("FileScan",),
 }
 
 
