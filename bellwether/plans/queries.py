@@ -163,22 +163,27 @@ def q_distinct_sources(spark, sf_dir):
     return serving.distinct_sources(parsed_records(spark, sf_dir), "offset")
 
 
+def checkpointed_records(spark, sf_dir) -> DataFrame:
+    """The parsed stand-in topic, checkpointed to the shared folder.
+
+    For operators that read their input more than once (a subquery, or
+    several aggregates): the stand-in is derived by scoring, so it is
+    materialised once instead of derived per read.
+    """
+    checkpoint_root(spark)
+    return parsed_records(spark, sf_dir).checkpoint(eager=True)
+
+
 def q_scored_retention(spark, sf_dir):
     """K6 on the scored topic: records within 30 minutes of the latest fetch."""
-    recs = parsed_records(spark, sf_dir)
+    recs = checkpointed_records(spark, sf_dir)
     return _record_out(timeline.retention_window(recs, "fetched_at_ts", K.SCORED_RETENTION))
 
 
 def _latest(spark, sf_dir) -> DataFrame:
-    """The latest view's capped read over the topic (F1 + O3).
-
-    The take reads its input three times (start offsets, first valid record
-    past the cap, the rows); the stand-in topic is derived by scoring, so it
-    is checkpointed to the shared folder once instead of derived thrice.
-    """
-    checkpoint_root(spark)
-    recs = parsed_records(spark, sf_dir).checkpoint(eager=True)
-    return serving.capped_take(recs, serving.has_required_keys())
+    """The latest view's capped read over the topic (F1 + O3); the take
+    reads its input three times, so the input is checkpointed."""
+    return serving.capped_take(checkpointed_records(spark, sf_dir), serving.has_required_keys())
 
 
 def q_capped_take(spark, sf_dir):
