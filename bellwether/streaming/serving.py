@@ -58,15 +58,25 @@ def history_stream(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWrit
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         first = first_per_key(batch, ["title", "publishedAt"], ["fetched_at_ts"])
-        rows = with_day(to_served(first))
-        if path_exists(spark, path):
-            seen = spark.read.parquet(path).select(
-                F.col("day").alias("__day"), F.col("title").alias("__title"),
-                F.col("publishedAt").alias("__pub"))
-            same = (rows["day"].eqNullSafe(seen["__day"]) & (rows["title"] == seen["__title"])
-                    & (rows["publishedAt"] == seen["__pub"]))   # unparsable time -> null day
-            rows = rows.join(seen, same, "left_anti")
-        rows.write.mode("append").partitionBy("day").parquet(path)
+        rows = with_day(to_served(first)).persist()      # read for its days, then written
+        try:
+            if path_exists(spark, path):
+                # only the batch's day partitions can hold an earlier copy
+                days = [r[0] for r in rows.select("day").distinct().collect()]
+                in_days = F.col("day").isin([d for d in days if d is not None])
+                if None in days:                           # unparsable time -> null day
+                    in_days = in_days | F.col("day").isNull()
+                seen = spark.read.parquet(path).filter(in_days).select(
+                    F.col("day").alias("__day"), F.col("title").alias("__title"),
+                    F.col("publishedAt").alias("__pub"))
+                same = (rows["day"].eqNullSafe(seen["__day"]) & (rows["title"] == seen["__title"])
+                        & (rows["publishedAt"] == seen["__pub"]))
+                new = rows.join(seen, same, "left_anti")
+            else:
+                new = rows
+            new.write.mode("append").partitionBy("day").parquet(path)
+        finally:
+            rows.unpersist()
 
     return valid.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
