@@ -126,3 +126,14 @@ def test_parse_records_probe_and_junk(spark):
     df = spark.createDataFrame(rows, schemas.TOPIC_RECORD)
     got = serving.require_keys(serving.parse_records(df)).collect()
     assert [r["offset"] for r in got] == [0]
+
+
+def test_empty_inputs_give_typed_results(spark):
+    empty = spark.createDataFrame([], schemas.HISTORY)
+    assert [(r["sentiment"], r["n"]) for r in serving.sentiment_counts(empty).collect()] == \
+        [("Positive", 0), ("Negative", 0), ("Neutral", 0)]
+    cards = serving.headline_cards(empty)
+    assert cards.count() == 0 and "card" in cards.columns
+    recs = spark.createDataFrame([], schemas.TOPIC_RECORD)
+    assert serving.capped_take(recs, F.col("value").isNotNull()).count() == 0
+    assert serving.filtered_count(empty).collect()[0]["n_rows"] == 0
