@@ -60,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
+        if spark.sparkContext.getCheckpointDir() is None:   # DataFrame.checkpoint() needs it
+            spark.sparkContext.setCheckpointDir(root)
         return root.rstrip("/")
     master = spark.sparkContext.master
     if not master.startswith("local"):
