@@ -63,13 +63,15 @@ def checkpoint_root(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:   # DataFrame.checkpoint() needs it
             spark.sparkContext.setCheckpointDir(root)
         return root.rstrip("/")
+    existing = spark.sparkContext.getCheckpointDir()
+    if existing:                                   # set on the context earlier
+        return existing.rstrip("/")
     master = spark.sparkContext.master
     if not master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="bellwether-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
-    return root
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
