@@ -74,7 +74,7 @@ def test_history_stream_equals_batch_and_restarts(spark, tmp_dir, stream_fn):
     def rec(title, pub, fetched, label="Positive", conf=0.43999999):
         return json.dumps({"title": title, "source": "s", "publishedAt": pub, "link": "l",
                            "fetched_at": fetched, "sentiment": label, "confidence": conf,
-                           "fetched_at_ts": dt.datetime.utcfromtimestamp(fetched).isoformat() + "Z"})
+                           "fetched_at_ts": dt.datetime.fromtimestamp(fetched, dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")})
     base = 1719576000.0
     write_lines(src, "1.json", [rec("a", "2024-06-28 10:00:00", base), rec("b", "2024-06-28 10:00:00", base),
                                 json.dumps({"title": "missing keys"})])
