@@ -70,3 +70,14 @@ def test_exclusive_prefix_max_matches_brute_force(spark):
     for k, v in rows:
         assert got[k] == best
         best = v if best is None else max(best, v)
+
+
+def test_explicit_horizon_reaches_the_parquet_scan(spark):
+    import re
+
+    from bellwether.sources import tables as TB
+    ev = TB.events(spark, "/root/testdata/sf0.001")
+    df = timeline.retention_window(ev, "ts", "7 days", horizon="2024-01-20 00:00:00")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
+    assert pushed and "GreaterThanOrEqual(ts" in pushed[0]
