@@ -34,36 +34,43 @@ def today_partition(df: DataFrame, ts_col: str, day: str | None = None) -> DataF
     return df.filter(F.to_date(F.col(ts_col)) == target)
 
 
-def exclusive_prefix_max(df: DataFrame, key: str, value: str, width: int = 1024,
+def exclusive_prefix_max(df: DataFrame, key: str, *values: str, width: int = 1024,
                          levels: int = 3) -> DataFrame:
-    """``(key, prefix)`` with ``prefix`` = max of ``value`` over all rows with a
-    smaller ``key`` (null for the first).  ``key`` is a non-negative long.
+    """``key`` plus, for each of ``values``, the max over all rows with a
+    smaller ``key`` (null for the first), in a column of the same name.
+    ``key`` is a non-negative long and unique.
 
     Computed as a tree: level ``l`` groups keys by ``key // width**(l+1)``;
     each level takes an exclusive running max inside its groups (window
     partitions of at most ``width`` rows) and hands group maxima up.  Only the
     top list (``#keys / width**levels`` rows) is ordered in one window.  A
     key's prefix is the max of its own group's running value at every level.
+    All value columns share one tree.
     """
-    items = df.select(F.col(key).alias("__g0"), F.col(value).alias("__m"))
+    names = [f"__v{i}" for i in range(len(values))]
+    items = df.select(F.col(key).alias("__g0"), *[F.col(v).alias(n) for v, n in zip(values, names)])
     parts = []
-    for lvl in range(levels):
-        g, parent = f"__g{lvl}", f"__g{lvl + 1}"
-        items = items.withColumn(parent, F.floor(F.col(g) / F.lit(width)).cast("long"))
-        w = Window.partitionBy(parent).orderBy(g).rowsBetween(Window.unboundedPreceding, -1)
-        parts.append((g, items.select(g, F.max("__m").over(w).alias(f"__e{lvl}"))))
-        items = items.groupBy(parent).agg(F.max("__m").alias("__m"))
-    top = f"__g{levels}"
-    w = Window.orderBy(top).rowsBetween(Window.unboundedPreceding, -1)
-    parts.append((top, items.select(top, F.max("__m").over(w).alias(f"__e{levels}"))))
+    for lvl in range(levels + 1):
+        g = f"__g{lvl}"
+        if lvl < levels:
+            parent = f"__g{lvl + 1}"
+            items = items.withColumn(parent, F.floor(F.col(g) / F.lit(width)).cast("long"))
+            w = Window.partitionBy(parent).orderBy(g)
+        else:
+            w = Window.orderBy(g)
+        w = w.rowsBetween(Window.unboundedPreceding, -1)
+        parts.append((g, items.select(g, *[F.max(n).over(w).alias(f"{n}_{lvl}") for n in names])))
+        if lvl < levels:
+            items = items.groupBy(parent).agg(*[F.max(n).alias(n) for n in names])
 
     out = df.select(F.col(key).alias("__g0"))
     for lvl in range(1, levels + 1):
         out = out.withColumn(f"__g{lvl}", F.floor(F.col(f"__g{lvl - 1}") / F.lit(width)).cast("long"))
     for g, part in parts:
         out = out.join(part, g, "left")
-    prefix = F.greatest(*[F.col(f"__e{lvl}") for lvl in range(levels + 1)])
-    return out.select(F.col("__g0").alias(key), prefix.alias("prefix"))
+    return out.select(F.col("__g0").alias(key), *[
+        F.greatest(*[F.col(f"{n}_{lvl}") for lvl in range(levels + 1)]).alias(v)
+        for v, n in zip(values, names)])
 
 
 def label_late_rows(df: DataFrame, ts_col: str, order_col: str, batch_size: int,
@@ -89,10 +96,11 @@ def label_late_rows(df: DataFrame, ts_col: str, order_col: str, batch_size: int,
     # then labels), not once per use.
     checkpoint_root(df.sparkSession)
     per_batch = batched.groupBy("__b").agg(F.max(ts_col).alias("__mx")).checkpoint(eager=True)
-    seen = exclusive_prefix_max(per_batch, "__b", "__mx").withColumnRenamed("prefix", "__seen")
-    prev = exclusive_prefix_max(per_batch, "__b", "__b").withColumnRenamed("prefix", "__prev")
+    # one tree: the max event time of earlier batches, and the previous batch
+    pre = exclusive_prefix_max(per_batch.withColumn("__id", F.col("__b")), "__b", "__mx", "__id")
+    seen = pre.select("__b", F.col("__mx").alias("__seen"), F.col("__id").alias("__prev"))
     before = seen.select(F.col("__b").alias("__prev"), F.col("__seen").alias("__seen_before"))
-    marks = seen.join(prev, "__b").join(before, "__prev", "left").drop("__prev")
+    marks = seen.join(before, "__prev", "left").drop("__prev")
     d = F.expr(f"INTERVAL {delay}")
     out = batched.join(marks, "__b", "left")
     return (out.withColumn("micro_batch", F.col("__b"))

@@ -65,11 +65,13 @@ def test_exclusive_prefix_max_matches_brute_force(spark):
     keys = sorted(rnd.sample(range(0, 5000), 700))          # gaps between keys
     rows = [(k, rnd.randint(0, 10**6)) for k in keys]
     df = spark.createDataFrame(rows, "k long, v long")
-    got = {r["k"]: r["prefix"] for r in timeline.exclusive_prefix_max(df, "k", "v", width=4).collect()}
-    best = None
+    out = timeline.exclusive_prefix_max(df.withColumn("id", df["k"]), "k", "v", "id", width=4)
+    got = {r["k"]: (r["v"], r["id"]) for r in out.collect()}
+    best, prev = None, None
     for k, v in rows:
-        assert got[k] == best
+        assert got[k] == (best, prev)
         best = v if best is None else max(best, v)
+        prev = k
 
 
 def test_explicit_horizon_reaches_the_parquet_scan(spark):
