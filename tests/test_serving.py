@@ -137,3 +137,12 @@ def test_empty_inputs_give_typed_results(spark):
     recs = spark.createDataFrame([], schemas.TOPIC_RECORD)
     assert serving.capped_take(recs, F.col("value").isNotNull()).count() == 0
     assert serving.filtered_count(empty).collect()[0]["n_rows"] == 0
+
+
+def test_capped_take_per_partition(spark):
+    rows = ([(0, 500 + i, "ok") for i in range(35)]
+            + [(1, 7 + i, None if i in (30, 31, 32) else "ok") for i in range(40)])
+    df = spark.createDataFrame(rows, schemas.TOPIC_RECORD)
+    got = sorted((r["partition"], r["idx"]) for r in
+                 serving.capped_take(df, F.col("value").isNotNull()).collect())
+    assert got == [(0, i) for i in range(31)] + [(1, i) for i in range(30)] + [(1, 33)]
