@@ -57,7 +57,11 @@ def read_scored_bounded(spark: SparkSession, bootstrap: str, topic: str = SCORED
 
 
 def kafka_sink(df: DataFrame, bootstrap: str, topic: str = SCORED_TOPIC) -> None:
-    """K1 per micro-batch (for ``foreachBatch``): write the ``value`` column."""
+    """K1 per micro-batch (for ``foreachBatch``): write the ``value`` column.
+
+    Kafka writes are at-least-once: a retried batch may repeat records, which
+    the consumer's keyed dedupe (D2) removes before the history.
+    """
     (df.select("value").write.format("kafka")
      .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
 
