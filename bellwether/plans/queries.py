@@ -47,7 +47,7 @@ def scored_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_text(TB.headlines(spark, sf_dir), "title", key="doc_id")
 
 
-def q_score_headlines(spark, sf_dir):
+def q_score_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P9-P11 over every document (whole text)."""
     return scored_headlines(spark, sf_dir).select(
         "doc_id", "title", "source", "publishedAt", "link", "fetched_at",
@@ -60,22 +60,22 @@ def scores_only(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     return score_text(h, "title", key="doc_id", keep_text=False)
 
 
-def q_sentiment_counts(spark, sf_dir):
+def q_sentiment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: headlines per sentiment, zero-filled, fixed label order."""
     return serving.sentiment_counts(scores_only(spark, sf_dir))
 
 
-def served(spark, sf_dir):
+def served(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.to_served(scored_headlines(spark, sf_dir))
 
 
-def q_latest_cards(spark, sf_dir):
+def q_latest_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every served headline as a card, newest first."""
     cards = serving.headline_cards(served(spark, sf_dir))
     return cards.withColumn("published_ts", _fmt("published_ts"))
 
 
-def q_sentiment_json(spark, sf_dir):
+def q_sentiment_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sentiment result as JSON text, then conditionally
     re-parsed (null or empty text -> null struct) and flattened."""
     scored = scores_only(spark, sf_dir)
@@ -88,27 +88,27 @@ def q_sentiment_json(spark, sf_dir):
                          F.col("s.confidence").alias("confidence"))
 
 
-def q_oldest_first(spark, sf_dir):
+def q_oldest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: served headlines in ascending publishedAt order."""
     return serving.oldest_first(served(spark, sf_dir))
 
 
-def _filtered(spark, sf_dir):
+def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = serving.filter_sentiment(served(spark, sf_dir), FILTER_LABEL)
     return serving.filter_sources(df, FILTER_SOURCES)
 
 
-def q_filter_sentiment_source(spark, sf_dir):
+def q_filter_sentiment_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one label, a set of sources."""
     return _filtered(spark, sf_dir)
 
 
-def q_filtered_count(spark, sf_dir):
+def q_filtered_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: rows left after F4 and F5."""
     return serving.filtered_count(_filtered(spark, sf_dir))
 
 
-def q_reconcile_columns(spark, sf_dir):
+def q_reconcile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P20: a frame in another column order, one extra and two missing columns."""
     odd = scored_headlines(spark, sf_dir).select(
         "title", "sentiment", "source", "publishedAt", F.col("n_hits").alias("extra"))
@@ -116,7 +116,7 @@ def q_reconcile_columns(spark, sf_dir):
 
 
 # ---- scored topic (records) ---------------------------------------------------
-def parsed_records(spark, sf_dir):
+def parsed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.parse_records(TB.scored_records(spark, sf_dir))
 
 
@@ -126,30 +126,30 @@ def _record_out(df: DataFrame, *lead: str) -> DataFrame:
                      _fmt("fetched_at_ts").alias("fetched_at_ts"))
 
 
-def q_scored_projection(spark, sf_dir):
+def q_scored_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as bytes, decoded, parsed, projected."""
     recs = TB.scored_records(spark, sf_dir).withColumn("value", F.col("value").cast("binary"))
     return _record_out(serving.parse_records(recs))
 
 
-def q_json_output(spark, sf_dir):
+def q_json_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored messages as JSON text, null fields omitted."""
     return TB.scored_records(spark, sf_dir)
 
 
-def q_required_keys(spark, sf_dir):
+def q_required_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """records carrying all six required keys."""
     return _record_out(serving.require_keys(parsed_records(spark, sf_dir)))
 
 
-def q_bad_sentiment(spark, sf_dir):
+def q_bad_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """records whose sentiment is null or empty (data-quality check)."""
     df = parsed_records(spark, sf_dir)
     bad = df.filter(F.col("sentiment").isNull() | (F.col("sentiment") == ""))
     return bad.select("partition", "offset", "title", "sentiment")
 
 
-def q_dedupe_title_published(spark, sf_dir):
+def q_dedupe_title_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 then D2: first record per (title, publishedAt), served form."""
     valid = serving.require_keys(parsed_records(spark, sf_dir))
     first = serving.dedupe_title_published(valid, order=("offset", "partition"))
@@ -158,12 +158,12 @@ def q_dedupe_title_published(spark, sf_dir):
                         round_stored("confidence").alias("confidence"), "link")
 
 
-def q_distinct_sources(spark, sf_dir):
+def q_distinct_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: sources in first-seen order (a missing source is one value)."""
     return serving.distinct_sources(parsed_records(spark, sf_dir), "offset")
 
 
-def checkpointed_records(spark, sf_dir) -> DataFrame:
+def checkpointed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parsed stand-in topic, checkpointed to the shared folder.
 
     For operators that read their input more than once (a subquery, or
@@ -174,30 +174,30 @@ def checkpointed_records(spark, sf_dir) -> DataFrame:
     return parsed_records(spark, sf_dir).checkpoint(eager=True)
 
 
-def q_scored_retention(spark, sf_dir):
+def q_scored_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6 on the scored topic: records within 30 minutes of the latest fetch."""
     recs = checkpointed_records(spark, sf_dir)
     return _record_out(timeline.retention_window(recs, "fetched_at_ts", K.SCORED_RETENTION))
 
 
-def _latest(spark, sf_dir) -> DataFrame:
+def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest view's capped read over the topic (F1 + O3); the take
     reads its input three times, so the input is checkpointed."""
     return serving.capped_take(checkpointed_records(spark, sf_dir), serving.has_required_keys())
 
 
-def q_capped_take(spark, sf_dir):
+def q_capped_take(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O3: the latest view's capped read over the topic."""
     return _record_out(_latest(spark, sf_dir), "idx")
 
 
-def q_latest_counts(spark, sf_dir):
+def q_latest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 over the latest view (the latest-batch chart)."""
     return serving.sentiment_counts(_latest(spark, sf_dir))
 
 
 # ---- ingest over conversations and pages ------------------------------------
-def _flat(spark, sf_dir):
+def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.flatten_envelopes(TB.envelopes(spark, sf_dir))
 
 
@@ -207,23 +207,23 @@ def _flat_out(df: DataFrame) -> DataFrame:
                      F.col("source").isNull().alias("source_missing"))
 
 
-def q_flatten_envelope(spark, sf_dir):
+def q_flatten_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles of the ok responses, with their position."""
     return _flat_out(_flat(spark, sf_dir))
 
 
-def q_dedupe_first_title(spark, sf_dir):
+def q_dedupe_first_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First article per title in country-then-position order."""
     return _flat_out(ingest.dedupe_first_title(_flat(spark, sf_dir)))
 
 
-def q_dedupe_page_titles(spark, sf_dir):
+def q_dedupe_page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 over raw pages: first page per <title>."""
     return serving.first_per_key(TB.page_titles(TB.load(spark, sf_dir, "pages")),
                                  ["title"], ["pos"])
 
 
-def _normalised(spark, sf_dir):
+def _normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = ingest.dedupe_first_title(_flat(spark, sf_dir))
     return ingest.normalise_articles(deduped, INGEST_TIME)
 
@@ -233,24 +233,24 @@ def _norm_out(df: DataFrame) -> DataFrame:
                      "link", "fetched_at", "reject_reason")
 
 
-def q_normalise_articles(spark, sf_dir):
+def q_normalise_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4, P5, P8 with the F2 reason, after D1."""
     return _norm_out(_normalised(spark, sf_dir))
 
 
-def q_quarantine_split(spark, sf_dir):
+def q_quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the articles set aside, with the reason."""
     return _norm_out(ingest.quarantined(_normalised(spark, sf_dir)))
 
 
-def q_union_batches(spark, sf_dir):
+def q_union_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages from two fetches (documents and responses), UNION ALL."""
     return ingest.union_batches(
         TB.headlines(spark, sf_dir).select(*[f.name for f in schemas.NEWS.fields]),
         ingest.valid_messages(_normalised(spark, sf_dir)))
 
 
-def q_batch_metrics(spark, sf_dir):
+def q_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: fetched, unique, sent and rejected counts of one fetch."""
     flat = _flat(spark, sf_dir)
     deduped = ingest.dedupe_first_title(flat)
@@ -258,13 +258,13 @@ def q_batch_metrics(spark, sf_dir):
 
 
 # ---- parsing and time over events -------------------------------------------
-def q_parse_json_props(spark, sf_dir):
+def q_parse_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON props column parsed with a schema."""
     ev = TB.load(spark, sf_dir, "events")
     return ev.select("event_id", P.parse_json("props", "k INT").getField("k").alias("k"))
 
 
-def q_iso_normalise(spark, sf_dir):
+def q_iso_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ISO-8601 to display format; error events carry another format."""
     ev = TB.events(spark, sf_dir)
     iso_in = (F.when(F.col("event_type") == "error", F.date_format("ts", "yyyy/MM/dd HH:mm:ss"))
@@ -273,7 +273,7 @@ def q_iso_normalise(spark, sf_dir):
         "display", P.iso_to_display("iso_in"))
 
 
-def q_epoch_to_ts(spark, sf_dir):
+def q_epoch_to_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Epoch seconds (with fraction) to a whole-second timestamp."""
     ev = TB.events(spark, sf_dir)
     epoch = (F.unix_micros("ts") / F.lit(1_000_000.0)).alias("epoch")
@@ -281,7 +281,7 @@ def q_epoch_to_ts(spark, sf_dir):
         "ts_whole", _fmt(P.epoch_to_timestamp("epoch")))
 
 
-def q_lenient_ts(spark, sf_dir):
+def q_lenient_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lenient parse; error events carry JSON instead of a time."""
     ev = TB.events(spark, sf_dir)
     raw = (F.when(F.col("event_type") == "error", F.col("props"))
@@ -290,20 +290,20 @@ def q_lenient_ts(spark, sf_dir):
         "parsed", _fmt(P.lenient_timestamp("raw")))
 
 
-def q_retention_window(spark, sf_dir):
+def q_retention_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: events within the raw retention horizon of the latest event."""
     ev = TB.events(spark, sf_dir)
     kept = timeline.retention_window(ev, "ts", K.RAW_RETENTION)
     return kept.select("event_id", _fmt("ts").alias("ts"), "event_type")
 
 
-def q_today_partition(spark, sf_dir):
+def q_today_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: events of the latest day."""
     ev = TB.events(spark, sf_dir)
     return timeline.today_partition(ev, "ts").select("event_id", _fmt("ts").alias("ts"))
 
 
-def shifted_events(spark, sf_dir):
+def shifted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events where error events arrive late by value*5 minutes."""
     ev = TB.events(spark, sf_dir)
     lag_s = F.floor(F.col("value") * F.lit(60 * LATE_SHIFT_MINUTES_PER_UNIT)).cast("long")
@@ -312,7 +312,7 @@ def shifted_events(spark, sf_dir):
     return ev.withColumn("ts", ts)
 
 
-def q_late_rows(spark, sf_dir):
+def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows a 10-minute watermark would drop, replayed in batches."""
     marked = timeline.label_late_rows(shifted_events(spark, sf_dir), "ts", "event_id",
                                       LATE_BATCH_ROWS, K.WATERMARK_DELAY)
@@ -327,7 +327,7 @@ def _trend_out(df: DataFrame, label: str) -> DataFrame:
                      "sum_value", "avg_value")
 
 
-def q_sentiment_trend(spark, sf_dir):
+def q_sentiment_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1 (addition): headlines per hour of publication and label."""
     s = scores_only(spark, sf_dir, "publishedAt").select(
         F.to_timestamp("publishedAt").alias("ts"), capitalize("sentiment").alias("sentiment"),
@@ -335,7 +335,7 @@ def q_sentiment_trend(spark, sf_dir):
     return _trend_out(timeline.trend(s, "ts", "sentiment", "value", TREND_WIDTH), "sentiment")
 
 
-def q_event_trend(spark, sf_dir):
+def q_event_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1 over events: per hour and event type."""
     ev = TB.events(spark, sf_dir).select(
         "ts", "event_type", F.col("value").cast("decimal(12,2)").alias("value"))
@@ -355,7 +355,7 @@ def _topic_from(df: DataFrame, folder: str, files: int) -> None:
     FS.write_topic(df, folder, files=files)
 
 
-def q_stream_history(spark, sf_dir):
+def q_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 -> P1-P3, W1 -> score per batch -> P15 -> K1 (folder) -> S5 -> F1, D2 -> K3.
 
     The documents are landed as a raw-topic stand-in (JSON lines), replayed
@@ -374,7 +374,7 @@ def q_stream_history(spark, sf_dir):
     return FS.read_history(spark, f"{root}/history")
 
 
-def q_stream_dedupe(spark, sf_dir):
+def q_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D2 in stream form: both fetches of every record replayed in order."""
     root = scratch_path(spark, "stream-dedupe")
     _topic_from(TB.scored_records(spark, sf_dir), f"{root}/scored", STREAM_FILES)
@@ -383,7 +383,7 @@ def q_stream_dedupe(spark, sf_dir):
     return FS.read_history(spark, f"{root}/history")
 
 
-def q_stream_trend(spark, sf_dir):
+def q_stream_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1 in stream form over events: windows emitted once the watermark passes."""
     root = scratch_path(spark, "stream-trend")
     path = f"{sf_dir.rstrip('/')}/events.parquet"
