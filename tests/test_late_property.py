@@ -1,0 +1,44 @@
+"""Late-row labelling (W4) against a direct simulation of the two watermarks."""
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from bellwether.operators import timeline
+
+T0 = dt.datetime(2024, 1, 1)
+DELAY = dt.timedelta(minutes=10)
+
+data = st.tuples(
+    st.integers(1, 4),                                            # batch size
+    st.lists(st.one_of(st.none(), st.integers(0, 300)), min_size=1, max_size=50))  # minutes
+
+
+def simulate(batch_size, minutes):
+    """Batches in order; eviction watermark = max of earlier batches - delay;
+    a row is late against the previous batch's eviction watermark."""
+    batches = {}
+    for i, m in enumerate(minutes):
+        batches.setdefault(i // batch_size, []).append((i, m))
+    late, seen_max, prev_eviction = {}, None, None
+    for b in sorted(batches):
+        eviction = None if seen_max is None else seen_max - DELAY
+        for i, m in batches[b]:
+            ts = None if m is None else T0 + dt.timedelta(minutes=m)
+            late[i] = ts is not None and prev_eviction is not None and ts < prev_eviction
+        times = [T0 + dt.timedelta(minutes=m) for _, m in batches[b] if m is not None]
+        if times:
+            seen_max = max(times) if seen_max is None else max(seen_max, max(times))
+        prev_eviction = eviction
+    return late
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data)
+def test_late_rows_match_simulation(spark, case):
+    batch_size, minutes = case
+    rows = [(i, None if m is None else T0 + dt.timedelta(minutes=m)) for i, m in enumerate(minutes)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp")
+    got = {r["id"]: r["is_late"] for r in timeline.label_late_rows(df, "ts", "id", batch_size).collect()}
+    assert got == simulate(batch_size, minutes)
