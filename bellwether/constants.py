@@ -32,7 +32,9 @@ HISTORY_COLUMNS = ("title", "source", "publishedAt", "sentiment", "confidence",
 UNKNOWN_SOURCE = "Unknown Source"
 
 # Incoming ISO-8601 timestamp and the display format it is rewritten to.
+# Parsing accepts one- or two-digit fields, as strptime's %m/%d/%H/%M/%S do.
 ISO_INPUT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+ISO_PARSE_PATTERN = "yyyy-M-d'T'H:m:s'Z'"
 DISPLAY_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Stream and retention constants.

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bellwether.constants import DISPLAY_FORMAT, ISO_INPUT_FORMAT
+from bellwether.constants import DISPLAY_FORMAT, ISO_PARSE_PATTERN
 
 
 def _c(col: Column | str) -> Column:
@@ -56,7 +56,7 @@ def epoch_to_timestamp_exact(col: Column | str) -> Column:
 
 def iso_to_display(col: Column | str) -> Column:
     """Strict ``yyyy-MM-ddTHH:mm:ssZ`` to ``yyyy-MM-dd HH:mm:ss``; bad -> null."""
-    parsed = F.try_to_timestamp(_c(col), F.lit(ISO_INPUT_FORMAT))
+    parsed = F.try_to_timestamp(_c(col), F.lit(ISO_PARSE_PATTERN))
     return F.date_format(parsed, DISPLAY_FORMAT)
 
 

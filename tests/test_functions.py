@@ -26,9 +26,11 @@ def test_epoch_drops_fraction_exact_keeps_it(spark):
 
 
 def test_iso_and_lenient(spark):
-    df = spark.createDataFrame([("2025-01-02T03:04:05Z",), ("2025-01-01",), ("x",), (None,)], "s string")
+    df = spark.createDataFrame([("2025-01-02T03:04:05Z",), ("2025-01-01",), ("x",), (None,),
+                                ("2025-1-2T3:4:5Z",), ("2025-01-02T03:04:05+01:00",)], "s string")
     got = df.select(P.iso_to_display("s").alias("d"), P.lenient_timestamp("s").alias("l")).collect()
-    assert [r["d"] for r in got] == ["2025-01-02 03:04:05", None, None, None]
+    assert [r["d"] for r in got] == ["2025-01-02 03:04:05", None, None, None,
+                                     "2025-01-02 03:04:05", None]      # as strptime does
     assert got[1]["l"] == dt.datetime(2025, 1, 1) and got[2]["l"] is None
 
 
