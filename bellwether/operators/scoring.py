@@ -114,6 +114,9 @@ def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
 
     ``key`` names a column that is unique per row (e.g. ``doc_id``); without
     it a generated row id is used.  Every input row yields one output row.
+    Caller-supplied tables need one row per token (``lexicon``: ``token,
+    valence``; ``boosters``: ``token, inc``; ``negations``: ``token``),
+    lower-case, as the tokens are.
     The regroup carries the input columns through its one shuffle; with
     ``keep_text=False`` the text column is dropped from the output, so a
     caller that needs only scores (project the input to key and text first)
