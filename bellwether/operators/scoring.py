@@ -115,8 +115,8 @@ def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
     ``key`` names a column that is unique per row (e.g. ``doc_id``); without
     it a generated row id is used.  Every input row yields one output row.
     Caller-supplied tables need one row per token (``lexicon``: ``token,
-    valence``; ``boosters``: ``token, inc``; ``negations``: ``token``),
-    lower-case, as the tokens are.
+    valence``; ``boosters``: ``token, inc``; ``negations``: ``token``);
+    their tokens are lower-cased, as the text's are.
     The regroup carries the input columns through its one shuffle; with
     ``keep_text=False`` the text column is dropped from the output, so a
     caller that needs only scores (project the input to key and text first)
@@ -147,11 +147,13 @@ def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
                               *[f"get(__toks, __pos - {k}) AS __p{k}"
                                 for k in range(1, K.NEGATION_WINDOW + 1)])
 
-    hits = (ctx.join(lex.selectExpr("token AS __tok", "valence AS __v"), "__tok", "left")
+    # table tokens are lower-cased like the text's tokens
+    hits = (ctx.join(lex.selectExpr("lower(token) AS __tok", "valence AS __v"), "__tok", "left")
             .filter("__v IS NOT NULL OR __pos IS NULL OR __pos = 0")
-            .join(boost.selectExpr("token AS __p1", "inc AS __inc"), "__p1", "left"))
+            .join(boost.selectExpr("lower(token) AS __p1", "inc AS __inc"), "__p1", "left"))
     for k in range(1, K.NEGATION_WINDOW + 1):
-        hits = hits.join(neg.selectExpr(f"token AS __p{k}", f"true AS __n{k}"), f"__p{k}", "left")
+        hits = hits.join(neg.selectExpr(f"lower(token) AS __p{k}", f"true AS __n{k}"),
+                         f"__p{k}", "left")
 
     dec = f"DECIMAL({VALUE_TYPE.precision},{VALUE_TYPE.scale})"
     negated = " OR ".join(f"coalesce(__n{k}, false)" for k in range(1, K.NEGATION_WINDOW + 1))

@@ -99,3 +99,12 @@ def test_scores_only_drops_text(spark):
     out = score_text(df, "title", key="id", keep_text=False, lexicon=lexicon_frame(spark, LEX))
     assert "title" not in out.columns and "src" in out.columns
     assert {r["id"]: r["sentiment"] for r in out.collect()} == {1: "Positive", 2: "Neutral"}
+
+
+def test_caller_tables_match_case_insensitively(spark):
+    df = spark.createDataFrame([(1, "Very GOOD"), (2, "NOT good")], "id long, title string")
+    out = score_text(df, "title", key="id", lexicon=lexicon_frame(spark, {"Good": "2.0"}),
+                     boosters=booster_frame(spark, {"VERY": "0.293"}),
+                     negations=negation_frame(spark, ["Not"]))
+    got = {r["id"]: r["compound"] for r in out.collect()}
+    assert got[1] == pytest.approx(compound(2.293)) and got[2] == pytest.approx(compound(-1.48))
