@@ -123,6 +123,10 @@ def _mix(h: np.ndarray, c: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
+def as_bytes(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 class Encoder:
     """Solves stretches; remembers them up to a bound."""
 
@@ -196,21 +200,30 @@ class Encoder:
         return memo
 
     # ---- stretches between free places ----------------------------------------
-    def solve(self, stretches: list[str]) -> list[list[int]]:
-        """Paths of stretches of joining characters, all of one length."""
-        size, n = len(stretches[0]), len(stretches)
-        cps = np.frombuffer("".join(stretches).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size)
-        last = np.full((n, size + 1), -1, np.int64)          # the piece that ends at a place
-        begin = np.zeros((n, size + 1), np.int64)
-        best = np.full((n, size + 1), -np.inf)
+    def solve(self, stretches: list[str]) -> list[bytes]:
+        """Paths of stretches of joining characters, all of them one column at a time, as int32 ids."""
+        sizes = np.array([len(t) for t in stretches])
+        n, width = len(stretches), int(sizes.max())
+        cps = np.zeros((n, width), np.uint32)
+        flat = np.frombuffer("".join(stretches).encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        row = np.repeat(np.arange(n), sizes)
+        cps[row, np.arange(len(flat)) - starts[row]] = flat
+        last = np.full((n, width + 1), -1, np.int32)         # the piece that ends at a place
+        begin = np.zeros((n, width + 1), np.int16)
+        best = np.full((n, width + 1), -np.inf)
         best[:, 0] = 0.0
-        pieces = np.int64(len(self.v.pieces))
-        for s in range(size):
-            rows = np.flatnonzero(best[:, s] > -np.inf)
+        pieces = len(self.v.pieces)
+        for s in range(width):
+            rows = np.flatnonzero((best[:, s] > -np.inf) & (sizes > s))
             h = np.zeros(len(rows), np.uint64)
-            for e in range(s + 1, min(size, s + self.v.longest) + 1):
+            for e in range(s + 1, min(width, s + self.v.longest) + 1):
+                if e > s + 1:
+                    inside = sizes[rows] >= e
+                    rows, h = rows[inside], h[inside]
                 h = _mix(h, cps[rows, e - 1])
-                at = np.minimum(np.searchsorted(self.start_keys, h), len(self.start_keys) - 1)
+                at = np.searchsorted(self.start_keys, h)
+                at[at == len(self.start_keys)] = 0
                 live = self.start_keys[at] == h
                 rows, h, at = rows[live], h[live], at[live]
                 if not len(rows):
@@ -219,24 +232,33 @@ class Encoder:
                 use = piece >= 0
                 r, p = rows[use], piece[use]
                 if s and len(r):
-                    pair, inv = np.unique(last[r, s] * pieces + p, return_inverse=True)
+                    pair, inv = np.unique(last[r, s].astype(np.int64) * pieces + p, return_inverse=True)
                     fine = self.may_follow(pair // pieces, pair % pieces)[inv]
                     r, p = r[fine], p[fine]
                 total = best[r, s] + self.score[p]
                 better = total > best[r, e]
                 r, p = r[better], p[better]
                 best[r, e], last[r, e], begin[r, e] = total[better], p, s
-        out = []
-        for k in range(n):
-            path, e = [], size
-            if best[k, size] == -np.inf:                     # a character has no piece of its own
-                out.append(self.solve_long(stretches[k]))
-                continue
-            while e:
-                path.append(int(last[k, e]))
-                e = int(begin[k, e])
-            out.append(path[::-1])
-        return out
+        # trace all paths back together: first their lengths, then their pieces
+        solved = best[np.arange(n), sizes] > -np.inf
+        steps = []
+        rows = np.flatnonzero(solved)
+        ends = sizes[rows]
+        count = np.zeros(n, np.int64)
+        while len(rows):
+            steps.append((rows, last[rows, ends]))
+            count[rows] += 1
+            ends = begin[rows, ends].astype(np.int64)
+            more = ends > 0
+            rows, ends = rows[more], ends[more]
+        upto = np.cumsum(count)
+        flat_ids = np.zeros(int(upto[-1]), np.int32)
+        for k, (rows, ids) in enumerate(steps):
+            flat_ids[upto[rows] - 1 - k] = ids
+        raw = flat_ids.tobytes()
+        cuts = [0, *(4 * upto).tolist()]
+        return [raw[a:b] if ok else as_bytes(self.solve_long(t))     # a character has no piece of its own
+                for a, b, ok, t in zip(cuts, cuts[1:], solved.tolist(), stretches)]
 
     def solve_long(self, stretch: str) -> list[int]:
         """Path of one stretch of any length."""
@@ -268,33 +290,34 @@ class Encoder:
 
     def learn(self, units: list[str]) -> None:
         """Solve units that are not known yet."""
-        cores: dict[int, set[str]] = {}
-        where: dict[str, str] = {}
-        for u in units:
-            core = u.lstrip(SPACE)
-            if core and core[0] in self.v.joining:
-                where[u] = SPACE + core if len(core) < len(u) else core
-                cores.setdefault(len(where[u]), set()).add(where[u])
-        solved: dict[str, list[int]] = {}
-        for size, some in cores.items():
-            group = sorted(some)
-            if size > LONG:
-                solved.update((g, self.solve_long(g)) for g in group)
-            else:
-                for k in range(0, len(group), 50_000):
-                    part = group[k: k + 50_000]
-                    solved.update(zip(part, self.solve(part)))
-        alone = self.v.ids[SPACE]
+        plain, spaced = [], []
         for u in units:
-            if u in where:
-                ids, spaces = solved[where[u]], len(u) - len(u.lstrip(SPACE))
-                if spaces > 1:
-                    ids = self.run(spaces) + ids[1:] if ids[0] == alone else self.run(spaces - 1) + ids
-            elif u[0] == SPACE:
-                ids = self.run(len(u))
+            if u[0] != SPACE:
+                if u[0] in self.v.joining:
+                    plain.append(u)
+                else:
+                    self.known[u] = as_bytes(self.v.char(u))
+            elif u[1:2] != SPACE and u[1:]:
+                plain.append(u)
             else:
-                ids = self.v.char(u)
-            self.known[u] = np.array(ids, np.int32).tobytes()
+                spaced.append(u)
+        cores = {SPACE + u.lstrip(SPACE) for u in spaced} - {SPACE}
+        plain = sorted({*plain, *cores}, key=len)
+        short = [c for c in plain if len(c) <= LONG]
+        for k in range(0, len(short), 50_000):
+            part = short[k: k + 50_000]
+            self.known.update(zip(part, self.solve(part)))
+        self.known.update((c, as_bytes(self.solve_long(c))) for c in plain[len(short):])
+        for u in spaced:
+            core = u.lstrip(SPACE)
+            self.known[u] = as_bytes(self.with_spaces(
+                len(u) - len(core), np.frombuffer(self.known[SPACE + core], np.int32).tolist() if core else []))
+
+    def with_spaces(self, n: int, ids: list[int]) -> list[int]:
+        """Path of ``n`` spaces and a stretch that was solved with one of them."""
+        if ids and n > 1:
+            return self.run(n) + ids[1:] if ids[0] == self.v.ids[SPACE] else self.run(n - 1) + ids
+        return ids or self.run(n)
 
     def units(self, texts: list[str]) -> list[list[str]]:
         """Units of normalised texts, all of them known afterwards."""
@@ -303,7 +326,7 @@ class Encoder:
             self.known.clear()
         missing = {u for us in out for u in us}.difference(self.known)
         if missing:
-            self.learn(sorted(missing))
+            self.learn(list(missing))
         return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -512,10 +535,7 @@ class Chunk:
         out.append(np.frombuffer(b"".join(map(enc.known.__getitem__, units)), np.int32))
         if not self.right_free:
             ids = enc.ids_of(trace(segments[0].nodes(), FREE, leave[0], leave), text)
-            if self.spaces > 1:
-                alone = ids[0] == enc.v.ids[SPACE]
-                ids = enc.run(self.spaces) + ids[1:] if alone else enc.run(self.spaces - 1) + ids
-            out.append(np.array(ids, np.int32))
+            out.append(np.array(enc.with_spaces(self.spaces, ids), np.int32))
         return np.concatenate(out)
 
 
@@ -614,8 +634,8 @@ def round_trip(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK, near: in
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(v)
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
+            for k in range(0, batch.num_rows, 2_000):
+                part = batch.slice(k, 2_000)
                 ids = enc.encode(part.column(at).to_pylist())
                 offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
