@@ -37,8 +37,8 @@ class DigestIndex:
         shuffle partitions.
         """
         self.spark, self.name = spark, name
+        n = self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         if not spark.catalog.tableExists(name):
-            n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
             where = path or scratch_path(spark, name)
             spark.sql(f"CREATE TABLE {name} (digest BINARY, keep_id BIGINT, group_size BIGINT, batch STRING) "
                       f"USING parquet PARTITIONED BY (batch) CLUSTERED BY (digest) SORTED BY (digest) "
@@ -51,8 +51,11 @@ class DigestIndex:
         """Anti-join ``groups`` with the other batches; their unknown digests become batch ``batch``."""
         known = self.table().where(F.col("batch") != batch).select("digest")
         fresh = materialize(groups.join(known.hint("merge"), "digest", "left_anti"), "fresh-digests")
-        (fresh.select("digest", "keep_id", "group_size", F.lit(batch).alias("batch"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self.name))
+        view = f"fresh_{uuid.uuid4().hex[:12]}"
+        fresh.select("digest", "keep_id", "group_size").repartition(self.buckets, "digest").createOrReplaceTempView(view)
+        quoted = batch.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION (batch = '{quoted}') SELECT * FROM {view}")
+        self.spark.catalog.dropTempView(view)
         self.spark.catalog.refreshTable(self.name)
 
 

@@ -71,7 +71,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed string, each by its byte planes."""
-    raw = b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() for a in arrays)
+    raw = b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays)
     head = np.array([len(raw), len(arrays), *(len(a) for a in arrays)], np.int64).tobytes()
     kinds = "".join(a.dtype.str.ljust(4) for a in arrays).encode()
     return head + kinds + pa.Codec("zstd").compress(raw, asbytes=True)
@@ -289,6 +289,11 @@ def _by(values: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
             yield v, order[bounds[v]: bounds[v + 1]]
 
 
+def sums(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sum of ``values`` by index, as floats (also of none)."""
+    return np.bincount(index, values, n).astype(np.float64)
+
+
 def count_bucket(w: Words, buckets: int):
     """Group function of a bucket: kinds d (sums per block of texts), c (histories), u and h (requests), t."""
     def run(table: pa.Table) -> pa.Table:
@@ -312,9 +317,9 @@ def count_bucket(w: Words, buckets: int):
         count[tail] = np.bincount(inv, trained[tail])[inv] if len(inv) else 0
         p = w.probability(count)
         own_text, own_n, own_c = text[tail], times[tail], count[tail]
-        n_known = np.bincount(own_text, own_n * (own_c > 0), n_texts).astype(np.int64)
-        base = np.bincount(own_text, own_n * np.log10(own_c + 1.0), n_texts)
-        own = np.bincount(own_text, -own_n * np.log10(np.maximum(own_c, 1)), n_texts)
+        n_known = sums(own_text, own_n * (own_c > 0), n_texts).astype(np.int64)
+        base = sums(own_text, own_n * np.log10(own_c + 1.0), n_texts)
+        own = sums(own_text, -own_n * np.log10(np.maximum(own_c, 1)), n_texts)
 
         # counts of pairs
         with np.errstate(over="ignore"):
@@ -325,9 +330,9 @@ def count_bucket(w: Words, buckets: int):
         both = np.empty(len(word), np.int64)
         both[order] = np.repeat(of_pair, np.diff(np.append(start, len(order))))
         seen, large = both > 0, both > KATZ
-        own += np.bincount(text[large], times[large] * np.log10(both[large] - LARGE), n_texts)
-        own += np.bincount(text[~seen], times[~seen] * np.log10(p[~seen]), n_texts)
-        small = [np.bincount(text[both == r], times[both == r], n_texts).astype(np.uint32) for r in range(1, KATZ + 1)]
+        own += sums(text[large], times[large] * np.log10(both[large] - LARGE), n_texts)
+        own += sums(text[~seen], times[~seen] * np.log10(p[~seen]), n_texts)
+        small = [sums(text[both == r], times[both == r], n_texts).astype(np.uint32) for r in range(1, KATZ + 1)]
 
         rows: list[tuple] = []
         for k, number in enumerate(numbers):

@@ -285,15 +285,15 @@ def link_groups(members: DataFrame, link: Linker, least: float, block: int = BLO
     top = parts.groupBy("grp").agg(F.max_by("comp", F.struct("count", "comp")).alias("top"),
                                    F.sum("count").alias("n"), F.max("count").alias("most"))
     top = top.where(F.col("n") > F.col("most")).select(
-        "grp", "top", F.ceil((F.col("n") - F.col("most")) * 2 / F.lit(block)).cast("int").alias("small"),
-        F.ceil(F.col("n") * 2 / F.lit(block)).cast("int").alias("all"))
+        "grp", "top", F.ceil((F.col("n") - F.col("most")) * 2 / F.lit(block)).cast("long").alias("small"),
+        F.ceil(F.col("n") * 2 / F.lit(block)).cast("long").alias("all"))
     open_rows = mine.join(top, "grp")
     minor = F.col("comp") != F.col("top")
     of_minor = open_rows.where(minor).withColumn(
         "i", F.pmod(F.xxhash64("node", F.lit(1)), F.col("small"))).withColumn(
-        "j", F.explode(F.sequence(F.lit(0), F.col("all") - 1)).cast("long"))
+        "j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1)))
     of_all = open_rows.withColumn("j", F.pmod(F.xxhash64("node", F.lit(2)), F.col("all"))).withColumn(
-        "i", F.explode(F.sequence(F.lit(0), F.col("small") - 1)).cast("long"))
+        "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("small") - 1)))
     cols = ["grp", "i", "j", "node", "payload", "comp"]
     pairs = of_minor.select(*cols, F.lit(True).alias("minor")).unionByName(
         of_all.select(*cols, F.lit(False).alias("minor")))

@@ -178,11 +178,12 @@ class Hits:
                 d = self.distance(w)
             if d < 3:
                 n[self.quoted(words, i)][d] += 1
-        size = max(len(words), 1)
-        abuse = [np.log1p(c) for c in n[0]]
-        quote = [np.log1p(c) for c in n[1]]
-        return [*abuse, *quote, float(n[0][0] > 0), np.log1p(1000 * n[0][0] / size),
-                np.log1p(1000 * (n[0][1] + n[0][2]) / size)]
+        # a misspelled hit counts as a hit; training finds what it is worth less
+        (n0, n1, n2), quote = n[0], sum(n[1])
+        hits = n0 + n1 + n2
+        return [np.log1p(hits), float(hits > 0), np.log1p(n1), np.log1p(n2), float(hits > 0 and not n0),
+                np.log1p(quote), float(quote > 0), np.log1p(1000 * hits / max(len(words), 1)),
+                np.log1p(1000 * n0 / max(len(words), 1))]
 
 
 def candidates(text: str) -> set[tuple[str, bool]]:
