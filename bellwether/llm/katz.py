@@ -52,7 +52,7 @@ from bellwether.session import checkpoint_root, scratch_path
 
 HEAD_WORDS = 400_000
 HOT_SHARE = 1e-3
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 500_000
 BUCKET_POSTINGS = 2_500_000
 KATZ = 5                     # counts up to this get a Good-Turing discount
 LARGE = 0.5                  # what a larger count loses
@@ -123,8 +123,18 @@ class Words:
         return np.where(count > 0, kept / max(self.total, 1), self.unknown)
 
 
-def _texts(batch: pa.RecordBatch, at: int) -> list[list[bytes]]:
-    return [tokens(t.as_py()) for t in batch.column(at)]
+def _blocks(batch: pa.RecordBatch, at: int, size: int) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """Tokens of the texts of a batch, in blocks of about ``size``, each with the row it begins at."""
+    first, held, n = 0, [], 0
+    for row, text in enumerate(batch.column(at)):
+        ws = tokens(text.as_py())
+        if held and n + len(ws) >= size:
+            yield first, held
+            first, held, n = row, [], 0
+        held.append(ws)
+        n += len(ws) + 1
+    if held:
+        yield first, held
 
 
 def _hash_all(texts: list[list[bytes]], cache: HashCache) -> np.ndarray:
@@ -132,7 +142,7 @@ def _hash_all(texts: list[list[bytes]], cache: HashCache) -> np.ndarray:
     return np.fromiter((cache[w] for ws in texts for w in ws), np.uint64, n)
 
 
-def word_counts(train: DataFrame, flush: int = 2_000_000) -> DataFrame:
+def word_counts(train: DataFrame, flush: int = 1_000_000, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``h, c``: hash and count of every token of ``train`` (text), ends included."""
     end = HashCache()[END_TEXT]
 
@@ -151,8 +161,8 @@ def word_counts(train: DataFrame, flush: int = 2_000_000) -> DataFrame:
             if not batch.num_rows:
                 continue
             held.append((np.array([end], np.uint64), np.array([batch.num_rows])))
-            h, c = np.unique(_hash_all(_texts(batch, 0), cache), return_counts=True)
-            held.append((h, c))
+            for _, texts in _blocks(batch, 0, block_tokens):
+                held.append(np.unique(_hash_all(texts, cache), return_counts=True))
             if sum(len(x[0]) for x in held) > flush:
                 h, c = merged()
                 held = [(h, c)]
@@ -267,15 +277,9 @@ def postings(docs: DataFrame, w: Words, buckets: int, hot_share: float, block_to
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, number = HashCache(), TaskContext.get().partitionId() << 32
         for batch in batches:
-            texts = _texts(batch, 2)
-            first = 0
-            while first < len(texts):
-                last, size = first, 0
-                while last < len(texts) and (last == first or size + len(texts[last]) < block_tokens):
-                    size += len(texts[last]) + 1
-                    last += 1
-                yield pa.RecordBatch.from_pydict(_rows(block(batch, first, texts[first:last], number, cache)))
-                first, number = last, number + 1
+            for first, texts in _blocks(batch, 2, block_tokens):
+                yield pa.RecordBatch.from_pydict(_rows(block(batch, first, texts, number, cache)))
+                number += 1
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held", "text").mapInArrow(run, ROW)
 
