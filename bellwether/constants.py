@@ -19,6 +19,10 @@ LABELS = ("Positive", "Negative", "Neutral")
 POSITIVE_THRESHOLD = 0.05
 NEGATIVE_THRESHOLD = -0.05
 
+# Topics of raw and of scored messages.
+NEWS_TOPIC = "financial-news"
+SCORED_TOPIC = "financial-news-sentiment"
+
 # Country codes in fetch order (their position is the first-wins order of D1).
 COUNTRIES = ("us", "cn", "jp", "kr", "gb", "de", "fr", "it", "es", "nl", "ch")
 
@@ -60,20 +64,29 @@ CARD_DECIMALS = 2
 # Parameters of our lexicon scorer (not derivable from the pipeline).
 # --------------------------------------------------------------------------
 
-# Token pattern applied to lower-cased text; keeps in-word apostrophes,
+# Token pattern (letters of any script); keeps in-word apostrophes,
 # straight or curly.  Scorer tables hold both spellings of such words.
-TOKEN_PATTERN = "[a-z]+(?:['’][a-z]+)*"
+TOKEN_PATTERN = "\\p{L}+(?:['’]\\p{L}+)*"
 
 # Added to (or, for dampeners, taken from) the magnitude of a valence that
-# directly follows a booster word.
+# follows a booster word at distance 1, 2 or 3, times the factor of the distance.
 BOOSTER_INCREMENT = "0.293"
+BOOSTER_DAMPING = ("1", "0.95", "0.9")
+# Valences before the last contrast word count for less, those after for more.
+CONTRAST_WORDS = ("but", "however", "aber", "jedoch", "mais", "cependant", "pero")
+CONTRAST_BEFORE, CONTRAST_AFTER = "0.5", "1.5"
+# Each exclamation mark (up to the limit) adds to the magnitude of the sum.
+EXCLAMATION_INCREMENT, EXCLAMATION_LIMIT = "0.292", 4
+# Added to the magnitude of a capitalised word's valence when not all words are.
+CAPITALS_INCREMENT = "0.733"
 # Multiplier for a valence with a negation word among the 3 preceding tokens.
 NEGATION_SCALAR = "-0.74"
 NEGATION_WINDOW = 3
 # Normalisation: compound = s / sqrt(s*s + ALPHA).
 NORMALIZATION_ALPHA = 15.0
 
-# Default lexicon: token -> valence on a -4..+4 scale (our own values).
+# Default lexicon: token -> valence on a -4..+4 scale.  The values were set by
+# hand from general knowledge of such lexicons; no list was copied.
 DEFAULT_LEXICON = {
     # positive
     "best": "3.2", "better": "1.9", "good": "1.9", "great": "3.1", "excellent": "3.2",
@@ -119,7 +132,7 @@ DEFAULT_LEXICON = {
 }
 
 # Words that strengthen (positive increment) or soften (negative increment)
-# the valence of the word that directly follows them.
+# the valence of a word that follows them within 3 tokens.
 DEFAULT_BOOSTERS = {
     "very": BOOSTER_INCREMENT, "extremely": BOOSTER_INCREMENT, "really": BOOSTER_INCREMENT,
     "highly": BOOSTER_INCREMENT, "hugely": BOOSTER_INCREMENT, "incredibly": BOOSTER_INCREMENT,

@@ -44,9 +44,18 @@ def is_all_null(struct_col: Column | str, schema: T.StructType) -> Column:
     return out
 
 
+# Epoch seconds of the years 1 to 9999; anything outside is no event time.
+EPOCH_MIN, EPOCH_MAX = -62135596800, 253402300799
+
+
 def epoch_to_timestamp(col: Column | str) -> Column:
-    """Epoch seconds to timestamp, whole seconds (fraction dropped)."""
-    return F.to_timestamp(F.from_unixtime(_c(col).cast("long")))
+    """Epoch seconds to timestamp, whole seconds (fraction dropped).
+
+    A value outside the years 1 to 9999 (or not a number) gives null.
+    """
+    c = _c(col).cast("double")
+    inside = c.between(F.lit(float(EPOCH_MIN)), F.lit(float(EPOCH_MAX)))
+    return F.timestamp_seconds(F.when(inside, c).cast("long"))
 
 
 def epoch_to_timestamp_exact(col: Column | str) -> Column:

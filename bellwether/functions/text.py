@@ -36,14 +36,12 @@ def card_markdown(title: Column | str, source: Column | str, published: Column |
     """The headline card text shown per row (``published`` is a timestamp)."""
     score = F.format_string(f"%.{CARD_DECIMALS}f",
                             F.round(_c(confidence).cast("double"), CARD_DECIMALS))
-    return F.concat(
-        F.lit("**"), escape_html(title), F.lit("**  \n"),
-        F.lit("_Source_: "), escape_html(source), F.lit("  \n"),
-        F.lit("_Published at_: "),
-        F.coalesce(F.date_format(_c(published), DISPLAY_FORMAT), F.lit("NaT")), F.lit("  \n"),
-        F.lit("_Sentiment_: "), _c(sentiment), F.lit(" ("), score, F.lit(")  \n"),
-        F.lit("[Link to article]("), escape_html(link), F.lit(")"),
-    )
+    parts = ["**", escape_html(title), "**  \n", "_Source_: ", escape_html(source), "  \n", "_Published at_: ",
+             F.coalesce(F.date_format(_c(published), DISPLAY_FORMAT), F.lit("NaT")), "  \n",
+             "_Sentiment_: ", _c(sentiment), " (", F.when(_c(confidence).isNotNull(), score), ")  \n",
+             "[Link to article](", escape_html(link), ")"]
+    # a missing field is an empty place on the card, not a missing card
+    return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("")) for p in parts])
 
 
 def preview(col: Column | str, length: int = 50) -> Column:
@@ -52,8 +50,8 @@ def preview(col: Column | str, length: int = 50) -> Column:
 
 
 def tokens(col: Column | str) -> Column:
-    """Lower-cased word tokens of the whole text."""
-    return F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), F.lit(0))
+    """Word tokens of the whole text, as written."""
+    return F.regexp_extract_all(_c(col), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
 def apostrophe_variants(words):

@@ -1,17 +1,26 @@
-"""Runnable streaming jobs (what ``spark-submit`` starts).
+"""Runnable jobs (what ``spark-submit`` starts).
 
-    python -m bellwether.jobs --source kafka --bootstrap host:9092 --root <shared folder>
-    python -m bellwether.jobs --source files --raw <folder> --root <shared folder> --once
+    python -m bellwether.jobs stream --source kafka --bootstrap host:9092 --root <shared folder>
+    python -m bellwether.jobs stream --source files --raw <folder> --root <shared folder> --once
+    python -m bellwether.jobs ingest --envelopes <folder of JSON responses> --root <shared folder> [--bootstrap host:9092]
+    python -m bellwether.jobs serve --root <shared folder> [--label Negative] [--sources a,b] [--bootstrap host:9092]
 
-Three queries run side by side and the job waits on any of them (W3):
+``stream`` runs three queries side by side and waits on any of them (W3):
 
 * scoring:  raw news -> P1-P3, W1 -> lexicon scoring per batch -> P15 -> scored topic (K1)
 * history:  scored topic -> F1 -> D2 -> P16, P17 -> day-partitioned history (K3)
-* trend:    scored topic -> X1 windowed counts per label (append, watermarked)
-
-All progress lives under ``--root`` (checkpoints, history, trend, and with
-``--source files`` the scored-topic stand-in), which must be a folder every
-executor can reach; it defaults to ``spark.checkpoint.dir``.
+* trend:    history, each headline once -> X1 windowed counts per label (append, watermarked)
+
+``ingest`` turns landed API responses into news messages (S2, U1, D1, P4, P5,
+P8, F2) and publishes them (K2), or appends them to the raw folder.
+``serve`` makes the dashboard's tables: the latest batch of the scored topic
+(S3, O3) and the history (S4), each as counts, filtered cards and row count
+(P18, A1, F4, F5, A3, O2, P19).
+
+All progress lives under ``--root`` (checkpoints, history, trend, progress
+log, positions, and with ``--source files`` the scored-topic stand-in),
+which must be a folder every executor can reach; it defaults to
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -20,16 +29,24 @@ import argparse
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from bellwether import schemas
+from bellwether.operators import ingest as IN
+from bellwether.operators import serving as SV
 from bellwether.session import checkpoint_root, get_session
+from bellwether.sources import cursor
 from bellwether.sources import files as FS
 from bellwether.sources import kafka
-from bellwether.streaming.runner import active_status, await_any
+from bellwether.streaming.runner import active_status, await_any, log_progress
 from bellwether.streaming.scoring import folder_sink, scoring_stream
-from bellwether.streaming.serving import history_stream, parse_scored, trend_stream
+from bellwether.streaming.serving import history_as_stream, history_stream, trend_stream
+
+# Records (Kafka) or files a micro-batch takes at most, so that the first
+# batch of a new checkpoint is not the whole topic (D3).
+MAX_OFFSETS = 1_000_000
 
 
 @dataclass
@@ -41,54 +58,126 @@ class Layout:
 
 
 def start_jobs(spark: SparkSession, source: str, layout: Layout, bootstrap: str | None = None,
-               raw_folder: str | None = None, once: bool = False) -> list[StreamingQuery]:
+               raw_folder: str | None = None, once: bool = False, max_offsets: int = MAX_OFFSETS,
+               max_files: int = FS.FILES_PER_TRIGGER) -> list[StreamingQuery]:
     """Start the scoring, history and trend queries; return them."""
-    def trigger(writer):
-        return writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")
+    def start(writer, name: str) -> StreamingQuery:
+        writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")
+        query = writer.queryName(name).start()
+        if once:                   # the next query reads what this one writes
+            query.awaitTermination()
+        return query
 
     if source == "kafka":
-        raw = kafka.read_news_stream(spark, bootstrap)
+        raw = kafka.read_news_stream(spark, bootstrap, max_offsets_per_trigger=max_offsets)
+        scored = kafka.read_scored_stream(spark, bootstrap, max_offsets_per_trigger=max_offsets)
         scored_sink = lambda df, batch_id: kafka.kafka_sink(df, bootstrap)
-        scored_read = lambda: kafka.read_scored_stream(spark, bootstrap)
     else:
-        raw = FS.read_topic_stream(spark, raw_folder)
+        FS.ensure_folder(spark, layout.path("scored"))      # its readers start before the first batch
+        raw = FS.read_raw_stream(spark, raw_folder, max_files)
+        scored = FS.read_topic_stream(spark, layout.path("scored"), max_files)
         scored_sink = folder_sink(layout.path("scored"))
-        scored_read = lambda: FS.read_topic_stream(spark, layout.path("scored"),
-                                                   max_files_per_trigger=1000)
-
-    queries = [trigger(scoring_stream(raw, scored_sink, layout.path("ck-scoring"),
-                                      quarantine=folder_sink(layout.path("quarantine"))))
-               .queryName("scoring").start()]
-    if once:                       # the readers below need the scored output to exist
-        queries[0].awaitTermination()
-    scored = scored_read()
-    queries.append(trigger(history_stream(scored, layout.path("history"), layout.path("ck-history")))
-                   .queryName("history").start())
-    queries.append(trigger(trend_stream(parse_scored(scored).filter(F.col("sentiment").isNotNull()),
-                                        layout.path("trend"), layout.path("ck-trend")))
-                   .queryName("trend").start())
-    return queries
+    FS.ensure_folder(spark, layout.path("history"))
+
+    return [
+        start(scoring_stream(raw, scored_sink, layout.path("ck-scoring"),
+                             folder_sink(layout.path("quarantine"))), "scoring"),
+        start(history_stream(scored, layout.path("history"), layout.path("ck-history")), "history"),
+        start(trend_stream(history_as_stream(spark, layout.path("history")), layout.path("trend"),
+                           layout.path("ck-trend"), ts_col="ts"), "trend"),
+    ]
+
+
+def run_ingest(spark: SparkSession, envelopes: DataFrame, layout: Layout, fetched_at: float | None = None,
+               bootstrap: str | None = None) -> DataFrame:
+    """One fetch: responses to messages; returns its counts (A4).
+
+    Valid messages go to the raw topic, or to ``raw`` under the root; the
+    others to ``rejected`` with their reason.
+    """
+    from bellwether.functions.parsing import wall_clock_epoch
+
+    flat = IN.flatten_envelopes(envelopes)
+    normalised = IN.normalise_articles(IN.dedupe_first_title(flat),
+                                       wall_clock_epoch() if fetched_at is None else fetched_at)
+    messages = IN.valid_messages(normalised)
+    if bootstrap:
+        kafka.publish_news(messages, bootstrap)
+    else:
+        messages.select(F.to_json(F.struct(*messages.columns)).alias("value")).write.mode("append").text(
+            layout.path("raw"))
+    IN.quarantined(normalised).write.mode("append").parquet(layout.path("rejected"))
+    return IN.fetch_metrics(flat)
+
+
+def view(served: DataFrame, label: str = "All", sources: list[str] | None = None) -> dict[str, DataFrame]:
+    """What the dashboard shows of served rows: all sources, counts per label, and the filtered cards."""
+    chosen = SV.filter_sources(SV.filter_sentiment(served, label), sources)
+    return {"counts": SV.sentiment_counts(served), "sources": served.select("source").distinct(),
+            "n_rows": SV.filtered_count(chosen), "cards": SV.headline_cards(chosen)}
+
+
+def serve(spark: SparkSession, layout: Layout, label: str = "All", sources: list[str] | None = None,
+          bootstrap: str | None = None, advance: bool = False) -> dict[str, dict[str, DataFrame]]:
+    """The dashboard's two views: ``latest`` (unread scored records, O3) and ``history``.
+
+    The read resumes from the committed position (S3); ``advance`` commits
+    the position behind the records that this call shows.
+    """
+    place = layout.path("position")
+    position = cursor.load(spark, place)
+    if bootstrap:
+        records = kafka.read_scored_bounded(spark, bootstrap, starting_offsets=cursor.as_kafka_offsets(
+            kafka.SCORED_TOPIC, position))
+    else:
+        records = cursor.unread(FS.read_topic(spark, layout.path("scored")), position)
+    taken = SV.capped_take(SV.parse_records(records), SV.has_required_keys())
+    if advance:
+        cursor.commit(spark, place, taken, position)
+    return {"latest": view(SV.to_served(taken), label, sources),
+            "history": view(FS.read_history(spark, layout.path("history")), label, sources)}
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
+    ap.add_argument("job", nargs="?", choices=("stream", "ingest", "serve"), default="stream")
     ap.add_argument("--source", choices=("kafka", "files"), default="kafka")
     ap.add_argument("--bootstrap", help="Kafka bootstrap servers (kafka source)")
     ap.add_argument("--raw", help="folder of raw JSON lines (files source)")
     ap.add_argument("--root", help="shared folder for checkpoints and tables")
     ap.add_argument("--once", action="store_true", help="process what is available, then stop")
+    ap.add_argument("--max-offsets", type=int, default=MAX_OFFSETS, help="records of a micro-batch (D3)")
+    ap.add_argument("--max-files", type=int, default=FS.FILES_PER_TRIGGER, help="files of a micro-batch (D3)")
+    ap.add_argument("--envelopes", help="folder of landed API responses (ingest)")
+    ap.add_argument("--label", default="All", help="label of the cards (serve)")
+    ap.add_argument("--sources", default="", help="comma list of sources of the cards (serve)")
     args = ap.parse_args(argv)
 
-    spark = get_session(app="bellwether-jobs")
+    spark = get_session(app=f"bellwether-{args.job}")
     layout = Layout(args.root or checkpoint_root(spark))
-    queries = start_jobs(spark, args.source, layout, args.bootstrap, args.raw, args.once)
-    for name, message in active_status(spark):
-        print(f"  {name}: {message}")
-    if args.once:
-        for q in queries:
-            q.awaitTermination()
-    else:
-        await_any(spark)
+    if args.job == "ingest":
+        run_ingest(spark, spark.read.schema(schemas.ENVELOPE).json(args.envelopes), layout,
+                   bootstrap=args.bootstrap).show()
+        return
+    if args.job == "serve":
+        wanted = [s for s in args.sources.split(",") if s]
+        for name, tables in serve(spark, layout, args.label, wanted, args.bootstrap, advance=True).items():
+            for kind, df in tables.items():
+                df.write.mode("overwrite").parquet(layout.path(f"views/{name}-{kind}"))
+        return
+    log = log_progress(spark, layout.path("progress"))
+    try:
+        queries = start_jobs(spark, args.source, layout, args.bootstrap, args.raw, args.once,
+                             args.max_offsets, args.max_files)
+        for name, message in active_status(spark):
+            print(f"  {name}: {message}")
+        if args.once:
+            for q in queries:
+                q.awaitTermination()
+        else:
+            await_any(spark)
+    finally:
+        spark.streams.removeListener(log)
 
 
 if __name__ == "__main__":

@@ -23,7 +23,7 @@ from bellwether.operators.serving import first_per_key
 def country_frame(spark: SparkSession) -> DataFrame:
     """The fetch order of the countries (a local relation of 11 rows)."""
     schema = T.StructType([T.StructField("country", T.StringType(), False),
-                           T.StructField("country_rank", T.IntegerType(), False)])
+                           T.StructField("country_rank", T.LongType(), False)])
     return constant_table(spark, [(c, str(i)) for i, c in enumerate(K.COUNTRIES)], schema)
 
 
@@ -94,16 +94,19 @@ def quarantined(normalised: DataFrame) -> DataFrame:
     return normalised.filter(F.col("reject_reason").isNotNull())
 
 
-def fetch_metrics(articles: DataFrame, normalised: DataFrame) -> DataFrame:
+def fetch_metrics(articles: DataFrame) -> DataFrame:
     """A4 (ingest): fetched, unique, sendable and rejected counts as one row.
 
-    ``normalised`` is the de-duplicated, normalised fetch.  Two passes: one
-    count over the fetched articles (a scalar subquery), one aggregate over
-    the normalised ones; both are partial per task plus a one-row merge.
+    ``articles`` (flattened, with their position) is read once: a first
+    aggregate counts the copies of each title next to the copy that wins
+    (D1), a second one sums up.
     """
-    fetched = articles.agg(F.count(F.lit(1))).scalar()
-    return normalised.agg(
-        fetched.alias("n_fetched"),
-        F.count(F.lit(1)).alias("n_unique"),
-        F.count_if(F.col("reject_reason").isNull()).alias("n_sent"),
-        F.count_if(F.col("reject_reason").isNotNull()).alias("n_rejected"))
+    copies = articles.withColumn("__n", F.lit(1))
+    order = [c for c in ("country_rank", "page", "pos") if c in articles.columns]
+    first = F.struct(*order, "publishedAt", "source")
+    titles = copies.groupBy("title").agg(F.sum("__n").alias("__n"), F.min(first).alias("__first"))
+    rows = titles.select("__n", "__first.publishedAt", "__first.source")
+    reason = reject_reason()
+    return rows.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("n_fetched"), F.count(F.lit(1)).alias("n_unique"),
+        F.count_if(reason.isNull()).alias("n_sent"), F.count_if(reason.isNotNull()).alias("n_rejected"))

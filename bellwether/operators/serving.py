@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,20 +148,25 @@ def headline_cards(df: DataFrame) -> DataFrame:
 def capped_take(records: DataFrame, valid: Column, cap: int = K.LATEST_CAP) -> DataFrame:
     """O3: valid records with index < cap, plus the first valid one at index >= cap.
 
-    ``records`` has ``partition`` and ``offset``; the index is the position
-    from the first offset of each partition.  Both helper aggregates have one
-    row per topic partition, a count fixed by the topic, so they broadcast.
+    The index (``idx``) is the record's place in the whole read, in order of
+    ``partition`` and ``offset``; offsets may have gaps.  The first ``cap``
+    records are a top-N per task; the one valid record past them is found by
+    its minimal position, without ordering the rest.
     """
-    starts = records.groupBy("partition").agg(F.min("offset").alias("__start"))
-    indexed = (records.join(F.broadcast(starts), "partition")
-               .withColumn("__idx", F.col("offset") - F.col("__start"))
-               .withColumn("__valid", valid))
-    after = (indexed.filter(F.col("__valid") & (F.col("__idx") >= cap))
-             .groupBy("partition").agg(F.min("__idx").alias("__first_after")))
-    kept = (indexed.join(F.broadcast(after), "partition", "left")
-            .filter(F.col("__valid") & ((F.col("__idx") < cap)
-                                        | (F.col("__idx") == F.col("__first_after")))))
-    return kept.drop("__start", "__valid", "__first_after").withColumnRenamed("__idx", "idx")
+    at = F.struct("partition", "offset")
+    marked = records.withColumn("__at", at).withColumn("__valid", valid)
+    head = marked.orderBy("partition", "offset").limit(cap)
+    place = F.row_number().over(Window.orderBy("partition", "offset")) - 1     # over cap rows
+    first = head.withColumn("idx", place.cast("long")).filter("__valid")
+    end = head.agg(F.max("__at").alias("__end"), F.count(F.lit(1)).alias("__n"))
+    rest = marked.join(F.broadcast(end), F.col("__at") > F.col("__end"))       # one row
+    next_at = F.broadcast(rest.filter("__valid").agg(F.min("__at").alias("__next")))
+    skipped = F.broadcast(rest.join(next_at, F.col("__at") < F.col("__next")).agg(
+        F.count(F.lit(1)).alias("__skipped")))
+    extra = (rest.join(next_at, F.col("__at") == F.col("__next")).crossJoin(skipped)
+             .withColumn("idx", F.col("__n") + F.col("__skipped")))
+    cols = ["idx", *records.columns]
+    return first.select(*cols).unionByName(extra.select(*cols))
 
 
 # P20 --------------------------------------------------------------------

@@ -1,113 +1,43 @@
-"""Time-based operators: K5, K6 retention, W1/W4 late rows, X1 trend."""
+"""Time-based operators: K5, K6 retention, X1 trend."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bellwether.session import checkpoint_root
 
+def _literal(df: DataFrame, ts_col: str, text: str) -> Column:
+    """A constant of the column's own type, so a comparison with it reaches the scan."""
+    return F.lit(text).cast(df.schema[ts_col].dataType)
 
-def _horizon(df: DataFrame, ts_col: str, horizon: str | None) -> Column:
-    """Explicit horizon, or the latest event time as a scalar subquery."""
-    if horizon is not None:
-        return F.to_timestamp(F.lit(horizon))
-    return df.select(F.max(ts_col)).scalar()
+
+def _latest(df: DataFrame, ts_col: str) -> str | None:
+    """The latest event time, found first (one row): a filter with a constant
+    is pushed to the scan, one with a subquery over the same scan is not."""
+    return df.agg(F.max(ts_col).cast("string")).first()[0]
 
 
 def retention_window(df: DataFrame, ts_col: str, interval: str,
                      horizon: str | None = None) -> DataFrame:
     """K6: keep rows with ``ts >= horizon - interval`` (topic retention as a filter)."""
-    lower = _horizon(df, ts_col, horizon) - F.expr(f"INTERVAL {interval}")
-    return df.filter(F.col(ts_col) >= lower)
+    horizon = horizon or _latest(df, ts_col)
+    if horizon is None:
+        return df.limit(0)
+    return df.filter(F.col(ts_col) >= _literal(df, ts_col, horizon) - F.expr(f"INTERVAL {interval}"))
 
 
 def today_partition(df: DataFrame, ts_col: str, day: str | None = None) -> DataFrame:
     """K5: the rows of one day (default: the day of the latest event).
 
-    On a day-partitioned history this is a partition filter; the daily
-    reset becomes an overwrite of that one partition, nothing else is read
-    or deleted.
-    """
-    target = (F.to_date(F.lit(day)) if day is not None
-              else F.to_date(df.select(F.max(ts_col)).scalar()))
-    return df.filter(F.to_date(F.col(ts_col)) == target)
-
-
-def exclusive_prefix_max(df: DataFrame, key: str, *values: str, width: int = 1024,
-                         levels: int = 3) -> DataFrame:
-    """``key`` plus, for each of ``values``, the max over all rows with a
-    smaller ``key`` (null for the first), in a column of the same name.
-    ``key`` is a non-negative long and unique.
-
-    Computed as a tree: level ``l`` groups keys by ``key // width**(l+1)``;
-    each level takes an exclusive running max inside its groups (window
-    partitions of at most ``width`` rows) and hands group maxima up.  Only the
-    top list (``#keys / width**levels`` rows) is ordered in one window.  A
-    key's prefix is the max of its own group's running value at every level.
-    All value columns share one tree.
-    """
-    names = [f"__v{i}" for i in range(len(values))]
-    items = df.select(F.col(key).alias("__g0"), *[F.col(v).alias(n) for v, n in zip(values, names)])
-    parts = []
-    for lvl in range(levels + 1):
-        g = f"__g{lvl}"
-        if lvl < levels:
-            parent = f"__g{lvl + 1}"
-            items = items.withColumn(parent, F.floor(F.col(g) / F.lit(width)).cast("long"))
-            w = Window.partitionBy(parent).orderBy(g)
-        else:
-            w = Window.orderBy(g)
-        w = w.rowsBetween(Window.unboundedPreceding, -1)
-        parts.append((g, items.select(g, *[F.max(n).over(w).alias(f"{n}_{lvl}") for n in names])))
-        if lvl < levels:
-            items = items.groupBy(parent).agg(*[F.max(n).alias(n) for n in names])
-
-    out = df.select(F.col(key).alias("__g0"))
-    for lvl in range(1, levels + 1):
-        out = out.withColumn(f"__g{lvl}", F.floor(F.col(f"__g{lvl - 1}") / F.lit(width)).cast("long"))
-    for g, part in parts:
-        out = out.join(part, g, "left")
-    return out.select(F.col("__g0").alias(key), *[
-        F.greatest(*[F.col(f"{n}_{lvl}") for lvl in range(levels + 1)]).alias(v)
-        for v, n in zip(values, names)])
-
-
-def label_late_rows(df: DataFrame, ts_col: str, order_col: str, batch_size: int,
-                    delay: str = "10 minutes") -> DataFrame:
-    """W4 batch form: replay ``df`` as micro-batches of ``batch_size`` rows by
-    ``order_col`` and mark the rows a watermarked stateful query would drop.
-
-    Spark keeps two watermarks per batch: ``watermark`` (state eviction) is
-    the max event time of all earlier batches minus ``delay``; late rows are
-    dropped against ``late_watermark``, the previous batch's eviction
-    watermark.  So a row is dropped only from the batch after the one that
-    moved the watermark past it.  Rows with a null time are never late.
-
-    Per-batch maxima are a partial aggregate, checkpointed (a job runs when
-    this is called); the running values over the batches are tree-shaped
-    prefix maxima (``exclusive_prefix_max``), and the previous batch of each
-    batch is the prefix maximum of the batch ids, so no task orders more than
-    a bounded slice of the batches.
+    A range of times, which is pushed to the scan.  On the history the same
+    is a partition filter, and the daily reset an overwrite of that one
+    partition (``sources.files.overwrite_days``).
     """
-    batched = df.withColumn("__b", F.floor(F.col(order_col) / F.lit(batch_size)).cast("long"))
-    # One row per batch, used by every level below: materialised once in the
-    # shared checkpoint folder so the input is read twice in all (maxima,
-    # then labels), not once per use.
-    checkpoint_root(df.sparkSession)
-    per_batch = batched.groupBy("__b").agg(F.max(ts_col).alias("__mx")).checkpoint(eager=True)
-    # one tree: the max event time of earlier batches, and the previous batch
-    pre = exclusive_prefix_max(per_batch.withColumn("__id", F.col("__b")), "__b", "__mx", "__id")
-    seen = pre.select("__b", F.col("__mx").alias("__seen"), F.col("__id").alias("__prev"))
-    before = seen.select(F.col("__b").alias("__prev"), F.col("__seen").alias("__seen_before"))
-    marks = seen.join(before, "__prev", "left").drop("__prev")
-    d = F.expr(f"INTERVAL {delay}")
-    out = batched.join(marks, "__b", "left")
-    return (out.withColumn("micro_batch", F.col("__b"))
-            .withColumn("watermark", F.col("__seen") - d)
-            .withColumn("late_watermark", F.col("__seen_before") - d)
-            .withColumn("is_late", F.coalesce(F.col(ts_col) < F.col("late_watermark"), F.lit(False)))
-            .drop("__b", "__seen", "__seen_before"))
+    day = day or (_latest(df, ts_col) or "")[:10]
+    if not day:
+        return df.limit(0)
+    start = _literal(df, ts_col, f"{day} 00:00:00")
+    return df.filter((F.col(ts_col) >= start) & (F.col(ts_col) < start + F.expr("INTERVAL 1 DAY")))
 
 
 def trend(df: DataFrame, ts_col: str, label_col: str, value_col: str,

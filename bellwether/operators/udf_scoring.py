@@ -23,15 +23,26 @@ Scorer = Callable[[pd.Series], pd.Series]
 def score_with(df: DataFrame, scorer: Scorer, text_col: str = "title") -> DataFrame:
     """Add ``sentiment``, ``confidence`` and ``compound`` using ``scorer``.
 
-    P11 holds here too: blank text scores 0.0 without calling the scorer,
-    and a batch the scorer fails on scores 0.0 (Neutral).
+    P11 holds here too: blank text scores 0.0 without calling the scorer.  A
+    batch the scorer fails on is scored again row by row, and only the rows
+    it fails on score 0.0 (Neutral), so results do not depend on batching.
     """
+    def attempt(texts: pd.Series) -> pd.Series:
+        return pd.Series(scorer(texts), index=texts.index, dtype="float64")
+
     @F.pandas_udf(T.DoubleType())
     def run(texts: pd.Series) -> pd.Series:
-        try:
-            out = pd.Series(scorer(texts.fillna("")), index=texts.index, dtype="float64")
-        except Exception:  # the fallback of the per-row scorer, per batch
-            out = pd.Series(0.0, index=texts.index)
+        out = pd.Series(0.0, index=texts.index)
+        some = texts[texts.notna() & (texts != "")]
+        if len(some):
+            try:
+                out[some.index] = attempt(some)
+            except Exception:
+                for at in some.index:
+                    try:
+                        out[at] = attempt(some.loc[[at]]).iloc[0]
+                    except Exception:      # the fallback of a row
+                        out[at] = 0.0
         return out.fillna(0.0).clip(-1.0, 1.0)
 
     compound = F.when(is_blank_text(text_col), F.lit(0.0)).otherwise(run(F.col(text_col)))

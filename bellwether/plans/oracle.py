@@ -9,9 +9,8 @@ from __future__ import annotations
 from bellwether import constants as K
 from bellwether.functions.text import apostrophe_variants
 from bellwether.plans.queries import (FILTER_LABEL as _FILTER_LABEL, FILTER_SOURCES,
-                                      INGEST_TIME as _INGEST_TIME,
-                                      LATE_BATCH_ROWS as _LATE_BATCH,
-                                      LATE_SHIFT_MINUTES_PER_UNIT as _LATE_SHIFT)
+                                      INGEST_TIME as _INGEST_TIME, JSON_FIELDS, LATE_LABEL, LATE_SHARE,
+                                      NO_RESULT, EMPTY_RESULT)
 from bellwether.sources import tables as TB
 
 _FILTER_SOURCES = ", ".join("'" + s + "'" for s in FILTER_SOURCES)
@@ -57,49 +56,65 @@ FROM documents
 def scored_sql(headlines_sql: str = HEADLINES, key: str = "doc_id") -> str:
     """Score every row of ``headlines_sql`` (unique ``key``, text in ``title``)."""
     pattern = _quote(K.TOKEN_PATTERN)
+    contrast = ", ".join(_quote(w) for w in K.CONTRAST_WORDS)
     return f"""
 WITH h AS ({headlines_sql}),
 lex AS ({lexicon_values()}),
 boost AS ({booster_values()}),
 neg AS ({negation_values()}),
 arr AS (
-  SELECT {key} AS k, regexp_extract_all(lower(title), {pattern}) AS toks
+  SELECT {key} AS k, regexp_extract_all(title, {pattern}) AS toks,
+         least(length(title) - length(replace(title, '!', '')), {K.EXCLAMATION_LIMIT}) AS marks
   FROM h
 ),
-tok AS (SELECT k, unnest(range(len(toks))) AS pos, unnest(toks) AS t FROM arr),
+raw AS (SELECT k, unnest(range(len(toks))) AS pos, unnest(toks) AS raw FROM arr),
+tok AS (
+  SELECT k, pos, lower(raw) AS t,
+         length(raw) > 1 AND raw = upper(raw) AND raw <> lower(raw) AS capital FROM raw
+),
 ctx AS (
-  SELECT k, pos, t,
-         lag(t, 1) OVER w AS p1, lag(t, 2) OVER w AS p2, lag(t, 3) OVER w AS p3
+  SELECT k, pos, t, capital,
+         lag(t, 1) OVER w AS p1, lag(t, 2) OVER w AS p2, lag(t, 3) OVER w AS p3,
+         max(CASE WHEN t IN ({contrast}) THEN pos END) OVER (PARTITION BY k) AS but,
+         NOT bool_and(capital) OVER (PARTITION BY k) AS mixed
   FROM tok WINDOW w AS (PARTITION BY k ORDER BY pos)
 ),
 hit AS (
-  SELECT ctx.k, CAST(lex.valence AS DECIMAL(18,6)) AS v,
-         CAST(coalesce(boost.inc, 0) AS DECIMAL(18,6)) AS inc,
+  SELECT ctx.k, ctx.pos, ctx.but, CAST(lex.valence AS DECIMAL(18,6)) AS v,
+         {" + ".join(f"CAST(coalesce(b{i + 1}.inc, 0) * CAST({d} AS DECIMAL(3,2)) AS DECIMAL(18,6))"
+                     for i, d in enumerate(K.BOOSTER_DAMPING))}
+         + CASE WHEN mixed AND capital THEN CAST({K.CAPITALS_INCREMENT} AS DECIMAL(18,6)) ELSE 0 END AS inc,
          (EXISTS (SELECT 1 FROM neg WHERE neg.token IN (ctx.p1, ctx.p2, ctx.p3))) AS negated
   FROM ctx JOIN lex ON lex.token = ctx.t
-  LEFT JOIN boost ON boost.token = ctx.p1
+  {" ".join(f"LEFT JOIN boost b{i} ON b{i}.token = ctx.p{i}" for i in (1, 2, 3))}
 ),
 contrib AS (
-  SELECT k,
+  SELECT k, pos, but,
          CAST(v + CASE WHEN v > 0 THEN inc WHEN v < 0 THEN -inc ELSE 0 END AS DECIMAL(18,6)) AS b,
          negated
   FROM hit
 ),
 sums AS (
-  SELECT k,
-         sum(CASE WHEN negated THEN CAST(b * CAST({K.NEGATION_SCALAR} AS DECIMAL(8,3)) AS DECIMAL(18,6))
-                  ELSE b END) AS s,
+  SELECT k, sum(CAST(
+           CASE WHEN negated THEN CAST(b * CAST({K.NEGATION_SCALAR} AS DECIMAL(8,3)) AS DECIMAL(18,6)) ELSE b END
+           * CAST(CASE WHEN but IS NULL THEN 1.0 WHEN pos < but THEN {K.CONTRAST_BEFORE}
+                  ELSE {K.CONTRAST_AFTER} END AS DECIMAL(3,1)) AS DECIMAL(18,6))) AS s,
          count(*) AS n_hits
   FROM contrib GROUP BY k
 ),
+total AS (
+  SELECT sums.k, n_hits,
+         CAST(s + sign(s) * marks * CAST({K.EXCLAMATION_INCREMENT} AS DECIMAL(8,3)) AS DECIMAL(18,6)) AS s
+  FROM sums JOIN arr ON arr.k = sums.k
+),
 comp AS (
   SELECT h.*,
-         CASE WHEN h.title IS NULL OR h.title = '' OR sums.s IS NULL THEN 0.0
-              ELSE CAST(sums.s AS DOUBLE) / sqrt(CAST(sums.s AS DOUBLE) * CAST(sums.s AS DOUBLE)
+         CASE WHEN h.title IS NULL OR h.title = '' OR total.s IS NULL THEN 0.0
+              ELSE CAST(total.s AS DOUBLE) / sqrt(CAST(total.s AS DOUBLE) * CAST(total.s AS DOUBLE)
                                                 + {K.NORMALIZATION_ALPHA})
          END AS compound,
-         coalesce(sums.n_hits, 0) AS n_hits
-  FROM h LEFT JOIN sums ON sums.k = h.{key}
+         coalesce(total.n_hits, 0) AS n_hits
+  FROM h LEFT JOIN total ON total.k = h.{key}
 )
 SELECT comp.*,
        CASE WHEN compound >= {K.POSITIVE_THRESHOLD} THEN 'Positive'
@@ -146,24 +161,25 @@ f AS (SELECT s.*, 0 AS fetch_no FROM s UNION ALL SELECT s.*, 1 AS fetch_no FROM
 SELECT fetch_no AS partition, doc_id AS "offset", title,
        CASE WHEN lang <> '{TB.NO_SOURCE_LANG}' THEN source END AS source,
        publishedAt, link, fetched_at + fetch_no * {TB.REFETCH_SECONDS} AS fetched_at,
-       sentiment, confidence,
+       CASE WHEN doc_id % {TB.BAD_LABEL_EVERY} = {TB.EMPTY_LABEL} THEN ''
+            WHEN doc_id % {TB.BAD_LABEL_EVERY} <> {TB.NO_LABEL} THEN sentiment END AS sentiment, confidence,
        make_timestamp(CAST(trunc(fetched_at + fetch_no * {TB.REFETCH_SECONDS}) AS BIGINT) * 1000000)
          AS fetched_at_ts
 FROM f
 """
 
-RECORD_COLS = ("partition, \"offset\", title, source, publishedAt, link, fetched_at, sentiment, "
-               f"confidence, {_fmt('fetched_at_ts')} AS fetched_at_ts")
+RECORD_FIELDS = ("title, source, publishedAt, link, fetched_at, sentiment, "
+                 f"confidence, {_fmt('fetched_at_ts')} AS fetched_at_ts")
+RECORD_COLS = f'partition, "offset", {RECORD_FIELDS}'
 
 REQUIRED = " AND ".join(f"{k} IS NOT NULL" for k in K.REQUIRED_KEYS)
 
 LATEST = f"""
-WITH r AS (SELECT *, "offset" - min("offset") OVER (PARTITION BY partition) AS idx,
-                  ({REQUIRED}) AS valid FROM ({RECORDS})),
-a AS (SELECT partition, min(idx) AS first_after FROM r
-      WHERE valid AND idx >= {K.LATEST_CAP} GROUP BY partition)
-SELECT r.* FROM r LEFT JOIN a USING (partition)
-WHERE valid AND (idx < {K.LATEST_CAP} OR idx = a.first_after)
+WITH r AS (SELECT *, row_number() OVER (ORDER BY partition, "offset") - 1 AS idx,
+                  ({REQUIRED}) AS valid FROM ({RECORDS}))
+SELECT * FROM r
+WHERE valid AND (idx < {K.LATEST_CAP}
+                 OR idx = (SELECT min(idx) FROM r WHERE valid AND idx >= {K.LATEST_CAP}))
 """
 
 EVENTS = "SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value, props FROM events"
@@ -182,11 +198,12 @@ WITH a AS (
                   + to_minutes(CAST(turn AS BIGINT)) AS pts FROM conversations)
 ),
 env AS (SELECT conv_id, page, bool_or(role = 'system') AS failed FROM a GROUP BY conv_id, page)
-SELECT 'c' || CAST(a.conv_id AS VARCHAR) AS country, CAST(a.conv_id AS INTEGER) AS country_rank,
-       a.page,
-       CAST(row_number() OVER (PARTITION BY a.conv_id, a.page ORDER BY a.turn) - 1 AS INTEGER) AS pos,
+SELECT CASE copy WHEN 0 THEN 'c' ELSE 'd' END || CAST(a.conv_id AS VARCHAR) AS country,
+       CAST(a.conv_id + copy * {TB.SECOND_RANK} AS BIGINT) AS country_rank, a.page,
+       CAST(row_number() OVER (PARTITION BY a.conv_id, a.page, copy ORDER BY a.turn) - 1 AS INTEGER) AS pos,
        title, url, publishedAt, source_name, source_missing
 FROM a JOIN env ON env.conv_id = a.conv_id AND env.page = a.page
+JOIN (VALUES (0), (1)) AS c(copy) ON copy = 0 OR a.conv_id % {TB.REPEAT_EVERY} = 0
 WHERE NOT env.failed
 """
 
@@ -209,15 +226,6 @@ SELECT country_rank, page, pos, title,
 FROM ({DEDUPED_ARTICLES})
 """
 
-SHIFTED = f"""
-SELECT event_id, event_type, value,
-       CASE WHEN event_type = 'error'
-            THEN ts - to_seconds(CAST(floor(value * {60 * _LATE_SHIFT}) AS BIGINT))
-            ELSE ts END AS ts
-FROM ({EVENTS})
-"""
-
-
 def _trend(source_sql: str, label: str, scale: int) -> str:
     # Spark's sum of DECIMAL(12, s) is DECIMAL(22, s); DuckDB widens to 38.
     return f"""
@@ -241,7 +249,8 @@ def oracle_sql() -> dict[str, str]:
             FROM lab LEFT JOIN c ON c.sentiment = lab.sentiment ORDER BY label_rank""",
         "latest_cards": f"""
             WITH s AS (SELECT *, TRY_CAST(publishedAt AS TIMESTAMP) AS pts FROM ({SERVED}))
-            SELECT title, source, publishedAt, {_fmt('pts')} AS published_ts, sentiment, confidence, link,
+            SELECT row_number() OVER (PARTITION BY CAST(pts AS DATE) ORDER BY pts DESC, title, link) AS rank_in_day,
+                   title, source, publishedAt, {_fmt('pts')} AS published_ts, sentiment, confidence, link,
                    '**' || {_esc('title')} || '**  ' || chr(10) ||
                    '_Source_: ' || {_esc('source')} || '  ' || chr(10) ||
                    '_Published at_: ' || coalesce({_fmt('pts')}, 'NaT') || '  ' || chr(10) ||
@@ -249,9 +258,17 @@ def oracle_sql() -> dict[str, str]:
                    printf('%.{K.CARD_DECIMALS}f', {_round('confidence', K.CARD_DECIMALS)}) || ')  ' || chr(10) ||
                    '[Link to article](' || {_esc('link')} || ')' AS card
             FROM s ORDER BY pts DESC NULLS LAST, title, link""",
-        "sentiment_json": f"""SELECT doc_id, false AS is_null, sentiment, confidence
-            FROM ({SCORED})""",
-        "oldest_first": f"SELECT * FROM ({SERVED}) ORDER BY publishedAt NULLS LAST, title, link",
+        "sentiment_json": f"""
+            SELECT doc_id, gone AS is_null, CASE WHEN NOT gone THEN sentiment END AS sentiment,
+                   CASE WHEN NOT gone THEN confidence END AS confidence
+            FROM (SELECT *, doc_id % {TB.BAD_LABEL_EVERY} IN ({EMPTY_RESULT}, {NO_RESULT}) AS gone FROM ({SCORED}))""",
+        "json_output": f"""
+            SELECT partition, "offset", concat_ws(',', {", ".join(
+                f"CASE WHEN {c} IS NOT NULL THEN '{c}' END" for c in JSON_FIELDS)}) AS keys, {RECORD_FIELDS}
+            FROM ({RECORDS})""",
+        "oldest_first": f"""
+            SELECT row_number() OVER (PARTITION BY substr(publishedAt, 1, 10) ORDER BY publishedAt, title, link)
+                   AS rank_in_day, * FROM ({SERVED}) ORDER BY publishedAt NULLS LAST, title, link""",
         "filter_sentiment_source": f"""SELECT * FROM ({SERVED})
             WHERE sentiment = '{_FILTER_LABEL}' AND source IN ({_FILTER_SOURCES})""",
         "filtered_count": f"""SELECT count(*) AS n_rows FROM ({SERVED})
@@ -322,17 +339,6 @@ def oracle_sql() -> dict[str, str]:
         "today_partition": f"""
             SELECT event_id, {_fmt('ts')} AS ts FROM ({EVENTS})
             WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)""",
-        "late_rows": f"""
-            WITH e AS (SELECT *, CAST(floor(event_id / {_LATE_BATCH}) AS BIGINT) AS b FROM ({SHIFTED})),
-            pb AS (SELECT b, max(ts) AS mx FROM e GROUP BY b),
-            s1 AS (SELECT b, max(mx) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-                             AS seen FROM pb),
-            s2 AS (SELECT b, seen, lag(seen) OVER (ORDER BY b) AS seen_before FROM s1)
-            SELECT e.event_id, e.b AS micro_batch, {_fmt('e.ts')} AS ts,
-                   {_fmt(f"s2.seen - INTERVAL {K.WATERMARK_DELAY}")} AS watermark,
-                   {_fmt(f"s2.seen_before - INTERVAL {K.WATERMARK_DELAY}")} AS late_watermark,
-                   coalesce(e.ts < s2.seen_before - INTERVAL {K.WATERMARK_DELAY}, false) AS is_late
-            FROM e JOIN s2 ON s2.b = e.b""",
         "sentiment_trend": _trend(
             f"""SELECT TRY_CAST(publishedAt AS TIMESTAMP) AS ts, sentiment,
                        CAST(confidence AS DECIMAL(12,3)) AS value FROM ({SERVED})""", "sentiment", 3),
@@ -349,4 +355,12 @@ def oracle_sql() -> dict[str, str]:
                 f"SELECT ts, event_type, CAST(value AS DECIMAL(12,2)) AS value FROM ({EVENTS})",
                 "event_type", 2)})
             WHERE window_end <= {_fmt(f"(SELECT max(ts) FROM ({EVENTS})) - INTERVAL {K.WATERMARK_DELAY}")}""",
+        "stream_late_rows": f"""
+            WITH e AS (SELECT *, (SELECT max(event_id) FROM events) AS last FROM ({EVENTS})),
+            late AS (SELECT DISTINCT date_trunc('hour', ts), event_type FROM e
+                     WHERE event_type = '{LATE_LABEL}' AND event_id < last * {LATE_SHARE})
+            SELECT t.*, (SELECT count(*) FROM late) AS rows_dropped FROM ({_trend(
+                f"SELECT ts, event_type, CAST(value AS DECIMAL(12,2)) AS value FROM ({EVENTS})",
+                "event_type", 2)}) t
+            WHERE window_end <= {_fmt(f"(SELECT max(ts) FROM ({EVENTS})) - INTERVAL {K.WATERMARK_DELAY}")}""",
     }

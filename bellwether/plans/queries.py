@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from bellwether import constants as K
 from bellwether import schemas
@@ -19,22 +20,22 @@ from bellwether.functions.sentiment import sentiment_struct
 from bellwether.functions.text import capitalize, round_stored
 from bellwether.operators import ingest, serving, timeline
 from bellwether.operators.scoring import score_text
-from bellwether.session import checkpoint_root, scratch_path
+from bellwether.session import scratch_path
 from bellwether.sources import files as FS
 from bellwether.sources import tables as TB
+from bellwether.streaming.runner import log_progress, rows_dropped, wait_for_batches
 from bellwether.streaming.scoring import folder_sink, scoring_stream
 from bellwether.streaming.serving import history_stream, trend_stream
 
-# Fixed query parameters (the dashboard's filter choices, ingestion time,
-# replay batch sizes).
+# Fixed query parameters (the dashboard's filter choices, ingestion time).
 FILTER_LABEL = "Negative"
 FILTER_SOURCES = ("src1", "src3", "src5")
 INGEST_TIME = 1735689600.5          # explicit fetch time for replays (P7)
-LATE_BATCH_ROWS = 10                # rows per replayed micro-batch (W4)
-LATE_SHIFT_MINUTES_PER_UNIT = 5     # error events arrive value*5 minutes late
+LATE_LABEL, LATE_SHARE = "error", 0.25   # copies of these early events arrive last (W4)
+NO_RESULT, EMPTY_RESULT = 10, 9     # of 50 documents, one has no result text and one an empty one (P13)
+JSON_FIELDS = ("title", "source", "publishedAt", "link", "fetched_at", "sentiment", "confidence", "fetched_at_ts")
 TREND_WIDTH = "1 hour"
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-STREAM_FILES = 2                    # topic stand-ins are replayed one file per batch
 
 
 def _fmt(col: str | F.Column) -> F.Column:
@@ -70,16 +71,25 @@ def served(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_latest_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every served headline as a card, newest first."""
-    cards = serving.headline_cards(served(spark, sf_dir))
-    return cards.withColumn("published_ts", _fmt("published_ts"))
+    """Every served headline as a card, newest first, with its place in its day.
+
+    The scores are materialised first: the sort reads its input twice (for
+    the ranges, then for the rows), and the scoring would run twice.
+    """
+    rows = materialised(served(spark, sf_dir), "served")
+    cards = serving.headline_cards(rows)
+    day = Window.partitionBy(F.to_date("published_ts")).orderBy(F.col("published_ts").desc(), "title", "link")
+    ranked = cards.withColumn("rank_in_day", F.row_number().over(day).cast("long"))
+    return ranked.withColumn("published_ts", _fmt("published_ts"))
 
 
 def q_sentiment_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sentiment result as JSON text, then conditionally
     re-parsed (null or empty text -> null struct) and flattened."""
     scored = scores_only(spark, sf_dir)
-    as_json = scored.select("doc_id", F.to_json(sentiment_struct("sentiment", "confidence"))
+    rest = F.col("doc_id") % TB.BAD_LABEL_EVERY
+    text = F.to_json(sentiment_struct("sentiment", "confidence"))
+    as_json = scored.select("doc_id", F.when(rest == EMPTY_RESULT, F.lit("")).when(rest != NO_RESULT, text)
                             .alias("sentiment_json"))
     parsed = as_json.select("doc_id", P.conditional_parse("sentiment_json", schemas.SENTIMENT_RESULT)
                             .alias("s"))
@@ -89,8 +99,10 @@ def q_sentiment_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_oldest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O1: served headlines in ascending publishedAt order."""
-    return serving.oldest_first(served(spark, sf_dir))
+    """O1: served headlines in ascending publishedAt order, with their place in their day."""
+    rows = materialised(served(spark, sf_dir), "served")
+    day = Window.partitionBy(F.substring("publishedAt", 1, 10)).orderBy("publishedAt", "title", "link")
+    return serving.oldest_first(rows.withColumn("rank_in_day", F.row_number().over(day).cast("long")))
 
 
 def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,8 +116,9 @@ def q_filter_sentiment_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_filtered_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3: rows left after F4 and F5."""
-    return serving.filtered_count(_filtered(spark, sf_dir))
+    """A3: rows left after F4 and F5 (scores only: the text is not carried)."""
+    df = serving.filter_sentiment(scores_only(spark, sf_dir, "source"), FILTER_LABEL)
+    return serving.filtered_count(serving.filter_sources(df, FILTER_SOURCES))
 
 
 def q_reconcile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,8 +146,12 @@ def q_scored_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_json_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored messages as JSON text, null fields omitted."""
-    return TB.scored_records(spark, sf_dir)
+    """Scored messages as JSON text, null fields omitted: the keys of each
+    message in order, and its fields parsed back."""
+    recs = TB.scored_records(spark, sf_dir)
+    parsed = recs.select("partition", "offset", F.array_join(F.json_object_keys("value"), ",").alias("keys"),
+                         P.parse_json("value", schemas.SCORED).alias("d"))
+    return _record_out(parsed.select("partition", "offset", "keys", "d.*"), "keys")
 
 
 def q_required_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,27 +180,23 @@ def q_distinct_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.distinct_sources(parsed_records(spark, sf_dir), "offset")
 
 
-def checkpointed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parsed stand-in topic, checkpointed to the shared folder.
-
-    For operators that read their input more than once (a subquery, or
-    several aggregates): the stand-in is derived by scoring, so it is
-    materialised once instead of derived per read.
-    """
-    checkpoint_root(spark)
-    return parsed_records(spark, sf_dir).checkpoint(eager=True)
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """Land ``df`` as a table in the shared folder and read it back (cuts the lineage)."""
+    path = scratch_path(spark := df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def q_scored_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6 on the scored topic: records within 30 minutes of the latest fetch."""
-    recs = checkpointed_records(spark, sf_dir)
-    return _record_out(timeline.retention_window(recs, "fetched_at_ts", K.SCORED_RETENTION))
+    recs = parsed_records(spark, sf_dir)
+    last = recs.agg(F.max("fetched_at_ts").cast("string")).first()[0]
+    return _record_out(timeline.retention_window(recs, "fetched_at_ts", K.SCORED_RETENTION, last))
 
 
 def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest view's capped read over the topic (F1 + O3); the take
-    reads its input three times, so the input is checkpointed."""
-    return serving.capped_take(checkpointed_records(spark, sf_dir), serving.has_required_keys())
+    """The latest view's capped read over the topic (F1 + O3)."""
+    return serving.capped_take(parsed_records(spark, sf_dir), serving.has_required_keys())
 
 
 def q_capped_take(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,9 +265,7 @@ def q_union_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: fetched, unique, sent and rejected counts of one fetch."""
-    flat = _flat(spark, sf_dir)
-    deduped = ingest.dedupe_first_title(flat)
-    return ingest.fetch_metrics(flat, ingest.normalise_articles(deduped, INGEST_TIME))
+    return ingest.fetch_metrics(_flat(spark, sf_dir))
 
 
 # ---- parsing and time over events -------------------------------------------
@@ -292,35 +303,17 @@ def q_lenient_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_retention_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: events within the raw retention horizon of the latest event."""
-    ev = TB.events(spark, sf_dir)
+    ev = TB.load(spark, sf_dir, "events")
     kept = timeline.retention_window(ev, "ts", K.RAW_RETENTION)
     return kept.select("event_id", _fmt("ts").alias("ts"), "event_type")
 
 
 def q_today_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: events of the latest day."""
-    ev = TB.events(spark, sf_dir)
+    ev = TB.load(spark, sf_dir, "events")
     return timeline.today_partition(ev, "ts").select("event_id", _fmt("ts").alias("ts"))
 
 
-def shifted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events where error events arrive late by value*5 minutes."""
-    ev = TB.events(spark, sf_dir)
-    lag_s = F.floor(F.col("value") * F.lit(60 * LATE_SHIFT_MINUTES_PER_UNIT)).cast("long")
-    ts = F.when(F.col("event_type") == "error", F.timestamp_add("SECOND", -lag_s, F.col("ts"))) \
-        .otherwise(F.col("ts"))
-    return ev.withColumn("ts", ts)
-
-
-def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows a 10-minute watermark would drop, replayed in batches."""
-    marked = timeline.label_late_rows(shifted_events(spark, sf_dir), "ts", "event_id",
-                                      LATE_BATCH_ROWS, K.WATERMARK_DELAY)
-    return marked.select("event_id", "micro_batch", _fmt("ts").alias("ts"),
-                         _fmt("watermark").alias("watermark"),
-                         _fmt("late_watermark").alias("late_watermark"), "is_late")
-
-
 def _trend_out(df: DataFrame, label: str) -> DataFrame:
     return df.select(_fmt("window_start").alias("window_start"),
                      _fmt("window_end").alias("window_end"), label, "n",
@@ -343,59 +336,87 @@ def q_event_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- streams replayed from the driver tables ---------------------------------
-def _run_available(writer) -> None:
+def _run_available(writer) -> StreamingQuery:
     """Run a stream over everything available, then stop (fails loudly)."""
     q = writer.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-
-
-def _topic_from(df: DataFrame, folder: str, files: int) -> None:
-    FS.write_topic(df, folder, files=files)
+    return q
 
 
 def q_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 -> P1-P3, W1 -> score per batch -> P15 -> K1 (folder) -> S5 -> F1, D2 -> K3.
 
-    The documents are landed as a raw-topic stand-in (JSON lines), replayed
-    one file per micro-batch, scored, re-read as the scored topic and
-    appended to the day-partitioned history, which is returned.
+    The documents are landed as a raw-topic stand-in (JSON lines), scored,
+    re-read as the scored topic and appended to the day-partitioned history,
+    which is returned.
     """
     root = scratch_path(spark, "stream-history")
     news = TB.headlines(spark, sf_dir)
-    _topic_from(news.select("doc_id", F.to_json(F.struct(*[f.name for f in schemas.NEWS.fields]))
-                            .alias("value")).withColumnRenamed("doc_id", "offset"),
-                f"{root}/raw", STREAM_FILES)
-    raw = FS.read_topic_stream(spark, f"{root}/raw")
-    _run_available(scoring_stream(raw, folder_sink(f"{root}/scored"), f"{root}/ck-score"))
-    scored_raw = FS.read_topic_stream(spark, f"{root}/scored", max_files_per_trigger=10_000)
+    news.select(F.to_json(F.struct(*[f.name for f in schemas.NEWS.fields])).alias("value")).write.text(f"{root}/raw")
+    raw = FS.read_raw_stream(spark, f"{root}/raw")
+    _run_available(scoring_stream(raw, folder_sink(f"{root}/scored"), f"{root}/ck-score",
+                                  folder_sink(f"{root}/quarantine")))
+    scored_raw = FS.read_topic_stream(spark, f"{root}/scored")
     _run_available(history_stream(scored_raw, f"{root}/history", f"{root}/ck-history"))
     return FS.read_history(spark, f"{root}/history")
 
 
 def q_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D2 in stream form: both fetches of every record replayed in order."""
+    """D2 in stream form: both fetches of every record replayed."""
     root = scratch_path(spark, "stream-dedupe")
-    _topic_from(TB.scored_records(spark, sf_dir), f"{root}/scored", STREAM_FILES)
+    FS.write_topic(TB.scored_records(spark, sf_dir), f"{root}/scored")
     raw = FS.read_topic_stream(spark, f"{root}/scored")
     _run_available(history_stream(raw, f"{root}/history", f"{root}/ck"))
     return FS.read_history(spark, f"{root}/history")
 
 
+def _event_values(ev: DataFrame) -> DataFrame:
+    return ev.select(F.col("ts").cast("timestamp").alias("ts"), "event_type",
+                     F.col("value").cast("decimal(12,2)").alias("value"))
+
+
 def q_stream_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X1 in stream form over events: windows emitted once the watermark passes."""
+    """X1 in stream form over events: the windows that the watermark has passed."""
     root = scratch_path(spark, "stream-trend")
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     schema = spark.read.parquet(path).schema
-    ev = (spark.readStream.schema(schema).parquet(FS.stream_path(path))
-          .select(F.col("ts").cast("timestamp").alias("ts"), "event_type",
-                  F.col("value").cast("decimal(12,2)").alias("value")))
+    ev = _event_values(spark.readStream.schema(schema).parquet(FS.stream_path(spark, path)))
     _run_available(trend_stream(ev, f"{root}/trend", f"{root}/ck", ts_col="ts",
                                 label_col="event_type", value_col="value", width=TREND_WIDTH))
     return _trend_out(spark.read.parquet(f"{root}/trend"), "event_type")
 
 
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream with late data.
+
+    Three batches: the earlier events, the later ones, and copies of early
+    error events, far behind the watermark by then.  The trend is that of the
+    events on time; ``rows_dropped`` is what the engine reports (it counts
+    the window and label groups of a batch that come too late).
+    """
+    root = scratch_path(spark, "stream-late")
+    ev = TB.load(spark, sf_dir, "events")
+    last = ev.agg(F.max("event_id")).first()[0] or 0
+    halves = (ev.filter(F.col("event_id") * 2 < last), ev.filter(F.col("event_id") * 2 >= last))
+    late = ev.filter((F.col("event_type") == LATE_LABEL) & (F.col("event_id") < last * LATE_SHARE))
+    log = log_progress(spark, f"{root}/progress")
+    writer = lambda: trend_stream(
+        _event_values(spark.readStream.schema(ev.schema).parquet(f"{root}/in")), f"{root}/trend", f"{root}/ck",
+        ts_col="ts", label_col="event_type", value_col="value", width=TREND_WIDTH)
+    try:
+        for batch in (*halves, late):          # each run of the stream takes what has landed since
+            batch.write.mode("append").parquet(f"{root}/in")
+            query = _run_available(writer())
+            progress = wait_for_batches(spark, f"{root}/progress", query)
+    finally:
+        spark.streams.removeListener(log)
+    dropped = rows_dropped(progress, str(query.id))
+    trend = _trend_out(spark.read.parquet(f"{root}/trend"), "event_type")
+    return trend.join(F.broadcast(dropped))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "score_headlines": q_score_headlines,
@@ -428,10 +449,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lenient_ts": q_lenient_ts,
         "retention_window": q_retention_window,
         "today_partition": q_today_partition,
-        "late_rows": q_late_rows,
         "sentiment_trend": q_sentiment_trend,
         "event_trend": q_event_trend,
         "stream_history": q_stream_history,
         "stream_dedupe": q_stream_dedupe,
         "stream_trend": q_stream_trend,
+        "stream_late_rows": q_stream_late_rows,
     }

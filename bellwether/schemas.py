@@ -45,7 +45,7 @@ ARTICLE = T.StructType([
 ])
 ENVELOPE = T.StructType([
     T.StructField("country", T.StringType()),
-    T.StructField("country_rank", T.IntegerType()),
+    T.StructField("country_rank", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("articles", T.ArrayType(ARTICLE)),
 ])

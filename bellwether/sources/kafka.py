@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-NEWS_TOPIC = "financial-news"
-SCORED_TOPIC = "financial-news-sentiment"
+from bellwether.constants import NEWS_TOPIC, SCORED_TOPIC
 
 
 def read_news_stream(spark: SparkSession, bootstrap: str, topic: str = NEWS_TOPIC,

@@ -60,14 +60,19 @@ CONV_LINK_PREFIX = "https://news.example.com/conv/"
 DATE_ONLY_FORMAT = "yyyy-MM-dd"
 
 
+REPEAT_EVERY = 3                  # these conversations are answered by a second country too
+SECOND_RANK = 1_000_000_000       # which comes later in fetch order
+
+
 def envelopes_from_conversations(conversations: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Landed API responses from ``conversations``.
 
     One response per (conversation, page of ``page_size`` turns), so no
-    response holds more articles than the API's page size.  Edge cases come
-    from fixed rules: a response holding a ``system`` turn failed; turn 0
-    carries a date-only publishedAt, turn 1 no source, turn 2 a source
-    without name, turn 3 no url.
+    response holds more articles than the API's page size.  Every third
+    conversation is also the response of a second country, so its titles come
+    twice.  Edge cases come from fixed rules: a response holding a ``system``
+    turn failed; turn 0 carries a date-only publishedAt, turn 1 no source,
+    turn 2 a source without name, turn 3 no url.
     """
     turn, conv = F.col("turn"), F.col("conv_id")
     ts = F.timestamp_add("MINUTE", turn,
@@ -87,9 +92,12 @@ def envelopes_from_conversations(conversations: DataFrame, page_size: int = PAGE
     grouped = paged.groupBy("conv_id", "page").agg(
         F.max(F.col("role") == F.lit("system")).alias("failed"),
         F.array_sort(F.collect_list(F.struct("turn", "article"))).alias("items"))
+    second = F.when(F.col("conv_id") % REPEAT_EVERY == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    grouped = grouped.withColumn("copy", F.explode(second))
     return grouped.select(
-        F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("country"),
-        F.col("conv_id").cast("int").alias("country_rank"),
+        F.concat(F.when(F.col("copy") == 0, F.lit("c")).otherwise(F.lit("d")),
+                 F.col("conv_id").cast("string")).alias("country"),
+        (F.col("conv_id") + F.col("copy") * F.lit(SECOND_RANK)).cast("long").alias("country_rank"),
         "page",
         F.when(F.col("failed"), F.lit("error")).otherwise(F.lit(STATUS_OK)).alias("status"),
         F.transform("items", lambda x: x.getField("article")).alias("articles"))
@@ -114,6 +122,8 @@ def page_titles(pages: DataFrame) -> DataFrame:
 FETCHES = 2                       # each document is fetched twice, an hour apart
 REFETCH_SECONDS = 3600.0
 NO_SOURCE_LANG = "es"             # messages from these documents omit `source`
+BAD_LABEL_EVERY = 50              # of so many documents one has label '' and one has none
+EMPTY_LABEL, NO_LABEL = 7, 8      # their remainders
 
 
 def scored_records_from_documents(documents: DataFrame) -> DataFrame:
@@ -123,18 +133,20 @@ def scored_records_from_documents(documents: DataFrame) -> DataFrame:
     later fetched_at), so keyed dedupe has work to do.  Fetch round ``f``
     lands in topic partition ``f`` at offset ``doc_id``, so offsets are
     contiguous within each partition.  Documents in ``NO_SOURCE_LANG``
-    yield messages without ``source``.
+    yield messages without ``source``; a few lack a label (F3).
     """
     scored = score_text(headlines_from_documents(documents, keep=("lang",)), "title", key="doc_id")
     fetch = F.explode(F.sequence(F.lit(0), F.lit(FETCHES - 1))).alias("fetch")
     both = scored.select("*", fetch)
     fetched_at = F.col("fetched_at") + F.col("fetch") * F.lit(REFETCH_SECONDS)
+    label = F.col("doc_id") % BAD_LABEL_EVERY
     msg = F.struct(
         F.col("title"),
         F.when(F.col("lang") != F.lit(NO_SOURCE_LANG), F.col("source")).alias("source"),
         F.col("publishedAt"), F.col("link"),
         fetched_at.alias("fetched_at"),
-        F.col("sentiment"), F.col("confidence"),
+        F.when(label == EMPTY_LABEL, F.lit("")).when(label != NO_LABEL, F.col("sentiment")).alias("sentiment"),
+        F.col("confidence"),
         epoch_to_timestamp(fetched_at).alias("fetched_at_ts"))
     return both.select(
         F.col("fetch").alias("partition"),

@@ -1,10 +1,14 @@
-"""K4 debug sinks and W3 query supervision."""
+"""K4 debug sinks, W3 query supervision, A4 and W4 from recorded progress."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from bellwether.sources.files import path_exists
 
 
 def debug_queries(raw: DataFrame, parsed_scored: DataFrame | None = None) -> list[StreamingQuery]:
@@ -41,25 +45,72 @@ def await_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
     return bool(spark.streams.awaitAnyTermination(timeout_s))
 
 
+PROGRESS = ("query_id string, run_id string, batch_id long, num_input_rows long, rows_dropped long, "
+            "observed map<string, map<string, long>>")
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends every progress event of the session's streams to a table.
+
+    A query keeps only its last progress events; the table keeps all of
+    them, so totals over a long run are totals over all its batches.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        observed = {name: {k: int(v) for k, v in row.asDict().items() if v is not None}
+                    for name, row in p.observedMetrics.items()}
+        dropped = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        row = (str(p.id), str(p.runId), p.batchId, p.numInputRows, dropped, observed)
+        self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+
+def log_progress(spark: SparkSession, path: str) -> ProgressLog:
+    """Start recording (stop with ``spark.streams.removeListener``)."""
+    log = ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    return log
+
+
+def progress_table(spark: SparkSession, path: str) -> DataFrame:
+    """All recorded progress, one row per batch and run."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], PROGRESS)
+    return spark.read.schema(PROGRESS).parquet(path)
+
+
+def progress_metrics(progress: DataFrame, name: str, *metrics: str) -> DataFrame:
+    """A4: the observed metrics of every recorded batch that has them."""
+    values = F.col("observed").getItem(name)
+    return progress.filter(values.isNotNull()).select(
+        "query_id", "batch_id", "num_input_rows", *[values.getItem(m).alias(m) for m in metrics])
+
+
+def rows_dropped(progress: DataFrame, query_id: str | None = None) -> DataFrame:
+    """Late rows that stateful operators dropped, over all recorded batches."""
+    some = progress if query_id is None else progress.filter(F.col("query_id") == F.lit(query_id))
+    return some.agg(F.coalesce(F.sum("rows_dropped"), F.lit(0)).alias("rows_dropped"))
+
 
-def progress_metrics(spark: SparkSession, query: StreamingQuery, name: str) -> DataFrame:
-    """A4: the observed metrics of every recorded batch as a small frame
-    (one row per batch; progress events are already on the driver)."""
-    rows, keys = [], []
-    for p in query.recentProgress:
-        observed = p["observedMetrics"].get(name)
-        if observed is None:
-            continue
-        values = observed.asDict()
-        keys = list(values)
-        rows.append((p["batchId"], p["numInputRows"], *values.values()))
-    if not rows:
-        return spark.createDataFrame([], "batch_id long, num_input_rows long")
-    return spark.createDataFrame(rows, ["batch_id", "num_input_rows", *keys])
-
-
-def rows_dropped_by_watermark(query: StreamingQuery) -> int:
-    """W4 (stream): late rows the query's stateful operators dropped, summed
-    over the recorded progress (the batch form is ``label_late_rows``)."""
-    return sum(op["numRowsDroppedByWatermark"]
-               for p in query.recentProgress for op in p["stateOperators"])
+def wait_for_batches(spark: SparkSession, path: str, query: StreamingQuery, timeout_s: float = 60.0) -> DataFrame:
+    """The progress table once it has the last batch of a query that has ended (events arrive after it)."""
+    last = query.lastProgress
+    until = time.monotonic() + timeout_s
+    while True:
+        table = progress_table(spark, path)
+        if last is None or table.filter((F.col("run_id") == F.lit(str(last["runId"]))) & (
+                F.col("batch_id") == F.lit(last["batchId"]))).limit(1).count() or time.monotonic() > until:
+            return table
+        time.sleep(0.2)

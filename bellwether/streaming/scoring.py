@@ -1,39 +1,52 @@
 """The scoring stream: raw news records in, scored JSON records out.
 
 S1 -> P1, P2 -> P3 -> W1 -> (per micro-batch) quarantine, P9-P11 -> P12-P15
--> K1.  Scoring explodes and regroups rows, which a streaming plan would
-treat as a stateful aggregation; inside ``foreachBatch`` each micro-batch
-is an ordinary batch frame, scored by the same job as in batch; when a
-batch feeds two outputs (scores and quarantine) it is persisted once.
+-> K1.  Scoring is a projection of each row; ``foreachBatch`` serves the two
+outputs (scores and quarantine) from one persisted batch.
 """
 
 from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from bellwether import constants as K
 from bellwether import schemas
 from bellwether.functions.parsing import bytes_to_string, epoch_to_timestamp, is_all_null, parse_json
-from bellwether.operators.scoring import score_text
+from bellwether.operators.scoring import Scorer, make_scorer, score_text
 
 BatchSink = Callable[[DataFrame, int], None]
 
+# How far an event time may lie ahead of the time of ingestion.  One such row
+# (milliseconds taken for seconds, say) would move the watermark past all others.
+MAX_AHEAD = "1 day"
 
-def parse_news(raw: DataFrame) -> DataFrame:
+
+def parse_news(raw: DataFrame, now: Column | None = None) -> DataFrame:
     """Decode, parse with the message schema, derive event time.
 
-    Records that parse to nothing (probe messages, non-JSON text, empty
-    values) are flagged in ``is_junk`` so they can be set aside.
+    ``reason`` tells why a record cannot be used: it parses to nothing (probe
+    messages, text that is not JSON, empty values), or its ``fetched_at`` is
+    no time or lies more than ``MAX_AHEAD`` after ``now``.  The raw value and
+    its position stay next to it.
     """
-    data = parse_json(bytes_to_string(F.col("value")), schemas.NEWS)
-    return raw.select(data.alias("data")).select(
-        "data.*",
-        (F.col("data").isNull() | is_all_null("data", schemas.NEWS)).alias("is_junk"),
+    position = [c for c in ("partition", "offset") if c in raw.columns]
+    value = bytes_to_string(F.col("value"))
+    data = parse_json(value, schemas.NEWS)
+    parsed = raw.select(*position, value.alias("value"), data.alias("data")).select(
+        *position, "value", "data.*",
+        (F.col("data").isNull() | is_all_null("data", schemas.NEWS)).alias("__junk"),
     ).withColumn("fetched_at_ts", epoch_to_timestamp("fetched_at"))
+    latest = (F.current_timestamp() if now is None else now) + F.expr(f"INTERVAL {MAX_AHEAD}")
+    reason = (F.when(F.col("__junk"), F.lit("not a news message"))
+              .when(F.col("fetched_at").isNotNull() & F.col("fetched_at_ts").isNull(),
+                    F.lit("fetched_at is no time"))
+              .when(F.col("fetched_at_ts") > latest, F.lit("fetched_at lies in the future")))
+    return (parsed.withColumn("reason", reason).drop("__junk")
+            .withColumn("fetched_at_ts", F.when(F.col("reason").isNull(), F.col("fetched_at_ts"))))
 
 
 def scored_values(scored: DataFrame) -> DataFrame:
@@ -43,36 +56,40 @@ def scored_values(scored: DataFrame) -> DataFrame:
         F.col("confidence").cast("float").alias("confidence"), "fetched_at_ts")).alias("value"))
 
 
-def score_batch(parsed: DataFrame, lexicon=None, boosters=None, negations=None) -> DataFrame:
+def score_batch(parsed: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     """Score the usable messages of one batch (text in ``title``)."""
-    good = parsed.filter(~F.col("is_junk")).drop("is_junk")
-    return score_text(good, "title", lexicon=lexicon, boosters=boosters, negations=negations)
+    good = parsed.filter(F.col("reason").isNull()).drop("reason", "value", "partition", "offset")
+    return score_text(good, "title", scorer=scorer)
+
+
+def set_aside(parsed: DataFrame) -> DataFrame:
+    """The records that cannot be used: position (if known), original value and reason."""
+    position = [c for c in ("partition", "offset") if c in parsed.columns]
+    return parsed.filter(F.col("reason").isNotNull()).select(*position, "value", "reason")
 
 
-def scoring_stream(raw: DataFrame, sink: BatchSink, checkpoint: str,
-                   quarantine: BatchSink | None = None,
+def scoring_stream(raw: DataFrame, sink: BatchSink, checkpoint: str, quarantine: BatchSink,
                    lexicon=None, boosters=None, negations=None) -> DataStreamWriter:
     """Build the scoring query (call ``.trigger(...).start()`` on the result).
 
     ``sink(values_df, batch_id)`` receives the JSON values of each batch;
-    ``quarantine`` (optional) the junk records.  W2: progress lives in
-    ``checkpoint`` and is kept across restarts (never wiped at start).
+    ``quarantine`` the records set aside.  The scorer's tables are checked
+    once, here.  W2: progress lives in ``checkpoint`` and is kept across
+    restarts (never wiped at start).
 
     W1: the 10-minute watermark on ``fetched_at_ts`` is declared here as in
     the original, where no stateful operator follows it and nothing is
     dropped; scoring is stateless.  It takes effect in the windowed trend
-    (``trend_stream``), which applies the same delay to the same event time.
+    (``trend_stream``), which applies the same delay to its event time.
     """
+    scorer = make_scorer(lexicon, boosters, negations)
     parsed = observe_counts(parse_news(raw).withWatermark("fetched_at_ts", K.WATERMARK_DELAY))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if quarantine is None:
-            sink(scored_values(score_batch(batch, lexicon, boosters, negations)), batch_id)
-            return
         batch.persist()       # read twice: scored output and quarantine
         try:
-            sink(scored_values(score_batch(batch, lexicon, boosters, negations)), batch_id)
-            quarantine(batch.filter(F.col("is_junk")), batch_id)
+            sink(scored_values(score_batch(batch, scorer)), batch_id)
+            quarantine(set_aside(batch), batch_id)
         finally:
             batch.unpersist()
 
@@ -88,19 +105,22 @@ def observe_counts(parsed: DataFrame) -> DataFrame:
     in each progress event under ``observedMetrics[METRICS_NAME]``."""
     return parsed.observe(METRICS_NAME,
                           F.count(F.lit(1)).alias("n_records"),
-                          F.count_if(~F.col("is_junk")).alias("n_messages"))
+                          F.count_if(F.col("reason").isNull()).alias("n_messages"))
 
 
 def folder_sink(folder: str) -> BatchSink:
-    """Stand-in for K1: each batch goes to ``folder/batch=<id>`` (text for a
-    single ``value`` column, parquet otherwise).
+    """Stand-in for K1: each batch goes to ``folder/batch=<id>``.
 
-    A retried batch overwrites its own folder, so output is written once.
+    A single ``value`` column becomes a topic stand-in (JSON lines with a
+    position that rises from batch to batch), anything else parquet.  A
+    retried batch overwrites its own folder, so output is written once.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         target = f"{folder.rstrip('/')}/batch={batch_id}"
         if df.columns == ["value"]:
-            df.write.mode("overwrite").text(target)
+            offset = F.lit(batch_id).cast("long") * F.lit(1 << 44) + F.monotonically_increasing_id()
+            df.select(F.lit(0).alias("partition"), offset.alias("offset"), "value").write.mode(
+                "overwrite").json(target)
         else:
             df.write.mode("overwrite").parquet(target)
     return write

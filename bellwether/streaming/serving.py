@@ -5,42 +5,48 @@ D2 in stream form comes in two ways:
 * ``history_stream`` (default): each micro-batch is de-duplicated with the
   batch operator (partial aggregation before the shuffle, so a headline
   repeated in a third of all messages costs one record per task), then
-  left-anti joined with the history itself on (day, title, publishedAt).
-  ``day`` is derived from ``publishedAt``, so an earlier copy of a key can
-  only sit in the same day partition: the join reads just the batch's days.
-  The dedupe is exact for all time, needs no state store, and a retried
-  batch finds its own committed rows and writes nothing twice.
+  left-anti joined with the history itself on a 128-bit key of (title,
+  publishedAt).  ``day`` is derived from ``publishedAt``, so an earlier copy
+  of a key can only sit in the same day partition: the join reads the keys
+  of the batch's range of days.  The dedupe is exact for all time, needs no
+  state store, and a retried batch finds its own committed rows and writes
+  nothing twice.
 * ``deduped_scored``: ``dropDuplicatesWithinWatermark`` with its own long
   delay (headlines return with every hourly fetch, so keys must be kept far
-  longer than the 10-minute event watermark); state bounded by time.  For
-  sinks other than the history table.
+  longer than the 10-minute event watermark); state bounded by time, but
+  every copy of a headline goes to one state partition.  For sinks other
+  than the history table; its undated rows are those of ``undated_scored``.
+
+Both take the first arrival: the record with the least offset.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from bellwether import constants as K
-from bellwether.functions.parsing import bytes_to_string, parse_json
 from bellwether import schemas
+from bellwether.functions.parsing import bytes_to_string, lenient_timestamp, parse_json
 from bellwether.operators.serving import first_per_key, has_required_keys, to_served
 from bellwether.operators.timeline import trend
-from bellwether.sources.files import path_exists, history_sink, with_day
+from bellwether.sources.files import STORED_HISTORY, append_history, history_sink, path_exists, with_day, with_key
+
+ARRIVAL = ("offset", "partition")
 
 
 def parse_scored(raw: DataFrame) -> DataFrame:
-    """S5 + P1/P2: scored records to columns."""
+    """S5 + P1/P2: scored records to columns, with their position."""
     data = parse_json(bytes_to_string(F.col("value")), schemas.SCORED)
-    return raw.select(data.alias("d")).select("d.*")
+    return raw.select("partition", "offset", data.alias("d")).select("partition", "offset", "d.*")
 
 
 def deduped_scored(raw: DataFrame, delay: str = K.DEDUPE_DELAY) -> DataFrame:
     """F1 then D2 (stream form) on the scored records.
 
-    Rows without an event time cannot be placed against the watermark and
-    are excluded here; route them with ``undated_scored``.
+    Rows without an event time cannot be placed against the watermark; they
+    are ``undated_scored``, which goes to a sink of its own.
     """
     valid = parse_scored(raw).filter(has_required_keys() & F.col("fetched_at_ts").isNotNull())
     return (valid.withWatermark("fetched_at_ts", delay)
@@ -48,39 +54,51 @@ def deduped_scored(raw: DataFrame, delay: str = K.DEDUPE_DELAY) -> DataFrame:
 
 
 def undated_scored(raw: DataFrame) -> DataFrame:
+    """The valid records that have no event time."""
     return parse_scored(raw).filter(has_required_keys() & F.col("fetched_at_ts").isNull())
 
 
+def new_to_history(rows: DataFrame, path: str) -> DataFrame:
+    """Rows (with ``day`` and ``key``) whose key the history does not have."""
+    spark = rows.sparkSession
+    if not path_exists(spark, path):
+        return rows
+    low, high, undated = rows.agg(F.min("day"), F.max("day"), F.bool_or(F.col("day").isNull())).first()
+    in_days = F.lit(False) if low is None else F.col("day").between(F.lit(low), F.lit(high))
+    if undated:                                            # unparsable time -> null day
+        in_days = in_days | F.col("day").isNull()
+    seen = spark.read.schema(STORED_HISTORY).parquet(path).filter(in_days).select("key")
+    return rows.join(seen, "key", "left_anti")
+
+
 def history_stream(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """K3: valid rows, new to the history, rounded, appended per micro-batch."""
     valid = parse_scored(raw).filter(has_required_keys())
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        first = first_per_key(batch, ["title", "publishedAt"], ["fetched_at_ts"])
-        rows = with_day(to_served(first)).persist()      # read for its days, then written
+        first = first_per_key(batch, ["title", "publishedAt"], list(ARRIVAL))
+        rows = with_key(with_day(to_served(first))).persist()      # read for its days, then written
         try:
-            if path_exists(spark, path):
-                # only the batch's day partitions can hold an earlier copy
-                days = [r[0] for r in rows.select("day").distinct().collect()]
-                in_days = F.col("day").isin([d for d in days if d is not None])
-                if None in days:                           # unparsable time -> null day
-                    in_days = in_days | F.col("day").isNull()
-                seen = spark.read.parquet(path).filter(in_days).select(
-                    F.col("day").alias("__day"), F.col("title").alias("__title"),
-                    F.col("publishedAt").alias("__pub"))
-                same = (rows["day"].eqNullSafe(seen["__day"]) & (rows["title"] == seen["__title"])
-                        & (rows["publishedAt"] == seen["__pub"]))
-                new = rows.join(seen, same, "left_anti")
-            else:
-                new = rows
-            new.write.mode("append").partitionBy("day").parquet(path)
+            append_history(new_to_history(rows, path), path)
         finally:
             rows.unpersist()
 
     return valid.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
 
+def history_as_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The history as it grows, each headline once: ``ts`` (publication), ``sentiment``, ``confidence``.
+
+    Rows without a publication time, or with one more than a day ahead (it
+    would move the watermark past all others), are left out; the history
+    itself has them.
+    """
+    rows = spark.readStream.schema(STORED_HISTORY).parquet(path)
+    ts = lenient_timestamp("publishedAt")
+    dated = rows.select(ts.alias("ts"), "sentiment", "confidence")
+    return dated.filter(F.col("ts") <= F.current_timestamp() + F.expr("INTERVAL 1 DAY"))
+
+
 def history_stream_stateful(raw: DataFrame, path: str, checkpoint: str,
                             delay: str = K.DEDUPE_DELAY) -> DataStreamWriter:
     """K3 with the state-store dedupe (``deduped_scored``) and Spark's file sink."""
@@ -90,9 +108,13 @@ def history_stream_stateful(raw: DataFrame, path: str, checkpoint: str,
 def trend_stream(scored: DataFrame, path: str, checkpoint: str, ts_col: str = "fetched_at_ts",
                  label_col: str = "sentiment", value_col: str = "confidence",
                  width: str = "1 hour", delay: str = K.WATERMARK_DELAY) -> DataStreamWriter:
-    """X1 (stream): windowed counts per label; a window is written once the
-    watermark passes its end (append mode), and late rows are dropped by
-    the watermark (W1, W4; see ``numRowsDroppedByWatermark`` in progress)."""
+    """X1 (stream): windowed counts per label (append mode).
+
+    A window is written once the watermark passes its end, so the windows
+    that are open when the stream stops are not in the table yet.  Late rows
+    are dropped by the watermark (W1, W4); ``runner.rows_dropped`` counts
+    them from the recorded progress.
+    """
     agg = trend(scored.withWatermark(ts_col, delay), ts_col, label_col, value_col, width)
     return (agg.writeStream.format("parquet").option("path", path)
             .option("checkpointLocation", checkpoint).outputMode("append"))

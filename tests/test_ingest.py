@@ -74,8 +74,7 @@ def test_union_keeps_duplicates(spark):
 
 def test_fetch_metrics(envelopes):
     flat = ingest.flatten_envelopes(envelopes)
-    dd = ingest.dedupe_first_title(flat)
-    m = ingest.fetch_metrics(flat, ingest.normalise_articles(dd, 0.0)).collect()[0]
+    m = ingest.fetch_metrics(flat).collect()[0]
     assert (m["n_fetched"], m["n_unique"], m["n_sent"], m["n_rejected"]) == (10, 8, 5, 3)
 
 

@@ -3,7 +3,10 @@
 import json
 import os
 
-from bellwether.jobs import Layout, start_jobs
+import time
+
+from bellwether import schemas
+from bellwether.jobs import Layout, run_ingest, serve, start_jobs
 from bellwether.sources import files as FS
 
 
@@ -22,7 +25,9 @@ def test_jobs_once_on_files(spark, tmp_dir):
         assert q.exception() is None
     hist = {r["title"]: r["sentiment"] for r in FS.read_history(spark, layout.path("history")).collect()}
     assert hist == {"great news": "Positive", "terrible loss": "Negative", "plain": "Neutral"}
-    assert spark.read.parquet(layout.path("quarantine")).count() == 1
+    junk = spark.read.parquet(layout.path("quarantine")).collect()
+    assert [(json.loads(r["value"]), r["reason"]) for r in junk] == [
+        ({"message": "Kafka connection test"}, "not a news message")]
     assert os.path.isdir(layout.path("trend"))
 
 
@@ -34,5 +39,40 @@ def test_cli_once(spark, tmp_dir):
         f.write(json.dumps({"title": "good", "source": "s", "publishedAt": "2024-06-28 10:00:00",
                             "link": "l", "fetched_at": 1719568800.0}) + "\n")
     root = os.path.join(tmp_dir, "root")
-    main(["--source", "files", "--raw", raw, "--root", root, "--once"])
+    main(["stream", "--source", "files", "--raw", raw, "--root", root, "--once"])
     assert FS.read_history(spark, os.path.join(root, "history")).count() == 1
+
+
+def test_jobs_start_before_anything_has_landed(spark, tmp_dir):
+    """Without --once the readers of the scored folder and the history start on empty folders."""
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    layout = Layout(os.path.join(tmp_dir, "root"))
+    queries = start_jobs(spark, "files", layout, raw_folder=raw)
+    try:
+        time.sleep(3)
+        assert all(q.isActive and q.exception() is None for q in queries) and len(queries) == 3
+    finally:
+        for q in queries:
+            q.stop()
+
+
+def test_ingest_then_stream_then_serve(spark, tmp_dir):
+    layout = Layout(os.path.join(tmp_dir, "root"))
+    def art(title, when="2024-06-28T10:00:00Z", name="s"):
+        return {"title": title, "url": "u", "publishedAt": when, "source": {"name": name}}
+    rows = [("us", 0, "ok", [art("great news"), art("bad day", name="t"), art("no time", when="soon")]),
+            ("cn", 1, "ok", [art("great news", when="2024-06-28T11:00:00Z")]), ("jp", 2, "error", [art("lost")])]
+    counts = run_ingest(spark, spark.createDataFrame(rows, schemas.ENVELOPE), layout, 1719568800.0).collect()[0]
+    assert tuple(counts) == (4, 3, 2, 1)
+    assert [r["reject_reason"] for r in spark.read.parquet(layout.path("rejected")).collect()] == ["unparsable publishedAt"]
+    start_jobs(spark, "files", layout, raw_folder=layout.path("raw"), once=True)
+    views = serve(spark, layout, "Negative", advance=True)
+    for name in ("latest", "history"):
+        assert {r["sentiment"]: r["n"] for r in views[name]["counts"].collect()} == {"Positive": 1, "Negative": 1, "Neutral": 0}
+        assert views[name]["n_rows"].collect()[0][0] == 1
+        assert "**bad day**" in views[name]["cards"].collect()[0]["card"]
+        assert {r[0] for r in views[name]["sources"].collect()} == {"s", "t"}
+    again = serve(spark, layout, sources=["s"])                    # the position was committed: nothing is unread
+    assert again["latest"]["n_rows"].collect()[0][0] == 0
+    assert again["history"]["n_rows"].collect()[0][0] == 1

@@ -139,10 +139,20 @@ def test_empty_inputs_give_typed_results(spark):
     assert serving.filtered_count(empty).collect()[0]["n_rows"] == 0
 
 
-def test_capped_take_per_partition(spark):
-    rows = ([(0, 500 + i, "ok") for i in range(35)]
-            + [(1, 7 + i, None if i in (30, 31, 32) else "ok") for i in range(40)])
+def test_capped_take_has_one_index_over_the_read(spark):
+    """Offsets may have gaps and there may be several partitions: 31 records at most in all."""
+    rows = ([(1, 7 + 3 * i, "ok") for i in range(40)] + [(0, 500 + 10 * i, None if i % 5 == 0 else "ok") for i in range(20)])
     df = spark.createDataFrame(rows, schemas.TOPIC_RECORD)
-    got = sorted((r["partition"], r["idx"]) for r in
+    got = sorted((r["idx"], r["partition"], r["offset"]) for r in
                  serving.capped_take(df, F.col("value").isNotNull()).collect())
-    assert got == [(0, i) for i in range(31)] + [(1, i) for i in range(30)] + [(1, 33)]
+    first = [(i, 0, 500 + 10 * i) for i in range(20) if i % 5]
+    assert got == first + [(20 + i, 1, 7 + 3 * i) for i in range(11)]
+    plan = serving.capped_take(df, F.col("value").isNotNull())._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_card_with_missing_fields_is_still_a_card(spark):
+    df = spark.createDataFrame([("t", None, None, "Positive", None, None)],
+                               "title string, source string, publishedAt string, sentiment string, confidence double, link string")
+    card = serving.headline_cards(df).collect()[0]["card"]
+    assert card.startswith("**t**") and "_Source_:   " in card and card.endswith("()")

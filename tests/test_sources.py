@@ -35,6 +35,50 @@ def test_csv_export_and_read(spark, tmp_dir):
     assert sorted(tuple(r) for r in back.collect()) == sorted(ROWS)
 
 
+def test_csv_round_trip_of_hard_titles(spark, tmp_dir):
+    hard = [("a, b", "s", "2024-01-01 10:00:00", "Positive", 0.5, "l"), ('say "x"', " s ", "p", "Neutral", None, ""),
+            ("two\nlines", "s", "p", "Negative", -1.0, "l"), ("", None, "p", "Neutral", 0.0, "back\\slash")]
+    path = os.path.join(tmp_dir, "csv")
+    FS.export_csv(spark.createDataFrame(hard, schemas.HISTORY), path)
+    assert sorted(map(str, FS.read_history_csv(spark, path).collect())) == sorted(
+        map(str, spark.createDataFrame(hard, schemas.HISTORY).collect()))
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_dir):
+    """A file written by pandas: another column order, one column missing, one extra."""
+    import pandas as pd
+    path = os.path.join(tmp_dir, "hist")
+    os.makedirs(path)
+    pd.DataFrame({"title": ["a, b", "two\nlines"], "sentiment": ["Positive", "Neutral"], "source": ["s", 'q"q'],
+                  "publishedAt": ["2024-01-01 10:00:00"] * 2, "confidence": [0.5, "n/a"], "extra": [1, 2]}
+                 ).to_csv(os.path.join(path, "one.csv"), index=False)
+    pd.DataFrame({"link": ["l"], "title": ["t"]}).to_csv(os.path.join(path, "two.csv"), index=False)
+    got = sorted(tuple(r) for r in FS.read_history_csv(spark, path).collect())
+    assert got == [("a, b", "s", "2024-01-01 10:00:00", "Positive", 0.5, ""), ("t", "", "", "", None, "l"),
+                   ("two\nlines", 'q"q', "2024-01-01 10:00:00", "Neutral", None, "")]
+
+
+def test_history_takes_any_column_order_and_days_can_be_reset(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "hist")
+    df = spark.createDataFrame(ROWS, schemas.HISTORY)
+    FS.append_history(df.select("link", "title", "publishedAt", "confidence", "sentiment", "source"), path)   # P20
+    FS.overwrite_days(df.limit(1).withColumn("title", F.lit("new")), path)                                    # K5
+    assert sorted(r["title"] for r in FS.read_history(spark, path).collect()) == ["new", "t2"]
+
+
+def test_read_position(spark, tmp_dir):
+    """S3: resume behind what was read; partitions move by themselves."""
+    from bellwether.sources import cursor
+    path = os.path.join(tmp_dir, "position")
+    recs = spark.createDataFrame([(0, 5, "a"), (0, 9, "b"), (1, 2, "c")], schemas.TOPIC_RECORD)
+    assert cursor.load(spark, path) == {} and cursor.unread(recs, {}).count() == 3
+    at = cursor.commit(spark, path, recs.where("offset < 9"), {})
+    assert at == {0: 6, 1: 3} == cursor.load(spark, path)
+    assert [r["value"] for r in cursor.unread(recs, at).collect()] == ["b"]
+    assert cursor.commit(spark, path, recs.where("value = 'b'"), at) == {0: 10, 1: 3} == cursor.load(spark, path)
+    assert cursor.as_kafka_offsets("t", at) == '{"t": {"0": 6, "1": 3}}' and cursor.as_kafka_offsets("t", {}) == "earliest"
+
+
 def test_sentiment_struct(spark):
     r = spark.range(1).select(sentiment_struct(F.lit("Positive"), F.lit(0.25)).alias("s")).collect()[0]
     assert r["s"]["sentiment"] == "Positive" and r["s"]["confidence"] == 0.25
@@ -45,7 +89,7 @@ def test_debug_sinks_and_supervision(spark, tmp_dir):
     os.makedirs(src)
     with open(os.path.join(src, "a.json"), "w") as f:
         f.write('{"title":"x","sentiment":""}\n')
-    raw = FS.read_topic_stream(spark, src)
+    raw = FS.read_raw_stream(spark, src)
     parsed = raw.select(F.from_json("value", schemas.SCORED).alias("d")).select("d.*")
     qs = runner.debug_queries(raw, parsed)
     try:
@@ -76,6 +120,6 @@ def test_kafka_writers_need_the_connector(spark, tmp_dir):
     with pytest.raises((AnalysisException, PySparkException, Py4JJavaError)):
         kafka.publish_news(msgs, "broker:9092")
     os.makedirs(os.path.join(tmp_dir, "in"))
-    values = FS.read_topic_stream(spark, os.path.join(tmp_dir, "in"))
+    values = FS.read_raw_stream(spark, os.path.join(tmp_dir, "in"))
     with pytest.raises((AnalysisException, PySparkException, Py4JJavaError)):
         kafka.write_scored_stream(values, "broker:9092", os.path.join(tmp_dir, "ck")).start()

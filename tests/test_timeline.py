@@ -1,9 +1,7 @@
-"""K5, K6, W4 (batch form), X1."""
+"""K5, K6, X1."""
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from bellwether.operators import timeline
 
 T0 = dt.datetime(2024, 1, 10, 12, 0, 0)
@@ -28,27 +26,6 @@ def test_today_partition(spark):
     assert sorted(r["id"] for r in timeline.today_partition(df, "ts", "2024-01-09").collect()) == [0]
 
 
-def test_late_rows_marks_after_watermark_moves(spark):
-    # batches of 2 rows: [0,1] [2,3] [4,5] [6,7]
-    #   batch 0: 12:00, 14:00 (2 h ahead)   eviction wm none,  late wm none
-    #   batch 1: 13:40, null                eviction wm 13:50, late wm none  -> kept
-    #   batch 2: 13:39, 14:05               eviction wm 13:50, late wm 13:50 -> 13:39 late
-    #   batch 3: 13:56, 14:10               eviction wm 13:55, late wm 13:50 -> kept
-    df = frame(spark, [0, 120, 100, None, 99, 125, 116, 130])
-    out = {r["id"]: r["is_late"] for r in timeline.label_late_rows(df, "ts", "id", 2).collect()}
-    assert out == {0: False, 1: False, 2: False, 3: False, 4: True, 5: False, 6: False, 7: False}
-
-
-def test_late_rows_across_chunks(spark):
-    # more batches than one chunk of 1024: running max must cross chunk borders
-    n = 2100
-    rows = [(i, T0 + dt.timedelta(minutes=i)) for i in range(n)] + [(n, T0), (1024, T0)]
-    df = spark.createDataFrame(rows, "id long, ts timestamp").filter("id != 1024 or ts = timestamp'2024-01-10 12:00:00'")
-    out = timeline.label_late_rows(df, "ts", "id", 1)
-    late = sorted(r["id"] for r in out.filter("is_late").collect())
-    assert late == [1024, n]    # 1024 opens the second chunk
-
-
 def test_trend_counts_and_mean(spark):
     rows = [(T0, "Positive", 1.0), (T0 + dt.timedelta(minutes=59), "Positive", 0.5),
             (T0 + dt.timedelta(minutes=60), "Positive", 0.25), (T0, "Negative", -1.0)]
@@ -59,27 +36,26 @@ def test_trend_counts_and_mean(spark):
                    (T0 + dt.timedelta(hours=1), "Positive"): (1, 0.25)}
 
 
-def test_exclusive_prefix_max_matches_brute_force(spark):
-    import random
-    rnd = random.Random(7)
-    keys = sorted(rnd.sample(range(0, 5000), 700))          # gaps between keys
-    rows = [(k, rnd.randint(0, 10**6)) for k in keys]
-    df = spark.createDataFrame(rows, "k long, v long")
-    out = timeline.exclusive_prefix_max(df.withColumn("id", df["k"]), "k", "v", "id", width=4)
-    got = {r["k"]: (r["v"], r["id"]) for r in out.collect()}
-    best, prev = None, None
-    for k, v in rows:
-        assert got[k] == (best, prev)
-        best = v if best is None else max(best, v)
-        prev = k
-
-
-def test_explicit_horizon_reaches_the_parquet_scan(spark):
+def _pushed(df):
     import re
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
 
+
+def test_horizons_reach_the_parquet_scan(spark):
+    """Also the default ones: a range on the raw column, not just a null check."""
     from bellwether.sources import tables as TB
-    ev = TB.events(spark, "/root/testdata/sf0.001")
-    df = timeline.retention_window(ev, "ts", "7 days", horizon="2024-01-20 00:00:00")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
-    assert pushed and "GreaterThanOrEqual(ts" in pushed[0]
+    ev = TB.load(spark, "/root/testdata/sf0.001", "events")
+    for df in (timeline.retention_window(ev, "ts", "7 days", horizon="2024-01-20 00:00:00"),
+               timeline.retention_window(ev, "ts", "7 days")):
+        pushed = _pushed(df)
+        assert len(pushed) == 1 and "GreaterThanOrEqual(ts" in pushed[0]
+    for df in (timeline.today_partition(ev, "ts"), timeline.today_partition(ev, "ts", "2024-01-20")):
+        pushed = _pushed(df)
+        assert len(pushed) == 1 and "GreaterThanOrEqual(ts" in pushed[0] and "LessThan(ts" in pushed[0]
+
+
+def test_empty_frames(spark):
+    empty = frame(spark, [0]).limit(0)
+    assert timeline.retention_window(empty, "ts", "7 days").count() == 0
+    assert timeline.today_partition(empty, "ts").count() == 0
