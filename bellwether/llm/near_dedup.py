@@ -48,7 +48,7 @@ BANDS, ROWS = 30, 6
 COMPONENTS = BANDS * ROWS
 SLACK = 0.15                 # four to five standard errors of a signature's estimate
 BLOCK = 1_024                # nodes compared in one task
-BATCH_WORDS = 400_000        # words whose arrivals are drawn at once
+BATCH_WORDS = 200_000        # words whose arrivals are drawn at once
 SMALL_IDS = 2_000_000        # node ids that may be broadcast (16 MB)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -137,16 +137,18 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], m: int = COMPONENTS) -
     return best_e.reshape(-1, m)
 
 
-def _batches(texts: list[list[bytes]]) -> Iterator[range]:
-    start = size = 0
-    for i, ws in enumerate(texts):
-        if size and size + len(ws) > BATCH_WORDS:
-            yield range(start, i)
-            start = i
-            size = 0
-        size += len(ws)
-    if start < len(texts):
-        yield range(start, len(texts))
+def _blocks(column: pa.Array, size: int = BATCH_WORDS) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """Words of the texts of a column, in blocks of about ``size``, each with the row it begins at."""
+    first, held, n = 0, [], 0
+    for row, text in enumerate(column):
+        ws = words(text.as_py())
+        if held and n + len(ws) > size:
+            yield first, held
+            first, held, n = row, [], 0
+        held.append(ws)
+        n += len(ws)
+    if held:
+        yield first, held
 
 
 def _hashes(ws: list[bytes], cache: HashCache) -> np.ndarray:
@@ -162,12 +164,11 @@ def sketch(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = HashCache()
         for batch in batches:
-            texts = [words(t.as_py()) for t in batch.column(1)]
-            for part in _batches(texts):
-                some = [i for i in part if texts[i]]
-                node: list[bytes | None] = [None] * len(part)
-                bands: list[np.ndarray | None] = [None] * len(part)
-                marks: list[bytes | None] = [None] * len(part)
+            for first, texts in _blocks(batch.column(1)):
+                some = [i for i, ws in enumerate(texts) if ws]
+                node: list[bytes | None] = [None] * len(texts)
+                bands: list[np.ndarray | None] = [None] * len(texts)
+                marks: list[bytes | None] = [None] * len(texts)
                 if some:
                     sig = signatures([shingles(_hashes(texts[i], cache)) for i in some])
                     with np.errstate(over="ignore"):
@@ -177,11 +178,11 @@ def sketch(docs: DataFrame) -> DataFrame:
                         key = mix(key + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
                     short = (sig >> np.uint64(48)).astype(np.uint16)
                     for j, i in enumerate(some):
-                        node[i - part[0]] = xxhash.xxh3_128_digest(b" ".join(texts[i]))
-                        bands[i - part[0]] = key[j]
-                        marks[i - part[0]] = short[j].tobytes()
+                        node[i] = xxhash.xxh3_128_digest(b" ".join(texts[i]))
+                        bands[i] = key[j]
+                        marks[i] = short[j].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part[0], len(part)), pa.array(node, pa.binary()),
+                    [batch.column(0).slice(first, len(texts)), pa.array(node, pa.binary()),
                      pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
                     ["doc_id", "node", "bands", "marks"])
 
@@ -217,15 +218,21 @@ def link_marks(payloads: list[bytes], parts: Parts, left: np.ndarray, least: flo
 
 
 def link_texts(payloads: list[str], parts: Parts, left: np.ndarray, least: float) -> None:
-    """Join nodes whose texts have a probability Jaccard similarity of at least ``least``."""
+    """Join nodes whose texts have a probability Jaccard similarity of at least ``least``.
+
+    Signatures tell which pairs are worth the exact comparison (those within
+    ``SLACK`` of the threshold), the most similar first: a link found early
+    spares comparisons within the part it joins.
+    """
     cache = HashCache()
     sets = [shingles(_hashes(words(t), cache)) for t in payloads]
-    mass = np.array([s[1].sum() for s in sets])
+    sig = (signatures(sets) >> np.uint64(48)).astype(np.uint16)
     every = np.arange(len(payloads))
     for i in left:
         others = parts.apart(i, every)
-        # the nearest in size first: a link found early spares comparisons within the part it joins
-        for j in others[np.argsort(np.abs(mass[others] - mass[i]), kind="stable")]:
+        agree = (sig[others] == sig[i]).mean(axis=1)
+        near = others[agree >= least - SLACK]
+        for j in near[np.argsort(-agree[agree >= least - SLACK], kind="stable")]:
             if parts.label[i] != parts.label[j] and similarity(sets[i], sets[j]) >= least:
                 parts.join(i, j)
 
