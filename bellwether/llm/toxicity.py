@@ -7,7 +7,8 @@ Levenshtein automata of its terms, whose states are sets of (trie node,
 edits so far); the product is made deterministic as it is used, so a word
 costs one table step per character and most words die after a few.  Terms
 of up to 4 characters must match exactly, up to 8 with one edit, longer ones
-with two.
+with two; a term whose misspellings turn up in clean training texts must
+match exactly too, whatever its length.
 
 A hit counts for its distance and for its context: in a window around it,
 quotation marks or words of reporting separate quotation from abuse.  A
@@ -39,7 +40,9 @@ from bellwether.llm.common import id_split, map_rows
 MAX_ROWS = 20_000
 MAX_TERMS = 5_000
 MAX_CANDIDATES = 200_000
-MIN_TOXIC = 3                # toxic texts a term must occur in
+MIN_TOXIC = 3                # toxic texts a term must occur in, and their
+MIN_SHARE = 0.004            # share of all toxic texts
+MAX_STRAY = 0.002            # share of clean texts that may have a misspelling of a term
 MIN_RATIO = 20.0             # smoothed ratio of its rates in toxic and clean texts
 STEM = (4, 12)               # lengths of stems
 MIN_ENDINGS = 3              # different words a stem must begin
@@ -62,16 +65,20 @@ def edits_allowed(length: int) -> int:
     return 0 if length <= 4 else 1 if length <= 8 else 2
 
 
+#: A term, whether it is a stem, and the edits it allows.
+Term = tuple[str, bool, int]
+
+
 class Matcher:
     """The product of the lexicon trie and the Levenshtein automata, made deterministic on demand."""
 
-    def __init__(self, terms: list[tuple[str, bool]]):
-        """``terms``: (term, is a stem)."""
+    def __init__(self, terms: list[Term]):
         self.children: list[dict[str, int]] = [{}]
         self.budget = [0]                        # most edits any term below a node allows
-        self.ends: list[list[tuple[int, bool]]] = [[]]
-        for term, stem in terms:
-            node, most = 0, edits_allowed(len(term))
+        self.ends: list[list[int]] = [[]]        # terms that end at a node
+        self.terms = terms
+        for k, (term, _, most) in enumerate(terms):
+            node = 0
             self.budget[0] = max(self.budget[0], most)
             for ch in term:
                 if ch not in self.children[node]:
@@ -81,7 +88,7 @@ class Matcher:
                     self.ends.append([])
                 node = self.children[node][ch]
                 self.budget[node] = max(self.budget[node], most)
-            self.ends[node].append((most, stem))
+            self.ends[node].append(k)
         self.reset()
 
     def reset(self) -> None:
@@ -109,7 +116,8 @@ class Matcher:
             self.moves.append({})
             word = stem = 99
             for node, e in best.items():
-                for most, is_stem in self.ends[node]:
+                for k in self.ends[node]:
+                    _, is_stem, most = self.terms[k]
                     if e <= most:
                         word = min(word, e)
                         if is_stem:
@@ -143,10 +151,25 @@ class Matcher:
         return min(best, final[state][0])
 
 
+    def misspelled(self, word: str) -> set[int]:
+        """Terms of which ``word`` is (or begins with) a misspelling, if it is no term itself."""
+        if self.distance(word) in (0, 99):
+            return set()
+        found: set[int] = set()
+        state = self.start
+        for i, ch in enumerate(word, 1):
+            nxt = self.moves[state].get(ch)
+            state = self.step(state, ch) if nxt is None else nxt
+            for node, e in self.sets[state]:
+                found.update(k for k in self.ends[node]
+                             if e <= self.terms[k][2] and (self.terms[k][1] or i == len(word)))
+        return found
+
+
 class Hits:
     """Hits of a text by distance and context; remembers the words it has seen."""
 
-    def __init__(self, terms: list[tuple[str, bool]]):
+    def __init__(self, terms: list[Term]):
         self.matcher = Matcher(terms)
         self.seen: dict[str, int] = {}
 
@@ -182,8 +205,7 @@ class Hits:
         (n0, n1, n2), quote = n[0], sum(n[1])
         hits = n0 + n1 + n2
         return [np.log1p(hits), float(hits > 0), np.log1p(n1), np.log1p(n2), float(hits > 0 and not n0),
-                np.log1p(quote), float(quote > 0), np.log1p(1000 * hits / max(len(words), 1)),
-                np.log1p(1000 * n0 / max(len(words), 1))]
+                np.log1p(quote), float(quote > 0), np.log1p(1000 * hits / max(len(words), 1))]
 
 
 def candidates(text: str) -> set[tuple[str, bool]]:
@@ -212,9 +234,10 @@ def _counts(rows: DataFrame, known: set[tuple[str, bool]] | None) -> DataFrame:
         F.sum("n").alias("n"))
 
 
-def learn_terms(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[str, bool]]:
+def learn_terms(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> list[Term]:
     """Terms of toxic texts that clean texts lack; a stem replaces the words it begins."""
-    frequent = _counts(toxic, None).where(F.col("n") >= MIN_TOXIC).orderBy(
+    least = max(MIN_TOXIC, int(np.ceil(MIN_SHARE * n_toxic)))
+    frequent = _counts(toxic, None).where(F.col("n") >= least).orderBy(
         F.col("n").desc(), "term", "stem").limit(MAX_CANDIDATES).collect()
     in_toxic = {(r["term"], r["stem"]): r["n"] for r in frequent}
     in_clean = {(r["term"], r["stem"]): r["n"] for r in _counts(clean, set(in_toxic)).collect()}
@@ -234,11 +257,35 @@ def learn_terms(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int)
     words = [t for t, stem in good if not stem and not any(t.startswith(s) for s in stems)]
     ranked = sorted([(t, True) for t in stems] + [(t, False) for t in words],
                     key=lambda k: (-in_toxic.get(k, 0), k))
-    return ranked[:MAX_TERMS]
+    terms = [(t, stem, edits_allowed(len(t))) for t, stem in ranked[:MAX_TERMS]]
+    stray = {r["k"] for r in _strays(clean, terms).where(F.col("n") > MAX_STRAY * n_clean).collect()}
+    return [(t, stem, 0 if k in stray else most) for k, (t, stem, most) in enumerate(terms)]
+
+
+def _strays(clean: DataFrame, terms: list[Term]) -> DataFrame:
+    """``k, n``: in how many clean texts a misspelling of term k occurs."""
+    def run(batches):
+        matcher = Matcher(terms)
+        known: dict[str, set[int]] = {}
+        for batch in batches:
+            n: Counter = Counter()
+            for t in batch.column(0):
+                found: set[int] = set()
+                for w in {plain(x) for x in (t.as_py() or "").split()}:
+                    if w not in known:
+                        if len(known) > 1_000_000:
+                            known.clear()
+                        known[w] = matcher.misspelled(w)
+                    found |= known[w]
+                n.update(found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(n), pa.int64()), pa.array(list(n.values()), pa.int64())], ["k", "n"])
+
+    return clean.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
 
 
 class Model:
-    def __init__(self, terms: list[tuple[str, bool]], weights: np.ndarray, bias: float):
+    def __init__(self, terms: list[Term], weights: np.ndarray, bias: float):
         self.terms, self.weights, self.bias = terms, weights, bias
 
 
@@ -254,7 +301,7 @@ def train(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     return w[:-1], float(w[-1])
 
 
-def extract(docs: DataFrame, terms: list[tuple[str, bool]], out: Callable[[np.ndarray], pa.Array],
+def extract(docs: DataFrame, terms: list[Term], out: Callable[[np.ndarray], pa.Array],
             name: str, kind: str) -> DataFrame:
     """``doc_id`` and ``out(features)`` of every row of ``docs`` (doc_id, text)."""
     id_kind = docs.schema["doc_id"].dataType.simpleString()
@@ -274,7 +321,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = MAX_
     known = labels.where(usable & F.col("toxic").isNotNull()).select("doc_id", "toxic")
     n_all, n_tox = known.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not n_tox or n_tox == n_all:
-        return Model([], np.zeros(9), -30.0 if not n_tox else 30.0)
+        return Model([], np.zeros(8), -30.0 if not n_tox else 30.0)
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("toxicity")), F.lit(1_000_000)) / F.lit(1_000_000.0)
     limit = F.when(F.col("toxic") == 1, F.lit(max_rows / n_tox)).otherwise(F.lit(max_rows / (n_all - n_tox)))
     drawn = known.where(draw < limit)
