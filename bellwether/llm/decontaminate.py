@@ -8,9 +8,10 @@ consecutive item words, or the whole of a shorter item.  Hit runs longer
 than ``max_span`` words are removed, and a document whose share of hit
 words exceeds ``max_coverage`` goes.
 
-The automaton is broadcast, so the benchmark's size is counted first; items
-beyond ``block_words`` words are dealt into several blocks, each a pass of
-its own over the documents, whose hits are united per document.
+The automaton is broadcast, so the benchmark's size is counted first.  A
+benchmark of more than ``block_words`` words is dealt into blocks; each block
+is a pass of its own over the documents, which adds its hits to those found
+before, so a task holds one block's automaton at a time.
 
 Defined cases: null, empty and wordless texts have no words and no hits;
 an item without words has no window; repeated items hit alike; repeated
@@ -21,13 +22,14 @@ results; clashing extra columns are neither read nor renamed.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bellwether.llm.common import map_rows
+from bellwether.llm.common import fresh_name, map_rows, materialize
 from bellwether.llm.text import WORD_PATTERN, WORD_TABLE, words
 
 WINDOW = 10
@@ -162,45 +164,52 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str,
         yield [(r[0], r[1]) for r in dealt.where(F.col("__b") == b).select("item_id", "text").collect()]
 
 
-Hits = tuple[int, list[tuple[int, int]], list[str]]
+HIT_FIELDS = {"n_words": T.LongType(), "starts": T.ArrayType(T.IntegerType()),
+              "ends": T.ArrayType(T.IntegerType()), "items": T.ArrayType(T.StringType())}
 
 
-def shared_scanner(spark: SparkSession, benchmark: DataFrame, window: int = WINDOW,
-                   block_words: int = BLOCK_WORDS) -> Callable[[str | None], Hits]:
-    """A function for tasks: a text's number of words, hit runs and hit item ids."""
-    shared = [spark.sparkContext.broadcast(build_automaton(block, window))
-              for block in _blocks(benchmark, block_words)]
-
-    def hits(text: str | None) -> Hits:
-        ws = words(text)
-        runs: list[tuple[int, int]] = []
-        ids: set[str] = set()
-        for b in shared:
-            more, hit = scan(b.value, ws)
-            runs += more
-            ids.update(b.value["ids"][k] for k in hit)
-        return len(ws), merge_runs(runs), sorted(x for x in ids if x is not None)
-
-    return hits
+def with_hits(docs: DataFrame, benchmark: DataFrame, names: list[str], window: int = WINDOW,
+              block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` with its words, hit runs and hit items, in new columns called ``names``."""
+    width, at = len(docs.columns), docs.columns.index("text")
+    schema = T.StructType([*docs.schema.fields, *map(T.StructField, names, HIT_FIELDS.values())])
+
+    def scanner(auto, first: bool):
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            n_words, starts, ends, items = [], [], [], []
+            for row, text in enumerate(batch.column(at)):
+                ws = words(text.as_py())
+                runs, hit = scan(auto.value, ws)
+                ids = {auto.value["ids"][k] for k in hit} - {None}
+                if not first:
+                    old = [batch.column(width + k)[row].as_py() for k in (1, 2, 3)]
+                    runs += list(zip(old[0], old[1]))
+                    ids |= set(old[2])
+                runs = merge_runs(runs)
+                n_words.append(len(ws))
+                starts.append([r[0] for r in runs])
+                ends.append([r[1] for r in runs])
+                items.append(sorted(ids))
+            return pa.RecordBatch.from_arrays(
+                [*batch.columns[:width], pa.array(n_words, pa.int64()), pa.array(starts, pa.list_(pa.int32())),
+                 pa.array(ends, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))],
+                [*batch.schema.names[:width], *names])
+        return run
+
+    found = docs
+    for k, block in enumerate(_blocks(benchmark, block_words)):
+        if k:
+            found = materialize(found, "hits")
+        auto = docs.sparkSession.sparkContext.broadcast(build_automaton(block, window))
+        found = map_rows(found, scanner(auto, k == 0), schema)
+    return found
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
               block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): ``doc_id, n_words, starts, ends, items``."""
-    hits = shared_scanner(docs.sparkSession, benchmark, window, block_words)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [hits(x.as_py()) for x in batch.column(1)]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([f[0] for f in found], pa.int64()),
-             pa.array([[r[0] for r in f[1]] for f in found], pa.list_(pa.int32())),
-             pa.array([[r[1] for r in f[1]] for f in found], pa.list_(pa.int32())),
-             pa.array([f[2] for f in found], pa.list_(pa.string()))],
-            ["doc_id", "n_words", "starts", "ends", "items"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs.select("doc_id", "text"), run,
-                    f"doc_id {kind}, n_words long, starts array<int>, ends array<int>, items array<string>")
+    found = with_hits(docs.select("doc_id", "text"), benchmark, list(HIT_FIELDS), window, block_words)
+    return found.drop("text")
 
 
 def merge_runs(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -239,28 +248,29 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ma
     dropped; of the others, hit runs longer than ``max_span`` words are cut
     out and ``n_chars`` (if there is such a column) is counted again.
     """
-    hits = shared_scanner(docs.sparkSession, benchmark, window)
     names = docs.columns
-    at = names.index("text")
+    extra = [fresh_name(docs, f) for f in HIT_FIELDS]
+    found = with_hits(docs, benchmark, extra, window)
+    at, width = names.index("text"), len(names)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep, texts, cut_here = [], [], []
-        for x in batch.column(at):
-            text = x.as_py()
-            n, runs, _ = hits(text)
+        n_words, starts, ends = (batch.column(width + k).to_pylist() for k in range(3))
+        for x, n, a, b in zip(batch.column(at), n_words, starts, ends):
+            runs = list(zip(a, b))
             keep.append(sum(e - s for s, e in runs) <= max_coverage * n)
             long = [r for r in runs if r[1] - r[0] > max_span]
-            texts.append(cut(text, long) if long else text)
+            texts.append(cut(x.as_py(), long) if long else x.as_py())
             cut_here.append(bool(long))
-        cols = batch.columns
+        cols = batch.columns[:width]
         cols[at] = pa.array(texts, batch.schema.field(at).type)
         if "n_chars" in names:
             k = names.index("n_chars")
             cols[k] = pa.array([len(t) if c else v.as_py() for t, c, v in zip(texts, cut_here, cols[k])],
                                batch.schema.field(k).type)
-        return pa.RecordBatch.from_arrays(cols, schema=batch.schema).filter(pa.array(keep))
+        return pa.RecordBatch.from_arrays(cols, names).filter(pa.array(keep))
 
-    return map_rows(docs, run, docs.schema)
+    return map_rows(found, run, docs.schema)
 
 
 def query(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
