@@ -39,7 +39,7 @@ ORDER = 4
 SAMPLE_ROWS = 2_000          # whole texts per language for training and calibration
 SHARPNESS = 8.0              # score: softmax of minus the cross-entropies times this
 REJECT_SHARE = 1e-4
-REJECT_SLACK = 1.5           # factor on the calibrated limit, for texts unlike any sample
+REJECT_SLACK = 3.0           # factor on the calibrated limit, for clean texts unlike any sample
 SEGMENT = 1_000_000
 BLOCK_CHARS = 1_500_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
