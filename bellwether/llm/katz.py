@@ -53,7 +53,7 @@ from bellwether.session import checkpoint_root, scratch_path
 HEAD_WORDS = 400_000
 HOT_SHARE = 1e-3
 BLOCK_TOKENS = 500_000
-BUCKET_POSTINGS = 2_500_000
+BUCKET_POSTINGS = 1_000_000
 KATZ = 5                     # counts up to this get a Good-Turing discount
 LARGE = 0.5                  # what a larger count loses
 END_TEXT = b" end"           # no token has a space
@@ -309,7 +309,7 @@ def count_bucket(w: Words, buckets: int):
         times = np.concatenate([b[5] for b in blocks]).astype(np.int64)
         train = np.concatenate([b[1] for b in blocks]).astype(bool)
         numbers = [int(b[0][0]) for b in blocks]
-        del blocks
+        del blocks                               # a bucket's arrays are what a task's memory goes to
         trained = np.where(train[text], times, 0)
         n_texts = int(offsets[-1])
 
@@ -331,6 +331,7 @@ def count_bucket(w: Words, buckets: int):
         order = np.argsort(pair, kind="stable")
         start = np.flatnonzero(np.concatenate(([True], pair[order][1:] != pair[order][:-1])))
         of_pair = np.add.reduceat(trained[order], start)
+        del pair
         both = np.empty(len(word), np.int64)
         both[order] = np.repeat(of_pair, np.diff(np.append(start, len(order))))
         seen, large = both > 0, both > KATZ
