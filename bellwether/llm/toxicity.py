@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bellwether.llm.common import id_split, map_rows
+from bellwether.llm.common import id_split, map_rows, materialize
 
 MAX_ROWS = 20_000
 MAX_TERMS = 5_000
@@ -325,11 +325,13 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = MAX_
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("toxicity")), F.lit(1_000_000)) / F.lit(1_000_000.0)
     limit = F.when(F.col("toxic") == 1, F.lit(max_rows / n_tox)).otherwise(F.lit(max_rows / (n_all - n_tox)))
     drawn = known.where(draw < limit)
-    sample = docs.select("doc_id", "text").join(drawn, "doc_id")
+    # the drawn ids are bounded by max_rows: the texts stay where they are, and are read out once
+    drawn = materialize(drawn, "drawn")
+    sample = materialize(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"), "labelled")
     sizes = {r["toxic"]: r["count"] for r in drawn.groupBy("toxic").count().collect()}
     terms = learn_terms(sample.where("toxic = 1"), sample.where("toxic = 0"), sizes.get(1, 0), sizes.get(0, 0))
     got = extract(sample, terms, lambda x: pa.array(x.tolist(), pa.list_(pa.float64())), "x", "array<double>")
-    rows = got.join(drawn, "doc_id").select("x", "toxic").collect()          # bounded by max_rows
+    rows = got.join(F.broadcast(drawn), "doc_id").select("x", "toxic").collect()     # bounded by max_rows
     x, y = np.array([r["x"] for r in rows]), np.array([r["toxic"] for r in rows], float)
     weights, bias = train(x, y)
     return Model(terms, weights, bias)
