@@ -53,7 +53,7 @@ from bellwether.session import checkpoint_root, scratch_path
 HEAD_WORDS = 400_000
 HOT_SHARE = 1e-3
 BLOCK_TOKENS = 500_000
-BUCKET_POSTINGS = 1_000_000
+BUCKET_POSTINGS = 1_500_000
 KATZ = 5                     # counts up to this get a Good-Turing discount
 LARGE = 0.5                  # what a larger count loses
 END_TEXT = b" end"           # no token has a space
