@@ -5,11 +5,12 @@ speaker as the assistant and all others as named users; system turns stay
 system turns.  The mask covers what the model learns to say: the text and
 end mark of the assistant's own turns.
 
-A conversation is rendered in parts of ``part_turns`` turn numbers, so a
-conversation of any length is spread over many groups; where turn numbers
-repeat so often that a part holds more rows than that, its rows are dealt
-into pieces by a hash of speaker and text.  No group grows with the data.
-DataFrame functions only.
+A conversation is rendered in parts of ``part_turns`` turn numbers.  Repeated
+rows are one turn and are merged before anything is sized.  Where turn numbers
+repeat so often that a part's distinct turns are over the bound (of ``query``:
+``PIECE_CHARS`` characters), the part is split into pieces of consecutive
+turns, so neighbours stay together and no row outgrows a cell.  DataFrame
+functions only.
 
 Defined cases: a null or empty role is the speaker ``unknown``; null text is
 empty text; rows with a null conversation are one conversation; a null turn
@@ -21,10 +22,13 @@ rows; other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bellwether.llm.common import materialize
+
 PART_TURNS = 64
+PIECE_CHARS = 16_000_000     # characters of a part that is rendered whole
 SYSTEM = "system"
 UNKNOWN = "unknown"
 END = "<|end|>\n"
@@ -38,59 +42,76 @@ def _header(turn: Column, speaker: Column) -> Column:
             .otherwise(F.concat(F.lit("<|user name="), name, F.lit("|>\n"))))
 
 
-def _spans(segments: Column) -> Column:
-    """Character spans (start, end) of the trained parts of the joined segments."""
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"))
-
-    def step(acc: Column, seg: Column) -> Column:
-        begin = acc.getField("at") + F.length(seg.getField("head"))
-        end = begin + F.length(seg.getField("body"))
-        one = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        spans = F.when(seg.getField("own"), F.concat(acc.getField("spans"), one)).otherwise(acc.getField("spans"))
-        return F.struct(end.alias("at"), spans.alias("spans"))
-
-    return F.aggregate(segments, start, step, lambda acc: acc.getField("spans"))
-
-
-def rotate(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """One row per conversation, participant and part.
+def _pieces(turns: DataFrame, size: Column, most: int) -> DataFrame:
+    """``turns`` with ``piece``: ranges of about ``most`` of ``size`` in turn order, 0 in parts that are not larger."""
+    group = ["conv_id", "part"]
+    order = ["turn", "speaker", "text"]
+    sized = turns.withColumn("size", size.cast("long"))
+    large = sized.groupBy(*group).agg(F.sum("size").alias("n")).where(F.col("n") > F.lit(most)).select(
+        F.col("conv_id").alias("__conv"), F.col("part").alias("__part"))
+    same = F.col("conv_id").eqNullSafe(F.col("__conv")) & (F.col("part") == F.col("__part"))
+    whole = sized.join(large, same, "left_anti").withColumn("piece", F.lit(0).cast("long"))
+    # large parts are sorted over many tasks; a task's turns go on where the tasks before it end
+    slices = sized.join(large, same, "left_semi").repartitionByRange(*group, *order).withColumn(
+        "slice", F.spark_partition_id())
+    slices = materialize(slices, "slices")
+    before = slices.groupBy(*group, "slice").agg(F.sum("size").alias("n")).withColumn(
+        "before", F.coalesce(F.sum("n").over(
+            Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = before.select(F.col("conv_id").alias("__conv"), F.col("part").alias("__part"),
+                           F.col("slice").alias("__slice"), "before")
+    inside = F.sum("size").over(Window.partitionBy(*group, "slice").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, 0))
+    split = slices.withColumn("upto", inside).join(before, same & (F.col("slice") == F.col("__slice"))).withColumn(
+        "piece", F.floor((F.col("before") + F.col("upto") - F.col("size")) / F.lit(most)).cast("long"))
+    columns = [*turns.columns, "piece"]
+    return whole.select(*columns).unionByName(split.select(*columns))
+
+
+def rotate(conversations: DataFrame, part_turns: int = PART_TURNS, piece_chars: int | None = None) -> DataFrame:
+    """One row per conversation, participant, part and piece.
 
     ``conv_id, perspective, part, piece, n_turns, n_rows, text, mask``
-    (array of character spans).
+    (array of character spans).  A piece holds ``part_turns`` turns, or with
+    ``piece_chars`` about so many characters.
     """
     part = F.coalesce(F.floor(F.col("turn") / F.lit(part_turns)), F.lit(-1)).cast("long")
     turns = conversations.select(
         "conv_id", part.alias("part"), F.col("turn").cast("long").alias("turn"),
         F.when(F.coalesce(F.col("role"), F.lit("")) == "", F.lit(UNKNOWN)).otherwise(F.col("role")).alias("speaker"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    # per part: its number of pieces; per conversation: its speakers (no text is moved for these)
-    sizes = turns.groupBy("conv_id", "part").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(part_turns)).cast("long").alias("pieces"))
+    # a repeated row is one turn: copies are counted before they are shuffled
+    turns = turns.groupBy("conv_id", "part", "turn", "speaker", "text").agg(F.count(F.lit(1)).alias("copies"))
     speakers = (turns.where(F.col("speaker") != SYSTEM).select("conv_id", "speaker").distinct()
                 .select(F.col("conv_id").alias("__conv"), F.col("speaker").alias("perspective")))
-    plan = sizes.join(speakers, F.col("conv_id").eqNullSafe(F.col("__conv"))).select(
-        F.col("conv_id").alias("__conv"), F.col("part").alias("__part"), "pieces", "perspective")
-    plan = plan.groupBy("__conv", "__part", "pieces").agg(F.collect_set("perspective").alias("perspectives"))
-    seen = turns.join(plan, F.col("conv_id").eqNullSafe(F.col("__conv")) & (F.col("part") == F.col("__part")))
-    piece = F.pmod(F.xxhash64("speaker", "text"), F.col("pieces"))
-    rows = seen.select("conv_id", "part", piece.alias("piece"), F.struct("turn", "speaker", "text").alias("row"),
+    plan = speakers.groupBy("__conv").agg(F.collect_set("perspective").alias("perspectives"))
+    if piece_chars is None:
+        dealt = _pieces(turns, F.lit(1), part_turns)
+    else:
+        dealt = _pieces(turns, F.length("speaker") + F.length("text"), piece_chars)
+    seen = dealt.join(plan, F.col("conv_id").eqNullSafe(F.col("__conv")))
+    rows = seen.select("conv_id", "part", "piece", "copies", F.struct("turn", "speaker", "text").alias("row"),
                        F.explode("perspectives").alias("perspective"))
-    dialogues = rows.groupBy("conv_id", "perspective", "part", "piece").agg(
-        F.sort_array(F.collect_set("row")).alias("turns"), F.count(F.lit(1)).alias("n_rows"))
-    segments = F.transform("turns", lambda t: F.struct(
-        _header(t, F.col("perspective")).alias("head"),
-        F.concat(t.getField("text"), F.lit(END)).alias("body"),
-        (t.getField("speaker") == F.col("perspective")).alias("own")))
-    rendered = dialogues.withColumn("segments", segments)
-    text = F.array_join(F.transform("segments", lambda s: F.concat(s.getField("head"), s.getField("body"))), "")
-    return rendered.select(
-        "conv_id", "perspective", "part", "piece", F.size("turns").cast("long").alias("n_turns"), "n_rows",
-        text.alias("text"), _spans(F.col("segments")).alias("mask"))
+    group = ["conv_id", "perspective", "part", "piece"]
+    head = _header(F.col("row"), F.col("perspective"))
+    body = F.concat(F.col("row").getField("text"), F.lit(END))
+    upto = F.sum(F.length("head") + F.length("body")).over(
+        Window.partitionBy(*group).orderBy("row").rowsBetween(Window.unboundedPreceding, 0))
+    placed = rows.withColumn("head", head).withColumn("body", body).withColumn("end", upto.cast("int"))
+    segment = F.struct("end", (F.col("end") - F.length("body")).alias("start"), F.concat("head", "body").alias("text"),
+                       (F.col("row").getField("speaker") == F.col("perspective")).alias("own"))
+    dialogues = placed.groupBy(*group).agg(
+        F.sort_array(F.collect_list(segment)).alias("segments"), F.sum("copies").alias("n_rows"))
+    spans = F.transform(F.filter("segments", lambda s: s.getField("own")),
+                        lambda s: F.struct(s.getField("start").alias("start"), s.getField("end").alias("end")))
+    text = F.array_join(F.transform("segments", lambda s: s.getField("text")), "")
+    return dialogues.select(*group, F.size("segments").cast("long").alias("n_turns"), "n_rows",
+                            text.alias("text"), spans.alias("mask"))
 
 
 def query(conversations: DataFrame) -> DataFrame:
     """Every dialogue of every perspective; the mask as text ``start-end`` pairs."""
-    out = rotate(conversations)
+    out = rotate(conversations, piece_chars=PIECE_CHARS)
     spans = F.array_join(F.transform("mask", lambda s: F.concat(
         s.getField("start").cast("string"), F.lit("-"), s.getField("end").cast("string"))), ",")
     n = F.aggregate("mask", F.lit(0).cast("long"), lambda a, s: a + s.getField("end") - s.getField("start"))

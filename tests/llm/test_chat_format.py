@@ -56,3 +56,28 @@ def test_edges(spark):
 def test_plan_is_native(spark):
     plan = C.query(spark.createDataFrame([(1, 0, "a", "b", "")], SCHEMA))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_copies_and_ties_are_one_dialogue_as_in_the_oracle(spark):
+    """9 copies of 8 turns, and 100 ties of one turn number: neighbours stay together, row for row the SQL's result."""
+    import duckdb
+    from bellwether.llm.oracle import OP9
+    rows = [(1, t, "ab"[t % 2], f"t{t}", "") for t in range(8) for _ in range(9)]
+    rows += [(2, 0, "abc"[k % 3], f"tie {k:03}", "") for k in range(100)] + [(None, None, "a", "x", "")] * 70
+    got = sorted(map(tuple, C.query(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR, piece VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?, ?)", rows)
+    assert got == sorted(con.execute(OP9).fetchall(), key=str)
+    assert [r[4:6] for r in got if r[0] == 1] == [(8, 72)] * 2
+
+
+def test_large_parts_are_split_at_consecutive_turns(spark):
+    rows = [(1, k // 50, "ab"[k % 2], f"{k:04}", "") for k in range(300)] + [(1, 0, "a", "0000", "")] * 100
+    out = C.rotate(spark.createDataFrame(rows, SCHEMA), piece_chars=100).collect()
+    whole = C.rotate(spark.createDataFrame(rows, SCHEMA), piece_chars=10**6).collect()
+    for me in "ab":
+        mine = sorted((r for r in out if r["perspective"] == me), key=lambda r: r["piece"])
+        one, = [r for r in whole if r["perspective"] == me]
+        assert len(mine) == 15 and {r["n_turns"] for r in mine} == {20}
+        assert "".join(r["text"] for r in mine) == one["text"] and sum(r["n_rows"] for r in mine) == one["n_rows"] == 400
