@@ -47,6 +47,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 30, 6
 COMPONENTS = BANDS * ROWS
 SLACK = 0.15                 # four to five standard errors of a signature's estimate
+ROUNDING = 1e-9              # of a sum of reciprocals, which must not cost a pair at the threshold its link
 BLOCK = 1_024                # nodes compared in one task
 BATCH_WORDS = 200_000        # words whose arrivals are drawn at once
 SMALL_IDS = 2_000_000        # node ids that may be broadcast (16 MB)
@@ -233,7 +234,7 @@ def link_texts(payloads: list[str], parts: Parts, left: np.ndarray, least: float
         agree = (sig[others] == sig[i]).mean(axis=1)
         near = others[agree >= least - SLACK]
         for j in near[np.argsort(-agree[agree >= least - SLACK], kind="stable")]:
-            if parts.label[i] != parts.label[j] and similarity(sets[i], sets[j]) >= least:
+            if parts.label[i] != parts.label[j] and similarity(sets[i], sets[j]) >= least - ROUNDING:
                 parts.join(i, j)
 
 

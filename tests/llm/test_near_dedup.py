@@ -1,6 +1,7 @@
 """Operator 1 against all-pairs brute force."""
 
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -107,3 +108,18 @@ def test_keep_one_and_edges(spark):
     kept = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["node"]) for r in N.keep_one(docs).collect())
     assert kept == [(False, 1, "y"), (False, 9, "z"), (False, 9, "z"), (False, 12, None), (False, 13, None), (True, 0, "n")]
     assert N.classes(docs.limit(0).select("doc_id", "text")).count() == 0
+
+
+@pytest.mark.parametrize("shared, each", [(12, 15), (80, 100), (48, 60)])
+def test_pairs_at_exactly_the_threshold_are_linked(spark, shared, each):
+    """Rational numbers say 4/5, where the sum of floats may fall short of it."""
+    a = [f"s{k}" for k in range(shared + 4)] + [f"a{k}" for k in range(each - shared)]
+    b = a[:shared + 4]
+    grams = [{tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in (a, b)]
+    assert Fraction(len(grams[0] & grams[1]), len(grams[0] | grams[1])) == Fraction(4, 5)
+    below = a[:shared + 3]
+    assert Fraction(shared - 1, each) < Fraction(4, 5)
+    docs = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b))], "doc_id long, text string")
+    assert {r["class_id"] for r in N.classes(docs).collect()} == {1}
+    sets = [N.shingles(N._hashes(words(" ".join(t)), HashCache())) for t in (a, below)]
+    assert N.similarity(*sets) < 0.8 - N.ROUNDING
