@@ -50,7 +50,6 @@ SLACK = 0.15                 # four to five standard errors of a signature's est
 ROUNDING = 1e-9              # of a sum of reciprocals, which must not cost a pair at the threshold its link
 BLOCK = 1_024                # nodes compared in one task
 BATCH_WORDS = 200_000        # words whose arrivals are drawn at once
-SMALL_IDS = 2_000_000        # node ids that may be broadcast (16 MB)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -330,9 +329,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -
 
     # exact verification inside families, on the texts of one row of each node
     wanted = families.select(F.col("id").alias("doc_id"), F.col("comp").alias("grp"))
-    if wanted.count() <= SMALL_IDS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id")
     found = link_groups(texts.select("grp", F.col("doc_id").alias("node"), F.col("text").alias("payload")),
                         link_texts, threshold, block)
     labelled = nodes.select("node", F.col("id").alias("node_id"), "n").join(

@@ -5,6 +5,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bellwether.llm import near_dedup as N
 from bellwether.llm.text import HashCache, words
@@ -123,3 +124,13 @@ def test_pairs_at_exactly_the_threshold_are_linked(spark, shared, each):
     assert {r["class_id"] for r in N.classes(docs).collect()} == {1}
     sets = [N.shingles(N._hashes(words(" ".join(t)), HashCache())) for t in (a, below)]
     assert N.similarity(*sets) < 0.8 - N.ROUNDING
+
+
+def test_ids_are_joined_without_a_broadcast_of_this_module(spark, monkeypatch):
+    class Functions:
+        def __getattr__(self, name):
+            assert name != "broadcast"
+            return getattr(F, name)
+    monkeypatch.setattr(N, "F", Functions())
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "h i j k l m"), (3, "A b c d e f g!")], "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in N.classes(docs).collect()} == {1: 1, 2: 2, 3: 1}
