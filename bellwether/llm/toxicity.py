@@ -1,7 +1,7 @@
 """Operator 8, toxicity: Levenshtein automata over a lexicon trie.
 
 Abusive terms are learned from labelled texts: words, and stems (beginnings
-shared by several words), that occur in many toxic and few clean texts.
+shared by several words), that are significantly more frequent in toxic texts.
 They form one trie.  A word runs through the product of the trie with the
 Levenshtein automata of its terms, whose states are sets of (trie node,
 edits so far); the product is made deterministic as it is used, so a word
@@ -16,8 +16,9 @@ logistic model over the counted hits, fitted on the same labelled texts,
 gives the score.
 
 Training uses a bounded sample, chosen by a hash of the id: at most about
-``MAX_ROWS`` toxic and as many clean rows; the lexicon is bounded by
-``MAX_TERMS``.
+``MAX_ROWS`` toxic and as many clean rows.  A term is chosen by the
+significance of its counts in them, corrected for the number of candidates;
+the lexicon has no other bound.
 
 Defined cases: null text is empty text and scores as a text without hits;
 without toxic labels every score is 0; null labels are no labels; repeated
@@ -38,10 +39,7 @@ from pyspark.sql import functions as F
 from bellwether.llm.common import id_split, map_rows, materialize
 
 MAX_ROWS = 20_000
-MAX_TERMS = 5_000
-MAX_CANDIDATES = 200_000
-MIN_TOXIC = 3                # toxic texts a term must occur in, and their
-MIN_SHARE = 0.004            # share of all toxic texts
+ALPHA = 0.05                 # chance that any term of the lexicon is there by accident
 MAX_STRAY = 0.002            # share of clean texts that may have a misspelling of a term
 MIN_RATIO = 20.0             # smoothed ratio of its rates in toxic and clean texts
 STEM = (4, 12)               # lengths of stems
@@ -219,33 +217,40 @@ def candidates(text: str) -> set[tuple[str, bool]]:
     return out
 
 
-def _counts(rows: DataFrame, known: set[tuple[str, bool]] | None) -> DataFrame:
-    """``term, stem, docs, word_kinds``-like counts per batch: texts that have each candidate term."""
+def _counts(sample: DataFrame) -> DataFrame:
+    """``term, stem, n, other``: toxic and clean texts that have each candidate term."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n: Counter = Counter()
-        for t in batch.column(0):
-            found = candidates(t.as_py() or "")
-            n.update(found & known if known is not None else found)
+        n: tuple[Counter, Counter] = Counter(), Counter()
+        for t, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
+            n[toxic == 1].update(candidates(t.as_py() or ""))
+        keys = list(n[0] | n[1])
         return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.bool_()),
-             pa.array(list(n.values()), pa.int64())], ["term", "stem", "n"])
-
-    return map_rows(rows.select("text"), run, "term string, stem boolean, n long").groupBy("term", "stem").agg(
-        F.sum("n").alias("n"))
-
-
-def learn_terms(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> list[Term]:
-    """Terms of toxic texts that clean texts lack; a stem replaces the words it begins."""
-    least = max(MIN_TOXIC, int(np.ceil(MIN_SHARE * n_toxic)))
-    frequent = _counts(toxic, None).where(F.col("n") >= least).orderBy(
-        F.col("n").desc(), "term", "stem").limit(MAX_CANDIDATES).collect()
-    in_toxic = {(r["term"], r["stem"]): r["n"] for r in frequent}
-    in_clean = {(r["term"], r["stem"]): r["n"] for r in _counts(clean, set(in_toxic)).collect()}
-
-    def ratio(key: tuple[str, bool]) -> float:
-        return ((in_toxic[key] + 0.5) / (n_toxic + 1)) / ((in_clean.get(key, 0) + 0.5) / (n_clean + 1))
-
-    good = {k for k in in_toxic if ratio(k) >= MIN_RATIO}
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()),
+             pa.array([n[1][k] for k in keys], pa.int64()), pa.array([n[0][k] for k in keys], pa.int64())],
+            ["term", "stem", "n", "other"])
+
+    return map_rows(sample.select("text", "toxic"), run, "term string, stem boolean, n long, other long").groupBy(
+        "term", "stem").agg(F.sum("n").alias("n"), F.sum("other").alias("other"))
+
+
+def _surprise(n: Column, other: Column, share: float) -> Column:
+    """Chernoff bound, as -ln p, of ``n`` toxic texts among ``n + other`` if toxic texts were a ``share`` of them."""
+    total = n + other
+    rate = n / total
+    apart = rate * F.log(rate / F.lit(share)) + F.when(other > 0, (other / total) * F.log(
+        (other / total) / F.lit(1 - share))).otherwise(F.lit(0.0))
+    return F.when(rate > F.lit(share), total * apart).otherwise(F.lit(0.0))
+
+
+def learn_terms(sample: DataFrame, n_toxic: int, n_clean: int) -> list[Term]:
+    """Terms that are significantly more frequent in toxic than in clean texts; a stem replaces the words it begins."""
+    counts = materialize(_counts(sample).where("n > 0"), "term-counts")
+    least = float(np.log(max(counts.count(), 1) / ALPHA))
+    ratio = ((F.col("n") + 0.5) / (n_toxic + 1)) / ((F.col("other") + 0.5) / (n_clean + 1))
+    chosen = counts.where((ratio >= MIN_RATIO) & (_surprise(
+        F.col("n"), F.col("other"), n_toxic / (n_toxic + n_clean)) >= least)).select("term", "stem", "n").collect()
+    in_toxic = {(r["term"], r["stem"]): r["n"] for r in chosen}
+    good = set(in_toxic)
     kinds: Counter = Counter()
     for term, stem in good:
         if not stem:
@@ -257,7 +262,8 @@ def learn_terms(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int)
     words = [t for t, stem in good if not stem and not any(t.startswith(s) for s in stems)]
     ranked = sorted([(t, True) for t in stems] + [(t, False) for t in words],
                     key=lambda k: (-in_toxic.get(k, 0), k))
-    terms = [(t, stem, edits_allowed(len(t))) for t, stem in ranked[:MAX_TERMS]]
+    terms = [(t, stem, edits_allowed(len(t))) for t, stem in ranked]
+    clean = sample.where("toxic = 0")
     stray = {r["k"] for r in _strays(clean, terms).where(F.col("n") > MAX_STRAY * n_clean).collect()}
     return [(t, stem, 0 if k in stray else most) for k, (t, stem, most) in enumerate(terms)]
 
@@ -329,7 +335,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = MAX_
     drawn = materialize(drawn, "drawn")
     sample = materialize(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"), "labelled")
     sizes = {r["toxic"]: r["count"] for r in drawn.groupBy("toxic").count().collect()}
-    terms = learn_terms(sample.where("toxic = 1"), sample.where("toxic = 0"), sizes.get(1, 0), sizes.get(0, 0))
+    terms = learn_terms(sample, sizes.get(1, 0), sizes.get(0, 0))
     got = extract(sample, terms, lambda x: pa.array(x.tolist(), pa.list_(pa.float64())), "x", "array<double>")
     rows = got.join(F.broadcast(drawn), "doc_id").select("x", "toxic").collect()     # bounded by max_rows
     x, y = np.array([r["x"] for r in rows]), np.array([r["toxic"] for r in rows], float)

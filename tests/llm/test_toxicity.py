@@ -1,5 +1,7 @@
 """Operator 8: the automaton against edit distance, held-out accuracy, edge cases."""
 
+import random
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -80,3 +82,20 @@ def test_edges(spark):
     assert len(got) == 4 and all(r["score"] < 0.01 and r["predicted"] == 0 for r in got)
     assert T.query(spark, docs.limit(0), labels).count() == 0
     assert T.query(spark, docs, labels.limit(0)).count() == 4
+
+
+def test_a_thousand_rare_terms_are_learned(spark):
+    """Each term in 0.3 % of the toxic texts: significant, though rare."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=n))
+    terms, common = [word(9) for _ in range(1000)], [word(6) for _ in range(200)]
+    rows = []
+    for i in range(20_000):
+        bad = [terms[(i // 2 * 3 + k) % 1000] for k in range(3)] if i % 2 else []
+        rows.append((i, " ".join(rng.sample(common, 7) + bad), i % 2))
+    sample = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    learned = T.learn_terms(sample, 10_000, 10_000)
+    assert len(learned) < 1100
+    assert sum(any(t == w or (stem and w.startswith(t)) for t, stem, _ in learned) for w in terms) > 990
+    common_hits = [t for t, stem, _ in learned if any(w.startswith(t) if stem else w == t for w in common)]
+    assert not common_hits
