@@ -4,23 +4,31 @@ Per language a character n-gram model with interpolated Kneser-Ney
 smoothing is trained and stored in sorted hash arrays (one sorted array of
 64-bit n-gram hashes per order, one column of probabilities and of
 interpolation weights per language).  A text gets the language of the
-lowest cross-entropy per character.  Rejection is calibrated: texts whose
-cross-entropy is further above the language's mean than any but a share
-``reject_share`` of held-back training texts, measured in standard errors
-for the text's length, are marked as not accepted.
+lowest cross-entropy per character.  Rejection is calibrated by length:
+held-back training texts are cut to pieces of the lengths ``CUTS``, and a
+language's limit for a length is what all but a share ``reject_share`` of its
+pieces stay under, plus ``MARGIN`` of the way from there to the cost of a
+character about which nothing is known.  A text above the limit for its
+length, or of which the best model does not know more than ``MAX_UNKNOWN``
+of the characters, is not accepted; the score falls with that share.
 
 Texts are read as letters (lower-cased) with single spaces between runs of
 them; all else is a space.  A batch's n-grams are numbered order by order,
 so every distinct n-gram is looked up once per block of texts.
 
 Training uses a bounded sample: about ``sample_rows`` whole texts per
-language, chosen by a hash of the id.  Everything else covers all rows.
+language, chosen by a hash of id and text, of the languages that hold at
+least ``MIN_SHARE`` of the labelled rows (so there are at most 1 /
+``MIN_SHARE`` of them, however dirty ``lang`` is).  Everything else covers
+all rows.
 
 Defined cases: null text and text without letters give ``und`` with score
 0 and are rejected; without any training text all rows do; ties between
-languages go to the first in alphabetical order; texts longer than
-``SEGMENT`` characters are scored in segments whose sums are added;
-repeated rows are scored each; other columns are ignored.
+languages go to the first in alphabetical order; very long texts are read
+whole: those longer than ``SEGMENT`` characters are scored in segments whose
+sums are added; a language without held-back pieces of some length has the
+cost of an unknown character as its limit there; repeated rows are scored
+each; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,9 +36,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bellwether.llm.common import id_split, map_rows
 
@@ -38,10 +48,14 @@ UND = "und"
 ORDER = 4
 SAMPLE_ROWS = 2_000          # whole texts per language for training and calibration
 SHARPNESS = 8.0              # score: softmax of minus the cross-entropies times this
+MIN_SHARE = 1e-4             # of the labelled rows, that a language to be learned holds at least
 REJECT_SHARE = 1e-4
-REJECT_SLACK = 3.0           # factor on the calibrated limit, for clean texts unlike any sample
-SEGMENT = 1_000_000
-BLOCK_CHARS = 1_500_000
+MARGIN = 0.25                # for clean texts unlike any in the sample; more where there are under 40 pieces
+MAX_UNKNOWN = 0.25           # share of characters that the best model has never seen
+CUTS = (5, 10, 20, 40, 80, 160, 320, 640)     # lengths in letters at which rejection is calibrated
+PIECES = 4                   # of a held-back text, for each of these lengths
+SEGMENT = 200_000
+BLOCK_CHARS = 400_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -107,7 +121,7 @@ def number_grams(chars: np.ndarray, lengths: np.ndarray, order: int) -> tuple[li
         key = np.empty(len(block), np.int64)
         key[1:] = low.ids[:-1] * size + single[1:]
         key[0] = low.ids[0] * size + single[0]
-        if len(low.hashes) * size <= 1 << 24:
+        if len(low.hashes) * size <= 1 << 22:
             where = np.full(len(low.hashes) * size, -1, np.int64)
             where[key] = np.arange(len(key))
             distinct = np.flatnonzero(where >= 0)
@@ -132,9 +146,7 @@ class Model:
     ctx_keys: list[np.ndarray]    # context hashes, for n-grams of order k+2
     weights: list[np.ndarray]     # interpolation weight per language, 1: unseen
     floor: float                  # probability of any one character below order 1
-    mean: np.ndarray | None = None
-    sd: np.ndarray | None = None
-    limit: float = np.inf
+    limits: np.ndarray | None = None      # cross-entropy a text may have, by length (CUTS) and language
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,12 +210,13 @@ def train(counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int = ORDER)
     return Model(langs, order, keys, probs, ctx_keys, weights, floor)
 
 
-def cross_entropy(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Summed negative log probabilities (texts x languages) and numbers of characters scored."""
+def _add_up(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Summed negative log probabilities and unknown characters (texts x languages), and characters scored."""
     chars, lengths = letters(texts)
     sums = np.zeros((len(texts), len(model.langs)))
+    strange = np.zeros((len(texts), len(model.langs)))
     if not len(chars):
-        return sums, lengths
+        return sums, lengths, strange
     grams, place = number_grams(chars, lengths, model.order)
     p = np.full((1, len(model.langs)), model.floor, np.float32)
     for k, g in enumerate(grams):
@@ -214,11 +227,18 @@ def cross_entropy(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarra
         own = np.where(known[:, None], model.probs[k][at], np.float32(0))
         lower = weight[g.context] * p[g.suffix]
         p = np.where(own > 0, own, lower)
-    cost = -np.log(p)[grams[-1].ids[place]]
+        if k == 0:
+            unknown = own == 0
     at = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     full = lengths > 0
-    sums[full] = np.add.reduceat(cost, at[full], axis=0, dtype=np.float64)
-    return sums, lengths
+    for out, value, ids in ((sums, -np.log(p), grams[-1].ids), (strange, unknown, grams[0].ids)):
+        out[full] = np.add.reduceat(value[ids[place]], at[full], axis=0, dtype=np.float64)
+    return sums, lengths, strange
+
+
+def cross_entropy(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Summed negative log probabilities (texts x languages) and numbers of characters scored."""
+    return _add_up(model, texts)[:2]
 
 
 def _blocks(texts: list[str]) -> list[tuple[list[int], list[str]]]:
@@ -241,29 +261,44 @@ def _blocks(texts: list[str]) -> list[tuple[list[int], list[str]]]:
     return blocks
 
 
-def measure(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Cross-entropy per character (texts x languages) and characters scored, of whole texts."""
-    sums, lengths = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts))
+def survey(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per whole text: cross-entropy per character and share of unknown characters, by language; characters scored."""
+    sums, strange = (np.zeros((len(texts), len(model.langs))) for _ in range(2))
+    lengths = np.zeros(len(texts))
     for owner, parts in _blocks([t or "" for t in texts]):
-        s, m = cross_entropy(model, parts)
+        s, m, u = _add_up(model, parts)
         np.add.at(sums, owner, s)
         np.add.at(lengths, owner, m)
-    return sums / np.maximum(lengths, 1)[:, None], lengths
+        np.add.at(strange, owner, u)
+    n = np.maximum(lengths, 1)[:, None]
+    return sums / n, strange / n, lengths
+
+
+def measure(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Cross-entropy per character (texts x languages) and characters scored, of whole texts."""
+    h, _, lengths = survey(model, texts)
+    return h, lengths
+
+
+def limit_for(model: Model, n: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    """The limit for texts of ``n`` letters: between two calibrated lengths, on the line in log n."""
+    x, at = np.log2(np.maximum(n, 1)), np.log2(CUTS)
+    return np.array([np.interp(a, at, model.limits[:, k]) for a, k in zip(x, lang)])
 
 
 def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and acceptance of every text."""
     if not model.langs:
         return [UND] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
-    h, m = measure(model, texts)
+    h, strange, m = survey(model, texts)
     best = h.argmin(axis=1)
     rows = np.arange(len(texts))
-    low = h[rows, best]
-    score = 1.0 / np.exp(-SHARPNESS * (h - low[:, None])).sum(axis=1)
+    low, unknown = h[rows, best], strange[rows, best]
+    score = (1.0 - unknown) / np.exp(-SHARPNESS * (h - low[:, None])).sum(axis=1)
     some = m > 0
-    accepted = some.copy()
-    if model.mean is not None:
-        accepted &= (low - model.mean[best]) * np.sqrt(m) / model.sd[best] <= model.limit
+    accepted = some & (unknown <= MAX_UNKNOWN)
+    if model.limits is not None:
+        accepted &= low <= limit_for(model, m, best)
     return [model.langs[b] if s else UND for b, s in zip(best, some)], np.where(some, score, 0.0), accepted
 
 
@@ -284,12 +319,14 @@ def top_grams(texts: list[str], order: int) -> tuple[list[str], np.ndarray]:
 
 def _sample(docs: DataFrame, usable, sample_rows: int) -> DataFrame:
     """About ``sample_rows`` rows per language: ``lang, text, calibrate``."""
-    pool = docs.where(usable & F.col("lang").isNotNull())
-    sizes = pool.groupBy("lang").count().collect()          # one row per language
-    share = F.coalesce(*[F.when(F.col("lang") == F.lit(r["lang"]), F.lit(min(1.0, sample_rows / r["count"])))
-                         for r in sizes]) if sizes else F.lit(0.0)
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("langid")), F.lit(1_000_000))
-    return pool.where(draw < share * F.lit(1_000_000)).select(
+    pool = docs.where(usable & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
+    sizes = pool.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    total = pool.count()
+    # at most 1 / MIN_SHARE rows, so their broadcast is bounded
+    shares = sizes.where(F.col("n") >= F.lit(MIN_SHARE * total)).select(
+        "lang", F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("n")).alias("share"))
+    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit("langid")), F.lit(1_000_000))
+    return pool.join(F.broadcast(shares), "lang").where(draw < F.col("share") * F.lit(1_000_000)).select(
         "lang", F.coalesce("text", F.lit("")).alias("text"), (F.pmod(draw, F.lit(5)) == 0).alias("calibrate"))
 
 
@@ -325,33 +362,37 @@ def fit(docs: DataFrame, usable=None, order: int = ORDER, sample_rows: int = SAM
     return calibrate(model, sample.where("calibrate"))
 
 
+def pieces(text: str) -> list[tuple[int, str]]:
+    """Up to ``PIECES`` pieces of each of the lengths ``CUTS``, spread over the letters of a text."""
+    chars, _ = letters([text])
+    line = chars.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    out = []
+    for c, size in enumerate(CUTS):
+        n = min(PIECES, len(line) // size)
+        out += [(c, line[at:at + size]) for at in (np.arange(n) * (len(line) // max(n, 1))).tolist()]
+    return out
+
+
 def calibrate(model: Model, sample: DataFrame, reject_share: float = REJECT_SHARE) -> Model:
-    """Mean and spread of each language's cross-entropy per character, and the limit of acceptance."""
+    """The limits of acceptance, from the held-back texts ``sample`` (lang, text)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        h, n = measure(model, batch.column(1).to_pylist())
-        own = np.array([model.langs.index(x) if x in model.langs else -1 for x in batch.column(0).to_pylist()])
-        ok = (own >= 0) & (n > 0)
+        got = [(model.langs.index(lang), c, piece)
+               for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+               if lang in model.langs for c, piece in pieces(text)]
+        own = np.array([g[0] for g in got], np.int64)
+        h, n = measure(model, [g[2] for g in got])
+        ok = n > 0
         return pa.RecordBatch.from_arrays(
-            [pa.array(own[ok], pa.int32()), pa.array(h[ok, own[ok]], pa.float64()), pa.array(n[ok], pa.float64())],
-            ["lang", "h", "n"])
-
-    got = map_rows(sample.select("lang", "text"), run, "lang int, h double, n double").toPandas()
-    model.mean, model.sd = np.zeros(len(model.langs)), np.ones(len(model.langs))
-    worst = []
-    for k in range(len(model.langs)):
-        own = got[got["lang"] == k]
-        if len(own) < 2:
-            model.mean[k] = -np.inf if own.empty else own["h"].mean()
-            continue
-        weight = own["n"] / own["n"].sum()
-        model.mean[k] = (own["h"] * weight).sum()
-        spread = (own["h"] - model.mean[k]) * np.sqrt(own["n"])
-        model.sd[k] = max(float(np.sqrt((spread ** 2).mean())), 1e-3)
-        worst.append(spread / model.sd[k])
-    if worst:
-        model.limit = REJECT_SLACK * float(np.quantile(np.concatenate(worst), 1 - reject_share))
-    model.mean = np.where(np.isfinite(model.mean), model.mean, np.inf)
+            [pa.array(own[ok], pa.int32()), pa.array(np.array([g[1] for g in got], np.int64)[ok], pa.int32()),
+             pa.array(h[ok, own[ok]], pa.float64())], ["lang", "cut", "h"])
+
+    found = map_rows(sample.select("lang", "text"), run, "lang int, cut int, h double").toPandas()
+    blank = -np.log(model.floor)
+    model.limits = np.full((len(CUTS), len(model.langs)), blank)
+    for (lang, cut), own in found.groupby(["lang", "cut"])["h"]:
+        usual = float(np.quantile(own, 1 - reject_share))
+        model.limits[cut, lang] = usual + max(MARGIN, min(1.0, 10 / len(own))) * max(blank - usual, 0.0)
     return model
 
 
@@ -370,13 +411,14 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` whose language is accepted, with all their columns."""
-    at = docs.columns.index("text")
+    """The rows of ``docs`` whose language is accepted, with all their columns.
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(predict(model, batch.column(at).to_pylist())[2]))
+    Only the text goes to Python, and one truth value comes back.
+    """
+    def run(text: pd.Series) -> pd.Series:
+        return pd.Series(predict(model, [None if t is None else t for t in text])[2])
 
-    return map_rows(docs, run, docs.schema)
+    return docs.where(F.pandas_udf(run, T.BooleanType())("text"))
 
 
 def held_out():

@@ -25,7 +25,8 @@ Bands are 30 of 6 components: a pair at similarity 0.8 shares a bucket with
 probability 0.9999, more above.
 
 Defined cases: null, empty and wordless texts are alone in their class;
-texts whose words are equal are one class (ties and repeated rows too); an
+texts whose words are equal are one class (ties and repeated rows too); very
+long texts are read whole; rows with a null id are in no class of others; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -49,7 +50,8 @@ COMPONENTS = BANDS * ROWS
 SLACK = 0.15                 # four to five standard errors of a signature's estimate
 ROUNDING = 1e-9              # of a sum of reciprocals, which must not cost a pair at the threshold its link
 BLOCK = 1_024                # nodes compared in one task
-BATCH_WORDS = 200_000        # words whose arrivals are drawn at once
+BLOCK_BYTES = 1 << 25        # of what one task compares, unless a single node has more
+BATCH_WORDS = 100_000        # words whose arrivals are drawn at once
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -244,6 +246,7 @@ def _linking(link: Linker, least: float) -> Callable:
     """Group function: link the group's nodes, return a star for each part of more than one."""
     def run(table: pa.Table) -> pa.Table:
         first: dict[int, int] = {}
+        table = table.sort_by("node")                # the head of a star is its least node
         nodes = table.column("node").to_pylist()
         keep = [k for k, v in enumerate(nodes) if first.setdefault(v, k) == k]
         minor = {v for v, m in zip(nodes, table.column("minor").to_pylist()) if m}
@@ -261,6 +264,19 @@ def _linking(link: Linker, least: float) -> Callable:
     return run
 
 
+def slim(edges: DataFrame) -> DataFrame:
+    """The same components with fewer edges (a, b), a < b: one step of the small-star kind.
+
+    A node that several stars hold points at one head after another; each
+    node is linked to its least head only, and its other heads to that one.
+    Stars have their least node as the head, so a node is the larger end of
+    as many edges as it has groups (one for each band at most).
+    """
+    least = edges.groupBy("b").agg(F.min("a").alias("head"))
+    heads = edges.join(least, "b").where(F.col("a") != F.col("head")).select(F.col("head").alias("a"), F.col("a").alias("b"))
+    return least.select(F.col("head").alias("a"), "b").unionByName(heads).distinct()
+
+
 def link_groups(members: DataFrame, link: Linker, least: float, block: int = BLOCK) -> DataFrame:
     """Components of the nodes that ``link`` joins within groups: ``id, comp``.
 
@@ -268,8 +284,12 @@ def link_groups(members: DataFrame, link: Linker, least: float, block: int = BLO
     Nodes that are joined with no other are missing from the result.
     """
     members = materialize(members, "members")
-    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).where("n > 1")
-    sizes = materialize(sizes.withColumn("blocks", F.ceil(F.col("n") / F.lit(block)).cast("int")), "group-sizes")
+    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first"),
+                                       F.sum(F.octet_length("payload")).alias("bytes")).where("n > 1")
+    # blocks that a group is dealt into, by its nodes or by its bytes
+    fill = F.greatest(F.col("n") / F.lit(block), F.col("bytes") / F.lit(BLOCK_BYTES))
+    sizes = materialize(sizes.select("grp", "first", fill.alias("fill"), F.ceil(fill).cast("int").alias("blocks")),
+                        "group-sizes")
     inside = members.join(sizes, "grp")
     dealt = inside.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # the first node of a large group joins every block of it
@@ -279,22 +299,23 @@ def link_groups(members: DataFrame, link: Linker, least: float, block: int = BLO
         "grp", "blk", "node", "payload", F.lit(None).cast("long").alias("comp"), F.lit(True).alias("minor"))
     edges = rows.groupBy("grp", "blk").applyInArrow(_linking(link, least), "a long, b long")
     edges = materialize(edges.distinct(), "links")
-    comps = connected_components(edges)
+    comps = connected_components(slim(edges))
 
     large = sizes.where("blocks > 1")
     if large.limit(1).count() == 0:
         return comps
     # groups of several blocks: compare what lies outside the largest part with everything
     own = F.coalesce("comp", "node")
-    mine = members.join(large.select("grp", "blocks"), "grp").join(
+    mine = members.join(large.select("grp", "fill"), "grp").join(
         comps.select(F.col("id").alias("node"), "comp"), "node", "left").withColumn("comp", own)
-    parts = materialize(mine.groupBy("grp", "comp").count(), "group-parts")
-    top = parts.groupBy("grp").agg(F.max_by("comp", F.struct("count", "comp")).alias("top"),
+    parts = materialize(mine.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("count"), F.max("fill").alias("fill")),
+                        "group-parts")
+    top = parts.groupBy("grp").agg(F.max_by("comp", F.struct("count", "comp")).alias("top"), F.max("fill").alias("fill"),
                                    F.sum("count").alias("n"), F.max("count").alias("most"))
     top = top.where(F.col("n") > F.col("most")).select(
-        "grp", "top", F.ceil((F.col("n") - F.col("most")) * 2 / F.lit(block)).cast("long").alias("small"),
-        F.ceil(F.col("n") * 2 / F.lit(block)).cast("long").alias("all"))
-    open_rows = mine.join(top, "grp")
+        "grp", "top", F.ceil((F.col("n") - F.col("most")) / F.col("n") * F.col("fill") * 2).cast("long").alias("small"),
+        F.ceil(F.col("fill") * 2).cast("long").alias("all"))
+    open_rows = mine.drop("fill").join(top, "grp")
     minor = F.col("comp") != F.col("top")
     of_minor = open_rows.where(minor).withColumn(
         "i", F.pmod(F.xxhash64("node", F.lit(1)), F.col("small"))).withColumn(
@@ -306,7 +327,7 @@ def link_groups(members: DataFrame, link: Linker, least: float, block: int = BLO
         of_all.select(*cols, F.lit(False).alias("minor")))
     more = pairs.groupBy("grp", "i", "j").applyInArrow(_linking(link, least), "a long, b long")
     joined = comps.where("id != comp").select(F.col("comp").alias("a"), F.col("id").alias("b"))
-    return connected_components(materialize(more.distinct().unionByName(joined), "links"))
+    return connected_components(slim(materialize(more.unionByName(joined).distinct(), "links")))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:

@@ -26,7 +26,7 @@ def tokens(text: str | None) -> list[bytes]:
 class HashCache(dict):
     """64-bit hashes of byte strings, remembered up to a bound."""
 
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -109,3 +109,38 @@ def test_edges(spark):
     assert L.query(spark, docs.limit(0)).count() == 0
     blank = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in L.query(spark, blank).collect()} == {"und"}
+
+
+FINNISH = ("kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja "
+           "omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä jokaisella on oikeus elämään vapauteen "
+           "ja henkilökohtaiseen turvallisuuteen ketään ei saa pitää orjana tai orjuutettuna")
+CYRILLIC = ("все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью и "
+            "должны поступать в отношении друг друга в духе братства каждый человек имеет право на жизнь на свободу и "
+            "на личную неприкосновенность никто не должен содержаться в рабстве")
+CHINESE = "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待" * 8
+
+
+def test_rejection(spark):
+    """Foreign scripts and random letters of 20 to 300 characters go, as does Finnish from 40; clean texts stay."""
+    import random
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    fitted = L.fit(docs, ~L.held_out())
+    rng = random.Random(3)
+    for n in (20, 50, 100, 300):
+        junk = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz" + " " * gap, k=n)) for gap in (0, 5) for _ in range(40)]
+        junk += [t[a:a + n] for t in (CYRILLIC, CHINESE, CYRILLIC.upper()) for a in (0, 7, 20)]
+        if n > 40:
+            junk += [FINNISH[a:a + n] for a in (0, 9, 30)]
+        _, score, ok = L.predict(fitted, junk)
+        assert not ok.any(), [t for t, x in zip(junk, ok) if x]
+    assert L.predict(fitted, [CHINESE, CYRILLIC])[1].max() < 0.5       # the score says that the letters are unknown
+    clean = [r["text"] for r in docs.where(L.held_out() & F.col("text").isNotNull() & (F.length("text") > 20)).collect()]
+    assert L.predict(fitted, clean)[2].mean() >= 0.99
+    cuts = [t[a:a + 60] for t in clean for a in (0, len(t) // 2) if len(t) - a >= 60]
+    assert L.predict(fitted, cuts)[2].mean() >= 0.99
+
+
+def test_dirty_languages_are_bounded(spark):
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "IF(id < 20000, 'en', concat('x', id)) AS lang",
+                                          "concat('some words of text ', id) AS text")
+    assert L.fit(docs).langs == ["en"]

@@ -134,3 +134,43 @@ def test_ids_are_joined_without_a_broadcast_of_this_module(spark, monkeypatch):
     monkeypatch.setattr(N, "F", Functions())
     docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "h i j k l m"), (3, "A b c d e f g!")], "doc_id long, text string")
     assert {r["doc_id"]: r["class_id"] for r in N.classes(docs).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+@pytest.mark.parametrize("block", [N.BLOCK, 64])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_copies_leave_about_as_many_links(spark, monkeypatch, block, seed):
+    """n near copies in any row order: about n links go to the components, not one star for every bucket."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(300):
+        text = list(base)
+        text[rng.randrange(300)] = f"x{k}"
+        rows.append((k, " ".join(text)))
+    rng.shuffle(rows)
+    seen = []
+    whole = N.connected_components
+
+    def counted(edges):
+        seen.append(edges.count())
+        return whole(edges)
+    monkeypatch.setattr(N, "connected_components", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    assert {r["class_id"] for r in N.classes(docs, block=block).collect()} == {0}
+    assert all(n <= 1.5 * len(rows) for n in seen), seen
+
+
+def test_slim_keeps_components(spark):
+    rng = random.Random(5)
+    pairs = sorted({tuple(sorted(rng.sample(range(60), 2))) for _ in range(45)})
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    got = {tuple(r) for r in N.connected_components(N.slim(edges)).collect()}
+    assert got == {tuple(r) for r in N.connected_components(edges).collect()}
+    assert N.slim(edges).where("a >= b").count() == 0
+
+
+def test_very_long_texts(spark):
+    long = " ".join(f"w{k}" for k in range(60_000))
+    rows = [(1, long), (2, long + " end"), (3, " ".join(f"v{k}" for k in range(50_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in N.classes(docs).collect()} == {1: 1, 2: 1, 3: 3}
