@@ -4,6 +4,13 @@ Every stage works on all rows that the stage before it kept; what it decides
 takes effect; all but the last return the columns of ``documents``.  The
 stages are written and read again in between, so a lost executor repeats
 one stage at most.
+
+Defined cases: documents with null, empty or letterless text have no
+language and go in the first stage; of rows that repeat in full one or all
+stay, as exact dedup defines; rows with a null id have no near-duplicate
+class and are kept by it; very long texts are processed whole; an empty
+``documents`` gives an empty result with the same columns, an empty
+``benchmark`` removes nothing; further columns pass through unchanged.
 """
 
 from __future__ import annotations
@@ -15,12 +22,14 @@ from pyspark.sql import functions as F
 
 from bellwether.llm import decontaminate, exact_dedup, langid, near_dedup, sentencepiece_scan
 from bellwether.llm.common import load, materialize
+from bellwether.session import apply_conf
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model rejects go; it learns from the labelled rows of ``docs``."""
+    apply_conf(spark)                # also where the stages are called one by one
     return langid.keep_accepted(docs, langid.fit(docs))
 
 
