@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bellwether.llm import (chat_format, decontaminate, exact_dedup, html_extract, katz, langid, near_dedup, quality,
-                            sentencepiece_scan, toxicity)
+from bellwether.llm import (chat_format, decontaminate, exact_dedup, filter_audit, html_extract, katz, langid, near_dedup,
+                            quality, sentencepiece_scan, source_divergence, toxicity, url_templates)
 from bellwether.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,7 +63,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_scan.query(spark, load(spark, sf_dir, "documents"))
 
 
+def op11_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the urls of ``pages``."""
+    return url_templates.query(spark, load(spark, sf_dir, "pages"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters of ``documents`` in every order."""
+    return filter_audit.query(spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of ``documents`` differ in their terms."""
+    return source_divergence.query(spark, load(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_near_dedup, op2_decontaminate, op3_html_extract, op4_langid, op5_exact_dedup, op6_katz, op7_quality,
-        op8_toxicity, op9_chat_format, op10_sentencepiece)}
+        op8_toxicity, op9_chat_format, op10_sentencepiece, op11_url_templates, op12_filter_audit, op13_source_divergence)}
