@@ -4,7 +4,8 @@ The score of a text depends on that text alone, so with constant tables
 (word lists up to ``CONSTANT_BYTES``) the plan is a projection: the text is
 split into tokens, the positions of the lexicon words are found with a
 hashed set test, and only those few positions look up values, boosters,
-negations and contrast.  No row is exploded, joined or shuffled, and the
+negations and contrast.  The scorer is evaluated once per row, whatever
+filters and names follow it.  No row is exploded, joined or shuffled, and the
 text never leaves its row.  Expressions stay JVM-side.
 
 A lexicon larger than that stays a table: tokens are exploded with a row id,
@@ -215,8 +216,11 @@ def score_text(df: DataFrame, text_col: str = "title", key: str | None = None,
     total = F.expr(f"CAST(__sum + sign(__sum) * __mark * {K.EXCLAMATION_INCREMENT}BD AS {_DEC})")
     # Blank text, or no lexicon hit, scores 0.0
     compound = F.coalesce(compound_from_sum(total), F.lit(0.0))
-    scored = summed.withColumn("__compound", compound)
-    return scored.selectExpr(*carried, "__compound", "coalesce(n_hits, 0) AS n_hits").select(
+    # A filter on the label would be pushed below the projection, and the whole
+    # scorer put in place of every name in it; nothing is pushed below a generator.
+    scored = summed.withColumn("__compound", compound).selectExpr(
+        *carried, "inline(array(struct(__compound, coalesce(n_hits, 0) AS n_hits)))")
+    return scored.select(
         *carried, label_for_score("__compound").alias("sentiment"),
         F.col("__compound").cast("float").alias("confidence"), F.col("__compound").alias("compound"), "n_hits")
 

@@ -18,6 +18,7 @@ from bellwether import schemas
 from bellwether.functions.parsing import bytes_to_string, lenient_timestamp, parse_json
 from bellwether.functions.text import capitalize, card_markdown, round_stored
 from bellwether.operators.scoring import constant_table
+from bellwether.session import land
 
 
 def _cols(names: Iterable[str]) -> list[Column]:
@@ -149,24 +150,26 @@ def capped_take(records: DataFrame, valid: Column, cap: int = K.LATEST_CAP) -> D
     """O3: valid records with index < cap, plus the first valid one at index >= cap.
 
     The index (``idx``) is the record's place in the whole read, in order of
-    ``partition`` and ``offset``; offsets may have gaps.  The first ``cap``
-    records are a top-N per task; the one valid record past them is found by
-    its minimal position, without ordering the rest.
+    ``partition`` and ``offset``; offsets may have gaps.  All records wanted
+    are among the ``cap`` + 1 least valid ones: a top-N per task, landed, and
+    the only pass over the records' contents.  Their places follow from the
+    numbers of records between them, counted over the positions alone: one
+    partial aggregate of at most ``cap`` + 2 groups.
     """
     at = F.struct("partition", "offset")
-    marked = records.withColumn("__at", at).withColumn("__valid", valid)
-    head = marked.orderBy("partition", "offset").limit(cap)
-    place = F.row_number().over(Window.orderBy("partition", "offset")) - 1     # over cap rows
-    first = head.withColumn("idx", place.cast("long")).filter("__valid")
-    end = head.agg(F.max("__at").alias("__end"), F.count(F.lit(1)).alias("__n"))
-    rest = marked.join(F.broadcast(end), F.col("__at") > F.col("__end"))       # one row
-    next_at = F.broadcast(rest.filter("__valid").agg(F.min("__at").alias("__next")))
-    skipped = F.broadcast(rest.join(next_at, F.col("__at") < F.col("__next")).agg(
-        F.count(F.lit(1)).alias("__skipped")))
-    extra = (rest.join(next_at, F.col("__at") == F.col("__next")).crossJoin(skipped)
-             .withColumn("idx", F.col("__n") + F.col("__skipped")))
-    cols = ["idx", *records.columns]
-    return first.select(*cols).unionByName(extra.select(*cols))
+    first = land(records.filter(valid).orderBy("partition", "offset").limit(cap + 1), "first-valid")
+    bounds = first.agg(F.array_sort(F.collect_list(at)).alias("__bounds"))                            # one row
+    passed = F.size(F.filter("__bounds", lambda b: b <= at))
+    between = records.select("partition", "offset").join(F.broadcast(bounds)).groupBy(
+        passed.cast("long").alias("__passed")).agg(F.count(F.lit(1)).alias("__n"))
+    # a record's place is the number of records that have passed fewer bounds than it has
+    order = Window.orderBy("partition", "offset")                                                     # cap + 1 rows
+    ranked = first.withColumn("__rank", F.row_number().over(order).cast("long"))
+    placed = ranked.join(F.broadcast(between), F.col("__passed") < F.col("__rank"), "left").groupBy("__rank").agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("idx"))
+    late = F.row_number().over(Window.partitionBy(F.col("idx") >= cap).orderBy("idx"))
+    wanted = placed.withColumn("__late", late).filter((F.col("idx") < cap) | (F.col("__late") == 1))
+    return ranked.join(F.broadcast(wanted), "__rank").select("idx", *records.columns).orderBy("idx").limit(cap + 1)
 
 
 # P20 --------------------------------------------------------------------

@@ -20,7 +20,7 @@ from bellwether.functions.sentiment import sentiment_struct
 from bellwether.functions.text import capitalize, round_stored
 from bellwether.operators import ingest, serving, timeline
 from bellwether.operators.scoring import score_text
-from bellwether.session import scratch_path
+from bellwether.session import land, scratch_path
 from bellwether.sources import files as FS
 from bellwether.sources import tables as TB
 from bellwether.streaming.runner import log_progress, rows_dropped, wait_for_batches
@@ -76,7 +76,7 @@ def q_latest_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     The scores are materialised first: the sort reads its input twice (for
     the ranges, then for the rows), and the scoring would run twice.
     """
-    rows = materialised(served(spark, sf_dir), "served")
+    rows = land(served(spark, sf_dir), "served")
     cards = serving.headline_cards(rows)
     day = Window.partitionBy(F.to_date("published_ts")).orderBy(F.col("published_ts").desc(), "title", "link")
     ranked = cards.withColumn("rank_in_day", F.row_number().over(day).cast("long"))
@@ -100,7 +100,7 @@ def q_sentiment_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_oldest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: served headlines in ascending publishedAt order, with their place in their day."""
-    rows = materialised(served(spark, sf_dir), "served")
+    rows = land(served(spark, sf_dir), "served")
     day = Window.partitionBy(F.substring("publishedAt", 1, 10)).orderBy("publishedAt", "title", "link")
     return serving.oldest_first(rows.withColumn("rank_in_day", F.row_number().over(day).cast("long")))
 
@@ -133,6 +133,13 @@ def parsed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.parse_records(TB.scored_records(spark, sf_dir))
 
 
+def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a topic that has landed (scored once), for queries that read it in several passes."""
+    folder = scratch_path(spark, "topic")
+    FS.write_topic(TB.scored_records(spark, sf_dir), folder)
+    return serving.parse_records(FS.read_topic(spark, folder))
+
+
 def _record_out(df: DataFrame, *lead: str) -> DataFrame:
     return df.select(*lead, "partition", "offset", "title", "source", "publishedAt", "link",
                      "fetched_at", "sentiment", "confidence",
@@ -180,23 +187,16 @@ def q_distinct_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.distinct_sources(parsed_records(spark, sf_dir), "offset")
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
-    """Land ``df`` as a table in the shared folder and read it back (cuts the lineage)."""
-    path = scratch_path(spark := df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def q_scored_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6 on the scored topic: records within 30 minutes of the latest fetch."""
-    recs = parsed_records(spark, sf_dir)
+    recs = landed_records(spark, sf_dir)
     last = recs.agg(F.max("fetched_at_ts").cast("string")).first()[0]
     return _record_out(timeline.retention_window(recs, "fetched_at_ts", K.SCORED_RETENTION, last))
 
 
 def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest view's capped read over the topic (F1 + O3)."""
-    return serving.capped_take(parsed_records(spark, sf_dir), serving.has_required_keys())
+    return serving.capped_take(landed_records(spark, sf_dir), serving.has_required_keys())
 
 
 def q_capped_take(spark: SparkSession, sf_dir: str) -> DataFrame:
