@@ -39,14 +39,15 @@ def require_keys(df: DataFrame, keys: Sequence[str] = K.REQUIRED_KEYS) -> DataFr
 
 
 # P16, P17 ----------------------------------------------------------------
-def to_served(df: DataFrame) -> DataFrame:
+def to_served_columns() -> list[Column]:
     """Capitalised label and confidence rounded to 3 places, history column order."""
-    return df.select(
-        F.col("title"), F.col("source"), F.col("publishedAt"),
-        capitalize("sentiment").alias("sentiment"),
-        round_stored("confidence").alias("confidence"),
-        F.col("link"),
-    )
+    return [F.col("title"), F.col("source"), F.col("publishedAt"), capitalize("sentiment").alias("sentiment"),
+            round_stored("confidence").alias("confidence"), F.col("link")]
+
+
+def to_served(df: DataFrame) -> DataFrame:
+    """The served form of scored rows."""
+    return df.select(*to_served_columns())
 
 
 # D2 / D1 ----------------------------------------------------------------
@@ -106,11 +107,13 @@ def sentiment_counts(df: DataFrame, label_col: str = "sentiment") -> DataFrame:
     the counts side has at most three rows and is safe to broadcast.
     """
     label = capitalize(label_col)
-    counts = (df.select(label.alias("sentiment"))
-              .filter(F.col("sentiment").isin(list(K.LABELS)))
-              .groupBy("sentiment").agg(F.count(F.lit(1)).alias("n")))
-    dim = labels_frame(df.sparkSession)
-    return (dim.join(F.broadcast(counts), "sentiment", "left")
+    return label_counts(df.select(label.alias("sentiment")).groupBy("sentiment").agg(F.count(F.lit(1)).alias("n")))
+
+
+def label_counts(counts: DataFrame) -> DataFrame:
+    """The counts ``sentiment, n`` of the known labels (one row each at most) on the label dimension, zero-filled."""
+    known = counts.filter(F.col("sentiment").isin(list(K.LABELS)))
+    return (labels_frame(counts.sparkSession).join(F.broadcast(known), "sentiment", "left")
             .select("sentiment", "label_rank", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
             .orderBy("label_rank"))
 

@@ -36,6 +36,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders and files in ``path`` (none if it does not exist), hidden ones left out."""
+    fs, hpath = _file_system(spark, path)
+    if not fs.exists(hpath):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(hpath)]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a table no longer needs."""
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
 def ensure_folder(spark: SparkSession, path: str) -> None:
     """Make a folder, so that a stream can be started before it has files."""
     fs, hpath = _file_system(spark, path)

@@ -5,12 +5,13 @@ D2 in stream form comes in two ways:
 * ``history_stream`` (default): each micro-batch is de-duplicated with the
   batch operator (partial aggregation before the shuffle, so a headline
   repeated in a third of all messages costs one record per task), then
-  left-anti joined with the history itself on a 128-bit key of (title,
-  publishedAt).  ``day`` is derived from ``publishedAt``, so an earlier copy
-  of a key can only sit in the same day partition: the join reads the keys
-  of the batch's range of days.  The dedupe is exact for all time, needs no
-  state store, and a retried batch finds its own committed rows and writes
-  nothing twice.
+  left-anti joined with the key index of the history (``sources.keys``) on a
+  128-bit key of (title, publishedAt).  ``day`` is derived from
+  ``publishedAt``, so an earlier copy of a key can only sit in the same day:
+  the join reads the keys of the batch's days.  The dedupe is exact for all
+  time and needs no state store.  A batch's new rows do not depend on what
+  the batch itself has written before, so a retried batch writes its keys
+  and facets again (in place) and only the history rows still missing.
 * ``deduped_scored``: ``dropDuplicatesWithinWatermark`` with its own long
   delay (headlines return with every hourly fetch, so keys must be kept far
   longer than the 10-minute event watermark); state bounded by time, but
@@ -22,15 +23,18 @@ Both take the first arrival: the record with the least offset.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from bellwether import constants as K
 from bellwether import schemas
 from bellwether.functions.parsing import bytes_to_string, lenient_timestamp, parse_json
-from bellwether.operators.serving import first_per_key, has_required_keys, to_served
+from bellwether.operators import facets
+from bellwether.operators.serving import first_per_key, has_required_keys, to_served, to_served_columns
 from bellwether.operators.timeline import trend
+from bellwether.sources.deltas import DeltaTable, stream_id
+from bellwether.sources.keys import BASE, KeyIndex, day_filter
 from bellwether.sources.files import STORED_HISTORY, append_history, history_sink, path_exists, with_day, with_key
 
 ARRIVAL = ("offset", "partition")
@@ -58,30 +62,65 @@ def undated_scored(raw: DataFrame) -> DataFrame:
     return parse_scored(raw).filter(has_required_keys() & F.col("fetched_at_ts").isNull())
 
 
-def new_to_history(rows: DataFrame, path: str) -> DataFrame:
-    """Rows (with ``day`` and ``key``) whose key the history does not have."""
+def not_in_history(rows: DataFrame, path: str, days: Column) -> DataFrame:
+    """Rows (with ``key``) that are not among the history's rows of these days."""
     spark = rows.sparkSession
     if not path_exists(spark, path):
         return rows
-    low, high, undated = rows.agg(F.min("day"), F.max("day"), F.bool_or(F.col("day").isNull())).first()
-    in_days = F.lit(False) if low is None else F.col("day").between(F.lit(low), F.lit(high))
-    if undated:                                            # unparsable time -> null day
-        in_days = in_days | F.col("day").isNull()
-    seen = spark.read.schema(STORED_HISTORY).parquet(path).filter(in_days).select("key")
+    seen = spark.read.schema(STORED_HISTORY).parquet(path).filter(days).select("key")
     return rows.join(seen, "key", "left_anti")
 
 
+def key_index(spark: SparkSession, path: str) -> KeyIndex:
+    """The key index of the history at ``path``, made from its rows if there is none yet."""
+    where = f"{path.rstrip('/')}-keys"
+    fresh = not path_exists(spark, where)
+    index = KeyIndex(spark, where)
+    if fresh and path_exists(spark, path):
+        index.write(spark.read.schema(STORED_HISTORY).parquet(path).select("key", "day").distinct(), BASE, 0)
+    return index
+
+
+def facet_table(spark: SparkSession, path: str) -> DeltaTable:
+    """The facets of the history at ``path``, counted from its rows if there are none yet."""
+    where = f"{path.rstrip('/')}-facets"
+    fresh = not path_exists(spark, where)
+    table = DeltaTable(spark, where, facets.SCHEMA)
+    if fresh and path_exists(spark, path):
+        recount(spark, path)
+    return table
+
+
+def recount(spark: SparkSession, path: str) -> None:
+    """Count the facets anew from the whole history (after days were overwritten or expired)."""
+    rows = spark.read.schema(STORED_HISTORY).parquet(path)
+    DeltaTable(spark, f"{path.rstrip('/')}-facets", facets.SCHEMA).compact(
+        facets.fold, replace=facets.partial(rows, order_col=None))
+
+
 def history_stream(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """K3: valid rows, new to the history, rounded, appended per micro-batch."""
+    """K3: valid rows, new to the history, rounded, appended per micro-batch; its keys and facets with them."""
     valid = parse_scored(raw).filter(has_required_keys())
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stream = stream_id(spark, checkpoint)
         first = first_per_key(batch, ["title", "publishedAt"], list(ARRIVAL))
-        rows = with_key(with_day(to_served(first))).persist()      # read for its days, then written
+        served = first.select("offset", *to_served_columns())
+        rows = with_key(with_day(served)).persist()                # read for its days, then for its new rows
+        new = None
         try:
-            append_history(new_to_history(rows, path), path)
+            index, counts = key_index(spark, path), facet_table(spark, path)
+            days = day_filter(rows)
+            again = index.started(stream, batch_id)
+            new = index.unseen(rows, days, stream, batch_id).persist()       # written three times
+            index.write(new, stream, batch_id)
+            append_history(not_in_history(new, path, days) if again else new, path)
+            counts.write(facets.partial(new), stream, batch_id)
         finally:
             rows.unpersist()
+            if new is not None:
+                new.unpersist()
 
     return valid.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
