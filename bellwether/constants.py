@@ -44,6 +44,7 @@ DISPLAY_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Stream and retention constants.
 WATERMARK_DELAY = "10 minutes"
 RAW_RETENTION = "7 days"
+HISTORY_DAYS = 365                # days of history that expiry keeps
 SCORED_RETENTION = "30 minutes"
 DEDUPE_DELAY = "7 days"  # D2 in stream form keeps keys as long as raw retention
 

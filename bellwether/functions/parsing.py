@@ -28,6 +28,31 @@ def parse_json(col: Column | str, schema: T.StructType) -> Column:
     return F.from_json(_c(col), schema, {"mode": "PERMISSIVE"})
 
 
+def field_violations(value: Column | str, schema: T.StructType) -> Column:
+    """The fields that a permissive parse has nulled, as an array of (field, expected, found, value).
+
+    A field is one if the message has a value for it and the parsed struct
+    has none.  The message is parsed once more as VARIANT, which keeps its
+    own types: ``found`` is string, number, boolean, object or array, and
+    ``value`` the field's original text.  Text that is no JSON object has no
+    fields (it is quarantined as a whole).
+    """
+    text = _c(value)
+    parsed, raw = parse_json(text, schema), F.try_parse_json(text)
+    entries = []
+    for f in schema.fields:
+        own = F.try_variant_get(raw, f"$['{f.name}']", "variant")
+        kind = F.schema_of_variant(own)
+        found = (F.when(kind.startswith("STRING"), F.lit("string")).when(kind.startswith("BOOLEAN"), F.lit("boolean"))
+                 .when(kind.startswith("OBJECT"), F.lit("object")).when(kind.startswith("ARRAY"), F.lit("array"))
+                 .otherwise(F.lit("number")))
+        original = F.when(found == "string", F.try_variant_get(raw, f"$['{f.name}']", "string")).otherwise(F.to_json(own))
+        nulled = parsed.getField(f.name).isNull() & own.isNotNull() & (kind != "VOID")
+        entries.append(F.when(nulled, F.struct(F.lit(f.name).alias("field"), F.lit(f.dataType.simpleString()).alias("expected"),
+                                               found.alias("found"), original.alias("value"))))
+    return F.filter(F.array(*entries), lambda e: e.isNotNull())
+
+
 def conditional_parse(col: Column | str, schema: T.StructType) -> Column:
     """Null or empty text gives a null struct, anything else is parsed."""
     c = _c(col)

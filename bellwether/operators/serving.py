@@ -76,6 +76,19 @@ def dedupe_title_published(df: DataFrame, order: Sequence[str] = ("offset",)) ->
     return first_per_key(df, ["title", "publishedAt"], order)
 
 
+# K1 ----------------------------------------------------------------------
+def skip_repeats(records: DataFrame) -> DataFrame:
+    """The records of a topic without those that a retried batch has written again.
+
+    Of records with one ``key`` the first stays (least partition and offset);
+    records without a key are all different.  Keys are grouped together with
+    the position of keyless records, so these are no hot group.
+    """
+    alone = F.when(F.col("key").isNull(), F.struct("partition", "offset"))
+    kept = first_per_key(records.withColumn("__alone", alone), ["key", "__alone"], ["partition", "offset"])
+    return kept.drop("__alone")
+
+
 # F4, F5, A3 ----------------------------------------------------------------
 def filter_sentiment(df: DataFrame, label: str = "All") -> DataFrame:
     """``All`` keeps every row."""

@@ -9,8 +9,8 @@ from __future__ import annotations
 from bellwether import constants as K
 from bellwether.functions.text import apostrophe_variants
 from bellwether.plans.queries import (FILTER_LABEL as _FILTER_LABEL, FILTER_SOURCES,
-                                      INGEST_TIME as _INGEST_TIME, JSON_FIELDS, LATE_LABEL, LATE_SHARE,
-                                      NO_RESULT, EMPTY_RESULT)
+                                      INGEST_TIME as _INGEST_TIME, JSON_FIELDS, KEEP_DAYS, LATE_LABEL, LATE_SHARE,
+                                      NO_RESULT, EMPTY_RESULT, ODD_EVERY, PAGE_SIZE, PAGES)
 from bellwether.sources import tables as TB
 
 _FILTER_SOURCES = ", ".join("'" + s + "'" for s in FILTER_SOURCES)
@@ -184,6 +184,14 @@ WHERE valid AND (idx < {K.LATEST_CAP}
 
 EVENTS = "SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value, props FROM events"
 
+# Events in three batches (earlier, later, late copies), each with the watermark of the batches before it.
+BATCHED = f"""
+WITH e AS (SELECT *, (SELECT max(event_id) FROM events) AS last FROM ({EVENTS})),
+b AS (SELECT *, CASE WHEN event_id * 2 < last THEN 1 ELSE 2 END AS batch FROM e
+      UNION ALL SELECT *, 3 AS batch FROM e WHERE event_type = '{LATE_LABEL}' AND event_id < last * {LATE_SHARE})
+SELECT *, (SELECT max(p.ts) FROM b p WHERE p.batch < b.batch) - INTERVAL {K.WATERMARK_DELAY} AS mark FROM b
+"""
+
 ARTICLES = f"""
 WITH a AS (
   SELECT conv_id, CAST(floor(turn / {K.PAGE_SIZE}) AS INTEGER) AS page, turn, role,
@@ -363,4 +371,36 @@ def oracle_sql() -> dict[str, str]:
                 f"SELECT ts, event_type, CAST(value AS DECIMAL(12,2)) AS value FROM ({EVENTS})",
                 "event_type", 2)}) t
             WHERE window_end <= {_fmt(f"(SELECT max(ts) FROM ({EVENTS})) - INTERVAL {K.WATERMARK_DELAY}")}""",
+        "history_facets": f"""
+            SELECT substr(publishedAt, 1, 10) AS day, source, {_cap('sentiment')} AS sentiment, count(*) AS n,
+                   min("offset") AS first_seen
+            FROM (SELECT * FROM ({RECORDS}) WHERE {REQUIRED}
+                  QUALIFY row_number() OVER (PARTITION BY title, publishedAt ORDER BY "offset", partition) = 1)
+            GROUP BY ALL""",
+        "stream_open_trend": _trend(
+            f"SELECT ts, event_type, CAST(value AS DECIMAL(12,2)) AS value FROM ({EVENTS})", "event_type", 2),
+        "stream_late_split": f"""
+            SELECT event_id, {_fmt('ts')} AS ts, event_type, CAST(value AS DECIMAL(12,2)) AS value,
+                   {_fmt('mark')} AS late_watermark
+            FROM ({BATCHED}) WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark""",
+        "stream_trend_merged": _trend(
+            f"SELECT ts, event_type, CAST(value AS DECIMAL(12,2)) AS value FROM ({BATCHED})", "event_type", 2),
+        "card_pages": f"""
+            SELECT title, source, publishedAt, sentiment, confidence, link, {_fmt('pts')} AS published_ts,
+                   CAST((place - 1) // {PAGE_SIZE} + 1 AS INTEGER) AS page
+            FROM (SELECT *, row_number() OVER (ORDER BY pts DESC NULLS LAST, title, link, publishedAt) AS place
+                  FROM (SELECT *, TRY_CAST(publishedAt AS TIMESTAMP) AS pts FROM ({SERVED})))
+            WHERE place <= {PAGES * PAGE_SIZE}""",
+        "field_violations": f"""
+            WITH m AS (
+              SELECT doc_id, CASE doc_id % {ODD_EVERY} WHEN 1 THEN '"x"' WHEN 2 THEN '{{"at":[1,2]}}' WHEN 3 THEN 'true'
+                       WHEN 4 THEN 'null' WHEN 5 THEN '[1.5]' END AS fetched FROM ({HEADLINES}))
+            SELECT doc_id, 'fetched_at' AS field, 'double' AS expected,
+                   CASE json_type(fetched) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object'
+                        WHEN 'ARRAY' THEN 'array' ELSE 'number' END AS found,
+                   CASE json_type(fetched) WHEN 'VARCHAR' THEN json_extract_string(fetched, '$') ELSE fetched END AS value
+            FROM m WHERE json_type(fetched) NOT IN ('NULL', 'DOUBLE', 'UBIGINT', 'BIGINT')""",
+        "history_expiry": f"""
+            SELECT event_id, event_type, {_fmt('ts')} AS ts, count(*) OVER (PARTITION BY CAST(ts AS DATE)) AS n_day
+            FROM ({EVENTS}) WHERE CAST(ts AS DATE) >= (SELECT CAST(max(ts) AS DATE) FROM events) - {KEEP_DAYS}""",
     }

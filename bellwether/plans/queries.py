@@ -7,6 +7,7 @@ results compare across engines without time-zone ambiguity.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,14 +19,16 @@ from bellwether import schemas
 from bellwether.functions import parsing as P
 from bellwether.functions.sentiment import sentiment_struct
 from bellwether.functions.text import capitalize, round_stored
-from bellwether.operators import ingest, serving, timeline
+from bellwether.operators import facets, ingest, serving, timeline
 from bellwether.operators.scoring import score_text
 from bellwether.session import land, scratch_path
 from bellwether.sources import files as FS
 from bellwether.sources import tables as TB
 from bellwether.streaming.runner import log_progress, rows_dropped, wait_for_batches
 from bellwether.streaming.scoring import folder_sink, scoring_stream
-from bellwether.streaming.serving import history_stream, trend_stream
+from bellwether.sources.paging import history_page, newest_first_order, place_of
+from bellwether.streaming.serving import expire_days, facet_table, history_stream, trend_stream
+from bellwether.streaming.trend import LateTrend, late_trend_stream, open_trend, open_trend_stream
 
 # Fixed query parameters (the dashboard's filter choices, ingestion time).
 FILTER_LABEL = "Negative"
@@ -35,6 +38,9 @@ LATE_LABEL, LATE_SHARE = "error", 0.25   # copies of these early events arrive l
 NO_RESULT, EMPTY_RESULT = 10, 9     # of 50 documents, one has no result text and one an empty one (P13)
 JSON_FIELDS = ("title", "source", "publishedAt", "link", "fetched_at", "sentiment", "confidence", "fetched_at_ts")
 TREND_WIDTH = "1 hour"
+PAGES, PAGE_SIZE = 3, 150            # of the cards that are paged through (O2)
+ODD_EVERY = 40                       # of so many messages six are not as the schema says (P2)
+KEEP_DAYS = 5                        # of the history whose older days expire (K6)
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -417,6 +423,113 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trend.join(F.broadcast(dropped))
 
 
+def q_history_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, A2, A3, F4, F5 kept up per batch: headlines per day, source and label of a history that grew in four batches.
+
+    The last batch repeats records of earlier ones, and the batches are
+    compacted half-way; the numbers are those of a full recount.
+    """
+    root = scratch_path(spark, "history-facets")
+    records = land(TB.scored_records(spark, sf_dir), "topic-records")
+    history = f"{root}/history"
+    part = F.pmod(F.col("offset"), F.lit(3))
+    batches = [records.where(part == k) for k in range(3)] + [records.where(F.pmod(F.col("offset"), F.lit(2)) == 0)]
+    for k, batch in enumerate(batches):
+        FS.write_topic(batch, f"{root}/scored/{k}")
+        _run_available(history_stream(FS.read_topic_stream(spark, f"{root}/scored"), history, f"{root}/ck"))
+        if k == 1:
+            facet_table(spark, history).compact(facets.fold)
+    whole = facets.fold(facet_table(spark, history).read())
+    return whole.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "source", "sentiment", "n", "first_seen")
+
+
+def _event_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The earlier events, the later ones, and copies of early error events that come far too late."""
+    ev = TB.load(spark, sf_dir, "events")
+    last = ev.agg(F.max("event_id")).first()[0] or 0
+    return [ev.filter(F.col("event_id") * 2 < last), ev.filter(F.col("event_id") * 2 >= last),
+            ev.filter((F.col("event_type") == LATE_LABEL) & (F.col("event_id") < last * LATE_SHARE))]
+
+
+def q_stream_open_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 in update mode: after two batches of events, all windows, the open ones too."""
+    root = scratch_path(spark, "stream-open")
+    for batch in _event_batches(spark, sf_dir)[:2]:
+        batch.write.mode("append").parquet(f"{root}/in")
+        stream = _event_values(spark.readStream.schema(batch.schema).parquet(f"{root}/in"))
+        _run_available(open_trend_stream(stream, f"{root}/trend", f"{root}/ck", ts_col="ts", label_col="event_type",
+                                         value_col="value", width=TREND_WIDTH))
+    return _trend_out(open_trend(spark, f"{root}/trend", "event_type", stream.schema["value"].dataType), "event_type")
+
+
+def _late_tables(spark: SparkSession, sf_dir: str) -> LateTrend:
+    root = scratch_path(spark, "stream-late-kept")
+    for batch in _event_batches(spark, sf_dir):
+        batch.write.mode("append").parquet(f"{root}/in")
+        raw = spark.readStream.schema(batch.schema).parquet(f"{root}/in")
+        stream = raw.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type",
+                            F.col("value").cast("decimal(12,2)").alias("value"))
+        _run_available(late_trend_stream(stream, f"{root}/trend", f"{root}/ck", ts_col="ts", label_col="event_type",
+                                         value_col="value", width=TREND_WIDTH))
+    return LateTrend(spark, f"{root}/trend", stream.schema, "ts", "event_type", "value", TREND_WIDTH)
+
+
+def q_stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that came after their window had closed, with the watermark that closed it."""
+    late = _late_tables(spark, sf_dir).late.read()
+    return late.select("event_id", _fmt("ts").alias("ts"), "event_type", "value", _fmt("late_watermark").alias("late_watermark"))
+
+
+def q_stream_trend_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend with its late rows added to the windows they missed: no row is lost."""
+    return _trend_out(_late_tables(spark, sf_dir).merged(), "event_type")
+
+
+def q_card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1, O2 by pages: the first pages of the history's cards, each found from the place of the last card before."""
+    path = f"{scratch_path(spark, 'card-pages')}/history"
+    FS.append_history(served(spark, sf_dir), path)
+    after, pages = None, []
+    for number in range(1, PAGES + 1):
+        page = land(history_page(spark, path, PAGE_SIZE, after), "page")
+        pages.append(page.withColumn("page", F.lit(number)))
+        if page.count() < PAGE_SIZE:
+            break
+        after = place_of(page.orderBy(*newest_first_order()).tail(1)[0])
+    return reduce(DataFrame.unionByName, pages).withColumn("published_ts", _fmt("published_ts"))
+
+
+def _odd_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """News messages of which some have a field of the wrong type, by the remainder of their id."""
+    h, rest = TB.headlines(spark, sf_dir), F.col("doc_id") % ODD_EVERY
+    good = F.to_json(F.struct(*[f.name for f in schemas.NEWS.fields]))
+    bad = F.concat(F.lit('{"title":'), F.to_json(F.struct("source")), F.lit(',"source":7,"fetched_at":'),
+                   F.when(rest == 1, F.lit('"x"')).when(rest == 2, F.lit('{"at":[1,2]}')).when(rest == 3, F.lit("true"))
+                   .when(rest == 4, F.lit("null")).otherwise(F.lit("[1.5]")), F.lit("}"))
+    return h.select("doc_id", F.when(rest.between(1, 5), bad).when(rest == 6, F.lit("no JSON")).otherwise(good).alias("value"))
+
+
+def q_field_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of a wrong type, which the permissive parse nulls, with what the message had."""
+    found = _odd_messages(spark, sf_dir).select("doc_id", F.explode(P.field_violations("value", schemas.NEWS)).alias("v"))
+    return found.select("doc_id", "v.field", "v.expected", "v.found", "v.value")
+
+
+def q_history_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 as expiry: what is left of a history of events after its old days are dropped, with the rows per day."""
+    path = f"{scratch_path(spark, 'history-expiry')}/history"
+    ev = TB.events(spark, sf_dir)
+    FS.append_history(ev.select(F.col("event_id").cast("string").alias("title"), F.col("event_type").alias("source"),
+                                _fmt("ts").alias("publishedAt"), F.lit("Neutral").alias("sentiment"),
+                                F.lit(0.0).alias("confidence"), F.lit("").alias("link")), path)
+    today = ev.agg(F.max("ts").cast("date").cast("string")).first()[0]
+    expire_days(spark, path, KEEP_DAYS, f"{path}-expired", dry_run=False, today=today)
+    left = facets.day_counts(facet_table(spark, path).read()).withColumnRenamed("n", "n_day")
+    kept = FS.with_day(FS.read_history(spark, path)).join(left, "day")
+    return kept.select(F.col("title").cast("long").alias("event_id"), F.col("source").alias("event_type"),
+                       F.col("publishedAt").alias("ts"), "n_day")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "score_headlines": q_score_headlines,
@@ -455,4 +568,11 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_dedupe": q_stream_dedupe,
         "stream_trend": q_stream_trend,
         "stream_late_rows": q_stream_late_rows,
+        "history_facets": q_history_facets,
+        "card_pages": q_card_pages,
+        "field_violations": q_field_violations,
+        "history_expiry": q_history_expiry,
+        "stream_open_trend": q_stream_open_trend,
+        "stream_late_split": q_stream_late_split,
+        "stream_trend_merged": q_stream_trend_merged,
     }

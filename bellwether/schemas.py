@@ -57,6 +57,9 @@ TOPIC_RECORD = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 
+# The same with the key that tells repeated records (K1).
+KEYED_RECORD = T.StructType([*TOPIC_RECORD.fields, T.StructField("key", T.StringType())])
+
 # Scorer tables.
 LEXICON = T.StructType([
     T.StructField("token", T.StringType(), False),

@@ -34,19 +34,39 @@ def unread(records: DataFrame, position: dict[int, int]) -> DataFrame:
     return records.filter(F.col("offset") >= F.coalesce(F.try_element_at(start, F.col("partition")), F.lit(0)))
 
 
-def commit(spark: SparkSession, path: str, read: DataFrame, position: dict[int, int]) -> dict[int, int]:
-    """Store the position behind the records ``read`` (one row per partition); return it."""
-    new = {r["partition"]: r["n"] for r in
-           read.groupBy("partition").agg((F.max("offset") + 1).alias("n")).collect()}
-    merged = position | new
+def behind(records: DataFrame, stop: tuple[int, int] | None) -> dict[int, int]:
+    """The position behind the ``records`` read in order of partition and offset, up to and with ``stop``.
+
+    Without a stop all of them were read.  Records that were skipped as
+    invalid count as read; partitions after the stop stay unread.
+    """
+    read = records
+    if stop is not None:
+        read = records.filter(F.struct("partition", "offset") <= F.struct(F.lit(stop[0]), F.lit(stop[1]).cast("long")))
+    rows = read.groupBy("partition").agg((F.max("offset") + 1).alias("n")).collect()     # one row per topic partition
+    return {r["partition"]: r["n"] for r in rows}
+
+
+def commit(spark: SparkSession, path: str, position: dict[int, int]) -> int:
+    """Store a position as the newest version, in one file that is there as a whole or not at all; return the version."""
     version = 1
     if path_exists(spark, path):
         version = (spark.read.schema(SCHEMA).parquet(path).agg(F.max("version")).first()[0] or 0) + 1
-    rows = [(version, p, n) for p, n in sorted(merged.items())]
+    rows = [(version, p, n) for p, n in sorted(position.items())]
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
-    return merged
+    return version
+
 
+EARLIEST = -2                # the connector's code for the first offset that a partition still has
 
-def as_kafka_offsets(topic: str, position: dict[int, int]) -> str:
-    """The position as the connector's ``startingOffsets``; ``earliest`` when there is none."""
-    return json.dumps({topic: {str(p): n for p, n in sorted(position.items())}}) if position else "earliest"
+
+def as_kafka_offsets(topic: str, position: dict[int, int], partitions: int | None = None) -> str:
+    """The position as the connector's ``startingOffsets``, which must name every partition of the topic.
+
+    Partitions that were never read (there are ``partitions`` in all) start
+    at their earliest record; without a position the whole topic does.
+    """
+    if not position:
+        return "earliest"
+    every = range(max(partitions or 0, max(position) + 1))
+    return json.dumps({topic: {str(p): position.get(p, EARLIEST) for p in every}})

@@ -77,18 +77,21 @@ class DeltaTable:
         deltas = deltas.select(*self._columns())
         return deltas if base is None else base.unionByName(deltas)
 
-    def compact(self, fold: Callable[[DataFrame], DataFrame], replace: DataFrame | None = None) -> None:
+    def compact(self, fold: Callable[[DataFrame], DataFrame], replace: DataFrame | None = None,
+                everything: bool = False) -> None:
         """Fold the base and all batches but each stream's newest into a new base.
 
         The newest batch of a stream may still be run again, so it stays a
-        batch.  ``replace`` (rows that stand for everything written so far)
-        takes the place of what is folded, and then covers the newest too.
+        batch, unless ``everything`` is folded (no stream is running).
+        ``replace`` (rows that stand for everything written so far) takes
+        the place of what is folded, and then covers the newest too.
         """
+        everything = everything or replace is not None
         version = self._version()
         deltas = self._deltas(version)
         covered = self._covered(version)
         if deltas is not None:
-            newest = deltas.groupBy("stream").agg((F.max("batch") - (0 if replace is not None else 1)).alias("upto"))
+            newest = deltas.groupBy("stream").agg((F.max("batch") - (0 if everything else 1)).alias("upto"))
             reach = covered.unionByName(newest).groupBy("stream").agg(F.max("upto").alias("upto"))
         else:
             newest, reach = None, covered

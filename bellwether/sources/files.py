@@ -78,11 +78,12 @@ def read_topic_stream(spark: SparkSession, folder: str, max_files_per_trigger: i
             .option("maxFilesPerTrigger", str(max_files_per_trigger)).json(folder))
 
 
-def read_topic(spark: SparkSession, folder: str) -> DataFrame:
-    """Topic stand-in, bounded read (S3)."""
+def read_topic(spark: SparkSession, folder: str, keyed: bool = False) -> DataFrame:
+    """Topic stand-in, bounded read (S3); ``keyed`` adds the records' ``key`` (null: none)."""
+    schema = schemas.KEYED_RECORD if keyed else schemas.TOPIC_RECORD
     if not path_exists(spark, folder):
-        return spark.createDataFrame([], schemas.TOPIC_RECORD)
-    return spark.read.schema(schemas.TOPIC_RECORD).option("recursiveFileLookup", "true").json(folder)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(folder)
 
 
 def write_topic(records: DataFrame, folder: str) -> None:
@@ -120,13 +121,13 @@ def append_history(served: DataFrame, path: str) -> None:
     Rows are gathered by day before the write (a large day is spread over
     several tasks), so a day gets a few files, not one from every task.
     """
-    rows = with_key(with_day(reconcile_columns(served, schemas.HISTORY)))
+    rows = with_key(with_day(reconcile_columns(served, WRITTEN_HISTORY)))
     rows.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(path)
 
 
 def overwrite_days(served: DataFrame, path: str) -> None:
     """K5: the daily reset.  The days that ``served`` has are replaced by its rows, no other day is touched."""
-    rows = with_key(with_day(reconcile_columns(served, schemas.HISTORY)))
+    rows = with_key(with_day(reconcile_columns(served, WRITTEN_HISTORY)))
     (rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("day").parquet(path))
 
@@ -145,7 +146,9 @@ def read_history(spark: SparkSession, path: str, day: str | None = None) -> Data
     return df.select(*[f.name for f in schemas.HISTORY.fields])
 
 
-STORED_HISTORY = T.StructType([*schemas.HISTORY.fields, T.StructField("key", T.BinaryType()),
+# What the history stores: the served columns, the fetch time (the trend's event time), the key and the day.
+WRITTEN_HISTORY = T.StructType([*schemas.HISTORY.fields, T.StructField("fetched_at_ts", T.TimestampType())])
+STORED_HISTORY = T.StructType([*WRITTEN_HISTORY.fields, T.StructField("key", T.BinaryType()),
                                T.StructField("day", T.DateType())])
 
 # Quoted fields may hold commas, quotes (doubled) and line breaks.

@@ -52,16 +52,18 @@ def read_scored_bounded(spark: SparkSession, bootstrap: str, topic: str = SCORED
             .option("startingOffsets", starting_offsets)
             .option("endingOffsets", ending_offsets)
             .load()
-            .select("partition", "offset", F.col("value").cast("string").alias("value")))
+            .select("partition", "offset", F.col("value").cast("string").alias("value"),
+                    F.col("key").cast("string").alias("key")))
 
 
 def kafka_sink(df: DataFrame, bootstrap: str, topic: str = SCORED_TOPIC) -> None:
-    """K1 per micro-batch (for ``foreachBatch``): write the ``value`` column.
+    """K1 per micro-batch (for ``foreachBatch``): write ``value``, and ``key`` where there is one.
 
-    Kafka writes are at-least-once: a retried batch may repeat records, which
-    the consumer's keyed dedupe (D2) removes before the history.
+    Kafka writes are at-least-once: a retried batch may repeat records.  They
+    have the key of the first time, so readers can skip them
+    (``serving.skip_repeats``); the history's dedupe (D2) does anyway.
     """
-    (df.select("value").write.format("kafka")
+    (df.select(*[c for c in ("key", "value") if c in df.columns]).write.format("kafka")
      .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from bellwether.sources.files import path_exists
+from bellwether.sources.files import delete, list_folder
 
 
 def debug_queries(raw: DataFrame, parsed_scored: DataFrame | None = None) -> list[StreamingQuery]:
@@ -86,9 +86,26 @@ def log_progress(spark: SparkSession, path: str) -> ProgressLog:
 
 def progress_table(spark: SparkSession, path: str) -> DataFrame:
     """All recorded progress, one row per batch and run."""
-    if not path_exists(spark, path):
+    found = list_folder(spark, path)
+    if not found:
         return spark.createDataFrame([], PROGRESS)
-    return spark.read.schema(PROGRESS).parquet(path)
+    merged = [n for n in found if n.startswith("merged-")]
+    newest = max(merged, key=lambda n: int(n.split("-")[1]), default=None)
+    held = [f"{path}/{n}" for n in found if n not in merged] + ([f"{path}/{newest}"] if newest else [])
+    # a crash between the steps of a compaction leaves events twice, which are one event
+    return spark.read.schema(PROGRESS).option("recursiveFileLookup", "true").parquet(*held).dropDuplicates(
+        ["query_id", "run_id", "batch_id"]) if merged else spark.read.schema(PROGRESS).parquet(path)
+
+
+def compact_progress(spark: SparkSession, path: str) -> None:
+    """Rewrite the one-event files of the log as one file."""
+    found = list_folder(spark, path)
+    if len(found) < 2:
+        return
+    merged = [int(n.split("-")[1]) for n in found if n.startswith("merged-")]
+    progress_table(spark, path).coalesce(1).write.parquet(f"{path}/merged-{max(merged, default=0) + 1}")
+    for name in found:
+        delete(spark, f"{path}/{name}")
 
 
 def progress_metrics(progress: DataFrame, name: str, *metrics: str) -> DataFrame:

@@ -50,15 +50,28 @@ def parse_news(raw: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def scored_values(scored: DataFrame) -> DataFrame:
-    """The scored record as one JSON ``value`` (null fields omitted)."""
-    return scored.select(F.to_json(F.struct(
+    """The scored record as one JSON ``value`` (null fields omitted), after its ``key`` if it has one."""
+    key = ["key"] if "key" in scored.columns else []
+    return scored.select(*key, F.to_json(F.struct(
         "title", "source", "publishedAt", "link", "fetched_at", "sentiment",
         F.col("confidence").cast("float").alias("confidence"), "fetched_at_ts")).alias("value"))
 
 
+def record_key(parsed: DataFrame) -> Column:
+    """K1: what a scored record is known by, the same whenever its batch is run again.
+
+    The position of the raw record it comes from; without positions (raw
+    files) a digest of the raw message, so equal messages are one record.
+    """
+    if {"partition", "offset"} <= set(parsed.columns):
+        return F.concat_ws("-", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    return F.md5(F.coalesce("value", F.lit("")))
+
+
 def score_batch(parsed: DataFrame, scorer: Scorer | None = None) -> DataFrame:
-    """Score the usable messages of one batch (text in ``title``)."""
-    good = parsed.filter(F.col("reason").isNull()).drop("reason", "value", "partition", "offset")
+    """Score the usable messages of one batch (text in ``title``); ``key`` is the record's."""
+    good = parsed.withColumn("key", record_key(parsed)).filter(F.col("reason").isNull()).drop(
+        "reason", "value", "partition", "offset")
     return score_text(good, "title", scorer=scorer)
 
 
@@ -111,15 +124,15 @@ def observe_counts(parsed: DataFrame) -> DataFrame:
 def folder_sink(folder: str) -> BatchSink:
     """Stand-in for K1: each batch goes to ``folder/batch=<id>``.
 
-    A single ``value`` column becomes a topic stand-in (JSON lines with a
-    position that rises from batch to batch), anything else parquet.  A
-    retried batch overwrites its own folder, so output is written once.
+    A ``value`` column (and its ``key``) becomes a topic stand-in (JSON lines
+    with a position that rises from batch to batch), anything else parquet.
+    A retried batch overwrites its own folder, so output is written once.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         target = f"{folder.rstrip('/')}/batch={batch_id}"
-        if df.columns == ["value"]:
+        if df.columns[-1:] == ["value"] and set(df.columns) <= {"key", "value"}:
             offset = F.lit(batch_id).cast("long") * F.lit(1 << 44) + F.monotonically_increasing_id()
-            df.select(F.lit(0).alias("partition"), offset.alias("offset"), "value").write.mode(
+            df.select(F.lit(0).alias("partition"), offset.alias("offset"), *df.columns).write.mode(
                 "overwrite").json(target)
         else:
             df.write.mode("overwrite").parquet(target)

@@ -35,7 +35,8 @@ from bellwether.operators.serving import first_per_key, has_required_keys, to_se
 from bellwether.operators.timeline import trend
 from bellwether.sources.deltas import DeltaTable, stream_id
 from bellwether.sources.keys import BASE, KeyIndex, day_filter
-from bellwether.sources.files import STORED_HISTORY, append_history, history_sink, path_exists, with_day, with_key
+from bellwether.sources.files import STORED_HISTORY, append_history, delete, history_sink, path_exists, with_day, with_key
+from bellwether.session import land
 
 ARRIVAL = ("offset", "partition")
 
@@ -98,6 +99,34 @@ def recount(spark: SparkSession, path: str) -> None:
         facets.fold, replace=facets.partial(rows, order_col=None))
 
 
+EXPIRED = "day date, n long, horizon date, logged_at timestamp"
+
+
+def expire_days(spark: SparkSession, path: str, keep_days: int, log: str, dry_run: bool = True,
+                today: str | None = None) -> DataFrame:
+    """K6, K5: drop the day partitions of the history that lie before ``today`` less ``keep_days``.
+
+    The days and their row counts (from the facets) are listed first and
+    returned; a dry run stops there.  Else the list is logged, the folders
+    are deleted, and the facets are folded without these days.  Keys stay in
+    the index, so an expired headline that comes again is not new.  Undated
+    rows are kept.  A run that dies half-way is finished by the next one.
+    """
+    today = F.to_date(F.lit(today)) if today else F.current_date()
+    table = facet_table(spark, path)
+    old = F.col("day") < F.date_sub(today, keep_days)
+    found = table.read().where(old).groupBy("day").agg(F.sum("n").alias("n")).select(
+        "day", "n", F.date_sub(today, keep_days).alias("horizon"), F.current_timestamp().alias("logged_at"))
+    listed = land(found.orderBy("day").coalesce(1), "expired")                  # one row per day
+    if dry_run:
+        return listed
+    listed.write.mode("append").parquet(log)
+    for r in listed.collect():
+        delete(spark, f"{path.rstrip('/')}/day={r['day']}")
+    table.compact(lambda rows: facets.fold(rows.where(~F.coalesce(old, F.lit(False)))), everything=True)
+    return listed
+
+
 def history_stream(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """K3: valid rows, new to the history, rounded, appended per micro-batch; its keys and facets with them."""
     valid = parse_scored(raw).filter(has_required_keys())
@@ -106,7 +135,7 @@ def history_stream(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWrit
         spark = batch.sparkSession
         stream = stream_id(spark, checkpoint)
         first = first_per_key(batch, ["title", "publishedAt"], list(ARRIVAL))
-        served = first.select("offset", *to_served_columns())
+        served = first.select("offset", "fetched_at_ts", *to_served_columns())
         rows = with_key(with_day(served)).persist()                # read for its days, then for its new rows
         new = None
         try:
@@ -126,16 +155,17 @@ def history_stream(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWrit
 
 
 def history_as_stream(spark: SparkSession, path: str) -> DataFrame:
-    """The history as it grows, each headline once: ``ts`` (publication), ``sentiment``, ``confidence``.
+    """The history as it grows, each headline once: ``title``, ``ts``, ``sentiment``, ``confidence``.
 
-    Rows without a publication time, or with one more than a day ahead (it
-    would move the watermark past all others), are left out; the history
-    itself has them.
+    ``ts`` is the time of the fetch (the event time of the original's
+    watermark), or that of publication for a message without one.  It is
+    null where neither can be read or it lies more than a day ahead (it
+    would move the watermark past all others).
     """
     rows = spark.readStream.schema(STORED_HISTORY).parquet(path)
-    ts = lenient_timestamp("publishedAt")
-    dated = rows.select(ts.alias("ts"), "sentiment", "confidence")
-    return dated.filter(F.col("ts") <= F.current_timestamp() + F.expr("INTERVAL 1 DAY"))
+    ts = F.coalesce("fetched_at_ts", lenient_timestamp("publishedAt"))
+    near = ts <= F.current_timestamp() + F.expr("INTERVAL 1 DAY")
+    return rows.select("title", F.when(near, ts).alias("ts"), "sentiment", "confidence")
 
 
 def history_stream_stateful(raw: DataFrame, path: str, checkpoint: str,

@@ -59,3 +59,39 @@ def test_pandas_scorer_slot(spark):
     def broken(s):
         raise ValueError("boom")
     assert {r["sentiment"] for r in score_with(df, broken).collect()} == {"Neutral"}
+
+
+def test_field_violations(spark):
+    from bellwether import schemas
+    from bellwether.functions.parsing import field_violations
+    rows = [(1, '{"title":"a","fetched_at":"x"}'), (2, '{"title":"a","fetched_at":1.5}'), (3, '{"fetched_at":null}'), (4, "junk"),
+            (5, None), (6, '{"title":5,"fetched_at":[1,"b"]}'), (7, '{"fetched_at":{"a":1}}'), (8, '{"fetched_at":true}'), (9, "")]
+    df = spark.createDataFrame(rows, "id int, value string")
+    got = {r["id"]: [tuple(v) for v in r["v"]] for r in df.select("id", field_violations("value", schemas.NEWS).alias("v")).collect()}
+    assert got[1] == [("fetched_at", "double", "string", "x")]
+    assert got[6] == [("fetched_at", "double", "array", '[1,"b"]')]
+    assert got[7] == [("fetched_at", "double", "object", '{"a":1}')] and got[8] == [("fetched_at", "double", "boolean", "true")]
+    assert not any(got[k] for k in (2, 3, 4, 5, 9))
+
+
+def test_a_factory_is_called_once_per_worker(spark, tmp_dir):
+    """Many tasks and batches, a call for each Python worker process only; blank and failing rows as without a factory."""
+    import os
+    from bellwether.operators.udf_scoring import score_with
+
+    def factory():
+        with open(os.path.join(tmp_dir, "calls"), "a") as f:
+            f.write(f"{os.getpid()}\n")
+
+        def scorer(texts):
+            if (texts == "boom").any():
+                raise ValueError
+            return texts.str.len() / 10.0
+        return scorer
+    df = spark.createDataFrame([("abc",), ("",), (None,), ("boom",), ("abcde",)] * 40, "title string").repartition(16)
+    out = score_with(df, factory=factory)
+    for _ in range(3):
+        got = {(r["title"], round(r["compound"], 3)) for r in out.collect()}
+        assert got == {("abc", 0.3), ("", 0.0), (None, 0.0), ("boom", 0.0), ("abcde", 0.5)}
+    calls = open(os.path.join(tmp_dir, "calls")).read().split()
+    assert len(calls) == len(set(calls)) <= spark.sparkContext.defaultParallelism * 2
