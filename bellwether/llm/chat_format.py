@@ -5,19 +5,21 @@ speaker as the assistant and all others as named users; system turns stay
 system turns.  The mask covers what the model learns to say: the text and
 end mark of the assistant's own turns.
 
-A conversation is rendered in parts of ``part_turns`` turn numbers.  Repeated
-rows are one turn and are merged before anything is sized.  Where turn numbers
-repeat so often that a part's distinct turns are over the bound (of ``query``:
-``PIECE_CHARS`` characters), the part is split into pieces of consecutive
-turns, so neighbours stay together and no row outgrows a cell.  DataFrame
-functions only.
+A dialogue is rendered whole.  Only a conversation of over ``PIECE_CHARS``
+characters (names and texts, measured before anything is rendered) is split,
+so that no row outgrows a cell: into pieces of consecutive turns, by the
+characters that come before a turn.  Offsets go on through the pieces: a mask
+span counts from the beginning of the dialogue, and ``offset`` is where a
+piece begins in it.  Repeated rows are one turn and are merged before
+anything is sized.  DataFrame functions only.
 
 Defined cases: a null or empty role is the speaker ``unknown``; null text is
-empty text; rows with a null conversation are one conversation; a null turn
-is the part -1, first; turns with the same number are ordered by speaker and
-text; a row that repeats in all four columns is one turn (``n_rows`` counts
-the rows); a conversation of system turns alone has no participant and no
-rows; other columns are ignored; an empty table gives an empty result.
+empty text; rows with a null conversation are one conversation; null turns
+come first; turns with the same number are ordered by speaker and text; a
+row that repeats in all four columns is one turn (``n_rows`` counts the
+rows); a single turn longer than a piece is a piece of its own; a
+conversation of system turns alone has no participant and no rows; other
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,8 +29,7 @@ from pyspark.sql import functions as F
 
 from bellwether.llm.common import materialize
 
-PART_TURNS = 64
-PIECE_CHARS = 16_000_000     # characters of a part that is rendered whole
+PIECE_CHARS = 16_000_000     # characters of a conversation that is rendered whole
 SYSTEM = "system"
 UNKNOWN = "unknown"
 END = "<|end|>\n"
@@ -42,24 +43,25 @@ def _header(turn: Column, speaker: Column) -> Column:
             .otherwise(F.concat(F.lit("<|user name="), name, F.lit("|>\n"))))
 
 
-def _pieces(turns: DataFrame, size: Column, most: int) -> DataFrame:
-    """``turns`` with ``piece``: ranges of about ``most`` of ``size`` in turn order, 0 in parts that are not larger."""
-    group = ["conv_id", "part"]
-    order = ["turn", "speaker", "text"]
-    sized = turns.withColumn("size", size.cast("long"))
+def _pieces(turns: DataFrame, most: int) -> DataFrame:
+    """``turns`` with ``piece``: the characters before a turn, in turn order, in units of ``most``.
+
+    Conversations of up to ``most`` characters are the piece 0.
+    """
+    group, order = ["conv_id"], ["turn", "speaker", "text"]
+    sized = turns.withColumn("size", (F.length("speaker") + F.length("text")).cast("long"))
     large = sized.groupBy(*group).agg(F.sum("size").alias("n")).where(F.col("n") > F.lit(most)).select(
-        F.col("conv_id").alias("__conv"), F.col("part").alias("__part"))
-    same = F.col("conv_id").eqNullSafe(F.col("__conv")) & (F.col("part") == F.col("__part"))
+        F.col("conv_id").alias("__conv"))
+    same = F.col("conv_id").eqNullSafe(F.col("__conv"))
     whole = sized.join(large, same, "left_anti").withColumn("piece", F.lit(0).cast("long"))
-    # large parts are sorted over many tasks; a task's turns go on where the tasks before it end
+    # large conversations are sorted over many tasks; a task's turns go on where the tasks before it end
     slices = sized.join(large, same, "left_semi").repartitionByRange(*group, *order).withColumn(
         "slice", F.spark_partition_id())
     slices = materialize(slices, "slices")
     before = slices.groupBy(*group, "slice").agg(F.sum("size").alias("n")).withColumn(
         "before", F.coalesce(F.sum("n").over(
             Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    before = before.select(F.col("conv_id").alias("__conv"), F.col("part").alias("__part"),
-                           F.col("slice").alias("__slice"), "before")
+    before = before.select(F.col("conv_id").alias("__conv"), F.col("slice").alias("__slice"), "before")
     inside = F.sum("size").over(Window.partitionBy(*group, "slice").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0))
     split = slices.withColumn("upto", inside).join(before, same & (F.col("slice") == F.col("__slice"))).withColumn(
@@ -68,52 +70,49 @@ def _pieces(turns: DataFrame, size: Column, most: int) -> DataFrame:
     return whole.select(*columns).unionByName(split.select(*columns))
 
 
-def rotate(conversations: DataFrame, part_turns: int = PART_TURNS, piece_chars: int | None = None) -> DataFrame:
-    """One row per conversation, participant, part and piece.
+def rotate(conversations: DataFrame, piece_chars: int = PIECE_CHARS) -> DataFrame:
+    """One row per conversation, participant and piece.
 
-    ``conv_id, perspective, part, piece, n_turns, n_rows, text, mask``
-    (array of character spans).  A piece holds ``part_turns`` turns, or with
-    ``piece_chars`` about so many characters.
+    ``conv_id, perspective, piece, offset, n_turns, n_rows, text, mask``
+    (array of character spans of the whole dialogue).
     """
-    part = F.coalesce(F.floor(F.col("turn") / F.lit(part_turns)), F.lit(-1)).cast("long")
     turns = conversations.select(
-        "conv_id", part.alias("part"), F.col("turn").cast("long").alias("turn"),
+        "conv_id", F.col("turn").cast("long").alias("turn"),
         F.when(F.coalesce(F.col("role"), F.lit("")) == "", F.lit(UNKNOWN)).otherwise(F.col("role")).alias("speaker"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"))
     # a repeated row is one turn: copies are counted before they are shuffled
-    turns = turns.groupBy("conv_id", "part", "turn", "speaker", "text").agg(F.count(F.lit(1)).alias("copies"))
+    turns = turns.groupBy("conv_id", "turn", "speaker", "text").agg(F.count(F.lit(1)).alias("copies"))
     speakers = (turns.where(F.col("speaker") != SYSTEM).select("conv_id", "speaker").distinct()
                 .select(F.col("conv_id").alias("__conv"), F.col("speaker").alias("perspective")))
     plan = speakers.groupBy("__conv").agg(F.collect_set("perspective").alias("perspectives"))
-    if piece_chars is None:
-        dealt = _pieces(turns, F.lit(1), part_turns)
-    else:
-        dealt = _pieces(turns, F.length("speaker") + F.length("text"), piece_chars)
-    seen = dealt.join(plan, F.col("conv_id").eqNullSafe(F.col("__conv")))
-    rows = seen.select("conv_id", "part", "piece", "copies", F.struct("turn", "speaker", "text").alias("row"),
+    seen = _pieces(turns, piece_chars).join(plan, F.col("conv_id").eqNullSafe(F.col("__conv")))
+    rows = seen.select("conv_id", "piece", "copies", F.struct("turn", "speaker", "text").alias("row"),
                        F.explode("perspectives").alias("perspective"))
-    group = ["conv_id", "perspective", "part", "piece"]
+    group = ["conv_id", "perspective", "piece"]
     head = _header(F.col("row"), F.col("perspective"))
     body = F.concat(F.col("row").getField("text"), F.lit(END))
     upto = F.sum(F.length("head") + F.length("body")).over(
         Window.partitionBy(*group).orderBy("row").rowsBetween(Window.unboundedPreceding, 0))
-    placed = rows.withColumn("head", head).withColumn("body", body).withColumn("end", upto.cast("int"))
+    placed = rows.withColumn("head", head).withColumn("body", body).withColumn("end", upto.cast("long"))
     segment = F.struct("end", (F.col("end") - F.length("body")).alias("start"), F.concat("head", "body").alias("text"),
                        (F.col("row").getField("speaker") == F.col("perspective")).alias("own"))
     dialogues = placed.groupBy(*group).agg(
-        F.sort_array(F.collect_list(segment)).alias("segments"), F.sum("copies").alias("n_rows"))
+        F.sort_array(F.collect_list(segment)).alias("segments"), F.sum("copies").alias("n_rows"), F.max("end").alias("size"))
+    earlier = F.sum("size").over(Window.partitionBy("conv_id", "perspective").orderBy("piece").rowsBetween(
+        Window.unboundedPreceding, -1))                                 # over the pieces of a dialogue
+    dialogues = dialogues.withColumn("offset", F.coalesce(earlier, F.lit(0)).cast("long"))
     spans = F.transform(F.filter("segments", lambda s: s.getField("own")),
-                        lambda s: F.struct(s.getField("start").alias("start"), s.getField("end").alias("end")))
+                        lambda s: F.struct((F.col("offset") + s.getField("start")).alias("start"),
+                                           (F.col("offset") + s.getField("end")).alias("end")))
     text = F.array_join(F.transform("segments", lambda s: s.getField("text")), "")
-    return dialogues.select(*group, F.size("segments").cast("long").alias("n_turns"), "n_rows",
+    return dialogues.select(*group, "offset", F.size("segments").cast("long").alias("n_turns"), "n_rows",
                             text.alias("text"), spans.alias("mask"))
 
 
 def query(conversations: DataFrame) -> DataFrame:
     """Every dialogue of every perspective; the mask as text ``start-end`` pairs."""
-    out = rotate(conversations, piece_chars=PIECE_CHARS)
     spans = F.array_join(F.transform("mask", lambda s: F.concat(
         s.getField("start").cast("string"), F.lit("-"), s.getField("end").cast("string"))), ",")
     n = F.aggregate("mask", F.lit(0).cast("long"), lambda a, s: a + s.getField("end") - s.getField("start"))
-    return out.select("conv_id", "perspective", "part", "piece", "n_turns", "n_rows", "text",
-                      spans.alias("mask"), n.alias("n_trained"))
+    return rotate(conversations).select("conv_id", "perspective", "piece", "offset", "n_turns", "n_rows", "text",
+                                        spans.alias("mask"), n.alias("n_trained"))

@@ -7,7 +7,7 @@ round trips or held-out accuracy instead.
 from __future__ import annotations
 
 from bellwether.llm import url_templates as U
-from bellwether.llm.chat_format import END, PART_TURNS, SYSTEM, UNKNOWN
+from bellwether.llm.chat_format import END, SYSTEM, UNKNOWN
 from bellwether.llm.decontaminate import WINDOW
 from bellwether.llm.text import WORD_PATTERN
 
@@ -47,31 +47,34 @@ WINDOW same AS (PARTITION BY text)
 
 OP9 = f"""
 WITH turns AS (
-  SELECT conv_id, coalesce(CAST(floor(turn / {PART_TURNS}) AS BIGINT), -1) AS part, turn,
-         CASE WHEN coalesce(role, '') = '' THEN '{UNKNOWN}' ELSE role END AS speaker,
+  SELECT conv_id, turn, CASE WHEN coalesce(role, '') = '' THEN '{UNKNOWN}' ELSE role END AS speaker,
          coalesce(text, '') AS text, count(*) AS copies
   FROM conversations GROUP BY ALL),
+dealt AS (
+  SELECT *, CAST((sum(length(speaker) + length(text)) OVER (
+           PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, text) - length(speaker) - length(text))
+         // 16000000 AS BIGINT) AS piece
+  FROM turns),
 seen AS (
   SELECT t.*, p.perspective,
          CASE WHEN t.speaker = '{SYSTEM}' THEN '<|system|>' WHEN t.speaker = p.perspective THEN '<|assistant|>'
               ELSE '<|user name=' || t.speaker || '|>' END || chr(10) AS head,
          t.text || '{_END}' AS body
-  FROM turns t JOIN (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> '{SYSTEM}') p
+  FROM dealt t JOIN (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> '{SYSTEM}') p
     ON p.conv_id IS NOT DISTINCT FROM t.conv_id),
 placed AS (
   SELECT *, sum(length(head) + length(body)) OVER (
-           PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, speaker, text) AS upto
+           PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text) AS upto
   FROM seen)
-SELECT conv_id, perspective, part, CAST(0 AS BIGINT) AS piece, count(*) AS n_turns,
-       CAST(sum(copies) AS BIGINT) AS n_rows,
+SELECT conv_id, perspective, piece, CAST(min(upto - length(head) - length(body)) AS BIGINT) AS "offset",
+       count(*) AS n_turns, CAST(sum(copies) AS BIGINT) AS n_rows,
        string_agg(head || body, '' ORDER BY upto) AS text,
        coalesce(string_agg(CAST(upto - length(body) AS BIGINT) || '-' || CAST(upto AS BIGINT), ',' ORDER BY upto)
                 FILTER (WHERE speaker = perspective), '') AS mask,
        CAST(coalesce(sum(length(body)) FILTER (WHERE speaker = perspective), 0) AS BIGINT) AS n_trained
-FROM placed GROUP BY conv_id, perspective, part
+FROM placed GROUP BY conv_id, perspective, piece
 """
 
-
 OP12 = """
 WITH words AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,

@@ -27,29 +27,47 @@ def test_every_participant_gets_a_perspective(spark):
         assert r["text"] == text and [tuple(s) for s in r["mask"]] == spans and r["n_turns"] == r["n_rows"] == 5
 
 
-def test_parts_and_pieces_hold_every_turn(spark):
-    rows = [(1, t, "ab"[t % 2], f"t{t}", "") for t in range(150)] + [(2, 0, "ab"[k % 2], f"tie {k}", "") for k in range(200)]
-    out = C.rotate(spark.createDataFrame(rows, SCHEMA), 10).collect()
-    assert max(r["n_turns"] for r in out) <= 40
-    for conv, n in ((1, 150), (2, 200)):
-        for me in "ab":
-            mine = [r for r in out if (r["conv_id"], r["perspective"]) == (conv, me)]
-            assert sum(r["n_turns"] for r in mine) == n and sum(len(r["mask"]) for r in mine) == n // 2
-    assert sorted(r["part"] for r in out if (r["conv_id"], r["perspective"]) == (1, "a")) == list(range(15))
+def check_pieces(rows, out):
+    """Pieces in order make each perspective's whole dialogue, and their spans count from its beginning."""
+    for me in sorted({r[2] for r in rows}):
+        text, spans = render([(r[2], r[3]) for r in rows], me)
+        mine = sorted((r for r in out if r["perspective"] == me), key=lambda r: r["piece"])
+        assert "".join(r["text"] for r in mine) == text
+        assert [tuple(s) for r in mine for s in r["mask"]] == spans
+        assert [r["offset"] for r in mine] == [sum(len(q["text"]) for q in mine[:k]) for k in range(len(mine))]
+        assert sum(r["n_turns"] for r in mine) == len(rows)
+
+
+def test_long_and_sparse_dialogues_are_whole(spark):
+    for step, n in ((1, 100), (1, 1000), (100, 300)):
+        rows = [(1, step * t, "abc"[t % 3], f"turn {t}", "") for t in range(n)]
+        out = C.rotate(spark.createDataFrame(rows, SCHEMA)).collect()
+        assert [r["piece"] for r in out] == [0, 0, 0] and {r["n_turns"] for r in out} == {n}
+        check_pieces(rows, out)
+
+
+def test_pieces_of_a_conversation_over_the_bound(spark):
+    rows = [(1, 7 * t, "ab"[t % 2], f"t{t}" * (t % 9), "") for t in range(150)]
+    out = C.rotate(spark.createDataFrame(rows, SCHEMA), piece_chars=200).collect()
+    assert len({r["piece"] for r in out}) > 5
+    check_pieces(rows, out)
+    long = [(1, t, "ab"[t % 2], "x" * 300_000, "") for t in range(60)]           # 18 million characters, over the bound
+    out = C.rotate(spark.createDataFrame(long, SCHEMA)).collect()
+    assert {r["piece"] for r in out} == {0, 1}
+    check_pieces(long, out)
 
 
 def test_edges(spark):
     rows = [(None, 0, "user", "x", ""), (None, 1, None, "y", ""), (3, None, "", "z", ""), (3, 0, "user", "w", ""),
             (4, 0, "system", "only", ""), (5, 0, "user", "twice", ""), (5, 0, "user", "twice", "")]
-    got = {(r["conv_id"], r["perspective"], r["part"]): r for r in C.query(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert set(got) == {(None, "user", 0), (None, "unknown", 0), (3, "unknown", -1), (3, "user", -1), (3, "unknown", 0),
-                        (3, "user", 0), (5, "user", 0)}
+    got = {(r["conv_id"], r["perspective"], r["piece"]): r for r in C.query(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert set(got) == {(None, "user", 0), (None, "unknown", 0), (3, "unknown", 0), (3, "user", 0), (5, "user", 0)}
     five = got[5, "user", 0]
     assert (five["n_turns"], five["n_rows"]) == (1, 2)
     text = five["text"]
     a, b = map(int, five["mask"].split("-"))
     assert text[a:b] == "twice" + C.END and five["n_trained"] == b - a
-    assert got[3, "user", -1]["mask"] == "" and got[3, "user", -1]["n_trained"] == 0
+    assert got[3, "user", 0]["text"].startswith("<|user name=unknown|>\nz")          # the null turn comes first
     assert C.query(spark.createDataFrame(rows, SCHEMA).limit(0)).count() == 0
 
 
@@ -64,20 +82,17 @@ def test_copies_and_ties_are_one_dialogue_as_in_the_oracle(spark):
     from bellwether.llm.oracle import OP9
     rows = [(1, t, "ab"[t % 2], f"t{t}", "") for t in range(8) for _ in range(9)]
     rows += [(2, 0, "abc"[k % 3], f"tie {k:03}", "") for k in range(100)] + [(None, None, "a", "x", "")] * 70
+    rows += [(3, 50 * t, "ab"[t % 2], f"long {t}", "") for t in range(200)]
     got = sorted(map(tuple, C.query(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
     con = duckdb.connect()
     con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR, piece VARCHAR)")
     con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?, ?)", rows)
     assert got == sorted(con.execute(OP9).fetchall(), key=str)
-    assert [r[4:6] for r in got if r[0] == 1] == [(8, 72)] * 2
+    assert [r[4:6] for r in got if r[0] == 1] == [(8, 72)] * 2 and [r[4] for r in got if r[0] == 3] == [200] * 2
 
 
-def test_large_parts_are_split_at_consecutive_turns(spark):
-    rows = [(1, k // 50, "ab"[k % 2], f"{k:04}", "") for k in range(300)] + [(1, 0, "a", "0000", "")] * 100
-    out = C.rotate(spark.createDataFrame(rows, SCHEMA), piece_chars=100).collect()
-    whole = C.rotate(spark.createDataFrame(rows, SCHEMA), piece_chars=10**6).collect()
-    for me in "ab":
-        mine = sorted((r for r in out if r["perspective"] == me), key=lambda r: r["piece"])
-        one, = [r for r in whole if r["perspective"] == me]
-        assert len(mine) == 15 and {r["n_turns"] for r in mine} == {20}
-        assert "".join(r["text"] for r in mine) == one["text"] and sum(r["n_rows"] for r in mine) == one["n_rows"] == 400
+def test_ties_over_the_bound_are_split_at_consecutive_turns(spark):
+    rows = [(1, k // 50, "ab"[k % 2], f"{k:04}", "") for k in range(300)]
+    out = C.rotate(spark.createDataFrame(rows + [(1, 0, "a", "0000", "")] * 100, SCHEMA), piece_chars=100).collect()
+    check_pieces(sorted(rows, key=lambda r: (r[1], r[2], r[3])), out)
+    assert {r["n_turns"] for r in out} == {20} and sum(r["n_rows"] for r in out) == 2 * 400
