@@ -1,17 +1,26 @@
 """Operator 3, HTML extraction: two-pass block rules.
 
 A page is cut into blocks at block-level tags.  Pass 1 decides the clear
-blocks: bad by their place (menus, footers, sidebars, notices, adverts,
-forms, reader comments, hidden parts) or by link density; good by length
-and density of stop words.  Pass 2 gives every other block the label of the
-nearest decided neighbour in its region; inside an article, where nothing
-was decided, it is content.
+blocks: good by length and density of stop words, bad by link density or by
+their place: inside an element that is never main text (navigation, aside,
+form, hidden parts and the like), or one whose name says so.  Pass 2 gives
+every other block the label of the nearest decided neighbour in its region;
+inside an article, where nothing was decided, it is content.
+
+A name (class, id, role, itemprop, aria-label) says so only as a whole value
+or by its head: its last word, or a first word that is nearly always a part
+of the page and not of the text (``ad-slot``, ``sidebar-left``).  Names that
+begin with a word like ``has`` or ``no`` say nothing, and a name never
+decides for an article, a main element, a heading, or anything that holds
+the page's main article; all that is left to the density rules.
 
 Defined cases: null and empty html give empty text; unclosed tags are closed
 by what encloses them; comments, scripts and styles never reach the text;
 character references are decoded; white space in a block becomes one space;
-blocks are joined by an empty line; repeated rows are extracted each; other
-columns are ignored; an empty table gives an empty result.
+blocks are joined by an empty line; very long pages are read whole; ties
+between articles go to the first, ties in distance to main text; repeated
+rows are extracted each; other columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -48,13 +57,18 @@ BAD_TAGS = frozenset(
 RAW_TAGS = frozenset("script style textarea title xmp noembed noframes".split())
 CLOSED_BY = {"p": BLOCK_TAGS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
              "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option", "optgroup"}}
-BAD_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
-    "cookies disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice "
-    "notices overlay pagination pager popup promo promotion promoted recommended related replies reply respond "
-    "search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar "
-    "widget widgets".split())
+#: Names that say what an element is wherever they stand first or last, and those that do so only last.
+STRONG_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies "
+    "disqus footer gdpr masthead menu nav navbar navigation newsletter pagination pager popup sidebar sponsored "
+    "toolbar".split())
+BAD_NAMES = STRONG_NAMES | frozenset(
+    "banner disclaimer header login modal notice notices overlay promo promotion promoted recommended related replies "
+    "reply respond search share sharing signup skip social sponsor subscribe subscription teaser widget "
+    "widgets".split())
+SAY_NOTHING = frozenset("has have with is no not non without hide show toggle".split())
 MAIN_NAMES = frozenset("article articlebody".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
 _ATTR = re.compile(r"([^\s=/>\"']+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)|([^\s=/>\"']+)")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -69,18 +83,40 @@ class Block:
     inside: bool              # of an article or main element
 
 
-def _place(tag: str, attrs: str, inside: bool) -> tuple[bool, bool]:
-    """Is an element bad by its tag and attributes; does it open the article?"""
+@dataclass(eq=False)
+class Element:
+    """An open element: what its tag, its name and the elements around it say."""
+
+    parent: "Element | None"
+    tag: str
+    bad: bool                 # it or one around it is never main text
+    named: bool               # its name says it is not main text
+    main: bool                # an article or main element
+    inside: bool              # it is, or is inside, such an element
+    size: int = 0             # characters of text inside a main element
+    holds_main: bool = False  # the page's main article is inside
+
+
+def bad_name(value: str) -> bool:
+    """Does one name say that its element is not main text?"""
+    words = [w.lower() for w in _NAME.findall(value)]
+    if not words or words[0] in SAY_NOTHING:
+        return False
+    return "".join(words) in BAD_NAMES or words[-1] in BAD_NAMES or words[0] in STRONG_NAMES
+
+
+def _place(tag: str, attrs: str, inside: bool) -> tuple[bool, bool, bool]:
+    """Is an element bad by its tag and attributes; by its name; does it open the article?"""
     bad = tag in BAD_TAGS or (tag == "header" and not inside)
+    named = False
     main = tag in ("article", "main")
     if attrs and not attrs.isspace() and tag not in ("html", "body"):
         values = {}
         for m in _ATTR.finditer(attrs):
             values[(m[1] or m[3]).lower()] = html.unescape((m[2] or "").strip("\"'"))
-        names = {n.lower() for k in ("class", "id", "role", "itemprop", "aria-label")
-                 for n in _NAME.findall(values.get(k, ""))}
-        if names & BAD_NAMES:
-            bad = True
+        if not main and tag not in HEADINGS:
+            named = any(bad_name(name) for k in ("class", "id", "role", "itemprop") for name in values.get(k, "").split())
+            named = named or bad_name(values.get("aria-label", ""))
         if values.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary", "search",
                                               "alert", "dialog"):
             bad = True
@@ -89,33 +125,41 @@ def _place(tag: str, attrs: str, inside: bool) -> tuple[bool, bool]:
             bad = True
         main = main or values.get("role", "").lower() == "main" or "articlebody" in values.get("itemprop", "").lower() \
             or bool({v.lower() for v in values.get("class", "").split()} & MAIN_NAMES)
-    return bad, main
+    return bad, named and not main, main
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, with their place."""
-    out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []       # tag, bad, inside
+    root = Element(None, "", False, False, False, False)
+    found: list[tuple[str, int, Element]] = []     # text, linked characters, element
+    mains: list[Element] = []
+    stack: list[Element] = []
     parts: list[str] = []
     linked = 0
-    bad = inside = False
     links = 0                                      # open links
 
+    def here() -> Element:
+        return stack[-1] if stack else root
+
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, linked, bad, inside))
+                at = here()
+                found.append((text, linked, at))
+                if at.inside and not at.bad:
+                    while not at.main:
+                        at = at.parent
+                    at.size += len(text)
             parts.clear()
         linked = 0
 
     def pop(to: int) -> None:
-        nonlocal bad, inside, links
-        for tag, _, _ in stack[to:]:
-            links -= tag == "a"
+        nonlocal links
+        for e in stack[to:]:
+            links -= e.tag == "a"
         del stack[to:]
-        bad, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
 
     at, n = 0, len(page)
     while at < n:
@@ -139,18 +183,18 @@ def blocks(page: str) -> list[Block]:
             flush()
         if closing:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
+                if stack[k].tag == tag:
                     pop(k)
                     break
             continue
-        if stack and tag in CLOSED_BY.get(stack[-1][0], ()):
+        if stack and tag in CLOSED_BY.get(stack[-1].tag, ()):
             pop(len(stack) - 1)
         elif tag in BLOCK_TAGS:                    # an open paragraph ends at a block, whatever is open in it
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
+                if stack[k].tag == "p":
                     pop(k)
                     break
-                if stack[k][0] in BLOCK_TAGS:
+                if stack[k].tag in BLOCK_TAGS:
                     break
         if tag in VOID_TAGS:
             continue
@@ -160,22 +204,52 @@ def blocks(page: str) -> list[Block]:
             if close:
                 at = page.find(">", at) + 1 or n
             continue
-        here_bad, here_main = _place(tag, m[3] or "", inside)
-        bad, inside = bad or here_bad, (inside or here_main)
+        around = here()
+        bad, named, main = _place(tag, m[3] or "", around.inside)
         if tag == "a":
             if links:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "a":
+                for e in reversed(stack):
+                    if e.tag == "a":
                         links -= 1
-                        stack[k] = ("", stack[k][1], stack[k][2])
+                        e.tag = ""
                         break
             links += 1
         if not (m[3] or "").rstrip().endswith("/") or tag in BLOCK_TAGS:
-            stack.append((tag, bad, inside))
+            element = Element(around, tag, around.bad or bad, named, main, around.inside or main)
+            stack.append(element)
+            if main:
+                mains.append(element)
         elif tag == "a":
             links -= 1
     flush()
-    return out
+    return _settle(found, mains)
+
+
+def _settle(found: list[tuple[str, int, Element]], mains: list[Element]) -> list[Block]:
+    """The blocks, once it is known which article is the page's main one (that with the most text)."""
+    for e in reversed(mains):                      # what is in an inner article is in the outer one too
+        up = e.parent
+        while up is not None and not up.main:
+            up = up.parent
+        if up is not None and not e.bad:
+            up.size += e.size
+    best = max((e for e in mains if not e.bad), key=lambda e: e.size, default=None)
+    while best is not None:
+        best.holds_main = True
+        best = best.parent
+    bad: dict[int, bool] = {}
+
+    def is_bad(e: Element | None) -> bool:
+        chain = []
+        while e is not None and id(e) not in bad:
+            chain.append(e)
+            e = e.parent
+        held = bad[id(e)] if e is not None else False
+        for e in reversed(chain):
+            held = bad[id(e)] = held or e.bad or (e.named and not e.holds_main)
+        return held
+
+    return [Block(text, linked, is_bad(e), e.inside) for text, linked, e in found]
 
 
 def label(found: list[Block]) -> list[bool]:
@@ -184,7 +258,8 @@ def label(found: list[Block]) -> list[bool]:
     for b in found:
         size = len(b.text)
         density = b.linked / max(len(b.text.replace(" ", "")), 1)
-        if b.bad or density > (MAX_LINKS_INSIDE if b.inside else MAX_LINKS) or b.text.startswith("©"):
+        notice = b.text.startswith("©") and not b.inside and size < MIN_LENGTH      # a copyright line outside an article
+        if b.bad or notice or density > (MAX_LINKS_INSIDE if b.inside else MAX_LINKS):
             first.append(False)
         elif size >= MIN_LENGTH:
             words = b.text.lower().split()

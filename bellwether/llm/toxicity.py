@@ -16,13 +16,17 @@ logistic model over the counted hits, fitted on the same labelled texts,
 gives the score.
 
 Training uses a bounded sample, chosen by a hash of the id: at most about
-``MAX_ROWS`` toxic and as many clean rows.  A term is chosen by the
+``MAX_ROWS`` toxic and as many clean ids, one row of each.  A term is chosen by the
 significance of its counts in them, corrected for the number of candidates;
 the lexicon has no other bound.
 
 Defined cases: null text is empty text and scores as a text without hits;
-without toxic labels every score is 0; null labels are no labels; repeated
-rows are scored each; other columns are ignored.
+without toxic labels every score is 0, without clean ones 1; null labels and
+labels of null ids are no labels; several labels of an id are one, toxic if
+any is; of several rows of a labelled id the least text is learned from;
+repeated rows are scored each; very long texts are read whole; quotation
+marks pair within a line; ties in a term's rank go to the alphabet; other
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,7 +52,11 @@ WINDOW = 6                   # words of context to either side
 STATES = 200_000             # product states kept before starting afresh
 STEPS = 300
 _STRIP = re.compile(r"^[\W_]+|[\W_]+$")
-_QUOTES = "\"'“”„«»‘’‹›"
+# Paired marks around at most a line; an apostrophe between letters is no mark.
+_QUOTED = re.compile(
+    r'"[^"\n]{1,600}"|“[^“”\n]{1,600}”|„[^„“”\n]{1,600}[“”]|«[^«»\n]{1,600}»|»[^«»\n]{1,600}«|‹[^‹›\n]{1,600}›'
+    r"|(?<!\w)'(?!\s)(?:[^'\n]|(?<=\w)'(?=\w)){1,600}'(?!\w)|‘(?:[^‘’\n]|(?<=\w)’(?=\w)){1,600}’(?!\w)")
+_TOKEN = re.compile(r"\S+")
 #: Words that report what somebody else said.
 REPORTING = frozenset(
     "said says wrote writes called quoted quote word term insult shouted sagte schrieb genannt wort "
@@ -164,6 +172,25 @@ class Matcher:
         return found
 
 
+def quoted_words(text: str, at: list[int]) -> list[bool]:
+    """For each of the words numbered ``at`` (ascending): does it lie between paired quotation marks?"""
+    spans = [m.span() for m in _QUOTED.finditer(text)]
+    if not spans:
+        return [False] * len(at)
+    wanted, out, k = set(at), [], 0
+    for i, m in enumerate(_TOKEN.finditer(text)):
+        if i in wanted:
+            while k < len(spans) and spans[k][1] <= m.start():
+                k += 1
+            out.append(k < len(spans) and spans[k][0] < m.end())
+    return out
+
+
+def reported(words: list[str], i: int) -> bool:
+    """Is word ``i`` near a word of reporting?"""
+    return any(plain(w) in REPORTING for w in words[max(0, i - WINDOW): i + WINDOW + 1])
+
+
 class Hits:
     """Hits of a text by distance and context; remembers the words it has seen."""
 
@@ -180,25 +207,20 @@ class Hits:
             d = self.seen[token] = self.matcher.distance(word) if word else 99
         return d
 
-    def quoted(self, words: list[str], i: int) -> bool:
-        """Is word ``i`` quoted: inside quotation marks, or near a word of reporting?"""
-        near = words[max(0, i - WINDOW): i + WINDOW + 1]
-        if any(plain(w) in REPORTING for w in near):
-            return True
-        before = "".join(words[max(0, i - WINDOW): i]) + words[i][:1]
-        after = words[i][-1:] + "".join(words[i + 1: i + WINDOW + 1])
-        return any(q in before for q in _QUOTES) and any(q in after for q in _QUOTES)
-
     def features(self, text: str | None) -> list[float]:
         words = (text or "").split()
         seen = self.seen
         n = [[0, 0, 0], [0, 0, 0]]
+        found = []
         for i, w in enumerate(words):
             d = seen.get(w)
             if d is None:
                 d = self.distance(w)
             if d < 3:
-                n[self.quoted(words, i)][d] += 1
+                found.append((i, d))
+        inside = quoted_words(text, [i for i, _ in found]) if found else []
+        for (i, d), q in zip(found, inside):
+            n[q or reported(words, i)][d] += 1
         # a misspelled hit counts as a hit; training finds what it is worth less
         (n0, n1, n2), quote = n[0], sum(n[1])
         hits = n0 + n1 + n2
@@ -308,8 +330,8 @@ def train(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def extract(docs: DataFrame, terms: list[Term], out: Callable[[np.ndarray], pa.Array],
-            name: str, kind: str) -> DataFrame:
-    """``doc_id`` and ``out(features)`` of every row of ``docs`` (doc_id, text)."""
+            name: str, kind: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the columns ``keep`` and ``out(features)`` of every row of ``docs`` (doc_id, text)."""
     id_kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -317,14 +339,16 @@ def extract(docs: DataFrame, terms: list[Term], out: Callable[[np.ndarray], pa.A
         for batch in batches:
             if batch.num_rows:
                 x = np.array([hits.features(t.as_py()) for t in batch.column(1)])
-                yield pa.RecordBatch.from_arrays([batch.column(0), out(x)], ["doc_id", name])
+                yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], out(x)], ["doc_id", *keep, name])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_kind}, {name} {kind}")
+    kept = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    return docs.select("doc_id", "text", *keep).mapInArrow(run, f"doc_id {id_kind}, {kept}{name} {kind}")
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = MAX_ROWS) -> Model:
     """Learn terms and weights from the labels of the rows that are ``usable``."""
-    known = labels.where(usable & F.col("toxic").isNotNull()).select("doc_id", "toxic")
+    known = labels.where(usable & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic"))
     n_all, n_tox = known.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not n_tox or n_tox == n_all:
         return Model([], np.zeros(8), -30.0 if not n_tox else 30.0)
@@ -333,11 +357,14 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = MAX_
     drawn = known.where(draw < limit)
     # the drawn ids are bounded by max_rows: the texts stay where they are, and are read out once
     drawn = materialize(drawn, "drawn")
-    sample = materialize(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"), "labelled")
-    sizes = {r["toxic"]: r["count"] for r in drawn.groupBy("toxic").count().collect()}
+    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    sample = materialize(found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "labelled")
+    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    if len(sizes) < 2:
+        return Model([], np.zeros(8), -30.0 if 1 not in sizes else 30.0)
     terms = learn_terms(sample, sizes.get(1, 0), sizes.get(0, 0))
-    got = extract(sample, terms, lambda x: pa.array(x.tolist(), pa.list_(pa.float64())), "x", "array<double>")
-    rows = got.join(F.broadcast(drawn), "doc_id").select("x", "toxic").collect()     # bounded by max_rows
+    got = extract(sample, terms, lambda x: pa.array(x.tolist(), pa.list_(pa.float64())), "x", "array<double>", ("toxic",))
+    rows = got.select("x", "toxic").collect()                                        # bounded by max_rows
     x, y = np.array([r["x"] for r in rows]), np.array([r["toxic"] for r in rows], float)
     weights, bias = train(x, y)
     return Model(terms, weights, bias)

@@ -99,3 +99,38 @@ def test_a_thousand_rare_terms_are_learned(spark):
     assert sum(any(t == w or (stem and w.startswith(t)) for t, stem, _ in learned) for w in terms) > 990
     common_hits = [t for t, stem, _ in learned if any(w.startswith(t) if stem else w == t for w in common)]
     assert not common_hits
+
+
+def test_contractions_are_no_quotation():
+    h = T.Hits([("idiot", False, 1)])
+    for text in ("I don't care you idiot you can't read", "it's me, idiot, isn't it", "the dogs' idiot and the cats' home",
+                 'a 5" idiot', "no idiot\n\"put elsewhere\"", '"quote" idiot "quote"'):
+        x = h.features(text)
+        assert x[0] > 0 and x[5] == 0, text
+    for text in ("they shout 'you don't see, idiot' and go", "„Idiot“ steht da", "« idiot »", "‘an idiot’", '"a long line of an idiot too"',
+                 'the "idiot", again', "“idiot”"):
+        x = h.features(text)
+        assert x[0] == 0 and x[5] > 0, text
+
+
+def test_repeated_labels_and_rows_are_learned_once(spark, monkeypatch):
+    rows = [(i % 40, f"word{i % 7} {'pathetic' if i % 2 else 'fine'}") for i in range(40)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 5 + [(None, 1)] * 9, "doc_id long, toxic int")
+    seen = []
+    real = T.train
+    monkeypatch.setattr(T, "train", lambda x, y: seen.append(len(x)) or real(x, y))
+    T.fit(docs, labels, F_true())
+    assert seen == [40]
+
+
+def F_true():
+    from pyspark.sql import functions as F
+    return F.lit(True)
+
+
+def test_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "pathetic " + "word " * 200_000), (2, "word " * 10)], "doc_id long, text string")
+    model = T.Model([("pathetic", False, 0)], __import__("numpy").ones(8), -3.0)
+    got = {r["doc_id"]: r["score"] for r in T.classify(docs, model).collect()}
+    assert got[1] > got[2]
