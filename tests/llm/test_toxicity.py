@@ -104,7 +104,7 @@ def test_a_thousand_rare_terms_are_learned(spark):
 def test_contractions_are_no_quotation():
     h = T.Hits([("idiot", False, 1)])
     for text in ("I don't care you idiot you can't read", "it's me, idiot, isn't it", "the dogs' idiot and the cats' home",
-                 'a 5" idiot', "no idiot\n\"put elsewhere\"", '"quote" idiot "quote"'):
+                 'a 5" idiot', "no idiot\n\"put elsewhere\"", '"cat" idiot "dog"'):
         x = h.features(text)
         assert x[0] > 0 and x[5] == 0, text
     for text in ("they shout 'you don't see, idiot' and go", "„Idiot“ steht da", "« idiot »", "‘an idiot’", '"a long line of an idiot too"',
