@@ -6,9 +6,11 @@ How far do the sources of a language differ in their use of words?
    (occurrences and documents per language, source and term) until the block
    is full; then it spills the block as a term-sorted run and starts anew.
 2. Merge: runs are dealt to hash shards of (language, source, term) and
-   merged there in sorted order by Spark's external sort, a heap merge of
-   sorted runs that spills to disk; one streaming pass adds up the entries
-   that are now neighbours.  What it holds does not grow with the shard.
+   merged there in the order of a 64-bit hash of the key by Spark's external
+   sort, a heap merge of sorted runs that spills to disk; one streaming pass
+   adds up the entries that are now neighbours, and compares whole keys, so
+   keys that share a hash stay apart.  What it holds does not grow with the
+   shard.
 3. Kept terms: those in ``min_docs`` documents of their language.  All
    arithmetic on shares is exact (integers, decimals).
 4. Pairs: a source that never uses a term has the same small share for all
@@ -47,13 +49,13 @@ TERM_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b
 MIN_DOCS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-BLOCK_ENTRIES = 250_000       # terms of a block in memory
-BLOCK_TERM_BYTES = 1 << 24    # and their bytes
+BLOCK_ENTRIES = 1_000_000     # terms of a block in memory
+BLOCK_BYTES = 1 << 26         # bytes of the texts that a block has read, a bound on those of its terms
+SPILL_ROWS = 20_000           # entries of a run that are handed on at once
 SEGMENT = 1 << 20             # bytes of a text whose terms are held at once
 PAIR_CHUNK = 1 << 20          # pairs worked on at once
 PAIR_ENTRIES = 200_000        # sums per pair that a task holds
 SALT = 64                     # parts that a language's sources are dealt into for joins within the language
-_ONE_DOC = 1 << 44            # a block's entry holds occurrences below, documents above
 
 RUN = "lang string, source string, term binary, n long, df long"
 
@@ -75,41 +77,51 @@ def terms(text: bytes) -> Counter:
 
 
 class Block:
-    """The postings of a block: ``(lang, source)`` to term to packed counts."""
+    """The postings of a block: per ``(lang, source)`` the occurrences and the documents of each term."""
 
     def __init__(self) -> None:
-        self.groups: dict[tuple[str, str], dict[bytes, int]] = {}
+        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         self.entries = self.bytes = 0
 
     def add(self, lang: str, source: str, text: bytes) -> None:
-        own = self.groups.setdefault((lang, source), {})
-        before = len(own)
-        get = own.get
-        for term, n in terms(text).items():
-            held = get(term)
-            if held is None:
-                self.bytes += len(term)
-                own[term] = n + _ONE_DOC
-            else:
-                own[term] = held + n + _ONE_DOC
-        self.entries += len(own) - before
+        n, df = self.groups.setdefault((lang, source), (Counter(), Counter()))
+        before = len(n)
+        if len(text) <= SEGMENT:
+            found = text.translate(TERM_BYTES).split()
+            n.update(found)
+            df.update(set(found))
+        else:
+            whole = terms(text)
+            n.update(whole)
+            df.update(whole.keys())
+        self.entries += len(n) - before
+        self.bytes += len(text)
 
     def full(self) -> bool:
-        return self.entries >= BLOCK_ENTRIES or self.bytes >= BLOCK_TERM_BYTES
+        return self.entries >= BLOCK_ENTRIES or self.bytes >= BLOCK_BYTES
 
-    def run(self) -> pa.RecordBatch:
+    def run(self) -> Iterator[pa.RecordBatch]:
         """The block as a run, sorted by language, source and term."""
-        langs, sources, words, packed = [], [], [], []
-        for (lang, source), own in sorted(self.groups.items()):
-            order = sorted(own)
-            langs += [lang] * len(order)
-            sources += [source] * len(order)
-            words += order
-            packed += map(own.__getitem__, order)
-        held = np.array(packed, np.int64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(words, pa.binary()),
-             pa.array(held & (_ONE_DOC - 1)), pa.array(held >> 44)], ["lang", "source", "term", "n", "df"])
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(words, pa.binary()),
+                 pa.array(ns, pa.int64()), pa.array(dfs, pa.int64())], ["lang", "source", "term", "n", "df"])
+
+        langs, sources, words, ns, dfs = [], [], [], [], []
+        for (lang, source), (n, df) in sorted(self.groups.items()):
+            order = sorted(n)
+            for at in range(0, len(order), SPILL_ROWS):
+                part = order[at:at + SPILL_ROWS]
+                langs += [lang] * len(part)
+                sources += [source] * len(part)
+                words += part
+                ns += map(n.__getitem__, part)
+                dfs += map(df.__getitem__, part)
+                if len(words) >= SPILL_ROWS:
+                    yield batch()
+                    langs, sources, words, ns, dfs = [], [], [], [], []
+        if words:
+            yield batch()
 
 
 def runs(docs: DataFrame) -> DataFrame:
@@ -121,10 +133,9 @@ def runs(docs: DataFrame) -> DataFrame:
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
                 block.add(lang, source, text.as_py())
                 if block.full():
-                    yield block.run()
+                    yield from block.run()
                     block = Block()
-        if block.entries:
-            yield block.run()
+        yield from block.run()
 
     return docs.select("lang", "source", "text").mapInArrow(index, RUN)
 
@@ -134,32 +145,62 @@ def _differs(a: pa.Array) -> np.ndarray:
     return pc.not_equal(a.slice(1), a.slice(0, len(a) - 1)).to_numpy(zero_copy_only=False)
 
 
+def shard_key() -> Column:
+    """64-bit hash of an entry's key, by which runs are dealt and merged."""
+    return F.xxhash64("lang", "source", "term")
+
+
 def merge(spilled: DataFrame) -> DataFrame:
     """Frequencies ``lang, source, term, n, df``: the runs merged shard by shard, neighbours added up."""
     key = ["lang", "source", "term"]
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None              # the last entry, which may go on in the next batch
+        held: pa.Table | None = None                    # the entries of the last hash, which may go on in the next batch
         for batch in batches:
-            table = pa.Table.from_batches(([held] if held is not None else []) + [batch]).combine_chunks()
-            cols = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns]
-            if not len(cols[0]):
-                continue
-            change = np.zeros(len(cols[0]) - 1, bool)
-            for c in cols[:3]:
-                change |= _differs(c)
-            first = np.concatenate(([0], np.flatnonzero(change) + 1))
-            at = pa.array(first)
-            out = pa.RecordBatch.from_arrays(
-                [*[c.take(at) for c in cols[:3]],
-                 *[pa.array(np.add.reduceat(c.to_numpy(), first)) for c in cols[3:]]], [*key, "n", "df"])
-            held = out.slice(out.num_rows - 1)
-            if out.num_rows > 1:
-                yield out.slice(0, out.num_rows - 1)
+            table = pa.Table.from_arrays(batch.columns, batch.schema.names)
+            table = table if held is None else pa.concat_tables([held, table])
+            table = _neighbours(table.combine_chunks())
+            h = table.column("h").to_numpy()
+            cut = int(np.searchsorted(h, h[-1], side="left"))
+            held = table.slice(cut)
+            if cut:
+                yield from table.slice(0, cut).select([*key, "n", "df"]).to_batches()
         if held is not None:
-            yield held
-
-    return spilled.repartition(*key).sortWithinPartitions(*key).mapInArrow(add_up, RUN)
+            yield from held.select([*key, "n", "df"]).to_batches()
+
+    dealt = spilled.withColumn("h", shard_key())
+    return dealt.repartition("h").sortWithinPartitions("h").mapInArrow(add_up, RUN)
+
+
+def _neighbours(table: pa.Table) -> pa.Table:
+    """``table`` (sorted by ``h``) with the entries of each key added up."""
+    cols = [table.column(c).combine_chunks() for c in ("lang", "source", "term", "n", "df", "h")]
+    cols = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in cols]
+    change = np.zeros(len(table) - 1, bool)
+    for c in (*cols[:3], cols[5]):
+        change |= _differs(c)
+    first = np.concatenate(([0], np.flatnonzero(change) + 1))
+    at = pa.array(first)
+    heads = [c.take(at) for c in cols]
+    heads[3:5] = [pa.array(np.add.reduceat(c.to_numpy(), first)) for c in cols[3:5]]
+    out = pa.Table.from_arrays(heads, ["lang", "source", "term", "n", "df", "h"])
+    h = heads[5].to_numpy()
+    if (h[1:] != h[:-1]).all():
+        return out
+    # different keys with one hash may alternate: these are added up by their keys
+    twice = np.zeros(len(h), bool)
+    twice[1:] |= h[1:] == h[:-1]
+    twice[:-1] |= h[1:] == h[:-1]
+    sums: dict[tuple, list[int]] = {}
+    for lang, source, term, n, df, x in zip(*[c.to_pylist() for c in out.filter(pa.array(twice)).columns]):
+        entry = sums.setdefault((lang, source, term, x), [0, 0])
+        entry[0] += n
+        entry[1] += df
+    mixed = pa.Table.from_arrays(
+        [*[pa.array([k[j] for k in sums], heads[j].type) for j in range(3)],
+         *[pa.array([v[j] for v in sums.values()], pa.int64()) for j in range(2)],
+         pa.array([k[3] for k in sums], pa.int64())], out.column_names)
+    return pa.concat_tables([out.filter(pa.array(~twice)), mixed]).sort_by("h")
 
 
 def _share(count: str, total: str, kinds: str) -> Column:

@@ -96,3 +96,11 @@ def test_long_texts_are_cut_between_terms(monkeypatch):
 def test_empty(spark):
     assert S.query(spark, frame(spark, [])).count() == 0
     assert [r["value"] for r in S.query(spark, frame(spark, [(1, None, None, "a", ""), (2, "", None, "b", "")])).collect()] == [0, 0]
+
+
+def test_keys_that_share_a_hash_stay_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(S, "shard_key", lambda: F.length("term").cast("long") % 3)
+    monkeypatch.setattr(S, "BLOCK_ENTRIES", 4)
+    rows = corpus()
+    assert sorted(tuple(r[c] for c in COLUMNS) for r in S.query(spark, frame(spark, rows)).collect()) == brute(rows)
