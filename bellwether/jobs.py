@@ -168,7 +168,7 @@ def serve(spark: SparkSession, layout: Layout, label: str = "All", sources: list
                          for kind, df in tables.items()}
     last = taken.orderBy(F.desc("idx")).first()
     stop = (last["partition"], last["offset"]) if last is not None and last["idx"] >= K.LATEST_CAP else None
-    cursor.commit(spark, place, position | cursor.behind(records, stop))
+    cursor.store(spark, place, position | cursor.behind(records, stop))
     return written
 
 

@@ -47,7 +47,14 @@ def behind(records: DataFrame, stop: tuple[int, int] | None) -> dict[int, int]:
     return {r["partition"]: r["n"] for r in rows}
 
 
-def commit(spark: SparkSession, path: str, position: dict[int, int]) -> int:
+def commit(spark: SparkSession, path: str, read: DataFrame, position: dict[int, int]) -> dict[int, int]:
+    """Store the position behind all of the records ``read``, after an earlier position; return it."""
+    merged = position | behind(read, None)
+    store(spark, path, merged)
+    return merged
+
+
+def store(spark: SparkSession, path: str, position: dict[int, int]) -> int:
     """Store a position as the newest version, in one file that is there as a whole or not at all; return the version."""
     version = 1
     if path_exists(spark, path):

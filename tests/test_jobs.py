@@ -97,7 +97,7 @@ def test_position_over_three_partitions_survives_a_crash(spark, tmp_dir, monkeyp
     land_lines("1.json", [scored_line(5 + i, f"p0-{i}") for i in range(20)] + [scored_line(40, "p0-junk").replace("title", "label")]
                + [scored_line(3 * i, f"p1-{i}", 1) for i in range(30)] + [scored_line(7, "p2-0", 2)])
     with monkeypatch.context() as m:
-        m.setattr(cursor, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        m.setattr(cursor, "store", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
         try:
             serve(spark, layout, advance=True)
             raise AssertionError("the crash did not happen")
