@@ -15,7 +15,8 @@ before, so a task holds one block's automaton at a time.
 
 Defined cases: null, empty and wordless texts have no words and no hits;
 an item without words has no window; repeated items hit alike; repeated
-rows of ``docs`` are each decided by themselves; empty tables give empty
+rows of ``docs`` are each decided by themselves; very long texts are read
+whole; where matches tie, all of them count; empty tables give empty
 results; clashing extra columns are neither read nor renamed.
 """
 

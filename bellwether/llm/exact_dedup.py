@@ -10,7 +10,8 @@ half-way leaves nothing twice.
 
 Defined cases: null text counts as empty text; among equal texts of a batch
 the row with the largest id stays (a null id only if all are null); a text
-that an earlier batch has is not kept; repeated rows count each; an empty
+that an earlier batch has is not kept; repeated rows count each; very long
+texts are digested whole; an empty
 table gives an empty result; other columns are ignored by :func:`classify`
 and returned by :func:`keep_one`.
 """
@@ -47,6 +48,10 @@ class DigestIndex:
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def forget(self) -> None:
+        """Take the index out of the catalog (its files stay where they are)."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def append(self, groups: DataFrame, batch: str) -> None:
         """Anti-join ``groups`` with the other batches; their unknown digests become batch ``batch``."""
         known = self.table().where(F.col("batch") != batch).select("digest")
@@ -95,8 +100,11 @@ def keep_one(docs: DataFrame, index: DigestIndex | None = None, batch: str = "ba
     Rows that repeat both id and text are one row; of rows with a null id
     and the same text one stays.
     """
+    own = index is None
     index = index or new_index(docs.sparkSession)
-    kept = classify(docs, index, batch).where("kept").select("doc_id", "digest")
+    kept = materialize(classify(docs, index, batch).where("kept").select("doc_id", "digest"), "kept-rows")
+    if own:
+        index.forget()
     once = materialize(kept.distinct(), "kept")
     name = fresh_name(docs, "digest")
     mark = docs.withColumn(name, F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
@@ -109,6 +117,8 @@ def keep_one(docs: DataFrame, index: DigestIndex | None = None, batch: str = "ba
 
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The result of the contract: one row per document, dropped ones too."""
-    out = classify(docs, new_index(spark), "all")
-    return out.select("doc_id", "keep_id", "group_size", "kept",
-                      F.lower(F.hex("digest")).alias("text_sha256"))
+    index = new_index(spark)
+    out = materialize(classify(docs, index, "all").select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")), "dedup")
+    index.forget()
+    return out

@@ -31,8 +31,10 @@ How a text's score gets to it, per token and recursively:
 Defined cases: null text is an empty text, which has one token, its end;
 without training texts the base is that of the empty table and the score
 log10 1 for each token; rows are scored one by one, whatever their ids, so
-repeated rows and null ids do no harm; other columns are ignored.  The input
-must give the same rows in the same order when it is read again.
+repeated rows and null ids do no harm; very long texts are scored whole;
+words of equal count are frequent together or not at all; other columns are
+ignored; an empty table gives an empty result.  The input must give the same
+rows in the same order when it is read again.
 """
 
 from __future__ import annotations

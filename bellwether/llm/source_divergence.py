@@ -52,6 +52,7 @@ SCALE = 1_000_000_000
 BLOCK_ENTRIES = 1_000_000     # terms of a block in memory
 BLOCK_BYTES = 1 << 26         # bytes of the texts that a block has read, a bound on those of its terms
 SPILL_ROWS = 20_000           # entries of a run that are handed on at once
+MERGE_ROWS = 50_000           # entries that the merge adds up at once
 SEGMENT = 1 << 20             # bytes of a text whose terms are held at once
 PAIR_CHUNK = 1 << 20          # pairs worked on at once
 PAIR_ENTRIES = 200_000        # sums per pair that a task holds
@@ -102,26 +103,18 @@ class Block:
 
     def run(self) -> Iterator[pa.RecordBatch]:
         """The block as a run, sorted by language, source and term."""
-        def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(words, pa.binary()),
-                 pa.array(ns, pa.int64()), pa.array(dfs, pa.int64())], ["lang", "source", "term", "n", "df"])
-
-        langs, sources, words, ns, dfs = [], [], [], [], []
+        held: list[pa.RecordBatch] = []
         for (lang, source), (n, df) in sorted(self.groups.items()):
-            order = sorted(n)
-            for at in range(0, len(order), SPILL_ROWS):
-                part = order[at:at + SPILL_ROWS]
-                langs += [lang] * len(part)
-                sources += [source] * len(part)
-                words += part
-                ns += map(n.__getitem__, part)
-                dfs += map(df.__getitem__, part)
-                if len(words) >= SPILL_ROWS:
-                    yield batch()
-                    langs, sources, words, ns, dfs = [], [], [], [], []
-        if words:
-            yield batch()
+            names = [pa.repeat(x, len(n)) for x in (lang, source)]
+            counts = [pa.array(x, pa.int64()) for x in (list(n.values()), list(map(df.__getitem__, n)))]
+            table = pa.RecordBatch.from_arrays([*names, pa.array(list(n), pa.binary()), *counts],
+                                               ["lang", "source", "term", "n", "df"])
+            held.append(table.take(pc.sort_indices(table.column(2))))
+            if sum(map(len, held)) >= SPILL_ROWS:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches(SPILL_ROWS)
+                held = []
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches(SPILL_ROWS)
 
 
 def runs(docs: DataFrame) -> DataFrame:
@@ -155,18 +148,23 @@ def merge(spilled: DataFrame) -> DataFrame:
     key = ["lang", "source", "term"]
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None                    # the entries of the last hash, which may go on in the next batch
+        held: list[pa.Table] = []                       # the entries of the last hash, which may go on, and what follows
+        size = 0
         for batch in batches:
-            table = pa.Table.from_arrays(batch.columns, batch.schema.names)
-            table = table if held is None else pa.concat_tables([held, table])
-            table = _neighbours(table.combine_chunks())
+            if not batch.num_rows:
+                continue
+            held.append(pa.Table.from_arrays(batch.columns, batch.schema.names))
+            size += batch.num_rows
+            if size < MERGE_ROWS:
+                continue
+            table = _neighbours(pa.concat_tables(held).combine_chunks())
             h = table.column("h").to_numpy()
             cut = int(np.searchsorted(h, h[-1], side="left"))
-            held = table.slice(cut)
+            held, size = [table.slice(cut)], 0
             if cut:
                 yield from table.slice(0, cut).select([*key, "n", "df"]).to_batches()
-        if held is not None:
-            yield from held.select([*key, "n", "df"]).to_batches()
+        if held:
+            yield from _neighbours(pa.concat_tables(held).combine_chunks()).select([*key, "n", "df"]).to_batches()
 
     dealt = spilled.withColumn("h", shard_key())
     return dealt.repartition("h").sortWithinPartitions("h").mapInArrow(add_up, RUN)
@@ -290,7 +288,8 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFra
     by_term = found.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.sum("n").alias("total"))
     kept = materialize(by_term.where(F.col("df") >= min_docs).select("lang", "term", "total"), "kept-terms")
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("lang_n"))
-    uses = materialize(found.join(kept, ["lang", "term"]).select("lang", "source", "term", "total", "n"), "postings")
+    # kept terms are distinct, so a partition's hash table of them is small
+    uses = materialize(found.join(kept.hint("shuffle_hash"), ["lang", "term"]).select("lang", "source", "term", "total", "n"), "postings")
     used = uses.groupBy("lang", "source").agg(F.sum("n").alias("group_n"), F.count(F.lit(1)).alias("used"))
     groups = docs.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("docs")).join(
         used, ["lang", "source"], "left").join(langs, "lang", "left").select(

@@ -50,3 +50,16 @@ def test_index_persists_and_batches_are_idempotent(spark):
 def test_empty_table(spark):
     assert X.query(spark, frame(spark, ROWS).limit(0)).count() == 0
     assert X.keep_one(frame(spark, ROWS).limit(0)).count() == 0
+
+
+def test_no_index_of_its_own_is_left_in_the_catalog(spark):
+    names = lambda: {t.name for t in spark.catalog.listTables() if t.name.startswith("digest_index_")}
+    before = names()
+    assert X.query(spark, frame(spark, ROWS)).count() == len(ROWS) and X.keep_one(frame(spark, ROWS)).count() == 6
+    assert names() == before
+
+
+def test_very_long_text(spark):
+    long = "word " * 400_000
+    got = {r["doc_id"]: r["kept"] for r in X.query(spark, frame(spark, [(1, long, ""), (2, long + "x", ""), (3, long, "")])).collect()}
+    assert got == {1: False, 2: True, 3: True}

@@ -51,6 +51,26 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     assert got == want
 
 
+def test_empty_tables(spark, tmp_path):
+    """No documents: no rows; no benchmark: nothing is removed; a clashing column and a very long text pass through."""
+    sf = "/root/testdata/sf0.001"
+    base = spark.read.parquet(f"{sf}/documents.parquet").limit(60).selectExpr("*", "doc_id AS node")
+    long = base.where("doc_id = 5").selectExpr("CAST(9999 AS BIGINT) AS doc_id", "repeat(concat(text, ' '), 400) AS text", "lang",
+                                               "source", "n_chars", "node")
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    for name, docs, items in (("none", base.limit(0), bench), ("all", base.unionByName(long), bench.limit(0))):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        items.write.parquet(str(tmp_path / name / "benchmark.parquet"))
+        out = P.run(spark, str(tmp_path / name))
+        assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "node", "ids", "n_pieces"]
+        rows = {r["doc_id"]: r for r in out.collect()}
+        if name == "none":
+            assert not rows
+        else:
+            texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+            assert 9999 in rows and all(r["text"] == texts[i] for i, r in rows.items())
+
+
 def test_registered():
     from __spark_entry__ import queries
     assert {"op1_near_dedup", "op10_sentencepiece", "pipeline"} <= set(queries())

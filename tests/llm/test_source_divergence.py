@@ -62,7 +62,8 @@ def frame(spark, rows):
 def test_equals_brute_force_and_sql(spark, monkeypatch, block, chunk, entries, segment):
     rows = corpus()
     if block:
-        for name, value in (("BLOCK_ENTRIES", block), ("PAIR_CHUNK", chunk), ("PAIR_ENTRIES", entries), ("SEGMENT", segment)):
+        for name, value in (("BLOCK_ENTRIES", block), ("PAIR_CHUNK", chunk), ("PAIR_ENTRIES", entries), ("SEGMENT", segment),
+                            ("MERGE_ROWS", block), ("SPILL_ROWS", block)):
             monkeypatch.setattr(S, name, value)
     got = sorted(tuple(r[c] for c in COLUMNS) for r in S.query(spark, frame(spark, rows)).collect())
     assert got == brute(rows)
