@@ -25,7 +25,8 @@ that encoding puts in front.  The round trip is exact for texts without the
 character U+2581, which the model cannot tell from a space.
 
 Defined cases: null and empty texts have no pieces and decode to the empty
-text; characters outside the vocabulary become byte pieces; repeated rows
+text; characters outside the vocabulary become byte pieces; very long texts are
+chunked; of paths with equal totals the first found stays; repeated rows
 are encoded each; other columns are kept; empty tables give empty results.
 """
 
@@ -37,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +48,7 @@ from bellwether.llm.common import fresh_name, map_rows, materialize
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 65_536               # characters of a chunk; longer texts are giants
+PART_BYTES = 500_000         # of text that is encoded at once
 NEAR = 1_024                 # how far back a chunk may end to end at a free place
 LONG = 48                    # characters up to which stretches are solved together
 SPACE = "▁"
@@ -130,7 +133,7 @@ def as_bytes(ids: list[int]) -> bytes:
 class Encoder:
     """Solves stretches; remembers them up to a bound."""
 
-    LIMIT = 1_000_000
+    LIMIT = 250_000
 
     def __init__(self, v: Vocabulary):
         self.v = v
@@ -623,6 +626,18 @@ def _giant_ids(giants: DataFrame, v: Vocabulary, chunk: int, near: int) -> DataF
         "rid", F.flatten(F.transform("parts", lambda x: x.getField("ids"))).alias("ids"))
 
 
+def _parts(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``PART_BYTES`` of text: the units of a part are all held at once."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    upto = np.cumsum(sizes, dtype=np.int64)
+    row = 0
+    while row < batch.num_rows:
+        before = upto[row - 1] if row else 0
+        end = max(row + 1, int(np.searchsorted(upto, before + PART_BYTES, side="right")))
+        yield batch.slice(row, end - row)
+        row = end
+
+
 def round_trip(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK, near: int = NEAR) -> DataFrame:
     """``docs`` with ``ids`` (the encoding of ``text``) and ``decoded`` (its decoding)."""
     v = Vocabulary(model)
@@ -634,8 +649,7 @@ def round_trip(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK, near: in
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(v)
         for batch in batches:
-            for k in range(0, batch.num_rows, 2_000):
-                part = batch.slice(k, 2_000)
+            for part in _parts(batch, at):
                 ids = enc.encode(part.column(at).to_pylist())
                 offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
