@@ -67,8 +67,11 @@ def _write(table: DataFrame, path: str) -> None:
     table.withColumn("part", part).repartition("part").write.mode("overwrite").partitionBy("part").parquet(path)
 
 
+SCHEMAS = {"grams": "h string, w string, c long, p double, left double, part int", "weights": "h string, weight double, part int"}
+
+
 def _read(spark: SparkSession, model: Model, kind: str, k: int) -> DataFrame:
-    return spark.read.parquet(f"{model.path}/{kind}-{k}").drop("part")
+    return spark.read.schema(SCHEMAS[kind]).parquet(f"{model.path}/{kind}-{k}").drop("part")
 
 
 def train(docs: DataFrame, path: str, order: int = 3, text: str = "text") -> Model:
@@ -92,7 +95,7 @@ def train(docs: DataFrame, path: str, order: int = 3, text: str = "text") -> Mod
         rated = lookup_join(counts, totals, "h", "n", n_grams) if n_grams else counts.join(totals, "h")
         grams = rated.select("h", "w", "c", (kept / F.col("total")).alias("p"), ((F.col("c") - kept) / F.col("total")).alias("left"))
         _write(grams, f"{model.path}/grams-{k}")
-        grams = spark.read.parquet(f"{model.path}/grams-{k}").drop("part")
+        grams = _read(spark, model, "grams", k)
         if k == 1:
             model.tokens, left = grams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.sum("left")).first()
             model.unknown = left if model.tokens else 1.0
