@@ -70,6 +70,8 @@ def _extend_hash(h: np.ndarray, cp: np.ndarray) -> np.ndarray:
 
 def letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased letters with single spaces, of all texts in a row; and each text's length."""
+    if not texts:
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
     joined = "".join(texts)
     cps = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum([len(t) for t in texts])
@@ -376,10 +378,12 @@ def pieces(text: str) -> list[tuple[int, str]]:
 def calibrate(model: Model, sample: DataFrame, reject_share: float = REJECT_SHARE) -> Model:
     """The limits of acceptance, from the held-back texts ``sample`` (lang, text)."""
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         got = [(model.langs.index(lang), c, piece)
                for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
                if lang in model.langs for c, piece in pieces(text)]
+        if not got:                                  # no text of the batch is long enough for a piece
+            return None
         own = np.array([g[0] for g in got], np.int64)
         h, n = measure(model, [g[2] for g in got])
         ok = n > 0

@@ -144,3 +144,9 @@ def test_dirty_languages_are_bounded(spark):
     docs = spark.range(30_000).selectExpr("id AS doc_id", "IF(id < 20000, 'en', concat('x', id)) AS lang",
                                           "concat('some words of text ', id) AS text")
     assert L.fit(docs).langs == ["en"]
+
+
+def test_texts_too_short_to_calibrate(spark):
+    docs = spark.range(60).selectExpr("id AS doc_id", "IF(id % 2 = 0, 'en', 'fr') AS lang", "IF(id % 2 = 0, 'the', 'le') AS text")
+    got = {r["doc_id"] % 2: r["lang_pred"] for r in L.query(spark, docs).collect()}
+    assert got == {0: "en", 1: "fr"}

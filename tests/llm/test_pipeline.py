@@ -55,8 +55,8 @@ def test_empty_tables(spark, tmp_path):
     """No documents: no rows; no benchmark: nothing is removed; a clashing column and a very long text pass through."""
     sf = "/root/testdata/sf0.001"
     base = spark.read.parquet(f"{sf}/documents.parquet").limit(60).selectExpr("*", "doc_id AS node")
-    long = base.where("doc_id = 5").selectExpr("CAST(9999 AS BIGINT) AS doc_id", "repeat(concat(text, ' '), 400) AS text", "lang",
-                                               "source", "n_chars", "node")
+    every = " ".join(r["text"] or "" for r in base.orderBy("doc_id").collect())
+    long = spark.createDataFrame([(9999, every * 8, "en", "x", 0, 1)], base.schema)
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")
     for name, docs, items in (("none", base.limit(0), bench), ("all", base.unionByName(long), bench.limit(0))):
         docs.write.parquet(str(tmp_path / name / "documents.parquet"))
