@@ -35,8 +35,9 @@ from bellwether.operators.serving import first_per_key, has_required_keys, to_se
 from bellwether.operators.timeline import trend
 from bellwether.sources.deltas import DeltaTable, stream_id
 from bellwether.sources.keys import BASE, KeyIndex, day_filter
-from bellwether.sources.files import STORED_HISTORY, append_history, delete, history_sink, path_exists, with_day, with_key
 from bellwether.session import land
+from bellwether.sources.files import (STORED_HISTORY, append_history, delete, ensure_folder, history_sink, path_exists, with_day,
+                                      with_key)
 
 ARRIVAL = ("offset", "partition")
 
@@ -75,21 +76,22 @@ def not_in_history(rows: DataFrame, path: str, days: Column) -> DataFrame:
 def key_index(spark: SparkSession, path: str) -> KeyIndex:
     """The key index of the history at ``path``, made from its rows if there is none yet."""
     where = f"{path.rstrip('/')}-keys"
-    fresh = not path_exists(spark, where)
     index = KeyIndex(spark, where)
-    if fresh and path_exists(spark, path):
-        index.write(spark.read.schema(STORED_HISTORY).parquet(path).select("key", "day").distinct(), BASE, 0)
+    if not path_exists(spark, f"{where}/ready"):               # new, or its making was cut short
+        if path_exists(spark, path):
+            index.write(spark.read.schema(STORED_HISTORY).parquet(path).select("key", "day").distinct(), BASE, 0)
+        ensure_folder(spark, f"{where}/ready")
     return index
 
 
 def facet_table(spark: SparkSession, path: str) -> DeltaTable:
     """The facets of the history at ``path``, counted from its rows if there are none yet."""
     where = f"{path.rstrip('/')}-facets"
-    fresh = not path_exists(spark, where)
-    table = DeltaTable(spark, where, facets.SCHEMA)
-    if fresh and path_exists(spark, path):
-        recount(spark, path)
-    return table
+    if not path_exists(spark, f"{where}/ready"):               # new, or their making was cut short
+        if path_exists(spark, path):
+            recount(spark, path)
+        ensure_folder(spark, f"{where}/ready")
+    return DeltaTable(spark, where, facets.SCHEMA)
 
 
 def recount(spark: SparkSession, path: str) -> None:

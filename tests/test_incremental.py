@@ -144,3 +144,22 @@ def test_delta_table_counts_every_batch_once(spark, tmp_dir):
     assert total() == 28
     FS.delete(spark, f"{table.path}/base/version=3/rows/_SUCCESS")     # a compaction that did not finish is not read
     assert DeltaTable(spark, table.path, schema)._version() == 2
+
+
+def test_a_history_without_index_gets_one_even_after_a_crash(spark, tmp_dir, monkeypatch):
+    """The keys and facets of an older history are made at the first use; a crash while they are made is made good."""
+    src, hist, ck = (os.path.join(tmp_dir, n) for n in ("scored", "hist", "ck"))
+    old = [("a", "s", "2024-06-28 10:00:00", "Positive", 0.5, "l"), ("z", "s", "2024-06-01 10:00:00", "Negative", 0.5, "l")]
+    from bellwether import schemas
+    FS.append_history(spark.createDataFrame(old, schemas.HISTORY), hist)
+    with monkeypatch.context() as m:
+        m.setattr(KeyIndex, "write", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            SS.key_index(spark, hist)
+        m.setattr(DeltaTable, "compact", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            SS.facet_table(spark, hist)
+    write_records(src, "1.json", [rec("a"), rec("b")])
+    run(SS.history_stream(read_one_by_one(spark, src), hist, ck))
+    assert sorted(r["title"] for r in FS.read_history(spark, hist).collect()) == ["a", "b", "z"]
+    assert facet_rows(spark, hist) == recounted(spark, hist)
