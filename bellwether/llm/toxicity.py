@@ -56,6 +56,7 @@ _STRIP = re.compile(r"^[\W_]+|[\W_]+$")
 _QUOTED = re.compile(
     r'"[^"\n]{1,600}"|“[^“”\n]{1,600}”|„[^„“”\n]{1,600}[“”]|«[^«»\n]{1,600}»|»[^«»\n]{1,600}«|‹[^‹›\n]{1,600}›'
     r"|(?<!\w)'(?!\s)(?:[^'\n]|(?<=\w)'(?=\w)){1,600}'(?!\w)|‘(?:[^‘’\n]|(?<=\w)’(?=\w)){1,600}’(?!\w)")
+_MARK = re.compile("[\"“„«»‹'‘]")      # what a quotation may begin with
 _TOKEN = re.compile(r"\S+")
 #: Words that report what somebody else said.
 REPORTING = frozenset(
@@ -174,7 +175,12 @@ class Matcher:
 
 def quoted_words(text: str, at: list[int]) -> list[bool]:
     """For each of the words numbered ``at`` (ascending): does it lie between paired quotation marks?"""
-    spans = [m.span() for m in _QUOTED.finditer(text)]
+    spans, place = [], 0
+    while (mark := _MARK.search(text, place)) is not None:
+        found = _QUOTED.match(text, mark.start())
+        place = found.end() if found else mark.end()
+        if found:
+            spans.append(found.span())
     if not spans:
         return [False] * len(at)
     wanted, out, k = set(at), [], 0
