@@ -1,12 +1,15 @@
 """The keys of the history, for its dedupe (K3, D2): partitioned by day, bucketed and sorted by key.
 
-A micro-batch is anti-joined with the keys of exactly the days it has: an
-odd date costs the keys of its own day and no more.  The index side of the
-join is read bucket by bucket and never shuffled.  Every batch owns its
-partitions, so a batch that is run again replaces its entries; ``compact``
-rewrites the batches of the days into few files.  Keys are a set, so a crash
-in the middle of a compaction, which leaves some of them twice, changes
-nothing.
+A micro-batch is compared with the keys of exactly the days it has: an odd
+date costs the keys of its own day and no more.  The index side of the join
+is read bucket by bucket and never shuffled; the batch brings its keys alone,
+and only those that were found go back to its rows.  A batch writes one file
+per day and bucket, whatever the number of tasks, so the buckets are few: a
+batch over many days costs files in proportion to its days.  Every batch owns
+its partitions, so a batch that is run again replaces its entries;
+``compact`` rewrites the batches of the days into few files.  Keys are a set,
+so a crash in the middle of a compaction, which leaves some of them twice,
+changes nothing.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from bellwether.sources.files import delete, ensure_folder, list_folder, path_ex
 
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 BASE = "base"                 # what compacted partitions have in the place of a stream
+BUCKETS = 4                   # of a new index; keys are 16 bytes, so a day of 4 million has 16 MB in each
 MOST_DAYS = 1_000             # days that are listed in a partition filter; a batch with more reads all of them
 
 
@@ -31,7 +35,7 @@ class KeyIndex:
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark, self.path = spark, path.rstrip("/")
         made = [n for n in list_folder(spark, self.path) if n.startswith("buckets-")]
-        self.buckets = int(made[0].split("-")[1]) if made else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = int(made[0].split("-")[1]) if made else buckets or BUCKETS
         self.where = f"{self.path}/buckets-{self.buckets}"
         self.name = f"keys_{hashlib.md5(self.where.encode()).hexdigest()[:16]}"
         if not made:
@@ -49,17 +53,29 @@ class KeyIndex:
         ensure_folder(self.spark, mark)
         return before
 
-    def unseen(self, rows: DataFrame, days: Column, stream: str, batch: int) -> DataFrame:
-        """The rows (with ``key``) whose key no other batch has; ``days`` is a filter on the column ``day``."""
+    def seen(self, rows: DataFrame, days: Column, stream: str, batch: int) -> DataFrame:
+        """The keys of the rows that another batch has; ``days`` is a filter on the column ``day``."""
         own = (F.col("stream") == stream) & (F.col("batch") == batch)
         known = self.table().where(days & ~own).select("key")
-        return rows.join(known.hint("merge"), "key", "left_anti")
+        # narrow on both sides, as it has as many tasks as buckets
+        return known.join(rows.select("key").hint("merge"), "key", "left_semi")
+
+    def unseen(self, rows: DataFrame, days: Column, stream: str, batch: int) -> DataFrame:
+        """The rows (with ``key``) whose key no other batch has."""
+        return rows.join(self.seen(rows, days, stream, batch), "key", "left_anti")
+
+    def landed_unseen(self, rows: DataFrame, days: Column, stream: str, batch: int) -> DataFrame:
+        """The same with the seen keys landed: Spark drops what it has cached of a table that is written to."""
+        where = f"{self.path}/seen/{stream}"                     # the stream's next batch overwrites it
+        self.seen(rows, days, stream, batch).write.mode("overwrite").parquet(where)
+        return rows.join(self.spark.read.schema("key binary").parquet(where), "key", "left_anti")
 
     def write(self, rows: DataFrame, stream: str, batch: int) -> None:
         """The keys of one batch (``key, day``), in place of what it may have written before."""
         view = f"keys_{uuid.uuid4().hex[:12]}"
+        bucket = F.pmod(F.hash("key"), F.lit(self.buckets))      # Spark's own bucket number: a file of a day has one writer
         rows.select("key", "day", F.lit(stream).alias("stream"), F.lit(batch).cast("long").alias("batch")).repartition(
-            self.buckets, "key").createOrReplaceTempView(view)
+            "day", bucket).createOrReplaceTempView(view)
         self._insert(view)
 
     def _insert(self, view: str) -> None:

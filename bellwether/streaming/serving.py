@@ -4,9 +4,9 @@ D2 in stream form comes in two ways:
 
 * ``history_stream`` (default): each micro-batch is de-duplicated with the
   batch operator (partial aggregation before the shuffle, so a headline
-  repeated in a third of all messages costs one record per task), then
-  left-anti joined with the key index of the history (``sources.keys``) on a
-  128-bit key of (title, publishedAt).  ``day`` is derived from
+  repeated in a third of all messages costs one record per task), then its
+  128-bit keys of (title, publishedAt) are looked up in the key index of the
+  history (``sources.keys``) and the rows of the keys found are left out.  ``day`` is derived from
   ``publishedAt``, so an earlier copy of a key can only sit in the same day:
   the join reads the keys of the batch's days.  The dedupe is exact for all
   time and needs no state store.  A batch's new rows do not depend on what
@@ -144,7 +144,7 @@ def history_stream(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWrit
             index, counts = key_index(spark, path), facet_table(spark, path)
             days = day_filter(rows)
             again = index.started(stream, batch_id)
-            new = index.unseen(rows, days, stream, batch_id).persist()       # written three times
+            new = index.landed_unseen(rows, days, stream, batch_id).persist()       # written three times
             index.write(new, stream, batch_id)
             append_history(not_in_history(new, path, days) if again else new, path)
             counts.write(facets.partial(new), stream, batch_id)

@@ -163,3 +163,43 @@ def test_a_history_without_index_gets_one_even_after_a_crash(spark, tmp_dir, mon
     run(SS.history_stream(read_one_by_one(spark, src), hist, ck))
     assert sorted(r["title"] for r in FS.read_history(spark, hist).collect()) == ["a", "b", "z"]
     assert facet_rows(spark, hist) == recounted(spark, hist)
+
+
+def parquet_files(folder):
+    return [os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")]
+
+
+def test_a_batch_of_many_days_costs_files_by_its_days_not_by_tasks(spark, tmp_dir):
+    """The files of the index grow with the days of a batch only, whatever the number of shuffle partitions."""
+    keys = spark.range(3_000).selectExpr("unhex(md5(cast(id as string))) AS key", "date_add(DATE '2024-01-01', int(id % 30)) AS day")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        index = KeyIndex(spark, os.path.join(tmp_dir, "keys"))
+        for b in range(2):
+            index.write(keys, "s", b)
+        files = parquet_files(index.path)
+        fresh = index.unseen(keys.unionAll(keys.limit(0)), F.lit(True), "s", 2)
+        assert fresh.count() == 0 and index.table().count() == 6_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(files) <= 2 * 30 * index.buckets <= 2 * 30 * 8
+
+
+def test_new_rows_stay_cached_while_their_keys_are_written(spark, tmp_dir):
+    """The new rows of a batch do not read the index that is written from them; the same rows as without landing."""
+    index = KeyIndex(spark, os.path.join(tmp_dir, "keys"), buckets=3)
+    def keys(lo, hi):
+        return spark.range(lo, hi).selectExpr("unhex(md5(cast(id as string))) AS key", "DATE '2024-01-01' AS day", "id")
+    index.write(keys(0, 50), "s", 0)
+    rows = keys(40, 60).unionAll(spark.createDataFrame([(None, None, -1)], "key binary, day date, id long"))
+    new = index.landed_unseen(rows, day_filter(rows), "s", 1).persist()
+    try:
+        assert index.name not in new._jdf.queryExecution().analyzed().toString()
+        want = sorted(r["id"] for r in index.unseen(rows, day_filter(rows), "s", 1).collect())
+        assert sorted(r["id"] for r in new.collect()) == want == [-1, *range(50, 60)]
+        index.write(new.where("key IS NOT NULL"), "s", 1)
+        assert new.storageLevel.useMemory and new.count() == 11
+        assert index.landed_unseen(rows, day_filter(rows), "s", 2).count() == 1      # the next batch has seen them
+    finally:
+        new.unpersist()
