@@ -50,3 +50,11 @@ def test_score_headlines_tells_words_of_a_step_apart(spark, folder):
     got = {r["title"]: r["compound"] for r in checked(spark, folder, "score_headlines")}
     assert got == {text: pytest.approx(confidence(text), abs=1e-12) for _, text, _, _ in ROWS}
     assert len(set(got.values())) == len(ROWS) - 1      # "good" and "better" alone have the same valence
+
+
+def test_sentiment_json_parses_the_result_of_every_document(spark, folder):
+    rows = checked(spark, folder, "sentiment_json")
+    got = {r["doc_id"]: r["confidence"] for r in rows if not r["is_null"]}
+    assert got == {i: pytest.approx(confidence(text), abs=1e-6) for i, text, _, _ in ROWS}
+    odd = [(r["doc_id"], r["sentiment"], r["confidence"]) for r in rows if r["is_null"]]
+    assert sorted(odd) == [(9, None, None), (10, None, None)]       # beside their own results
