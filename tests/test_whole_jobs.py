@@ -58,3 +58,11 @@ def test_sentiment_json_parses_the_result_of_every_document(spark, folder):
     assert got == {i: pytest.approx(confidence(text), abs=1e-6) for i, text, _, _ in ROWS}
     odd = [(r["doc_id"], r["sentiment"], r["confidence"]) for r in rows if r["is_null"]]
     assert sorted(odd) == [(9, None, None), (10, None, None)]       # beside their own results
+
+
+def test_oldest_first_serves_every_headline_with_its_own_confidence(spark, folder):
+    rows = checked(spark, folder, "oldest_first")
+    assert [r["title"] for r in rows] == [text for _, text, _, _ in ROWS]       # doc_id is the minute of publication
+    assert [r["rank_in_day"] for r in rows] == list(range(1, len(ROWS) + 1))
+    assert [r["confidence"] for r in rows] == [pytest.approx(confidence(text), abs=5.1e-4) for _, text, _, _ in ROWS]
+    assert len({r["confidence"] for r in rows}) == len(ROWS) - 1
