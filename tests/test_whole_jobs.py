@@ -66,3 +66,11 @@ def test_oldest_first_serves_every_headline_with_its_own_confidence(spark, folde
     assert [r["rank_in_day"] for r in rows] == list(range(1, len(ROWS) + 1))
     assert [r["confidence"] for r in rows] == [pytest.approx(confidence(text), abs=5.1e-4) for _, text, _, _ in ROWS]
     assert len({r["confidence"] for r in rows}) == len(ROWS) - 1
+
+
+def test_filter_sentiment_source_filters_the_graded_scores(spark, folder):
+    rows = checked(spark, folder, "filter_sentiment_source")
+    got = {r["title"]: (r["sentiment"], r["source"], r["confidence"]) for r in rows}
+    assert got == {text: ("Negative", source, pytest.approx(confidence(text), abs=5.1e-4))
+                   for _, text, _, source in ROWS if confidence(text) <= -0.05 and source in Q.FILTER_SOURCES}
+    assert set(got) == {"crisis", "worst", "kill", "hate"} and len({c for _, _, c in got.values()}) == 4
