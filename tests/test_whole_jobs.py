@@ -74,3 +74,15 @@ def test_filter_sentiment_source_filters_the_graded_scores(spark, folder):
     assert got == {text: ("Negative", source, pytest.approx(confidence(text), abs=5.1e-4))
                    for _, text, _, source in ROWS if confidence(text) <= -0.05 and source in Q.FILTER_SOURCES}
     assert set(got) == {"crisis", "worst", "kill", "hate"} and len({c for _, _, c in got.values()}) == 4
+
+
+def test_required_keys_keeps_the_label_of_every_document(spark, folder):
+    rows = checked(spark, folder, "required_keys")
+    got = {(r["partition"], r["offset"]): (r["sentiment"], r["confidence"]) for r in rows}
+    assert len(got) == len(rows)
+    odd = {k: got.pop(k)[0] for k in list(got) if k[0] == 2}
+    assert odd == {(2, 7): "", (2, 57): ""}          # an empty label is a label; the records without one are dropped
+    label = {i: "Positive" if confidence(text) >= 0.05 else "Negative" if confidence(text) <= -0.05 else "Neutral"
+             for i, text, _, _ in ROWS}
+    assert got == {(fetch, i): (label[i], pytest.approx(confidence(text), abs=1e-6))
+                   for i, text, lang, _ in ROWS if lang != "es" for fetch in (0, 1)}
