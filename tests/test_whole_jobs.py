@@ -86,3 +86,15 @@ def test_required_keys_keeps_the_label_of_every_document(spark, folder):
              for i, text, _, _ in ROWS}
     assert got == {(fetch, i): (label[i], pytest.approx(confidence(text), abs=1e-6))
                    for i, text, lang, _ in ROWS if lang != "es" for fetch in (0, 1)}
+
+
+def test_sentiment_trend_sums_the_graded_scores(spark, folder):
+    rows = checked(spark, folder, "sentiment_trend")
+    got = {(r["window_start"], r["sentiment"]): (r["n"], float(r["sum_value"])) for r in rows}
+    wanted = {}
+    for i, text, _, _ in ROWS:
+        c = confidence(text)
+        key = f"2024-01-01 0{i // 60}:00:00", "Positive" if c >= 0.05 else "Negative" if c <= -0.05 else "Neutral"
+        n, total = wanted.get(key, (0, 0.0))
+        wanted[key] = n + 1, total + round(c, 3)
+    assert got == {key: (n, pytest.approx(total, abs=1e-9)) for key, (n, total) in wanted.items()}
